@@ -116,3 +116,24 @@ na AS (
 SELECT study_name, qtl_group, column_name, na_count, total_rows, na_count > 0 AS has_na FROM na"""
 
 ORACLE["sorted_autosomes"] = ORACLE["convert_autosomes"]
+
+ORDER_RANK = """CASE WHEN TRY_CAST(seqnames AS INTEGER) BETWEEN 1 AND 22 THEN TRY_CAST(seqnames AS INTEGER)
+                  WHEN seqnames = 'X' THEN 23 ELSE 1000 END"""
+
+ORACLE["row_order"] = f"""WITH t0 AS (
+  SELECT o_orderkey AS row_index, CAST(o_custkey % 23 AS VARCHAR) AS seqnames,
+         CAST(floor(o_totalprice) AS INTEGER) AS start FROM orders
+), t AS (SELECT row_index, {ORDER_RANK} AS rnk, start FROM t0),
+l AS (SELECT row_index, rnk, start, lag(rnk) OVER w AS pr, lag(start) OVER w AS ps
+      FROM t WINDOW w AS (ORDER BY row_index)),
+v AS (SELECT row_index,
+             CASE WHEN pr IS NOT NULL AND rnk < pr THEN 'rank'
+                  WHEN pr IS NOT NULL AND rnk = pr AND start < ps THEN 'start' END AS kind FROM l)
+SELECT CAST(count(*) AS BIGINT) AS rows_checked,
+       CAST(count_if(kind = 'rank') AS BIGINT) AS rank_decreases,
+       CAST(count_if(kind = 'start') AS BIGINT) AS start_decreases,
+       CAST(min(row_index) FILTER (WHERE kind IS NOT NULL) + 1 AS BIGINT) AS first_bad_row,
+       arg_min(kind, row_index) FILTER (WHERE kind IS NOT NULL) AS first_bad_kind,
+       CASE WHEN count_if(kind IS NOT NULL) > 0 THEN 'orders' END AS first_bad_file,
+       count_if(kind IS NOT NULL) = 0 AS ok
+FROM v"""

@@ -17,7 +17,8 @@ from covtab.operators.convert import convert_intervals, no_data_files, rows_per_
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report
 from covtab.region import Expectation, RegionSpec
 from covtab.sinks.coverage_parquet import sorted_for_publish
-from covtab.sources.fixture import lineitem_intervals
+from covtab.operators.order_check import check_row_order
+from covtab.sources.fixture import lineitem_intervals, orders_row_sequence
 
 # Fixed parameters of the registered queries.
 REGION_22 = RegionSpec("22", 20000, 60000)
@@ -86,3 +87,11 @@ def q_sorted_autosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["sorted_autosomes"] = q_sorted_autosomes
+
+
+def q_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """W1 on the orders row sequence (o_orderkey = physical row index)."""
+    return check_row_order(orders_row_sequence(spark, sf_dir))
+
+
+QUERIES["row_order"] = q_row_order
