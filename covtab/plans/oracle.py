@@ -137,3 +137,16 @@ SELECT CAST(count(*) AS BIGINT) AS rows_checked,
        CASE WHEN count_if(kind IS NOT NULL) > 0 THEN 'orders' END AS first_bad_file,
        count_if(kind IS NOT NULL) = 0 AS ok
 FROM v"""
+
+ORACLE["discover_dirs"] = """
+SELECT r_name AS study_name, n_name AS qtl_group,
+       concat_ws('/', '/cov', r_name, n_name, 'bigwig') AS bigwig_dir
+FROM nation JOIN region ON n_regionkey = r_regionkey
+WHERE n_nationkey % 2 = 0"""
+
+ORACLE["output_names"] = """
+SELECT r_name AS study_name, n_name AS qtl_group,
+       n_name || '_chr22_20000_60000.parquet' AS output_name,
+       '/out/' || r_name || '/' || n_name || '_chr22_20000_60000.parquet' AS output_path,
+       'Will write: /out/' || r_name || '/' || n_name || '_chr22_20000_60000.parquet' AS plan_line
+FROM nation JOIN region ON n_regionkey = r_regionkey"""

@@ -18,7 +18,10 @@ from covtab.operators.validate import chrom_counts, integrity_counts, na_report
 from covtab.region import Expectation, RegionSpec
 from covtab.sinks.coverage_parquet import sorted_for_publish
 from covtab.operators.order_check import check_row_order
-from covtab.sources.fixture import lineitem_intervals, orders_row_sequence
+from covtab.sources.fixture import (lineitem_intervals, nation_region_dirs,
+                                   nation_region_manifest, orders_row_sequence)
+from covtab.sources.listing import bigwig_dirs_from_paths
+from covtab.sources.manifest import planned_outputs
 
 # Fixed parameters of the registered queries.
 REGION_22 = RegionSpec("22", 20000, 60000)
@@ -95,3 +98,17 @@ def q_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["row_order"] = q_row_order
+
+
+def q_discover_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1/P9/F6 on candidate directories built from nation x region."""
+    return bigwig_dirs_from_paths(nation_region_dirs(spark, sf_dir, "/cov"), "/cov")
+
+
+def q_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Planned output of every manifest row for chr22:20,000-60,000."""
+    return planned_outputs(nation_region_manifest(spark, sf_dir, "/cov"), "/out", REGION_22)
+
+
+QUERIES["discover_dirs"] = q_discover_dirs
+QUERIES["output_names"] = q_output_names
