@@ -80,3 +80,27 @@ class ConversionError(RuntimeError):
 
 class EmptyResultError(RuntimeError):
     """No input file contributed any row, so there is no table to publish."""
+
+
+def convert_keeping_errors(raw: DataFrame, region: RegionSpec | None = None) -> DataFrame:
+    """``convert_intervals`` for a scan that carries error rows: error rows
+    pass through (data columns NULL) so one pass over the input feeds both the
+    published rows and the failure list (A3)."""
+    region = region or RegionSpec()
+    err = F.col("error").isNotNull()
+    df = raw
+    pre = raw_overlaps(region)
+    if pre is not None:
+        df = df.filter(err | pre)
+    df = df.select(
+        *[c for c in GROUP_COLUMNS if c in raw.columns],
+        "file_path",
+        normalize_chrom(F.col("chrom")).alias("seqnames"),
+        one_based_start("start0").alias("start"),
+        one_based_end("end0").alias("end"),
+        strand().alias("strand"),
+        nan_to_null("score").alias("score"),
+        sample_id_from_path("file_path").alias("sample_id"),
+        "error",
+    )
+    return df.filter(err | (chrom_allowed("seqnames", region) & non_empty()))

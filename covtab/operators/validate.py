@@ -73,3 +73,107 @@ def na_report(df: DataFrame, group_cols: list[str] = GROUP_COLUMNS,
                        F.expr(f"stack({len(columns)}, {pairs}) AS (column_name, na_count)"))
     return long.select(*group_cols, "column_name", "na_count", "total_rows",
                        (F.col("na_count") > 0).alias("has_na"))
+
+
+# ------------------------------------------------------------------ J6 report
+
+REPORT_SCHEMA = ("seq int, check string, status string, n_bad long, detail string")
+
+
+class ValidationError(AssertionError):
+    pass
+
+
+def _status(bad: F.Column) -> F.Column:
+    return F.when(bad.isNull(), F.lit("SKIP")).when(bad > 0, F.lit("FAIL")).otherwise(F.lit("OK"))
+
+
+def validation_report(rows: DataFrame, expect: Expectation | None = None,
+                      group_cols: list[str] = GROUP_COLUMNS,
+                      schema_problems: list[str] | None = None) -> DataFrame:
+    """J6 as a DataFrame: for every table, the checks in the original order
+    (schema, rows > 0, NULLs, intervals, strand, chromosome list, expected
+    chromosome, expected bounds, samples, physical row order) with status
+    OK / INFO / FAIL / SKIP. ``rows`` must carry file_path and row_index
+    (see ``sinks.coverage_parquet.physical_rows``) for the row-order check.
+    Three jobs: one aggregate, one group-by, one row-order check."""
+    from covtab.operators.order_check import check_row_order
+
+    expect = expect or Expectation()
+    g = list(group_cols)
+    single = not g
+    if single:
+        # one table: a constant key keeps every join an equi-join, and the
+        # global aggregate still reports an empty table (row_count = 0)
+        g = ["_table"]
+        counts = integrity_counts(rows, expect, []).withColumn("_table", F.lit(""))
+        order = check_row_order(rows, []).withColumn("_table", F.lit(""))
+        rows = rows.withColumn("_table", F.lit(""))
+    else:
+        counts = integrity_counts(rows, expect, g)
+        order = check_row_order(rows, g)
+    chroms = (chrom_counts(rows, g)
+              .groupBy(*g)
+              .agg(F.array_sort(F.collect_list(F.struct("chrom_rank", "seqnames", "n"))).alias("cs"))
+              .select(*g, F.concat_ws(", ", F.transform(
+                  "cs", lambda s: F.concat(s["seqnames"], F.lit(":"), s["n"].cast("string"))))
+                  .alias("chroms")))
+    j = counts.join(chroms, g, "left").join(order, g, "left")
+    schema_bad = len(schema_problems or [])
+    schema_detail = "; ".join(schema_problems or []) or "schema and column order match"
+    c = F.col
+    entries = [
+        (1, "schema", F.lit(schema_bad).cast("long"), F.lit(schema_detail)),
+        (2, "row_count", F.when(c("row_count") > 0, 0).otherwise(1).cast("long"),
+         F.concat(F.lit("row count = "), c("row_count").cast("string"))),
+        (3, "no_nulls", c("null_rows"), F.lit("rows with NULLs in required columns")),
+        (4, "valid_intervals", c("bad_intervals"), F.lit("start < 1 or end < start")),
+        (5, "strand", c("bad_strand"), F.lit("strand is not '*'")),
+        (6, "chromosomes", F.lit(None).cast("long"), c("chroms")),
+        (7, "expected_chrom", c("off_chrom"), F.lit(f"rows not on chromosome {expect.chrom}")),
+        (8, "expected_pos_start", c("end_before_start_bound"),
+         F.lit(f"rows ending before {expect.pos_start}")),
+        (9, "expected_pos_end", c("start_after_end_bound"),
+         F.lit(f"rows starting after {expect.pos_end}")),
+        (10, "samples", F.lit(None).cast("long"),
+         F.concat(F.lit("distinct sample_id count = "), c("n_samples").cast("string"))),
+        (11, "row_order", c("rank_decreases") + c("start_decreases"),
+         F.when(c("ok"), F.concat(F.lit("nondecreasing by chromosome then start ("),
+                                  c("rows_checked").cast("string"), F.lit(" rows checked)")))
+          .otherwise(F.concat(F.lit("first violation at row "), c("first_bad_row").cast("string"),
+                              F.lit(": "), c("first_bad_kind"), F.lit(" decreased")))),
+    ]
+    structs = []
+    for seq, name, bad, detail in entries:
+        status = (F.lit("INFO") if name in ("chromosomes", "samples") else _status(bad))
+        structs.append(F.struct(F.lit(seq).alias("seq"), F.lit(name).alias("check"),
+                                status.alias("status"), bad.alias("n_bad"),
+                                detail.alias("detail")))
+    out = j.select(*g, F.explode(F.array(*structs)).alias("r")).select(*g, "r.*")
+    return out.drop("_table") if single else out
+
+
+def validate_dataset(spark, path: str, expect: Expectation | None = None,
+                     group_cols: list[str] | None = None, raise_on_fail: bool = False) -> DataFrame:
+    """J6 on a written dataset: a single table (part files under ``path``) or
+    a partitioned one (study_name=/qtl_group= directories)."""
+    from covtab.schema import PARTITIONED_COVERAGE_SCHEMA, schema_problems as w2
+
+    probe = spark.read.parquet(path)
+    partitioned = all(c in probe.columns for c in GROUP_COLUMNS)
+    g = list(group_cols) if group_cols is not None else (GROUP_COLUMNS if partitioned else [])
+    problems = w2(probe.select(*[c for c in probe.columns if c not in GROUP_COLUMNS]).schema)
+    if problems and raise_on_fail:
+        raise ValidationError("; ".join(problems))
+    reader = spark.read.schema(PARTITIONED_COVERAGE_SCHEMA) if partitioned else spark.read
+    df = reader.parquet(path)
+    rows = df.select(*g, *OUTPUT_COLUMNS,
+                     F.col("_metadata.file_path").alias("file_path"),
+                     F.col("_metadata.row_index").alias("row_index"))
+    report = validation_report(rows, expect, g, problems)
+    if raise_on_fail:
+        fails = report.filter(F.col("status") == "FAIL").orderBy(*g, "seq").limit(1).collect()
+        if fails:
+            r = fails[0]
+            raise ValidationError(f"{r['check']}: {r['n_bad']} bad - {r['detail']}")
+    return report
