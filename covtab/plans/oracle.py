@@ -150,3 +150,46 @@ SELECT r_name AS study_name, n_name AS qtl_group,
        '/out/' || r_name || '/' || n_name || '_chr22_20000_60000.parquet' AS output_path,
        'Will write: /out/' || r_name || '/' || n_name || '_chr22_20000_60000.parquet' AS plan_line
 FROM nation JOIN region ON n_regionkey = r_regionkey"""
+
+INSPECT_RANK = """CASE WHEN TRY_CAST(regexp_replace(chrom, '^chr', '') AS INTEGER) IS NOT NULL
+                       THEN TRY_CAST(regexp_replace(chrom, '^chr', '') AS INTEGER)
+                     WHEN regexp_replace(chrom, '^chr', '') = 'X' THEN 23
+                     WHEN regexp_replace(chrom, '^chr', '') = 'Y' THEN 24 ELSE 1000 END"""
+
+SIZES = "sizes AS (SELECT file_path, chrom, CAST(max(end0) AS BIGINT) AS size FROM raw GROUP BY file_path, chrom)"
+
+ORACLE["chrom_sort_head"] = f"""WITH {RAW}, {SIZES},
+ranked AS (SELECT file_path, chrom, size,
+                  CAST(row_number() OVER (PARTITION BY file_path ORDER BY {INSPECT_RANK}, chrom) AS INTEGER) AS rn
+           FROM sizes)
+SELECT * FROM ranked WHERE rn <= 10"""
+
+ORACLE["head_intervals"] = f"""WITH {RAW},
+ranked AS (SELECT file_path, chrom, CAST(start0 AS BIGINT) AS start0, CAST(end0 AS BIGINT) AS end0_, score,
+                  CAST(row_number() OVER (PARTITION BY file_path, chrom ORDER BY start0, end0, score) AS INTEGER) AS rn
+           FROM raw)
+SELECT file_path, chrom, CAST(start0 AS INTEGER) AS start0, CAST(end0_ AS INTEGER) AS end0, score, rn
+FROM ranked WHERE rn <= 10"""
+
+ORACLE["first_chrom_head"] = f"""WITH {RAW}, {SIZES},
+hits AS (SELECT r.file_path, r.chrom, r.start0, r.end0, r.score
+         FROM raw r JOIN sizes s ON r.file_path = s.file_path AND r.chrom = s.chrom
+         WHERE 1000000 < s.size AND r.start0 < s.size AND r.end0 > 1000000),
+chroms AS (SELECT DISTINCT file_path, chrom FROM hits),
+firstc AS (SELECT file_path, chrom FROM (
+             SELECT file_path, chrom,
+                    row_number() OVER (PARTITION BY file_path ORDER BY {INSPECT_RANK}, chrom) AS k
+             FROM chroms) WHERE k = 1),
+ranked AS (SELECT h.file_path, h.chrom, h.start0, h.end0, h.score,
+                  CAST(row_number() OVER (PARTITION BY h.file_path ORDER BY h.start0, h.end0, h.score) AS INTEGER) AS rn
+           FROM hits h JOIN firstc f ON h.file_path = f.file_path AND h.chrom = f.chrom)
+SELECT * FROM ranked WHERE rn <= 10"""
+
+ORACLE["na_rows"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)},
+na AS (SELECT {COVERAGE_COLS},
+              CAST(row_number() OVER (PARTITION BY study_name, qtl_group
+                   ORDER BY seqnames, start, "end", sample_id, strand, score) AS INTEGER) AS rn
+       FROM converted
+       WHERE seqnames IS NULL OR start IS NULL OR "end" IS NULL OR strand IS NULL
+             OR score IS NULL OR isnan(score) OR sample_id IS NULL)
+SELECT * FROM na WHERE rn <= 5"""

@@ -17,6 +17,7 @@ from covtab.operators.convert import convert_intervals, no_data_files, rows_per_
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report
 from covtab.region import Expectation, RegionSpec
 from covtab.sinks.coverage_parquet import sorted_for_publish
+from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
 from covtab.operators.order_check import check_row_order
 from covtab.sources.fixture import (lineitem_intervals, nation_region_dirs,
                                    nation_region_manifest, orders_row_sequence)
@@ -112,3 +113,36 @@ def q_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES["discover_dirs"] = q_discover_dirs
 QUERIES["output_names"] = q_output_names
+
+
+def _fixture_sizes(raw: DataFrame) -> DataFrame:
+    """D3 for the fixture: a chromosome's size is its largest end."""
+    return raw.groupBy("file_path", "chrom").agg(F.max("end0").cast("long").alias("size"))
+
+
+def q_chrom_sort_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 10 chromosomes of every file."""
+    return first_chromosomes(_fixture_sizes(lineitem_intervals(spark, sf_dir)), 10)
+
+
+def q_head_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 10 raw intervals of every (file, chromosome)."""
+    return head_intervals(lineitem_intervals(spark, sf_dir), 10)
+
+
+def q_first_chrom_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O7+O6: per file, the first chromosome with data from 1,000,000 on,
+    and its first 10 intervals there."""
+    raw = lineitem_intervals(spark, sf_dir)
+    return first_chrom_head(raw, _fixture_sizes(raw), start=1_000_000, n=10)
+
+
+def q_na_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 5 rows with an NA of every converted table."""
+    return na_rows(q_convert_autosomes(spark, sf_dir))
+
+
+QUERIES["chrom_sort_head"] = q_chrom_sort_head
+QUERIES["head_intervals"] = q_head_intervals
+QUERIES["first_chrom_head"] = q_first_chrom_head
+QUERIES["na_rows"] = q_na_rows
