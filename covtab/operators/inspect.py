@@ -68,16 +68,20 @@ def first_chrom_head(raw: DataFrame, sizes: DataFrame, start: int = 0, end: int
     else:
         s = s.withColumn("pref", F.lit(0))
     hits = (raw.select("file_path", "chrom", "start0", "end0", "score")
-               .join(s, ["file_path", "chrom"])
+               .join(s.select("file_path", "chrom", "q_end", "pref"), ["file_path", "chrom"])
                .filter((F.col("start0") < F.col("q_end")) & (F.col("end0") > F.lit(start))))
-    first = (hits.groupBy("file_path")
-                 .agg(F.min(F.struct("pref", inspect_rank("chrom").alias("rank"), "chrom"))
-                      .getField("chrom").alias("chrom")))
-    w = Window.partitionBy("file_path").orderBy("start0", "end0", "score")
-    return (hits.join(first, ["file_path", "chrom"], "left_semi")
-                .select("file_path", "chrom", "start0", "end0", "score")
-                .withColumn("rn", F.row_number().over(w))
-                .filter(F.col("rn") <= n))
+    # One pass over the hits: the first n of EVERY (file, chrom) — limited
+    # per task before the shuffle — then, among those few rows, keep the
+    # file's first chromosome. Every chromosome with a hit survives step one,
+    # so the choice is the same as over all hits.
+    w_chrom = Window.partitionBy("file_path", "chrom").orderBy("start0", "end0", "score")
+    heads = (hits.withColumn("rn", F.row_number().over(w_chrom))
+                 .filter(F.col("rn") <= n)
+                 .withColumn("key", F.struct("pref", inspect_rank("chrom").alias("rank"), "chrom")))
+    w_file = Window.partitionBy("file_path")
+    return (heads.withColumn("first_key", F.min("key").over(w_file))
+                 .filter(F.col("key") == F.col("first_key"))
+                 .select("file_path", "chrom", "start0", "end0", "score", "rn"))
 
 
 def file_overview(files: DataFrame, sizes: DataFrame) -> DataFrame:

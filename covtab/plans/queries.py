@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from covtab.operators.convert import convert_intervals, no_data_files, rows_per_file
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report
 from covtab.region import Expectation, RegionSpec
+from covtab.session import ship_package
 from covtab.sinks.coverage_parquet import sorted_for_publish
 from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
 from covtab.operators.order_check import check_row_order
@@ -146,3 +147,16 @@ QUERIES["chrom_sort_head"] = q_chrom_sort_head
 QUERIES["head_intervals"] = q_head_intervals
 QUERIES["first_chrom_head"] = q_first_chrom_head
 QUERIES["na_rows"] = q_na_rows
+
+
+def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Ship the package to the executors' Python workers before building."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES = {k: _shipped(v) for k, v in QUERIES.items()}

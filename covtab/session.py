@@ -58,3 +58,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     if base.startswith("file:"):
         base = base[len("file:"):]
     return os.path.join(base, f"covtab-{name}-{uuid.uuid4().hex[:12]}")
+
+
+_SHIPPED: set[tuple[int, str]] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``covtab`` importable in Python workers on every executor
+    (``addPyFile`` of a zip built once per SparkContext), so operators that
+    run Python (mapInArrow / mapInPandas) work whatever the driver's working
+    directory or cluster layout is."""
+    import zipfile
+
+    sc = spark.sparkContext
+    key = (id(sc), "covtab")
+    if key in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    zpath = os.path.join(tempfile.mkdtemp(prefix="covtab-pyfiles-"), "covtab.zip")
+    with zipfile.ZipFile(zpath, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, names in os.walk(pkg):
+            for n in names:
+                if n.endswith(".py"):
+                    full = os.path.join(dirpath, n)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(zpath)
+    _SHIPPED.add(key)
