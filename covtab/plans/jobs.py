@@ -19,12 +19,13 @@ from __future__ import annotations
 import logging
 from dataclasses import dataclass, field
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covtab.functions.intervals import region_predicate
 from covtab.operators.convert import (ConversionError, EmptyResultError,
-                                      convert_keeping_errors, rows_per_file)
+                                      convert_keeping_errors)
 from covtab.region import RegionSpec
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import scratch_path
@@ -61,26 +62,37 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
     staged.select(*keep, *OUTPUT_COLUMNS, "error").write.mode("overwrite").parquet(staged_path)
     staged = spark.read.parquet(staged_path)
 
-    # A3: any failure aborts before anything is published
-    failures = (staged.filter(F.col("error").isNotNull()).select("file_path", "error")
-                      .groupBy("file_path").agg(F.min("error").alias("error"))
-                      .orderBy("file_path").limit(max_failures_listed).collect())
-    if failures:
-        raise ConversionError([(r["file_path"], r["error"]) for r in failures])
-
-    ok = staged.filter(F.col("error").isNull()).drop("error")
-    per_file = rows_per_file(files, ok.select("file_path"))
-    stats = per_file.agg(F.count(F.lit(1)).alias("files"),
-                         F.sum("rows_written").alias("rows"),
-                         F.count_if(F.col("rows_written") == 0).alias("empty")).collect()[0]
+    # A1-A3 in ONE aggregate over two narrow staged columns: rows per file,
+    # failures and no-data files (lists capped for reporting, counts exact).
+    counts = staged.groupBy("file_path").agg(
+        F.count_if(F.col("error").isNull()).alias("rows_written"),
+        F.min("error").alias("error"))
+    per_file = (files.select("file_path").join(counts, "file_path", "left")
+                     .withColumn("rows_written", F.coalesce("rows_written", F.lit(0).cast("long"))))
+    per_file = per_file.persist(StorageLevel.MEMORY_AND_DISK)   # one row per file
+    failed = F.col("error").isNotNull()
+    empty = (F.col("rows_written") == 0) & ~failed
+    stats = per_file.agg(
+        F.count(F.lit(1)).alias("files"),
+        F.sum("rows_written").alias("rows"),
+        F.count_if(failed).alias("n_failed"),
+        F.count_if(empty).alias("n_empty"),
+    ).collect()[0]
+    if stats["n_failed"]:
+        listed = (per_file.filter(failed).orderBy("file_path")
+                          .limit(max_failures_listed).collect())
+        per_file.unpersist()
+        raise ConversionError([(r["file_path"], r["error"]) for r in listed])
     no_data = []
-    if stats["empty"]:
-        no_data = [r["file_path"] for r in per_file.filter("rows_written = 0")
-                   .orderBy("file_path").limit(max_failures_listed).collect()]
-        log.warning("%d BigWig file(s) had no intervals after filtering.", stats["empty"])
+    if stats["n_empty"]:
+        no_data = [r["file_path"] for r in per_file.filter(empty).orderBy("file_path")
+                   .limit(max_failures_listed).collect()]
+        log.warning("%d BigWig file(s) had no intervals after filtering.", stats["n_empty"])
+    per_file.unpersist()
     total = int(stats["rows"] or 0)
     if total == 0 and not allow_empty:
         raise EmptyResultError("no input file contributed any row; nothing was written")
+    ok = staged.filter(F.col("error").isNull()).drop("error")
     write_coverage(ok.select(*group_cols, *OUTPUT_COLUMNS), output, num_partitions, group_cols)
     return ConversionResult(output, staged_path, total, int(stats["files"]), no_data)
 
