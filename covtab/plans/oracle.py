@@ -193,3 +193,5 @@ na AS (SELECT {COVERAGE_COLS},
        WHERE seqnames IS NULL OR start IS NULL OR "end" IS NULL OR strand IS NULL
              OR score IS NULL OR isnan(score) OR sample_id IS NULL)
 SELECT * FROM na WHERE rn <= 5"""
+
+ORACLE["sorted_write_readback"] = ORACLE["convert_region"]

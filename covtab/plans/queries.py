@@ -16,8 +16,10 @@ from pyspark.sql import functions as F
 from covtab.operators.convert import convert_intervals, no_data_files, rows_per_file
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report
 from covtab.region import Expectation, RegionSpec
-from covtab.session import ship_package
-from covtab.sinks.coverage_parquet import sorted_for_publish
+from covtab.plans.jobs import region_query
+from covtab.schema import OUTPUT_COLUMNS
+from covtab.session import scratch_path, ship_package
+from covtab.sinks.coverage_parquet import sorted_for_publish, write_coverage
 from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
 from covtab.operators.order_check import check_row_order
 from covtab.sources.fixture import (lineitem_intervals, nation_region_dirs,
@@ -160,3 +162,16 @@ def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSes
 
 
 QUERIES = {k: _shipped(v) for k, v in QUERIES.items()}
+
+
+def q_sorted_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1+J8: publish the autosome tables (range shuffle, sort, partitioned
+    write under the shared checkpoint folder), then read chr22:20,000-60,000
+    back with directory and row-group pruning."""
+    out = scratch_path(spark, "published")
+    write_coverage(q_convert_autosomes(spark, sf_dir), out)
+    return region_query(spark, out, REGION_22).select(
+        "study_name", "qtl_group", *OUTPUT_COLUMNS)
+
+
+QUERIES["sorted_write_readback"] = _shipped(q_sorted_write_readback)

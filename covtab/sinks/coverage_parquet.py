@@ -46,6 +46,9 @@ def write_coverage(df: DataFrame, out: str, num_partitions: int | None = None,
     ordered = sorted_for_publish(df, num_partitions, group_cols)
     ordered = ordered.select(*OUTPUT_COLUMNS, *group_cols)
     w = ordered.write.mode(mode)
+    if group_cols:
+        # re-running some groups replaces only their tables, not the others
+        w = w.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if group_cols:
