@@ -27,9 +27,9 @@ def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple
         F.count_if("ok").alias("readable"),
         F.count_if(~F.col("ok")).alias("unreadable"))
     w = Window.partitionBy(dir_col).orderBy("file_path")
-    bad = (df.withColumn("index", F.row_number().over(w))
+    bad = (df.withColumn("position", F.row_number().over(w))
              .filter(~F.col("ok"))
-             .select(dir_col, "index", "file_path",
+             .select(dir_col, "position", "file_path",
                      F.substring_index("file_path", "/", -1).alias("file_name"), "message"))
     return summary, bad
 
