@@ -34,6 +34,16 @@ def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple
     return summary, bad
 
 
+def check_inspect_args(start: int, end: int | None, n: int) -> None:
+    """V3: start >= 0, end > start, n >= 1."""
+    if start < 0:
+        raise ValueError("start must be >= 0")
+    if end is not None and end <= start:
+        raise ValueError("end must be greater than start")
+    if n < 1:
+        raise ValueError("n must be >= 1")
+
+
 def first_chromosomes(sizes: DataFrame, n: int = 10) -> DataFrame:
     """Per file, the first ``n`` chromosomes by (P8 rank, name), with
     their sizes. ``sizes``: file_path, chrom, size."""
@@ -46,6 +56,7 @@ def first_chromosomes(sizes: DataFrame, n: int = 10) -> DataFrame:
 def head_intervals(raw: DataFrame, n: int = 10) -> DataFrame:
     """Per (file, chromosome), the first ``n`` raw intervals by start
     (then end, score, for a total order)."""
+    check_inspect_args(0, None, n)
     w = Window.partitionBy("file_path", "chrom").orderBy("start0", "end0", "score")
     return (raw.select("file_path", "chrom", "start0", "end0", "score")
                .withColumn("rn", F.row_number().over(w))
@@ -58,6 +69,7 @@ def first_chrom_head(raw: DataFrame, sizes: DataFrame, start: int = 0, end: int
     one, exact name first, then without 'chr') having an interval that
     overlaps [start, min(end, size)), and its first ``n`` such intervals.
     A chromosome shorter than ``start`` is skipped, not an error."""
+    check_inspect_args(start, end, n)
     s = sizes.select("file_path", "chrom", "size")
     q_end = F.col("size") if end is None else F.least(F.lit(end).cast("long"), F.col("size"))
     s = s.withColumn("q_end", q_end).filter(F.lit(start) < F.col("q_end"))

@@ -17,6 +17,7 @@ Every conversion is one Spark application with three actions:
 from __future__ import annotations
 
 import logging
+import os
 from dataclasses import dataclass, field
 
 from pyspark import StorageLevel
@@ -140,3 +141,56 @@ def region_query(spark: SparkSession, output: str, region: RegionSpec,
     if group is not None:
         df = df.filter(F.col("qtl_group") == group)
     return df.filter(region_predicate(region))
+
+
+# ------------------------------------------------------------ inspection jobs
+
+def inspect_directory(spark: SparkSession, path: str, recursive: bool = False):
+    """Readability of every coverage file under ``path`` (A4) and the
+    per-directory summary with the list of unreadable files (A5).
+    Returns (per_file, summary, bad)."""
+    from covtab.operators.inspect import directory_summary
+    from covtab.sources.bigwig import readability
+
+    files = list_bigwig_paths(spark, path, recursive)
+    if files.isEmpty():
+        raise DiscoveryError(f"no .bw or .bigwig files found in {path}")
+    per_file = readability(files.select("file_path", "bigwig_dir")).join(
+        files.select("file_path", "bigwig_dir"), "file_path")
+    summary, bad = directory_summary(per_file)
+    return per_file, summary, bad
+
+
+def inspect_files(spark: SparkSession, path: str, chrom: str | None = None, start: int = 0,
+                  end: int | None = None, n: int = 10, recursive: bool = False):
+    """J5 for one file or every file of a directory: overview (size, number
+    of chromosomes), the first 10 chromosomes (P8 order) and the first ``n``
+    intervals of the first chromosome with data in [start, end) — or of
+    ``chrom``. Returns (overview, first_chroms, head)."""
+    from covtab.operators.inspect import (check_inspect_args, file_overview, first_chrom_head,
+                                          first_chromosomes)
+    from covtab.sources.bigwig import chrom_sizes
+
+    check_inspect_args(start, end, n)
+    files = list_bigwig_paths(spark, path, recursive)
+    sizes = chrom_sizes(files)
+    good = sizes.filter(F.col("error").isNull())
+    raw = scan_bigwig(files, all_chroms=True).filter(F.col("error").isNull())
+    return (file_overview(files, sizes), first_chromosomes(good, 10),
+            first_chrom_head(raw, good, start, end, n, chrom))
+
+
+def null_report(spark: SparkSession, path: str, n: int = 5):
+    """J7 on a published dataset: per-column NA counts (A15) and the first
+    ``n`` rows with an NA in physical order (O8). Returns (counts, rows)."""
+    from covtab.operators.inspect import na_rows
+    from covtab.operators.validate import na_report
+
+    if not path or not os.path.exists(path.replace("file:", "")):
+        raise FileNotFoundError(f"file not found: {path}")
+    probe = spark.read.parquet(path)
+    g = [c for c in GROUP_COLUMNS if c in probe.columns]
+    df = (read_coverage(spark, path) if g else probe).select(
+        *g, *OUTPUT_COLUMNS, F.col("_metadata.file_path").alias("file_path"),
+        F.col("_metadata.row_index").alias("row_index"))
+    return na_report(df, g), na_rows(df, g, n, order_cols=["file_path", "row_index"])

@@ -69,3 +69,35 @@ def test_region_query_matches_brute_force(spark, tmp_path_factory, rows, chrom,
     want = sorted((c, s, e, sc) for _, _, c, s, e, _, sc, _ in data
                   if c == chrom and e >= lo and s <= lo + width)
     assert got == want
+
+
+def test_inspection_jobs(spark, tmp_path):
+    from covtab.plans.jobs import inspect_directory, inspect_files, null_report
+    d = tmp_path / "bw"
+    d.mkdir()
+    write_bigwig(str(d / "a.bw"), [("chr2", 100), ("chr1", 100), ("chrUn", 50)],
+                 {"chr1": [(0, 5, 1.0), (10, 20, 2.0)], "chr2": [(30, 40, 3.0)], "chrUn": [(1, 2, 4.0)]})
+    (d / "z.bw").write_text("junk")
+    per_file, summary, bad = inspect_directory(spark, str(d))
+    assert summary.collect()[0].unreadable == 1
+    assert [r.file_name for r in bad.collect()] == ["z.bw"]
+    ov, first, head = inspect_files(spark, str(d / "a.bw"), start=15)
+    assert ov.collect()[0].n_chroms == 3
+    assert [r.chrom for r in first.orderBy("rn").collect()] == ["chr1", "chr2", "chrUn"]
+    assert [(r.chrom, r.start0) for r in head.collect()] == [("chr1", 10)]
+    ov, first, head = inspect_files(spark, str(d / "a.bw"), chrom="2")
+    assert [(r.chrom, r.start0) for r in head.collect()] == [("chr2", 30)]
+    import pytest
+    with pytest.raises(ValueError):
+        inspect_files(spark, str(d / "a.bw"), start=5, end=5)
+    p = str(tmp_path / "t")
+    spark.createDataFrame([("1", 1, 2, "*", None, "a"), ("1", 3, 4, "*", float("nan"), "a"),
+                           ("1", 5, 6, "*", 1.0, "a")],
+                          "seqnames string, start int, `end` int, strand string, score double, sample_id string"
+                          ).coalesce(1).write.parquet(p)
+    counts, rows = null_report(spark, p)
+    c = {r.column_name: r.na_count for r in counts.collect()}
+    assert c["score"] == 2 and c["start"] == 0
+    assert [r.start for r in rows.collect()] == [1, 3]
+    with pytest.raises(FileNotFoundError):
+        null_report(spark, str(tmp_path / "missing"))

@@ -182,3 +182,15 @@ def test_row_order_across_file_boundary(spark, tmp_path):
     rep = {r.check: r for r in validate_dataset(spark, p).collect()}
     assert rep["row_order"].status == "FAIL"
     assert "row 3" in rep["row_order"].detail and "start" in rep["row_order"].detail
+
+
+def test_int32_overflow_fails_its_file(spark, tmp_path):
+    d = tmp_path / "bw"
+    d.mkdir()
+    write_bigwig(str(d / "ok.bw"), [("chr1", 100)], {"chr1": [(0, 5, 1.0)]})
+    write_bigwig(str(d / "big.bw"), [("chr1", 4_000_000_000)],
+                 {"chr1": [(0, 5, 1.0), (2_147_483_647, 2_147_483_650, 2.0)]})
+    with pytest.raises(ConversionError) as e:
+        convert_directory(spark, str(d), str(tmp_path / "out"))
+    assert [os.path.basename(p) for p, _ in e.value.failures] == ["big.bw"]
+    assert "int32" in e.value.failures[0][1]
