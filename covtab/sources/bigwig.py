@@ -76,6 +76,74 @@ def _error_row(schema: pa.Schema, study, group, path, msg) -> pa.RecordBatch:
 
 # ----------------------------------------------------------------- index stage
 
+def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int | None] | None,
+               chunk_blocks: int, normalize: bool = True) -> list[tuple]:
+    """Read one file's header, chromosome tree and R-tree; keep the blocks of
+    wanted chromosomes (names compared after 'chr' removal when
+    ``normalize``, else exactly) that may hold rows with end0 >= lo and
+    start0 < hi. Returns chunk tuples (chunk, compressed, offsets, sizes,
+    keep_ids, chrom_ids, chrom_names)."""
+    with open_file(path) as f:
+        h = read_header(f)
+        chroms = read_chroms(f, h)
+        if not chroms:
+            raise BigWigError(NO_CHROMS)
+        ids = [c[1] for c in chroms]
+        names = [c[0] for c in chroms]
+        if keep is None:
+            keep_ids = np.array(ids, dtype=np.int64)
+        else:
+            keep_ids = np.array([c[1] for c in chroms
+                                 if (c[0].replace("chr", "") if normalize else c[0]) in keep],
+                                dtype=np.int64)
+        if keep_ids.size == 0:
+            return []
+        leaves = read_index_leaves(f, h)
+    sc = leaves["sc"].astype(np.int64)
+    ec = leaves["ec"].astype(np.int64)
+    single = sc == ec
+    mask = ~single | np.isin(sc, keep_ids)
+    if bounds is not None:
+        lo, hi = bounds          # keep rows with end0 >= lo and start0 < hi
+        ok = np.ones(len(leaves), dtype=bool)
+        if lo is not None:
+            ok &= leaves["eb"].astype(np.int64) >= lo
+        if hi is not None:
+            ok &= leaves["sb"].astype(np.int64) < hi
+        mask &= ~single | ok
+    sel = leaves[mask]
+    out = []
+    for k, a in enumerate(range(0, len(sel), chunk_blocks)):
+        part = sel[a:a + chunk_blocks]
+        out.append((k, h.uncompress_buf_size > 0,
+                    part["off"].astype(np.int64).tolist(), part["size"].astype(np.int64).tolist(),
+                    keep_ids.astype(np.int32).tolist(), ids, names))
+    return out
+
+
+def decode_chunk(f, compressed: bool, offsets, sizes, keep: set[int], id_to_pos: dict[int, int]):
+    """Inflate and parse the blocks of one chunk: (chrom position, start0,
+    end0, score) arrays of the wanted chromosomes, or None."""
+    offsets = np.asarray(offsets, dtype=np.int64)
+    sizes = np.asarray(sizes, dtype=np.int64)
+    lo, hi = int(offsets.min()), int((offsets + sizes).max())
+    span = read_exact(f, lo, hi - lo) if hi - lo <= 2 * int(sizes.sum()) + (1 << 20) else None
+    cids, starts, ends, vals = [], [], [], []
+    for off, size in zip(offsets.tolist(), sizes.tolist()):
+        raw = span[off - lo: off - lo + size] if span is not None else read_exact(f, off, size)
+        cid, s, e, v = decode_section(raw, compressed)
+        if cid not in keep:
+            continue
+        cids.append(np.full(len(s), id_to_pos[cid], dtype=np.int32))
+        starts.append(s)
+        ends.append(e)
+        vals.append(v)
+    if not starts:
+        return None
+    return (np.concatenate(cids), np.concatenate(starts).astype(np.int64),
+            np.concatenate(ends).astype(np.int64), np.concatenate(vals).astype(np.float64))
+
+
 def _index_fn(keep: list[str] | None, bounds: tuple[int | None, int | None] | None,
               chunk_blocks: int):
     keep_set = set(keep) if keep is not None else None
@@ -86,51 +154,14 @@ def _index_fn(keep: list[str] | None, bounds: tuple[int | None, int | None] | No
         ("chrom_ids", pa.list_(pa.int32())), ("chrom_names", pa.list_(pa.string())),
         ("error", pa.string())])
 
-    def index_one(study, group, path):
-        with open_file(path) as f:
-            h = read_header(f)
-            chroms = read_chroms(f, h)
-            if not chroms:
-                raise BigWigError(NO_CHROMS)
-            ids = [c[1] for c in chroms]
-            names = [c[0] for c in chroms]
-            if keep_set is None:
-                keep_ids = np.array(ids, dtype=np.int64)
-            else:
-                keep_ids = np.array([c[1] for c in chroms if c[0].replace("chr", "") in keep_set],
-                                    dtype=np.int64)
-            if keep_ids.size == 0:
-                return []
-            leaves = read_index_leaves(f, h)
-            sc = leaves["sc"].astype(np.int64)
-            ec = leaves["ec"].astype(np.int64)
-            single = sc == ec
-            mask = ~single | np.isin(sc, keep_ids)
-            if bounds is not None:
-                lo, hi = bounds          # keep rows with end0 >= lo and start0 < hi
-                ok = np.ones(len(leaves), dtype=bool)
-                if lo is not None:
-                    ok &= leaves["eb"].astype(np.int64) >= lo
-                if hi is not None:
-                    ok &= leaves["sb"].astype(np.int64) < hi
-                mask &= ~single | ok
-            sel = leaves[mask]
-            rows = []
-            for k, a in enumerate(range(0, len(sel), chunk_blocks)):
-                part = sel[a:a + chunk_blocks]
-                rows.append((study, group, path, k, h.uncompress_buf_size > 0,
-                             part["off"].astype(np.int64).tolist(),
-                             part["size"].astype(np.int64).tolist(),
-                             keep_ids.astype(np.int32).tolist(), ids, names, None))
-            return rows
-
     def fn(batches):
         for batch in batches:
             studies, groups, paths = (_col(batch, "study_name"), _col(batch, "qtl_group"),
                                       _col(batch, "file_path"))
             for study, group, path in zip(studies, groups, paths):
                 try:
-                    rows = index_one(study, group, path)
+                    rows = [(study, group, path, *c, None) for c in
+                            index_file(path, keep_set, bounds, chunk_blocks)]
                 except Exception as e:  # noqa: BLE001 - reported as an error row
                     yield _error_row(schema, study, group, path, str(e) or type(e).__name__)
                     continue
@@ -149,26 +180,6 @@ def _decode_fn():
         ("chrom", pa.string()), ("start0", pa.int64()), ("end0", pa.int64()),
         ("score", pa.float64()), ("error", pa.string())])
 
-    def decode_chunk(f, compressed, offsets, sizes, keep, id_to_pos):
-        offsets = np.asarray(offsets, dtype=np.int64)
-        sizes = np.asarray(sizes, dtype=np.int64)
-        lo, hi = int(offsets.min()), int((offsets + sizes).max())
-        span = read_exact(f, lo, hi - lo) if hi - lo <= 2 * int(sizes.sum()) + (1 << 20) else None
-        cids, starts, ends, vals = [], [], [], []
-        for off, size in zip(offsets.tolist(), sizes.tolist()):
-            raw = span[off - lo: off - lo + size] if span is not None else read_exact(f, off, size)
-            cid, s, e, v = decode_section(raw, compressed)
-            if cid not in keep:
-                continue
-            cids.append(np.full(len(s), id_to_pos[cid], dtype=np.int32))
-            starts.append(s)
-            ends.append(e)
-            vals.append(v)
-        if not starts:
-            return None
-        return (np.concatenate(cids), np.concatenate(starts).astype(np.int64),
-                np.concatenate(ends).astype(np.int64), np.concatenate(vals).astype(np.float64))
-
     def fn(batches):
         for batch in batches:
             cols = {n: _col(batch, n) for n in batch.schema.names}

@@ -153,3 +153,22 @@ def test_range_scan(spark, tmp_path):
     got2 = raw_rows(scan_bigwig_range(df, "1", 15))
     assert got2 == [("chr1", 10, 20, f32(0.1)), ("chr1", 50, 60, 2.0)]
     assert raw_rows(scan_bigwig_range(df, "chr1", 2000)) == []
+
+
+def test_datasource_facade(spark, tmp_path):
+    from covtab.sources.bigwig_datasource import register_bigwig_source
+    register_bigwig_source(spark)
+    d = tmp_path / "bw"
+    d.mkdir()
+    iv = {"chr22": [(s, s + 10, 1.0) for s in range(0, 10_000, 10)], "chr1": [(0, 5, 2.0)]}
+    write_bigwig(str(d / "a.bw"), [("chr22", 20_000), ("chr1", 100)], iv, items_per_block=10, fanout=4)
+    write_bigwig(str(d / "b.bigwig"), CHROMS, IV)
+    df = spark.read.format("bigwig").option("chunkBlocks", "7").load(str(d))
+    assert df.count() == 1001 + sum(len(v) for v in IV.values())
+    q = df.filter("chrom = 'chr22' AND start0 < 2050 AND end0 >= 2001")
+    got = sorted((r.file_path.endswith("a.bw"), r.start0, r.end0) for r in q.collect())
+    want = sorted((True, s, s + 10) for s in range(0, 10_000, 10) if s < 2050 and s + 10 >= 2001)
+    assert got == want
+    assert q.rdd.getNumPartitions() <= 2          # pruned to the blocks of the region
+    assert raw_rows(df.filter("chrom IN ('chrX', 'chrM')").withColumn("error", F.lit(None))) == \
+        expected(IV, {"chrX", "chrM"})
