@@ -31,7 +31,8 @@ from covtab.region import RegionSpec
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import scratch_path
 from covtab.sinks.coverage_parquet import read_coverage, write_coverage
-from covtab.sources.bigwig import scan_bigwig
+from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
+                                   decode_partitions, scan_bigwig)
 from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs,
                                     list_bigwig_files, list_bigwig_paths, require_files)
 from covtab.sources.manifest import check_manifest, read_manifest
@@ -50,7 +51,8 @@ class ConversionResult:
 
 def convert_files(spark: SparkSession, files: DataFrame, output: str,
                   region: RegionSpec | None = None, *, group_cols: list[str] = GROUP_COLUMNS,
-                  num_partitions: int | None = None, chunk_blocks: int = 256,
+                  num_partitions: int | None = None, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
+                  target_task_bytes: int = 128 << 20, rows_per_output_partition: int = 20_000_000,
                   allow_empty: bool = False, max_failures_listed: int = 1000) -> ConversionResult:
     """Convert every file of ``files`` (file_path + group columns) into one
     sorted coverage table per group under ``output``."""
@@ -58,9 +60,15 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
     keep = [*group_cols, "file_path"]
     files = files.select(*keep)
     staged_path = scratch_path(spark, "staged")
-    raw = scan_bigwig(files, region, chunk_blocks=chunk_blocks, num_partitions=num_partitions)
+    # index stage once (tiny rows, kept in memory), then decode with a task
+    # count sized from the compressed bytes to read
+    chunks = bigwig_chunks(files, region, chunk_bytes, num_partitions).persist(
+        StorageLevel.MEMORY_AND_DISK)
+    n_decode = num_partitions or decode_partitions(chunks, target_task_bytes)
+    raw = decode_chunks(chunks, n_decode)
     staged = convert_keeping_errors(raw, region)
     staged.select(*keep, *OUTPUT_COLUMNS, "error").write.mode("overwrite").parquet(staged_path)
+    chunks.unpersist()
     staged = spark.read.parquet(staged_path)
 
     # A1-A3 in ONE aggregate over two narrow staged columns: rows per file,
@@ -94,7 +102,10 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
     if total == 0 and not allow_empty:
         raise EmptyResultError("no input file contributed any row; nothing was written")
     ok = staged.filter(F.col("error").isNull()).drop("error")
-    write_coverage(ok.select(*group_cols, *OUTPUT_COLUMNS), output, num_partitions, group_cols)
+    # publish parallelism sized by rows (about rows_per_output_partition each)
+    n_out = num_partitions or max(spark.sparkContext.defaultParallelism,
+                                  -(-total // max(1, rows_per_output_partition)))
+    write_coverage(ok.select(*group_cols, *OUTPUT_COLUMNS), output, n_out, group_cols)
     return ConversionResult(output, staged_path, total, int(stats["files"]), no_data)
 
 

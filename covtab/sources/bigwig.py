@@ -5,13 +5,14 @@
 * index: per file, read the header, chromosome tree and R-tree leaves; drop
   blocks of chromosomes that are not wanted (F1, after 'chr' removal) and
   blocks outside the region (F3) — so a one-region job never inflates the rest
-  of the genome. Surviving blocks are grouped into chunks of ``chunk_blocks``
-  consecutive blocks (one small row each).
+  of the genome. Runs of adjacent surviving blocks are cut into byte ranges
+  of about ``chunk_bytes`` — one constant-size row each, however many blocks.
 * repartition: chunk rows are tiny, so a round-robin shuffle spreads the
   chunks of one large file over every task — a file holding a third of all
   data is decoded by many tasks at once.
-* decode: each task reads its chunk's byte span once, inflates the blocks and
-  parses them with numpy; rows leave as Arrow batches.
+* decode: each task reads its chunk's byte span once, walks and inflates the
+  blocks (zlib streams end by themselves) and parses them with numpy; rows
+  leave as bounded Arrow batches.
 
 Every stage reports failures as rows with a non-NULL ``error`` (file_path
 set, data columns NULL) instead of failing the task, so a caller can list all
@@ -23,6 +24,7 @@ that ``pyarrow.fs`` understands.
 from __future__ import annotations
 
 import os
+import zlib
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +32,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covtab.region import RegionSpec
-from covtab.sources.bigwig_format import (BigWigError, read_chroms, read_exact,
-                                          read_header, read_index_leaves, decode_section)
+from covtab.sources.bigwig_format import (SECTION_HEADER_SIZE, BigWigError, decode_section,
+                                          read_chroms, read_exact, read_header,
+                                          read_index_leaves, section_size)
 
-CHUNK_SCHEMA = ("study_name string, qtl_group string, file_path string, chunk long, "
-                "compressed boolean, offsets array<long>, sizes array<long>, "
-                "keep_ids array<int>, chrom_ids array<int>, chrom_names array<string>, "
-                "error string")
 INTERVAL_SCHEMA = ("study_name string, qtl_group string, file_path string, chrom string, "
                    "start0 long, end0 long, score double, error string")
 CHROM_SCHEMA = ("study_name string, qtl_group string, file_path string, chrom string, "
@@ -76,28 +75,32 @@ def _error_row(schema: pa.Schema, study, group, path, msg) -> pa.RecordBatch:
 
 # ----------------------------------------------------------------- index stage
 
+DEFAULT_CHUNK_BYTES = 64 << 20          # compressed bytes of data blocks per chunk
+MAX_BATCH_ROWS = 1 << 20                 # rows per Arrow batch leaving a decode task
+
+
 def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int | None] | None,
-               chunk_blocks: int, normalize: bool = True) -> list[tuple]:
+               chunk_bytes: int = DEFAULT_CHUNK_BYTES, normalize: bool = True) -> list[tuple]:
     """Read one file's header, chromosome tree and R-tree; keep the blocks of
     wanted chromosomes (names compared after 'chr' removal when
     ``normalize``, else exactly) that may hold rows with end0 >= lo and
-    start0 < hi. Returns chunk tuples (chunk, compressed, offsets, sizes,
-    keep_ids, chrom_ids, chrom_names)."""
+    start0 < hi; cut runs of adjacent kept blocks into byte ranges of about
+    ``chunk_bytes``. Returns chunk tuples
+    (chunk, compressed, ubuf, lo, hi, n_blocks, keep_ids, keep_names) — a
+    constant-size description, whatever the number of blocks."""
     with open_file(path) as f:
         h = read_header(f)
         chroms = read_chroms(f, h)
         if not chroms:
             raise BigWigError(NO_CHROMS)
-        ids = [c[1] for c in chroms]
-        names = [c[0] for c in chroms]
         if keep is None:
-            keep_ids = np.array(ids, dtype=np.int64)
+            kept = chroms
         else:
-            keep_ids = np.array([c[1] for c in chroms
-                                 if (c[0].replace("chr", "") if normalize else c[0]) in keep],
-                                dtype=np.int64)
-        if keep_ids.size == 0:
+            kept = [c for c in chroms if (c[0].replace("chr", "") if normalize else c[0]) in keep]
+        if not kept:
             return []
+        keep_ids = np.array([c[1] for c in kept], dtype=np.int64)
+        keep_names = [c[0] for c in kept]
         leaves = read_index_leaves(f, h)
     sc = leaves["sc"].astype(np.int64)
     ec = leaves["ec"].astype(np.int64)
@@ -112,47 +115,93 @@ def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int |
             ok &= leaves["sb"].astype(np.int64) < hi
         mask &= ~single | ok
     sel = leaves[mask]
-    out = []
-    for k, a in enumerate(range(0, len(sel), chunk_blocks)):
-        part = sel[a:a + chunk_blocks]
-        out.append((k, h.uncompress_buf_size > 0,
-                    part["off"].astype(np.int64).tolist(), part["size"].astype(np.int64).tolist(),
-                    keep_ids.astype(np.int32).tolist(), ids, names))
-    return out
-
-
-def decode_chunk(f, compressed: bool, offsets, sizes, keep: set[int], id_to_pos: dict[int, int]):
-    """Inflate and parse the blocks of one chunk: (chrom position, start0,
-    end0, score) arrays of the wanted chromosomes, or None."""
-    offsets = np.asarray(offsets, dtype=np.int64)
-    sizes = np.asarray(sizes, dtype=np.int64)
-    lo, hi = int(offsets.min()), int((offsets + sizes).max())
-    span = read_exact(f, lo, hi - lo) if hi - lo <= 2 * int(sizes.sum()) + (1 << 20) else None
-    cids, starts, ends, vals = [], [], [], []
-    for off, size in zip(offsets.tolist(), sizes.tolist()):
-        raw = span[off - lo: off - lo + size] if span is not None else read_exact(f, off, size)
-        cid, s, e, v = decode_section(raw, compressed)
-        if cid not in keep:
+    n = len(sel)
+    if n == 0:
+        return []
+    off = sel["off"].astype(np.int64)
+    size = sel["size"].astype(np.int64)
+    # a chunk never spans a gap (skipped blocks) and holds about chunk_bytes
+    new_run = np.ones(n, dtype=bool)
+    new_run[1:] = off[1:] != off[:-1] + size[:-1]
+    run_start = off[new_run][np.cumsum(new_run) - 1]
+    bucket = (off - run_start) // max(1, int(chunk_bytes))
+    cut = new_run.copy()
+    cut[1:] |= bucket[1:] != bucket[:-1]
+    starts = np.flatnonzero(cut)
+    ends = np.append(starts[1:], n)
+    ids = keep_ids.astype(np.int32).tolist()
+    return [(k, h.uncompress_buf_size > 0, int(h.uncompress_buf_size), int(off[a]),
+             int(off[b - 1] + size[b - 1]), int(b - a), ids, keep_names)
+            for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist()))]
+
+
+def iter_blocks(span: bytes, compressed: bool, ubuf: int, n_blocks: int):
+    """Walk ``n_blocks`` adjacent data blocks of a byte span, yielding each
+    inflated block. zlib streams end by themselves; an uncompressed block's
+    length follows from its header (type and item count)."""
+    mv = memoryview(span)
+    pos = 0
+    step = max(int(ubuf), 1 << 16) + 4096
+    for _ in range(n_blocks):
+        if compressed:
+            d = zlib.decompressobj()
+            parts, fed = [], pos
+            while not d.eof:
+                if fed >= len(span):
+                    raise BigWigError("data block runs past the end of its chunk")
+                piece = mv[fed:fed + step]
+                parts.append(d.decompress(piece))
+                fed += len(piece)
+            pos = fed - len(d.unused_data)
+            yield b"".join(parts)
+        else:
+            size = section_size(mv[pos:pos + SECTION_HEADER_SIZE])
+            if pos + size > len(span):
+                raise BigWigError("data block runs past the end of its chunk")
+            yield mv[pos:pos + size]
+            pos += size
+    if pos != len(span):
+        raise BigWigError(f"chunk has {len(span) - pos} bytes after its last block")
+
+
+def decode_range(f, compressed: bool, ubuf: int, lo: int, hi: int, n_blocks: int,
+                 keep_ids: list[int], max_rows: int = MAX_BATCH_ROWS):
+    """Decode the blocks in [lo, hi): yields (chrom position in keep_ids,
+    start0, end0, score) arrays of at most about ``max_rows`` rows."""
+    id_to_pos = {cid: i for i, cid in enumerate(keep_ids)}
+    span = read_exact(f, lo, hi - lo)
+    cids, starts, ends, vals, rows = [], [], [], [], 0
+    for raw in iter_blocks(span, compressed, ubuf, n_blocks):
+        cid, s, e, v = decode_section(raw, False)
+        pos = id_to_pos.get(cid)
+        if pos is None:
             continue
-        cids.append(np.full(len(s), id_to_pos[cid], dtype=np.int32))
+        cids.append(np.full(len(s), pos, dtype=np.int32))
         starts.append(s)
         ends.append(e)
         vals.append(v)
-    if not starts:
-        return None
-    return (np.concatenate(cids), np.concatenate(starts).astype(np.int64),
-            np.concatenate(ends).astype(np.int64), np.concatenate(vals).astype(np.float64))
+        rows += len(s)
+        if rows >= max_rows:
+            yield (np.concatenate(cids), np.concatenate(starts).astype(np.int64),
+                   np.concatenate(ends).astype(np.int64), np.concatenate(vals).astype(np.float64))
+            cids, starts, ends, vals, rows = [], [], [], [], 0
+    if rows:
+        yield (np.concatenate(cids), np.concatenate(starts).astype(np.int64),
+               np.concatenate(ends).astype(np.int64), np.concatenate(vals).astype(np.float64))
+
+
+_CHUNK_ARROW = pa.schema([
+    ("study_name", pa.string()), ("qtl_group", pa.string()), ("file_path", pa.string()),
+    ("chunk", pa.int64()), ("compressed", pa.bool_()), ("ubuf", pa.int64()),
+    ("lo", pa.int64()), ("hi", pa.int64()), ("n_blocks", pa.int64()),
+    ("keep_ids", pa.list_(pa.int32())), ("keep_names", pa.list_(pa.string())),
+    ("error", pa.string())])
 
 
 def _index_fn(keep: list[str] | None, bounds: tuple[int | None, int | None] | None,
-              chunk_blocks: int):
+              chunk_bytes: int):
     keep_set = set(keep) if keep is not None else None
-    schema = pa.schema([
-        ("study_name", pa.string()), ("qtl_group", pa.string()), ("file_path", pa.string()),
-        ("chunk", pa.int64()), ("compressed", pa.bool_()), ("offsets", pa.list_(pa.int64())),
-        ("sizes", pa.list_(pa.int64())), ("keep_ids", pa.list_(pa.int32())),
-        ("chrom_ids", pa.list_(pa.int32())), ("chrom_names", pa.list_(pa.string())),
-        ("error", pa.string())])
+    schema = _CHUNK_ARROW
 
     def fn(batches):
         for batch in batches:
@@ -161,7 +210,7 @@ def _index_fn(keep: list[str] | None, bounds: tuple[int | None, int | None] | No
             for study, group, path in zip(studies, groups, paths):
                 try:
                     rows = [(study, group, path, *c, None) for c in
-                            index_file(path, keep_set, bounds, chunk_blocks)]
+                            index_file(path, keep_set, bounds, chunk_bytes)]
                 except Exception as e:  # noqa: BLE001 - reported as an error row
                     yield _error_row(schema, study, group, path, str(e) or type(e).__name__)
                     continue
@@ -188,24 +237,27 @@ def _decode_fn():
                 if cols["error"][i] is not None:
                     yield _error_row(schema, study, group, path, cols["error"][i])
                     continue
-                names = cols["chrom_names"][i]
-                id_to_pos = {cid: p for p, cid in enumerate(cols["chrom_ids"][i])}
+                names = pa.array(cols["keep_names"][i], pa.string())
+                out = []
                 try:
                     with open_file(path) as f:
-                        out = decode_chunk(f, cols["compressed"][i], cols["offsets"][i],
-                                           cols["sizes"][i], set(cols["keep_ids"][i]), id_to_pos)
-                    if out is None:
-                        continue
-                    pos, s, e, v = out
-                    n = len(s)
-                    chrom = pa.DictionaryArray.from_arrays(pa.array(pos), pa.array(names, pa.string()))
-                    yield pa.RecordBatch.from_arrays(
-                        [_const(study, n), _const(group, n), _const(path, n),
-                         chrom.cast(pa.string()), pa.array(s), pa.array(e), pa.array(v),
-                         pa.nulls(n, pa.string())], schema=schema)
+                        for pos, s, e, v in decode_range(
+                                f, cols["compressed"][i], cols["ubuf"][i], cols["lo"][i],
+                                cols["hi"][i], cols["n_blocks"][i], cols["keep_ids"][i]):
+                            n = len(s)
+                            chrom = pa.DictionaryArray.from_arrays(pa.array(pos), names)
+                            out.append(pa.RecordBatch.from_arrays(
+                                [_const(study, n), _const(group, n), _const(path, n),
+                                 chrom.cast(pa.string()), pa.array(s), pa.array(e), pa.array(v),
+                                 pa.nulls(n, pa.string())], schema=schema))
+                            if len(out) > 1:      # keep at most one batch in hand
+                                yield out.pop(0)
                 except Exception as ex:  # noqa: BLE001 - reported as an error row
+                    # a chunk is all or nothing: drop its partial rows, report it
+                    out = []
                     yield _error_row(schema, study, group, path,
                                      f"chunk {cols['chunk'][i]}: {ex or type(ex).__name__}")
+                yield from out
     return fn
 
 
@@ -219,10 +271,16 @@ def _parallelism(df: DataFrame, n: int | None) -> int:
     return n or max(1, df.sparkSession.sparkContext.defaultParallelism)
 
 
-def bigwig_chunks(files: DataFrame, region: RegionSpec | None = None, chunk_blocks: int = 256,
-                  num_partitions: int | None = None, all_chroms: bool = False) -> DataFrame:
-    """Index stage: one row per chunk of surviving data blocks (or per failed
-    file). ``all_chroms`` keeps every chromosome (raw scan, no F1)."""
+CHUNK_SCHEMA = ("study_name string, qtl_group string, file_path string, chunk long, "
+                "compressed boolean, ubuf long, lo long, hi long, n_blocks long, "
+                "keep_ids array<int>, keep_names array<string>, error string")
+
+
+def bigwig_chunks(files: DataFrame, region: RegionSpec | None = None,
+                  chunk_bytes: int = DEFAULT_CHUNK_BYTES, num_partitions: int | None = None,
+                  all_chroms: bool = False) -> DataFrame:
+    """Index stage: one row per byte-range chunk of surviving data blocks (or
+    per failed file). ``all_chroms`` keeps every chromosome (raw scan, no F1)."""
     region = region or RegionSpec()
     keep = None if all_chroms else region.allowed_chroms
     bounds = None
@@ -230,22 +288,40 @@ def bigwig_chunks(files: DataFrame, region: RegionSpec | None = None, chunk_bloc
         bounds = (region.pos_start, region.pos_end)
     n = _parallelism(files, num_partitions)
     return (_files(files).repartition(n)
-            .mapInArrow(_index_fn(keep, bounds, chunk_blocks), CHUNK_SCHEMA))
+            .mapInArrow(_index_fn(keep, bounds, chunk_bytes), CHUNK_SCHEMA))
+
+
+def decode_chunks(chunks: DataFrame, num_partitions: int | None = None) -> DataFrame:
+    """Decode stage: chunk rows (tiny) are spread round-robin over
+    ``num_partitions`` tasks, each inflating its byte ranges."""
+    n = _parallelism(chunks, num_partitions)
+    return chunks.repartition(n).mapInArrow(_decode_fn(), INTERVAL_SCHEMA)
+
+
+def decode_partitions(chunks: DataFrame, target_task_bytes: int = 128 << 20) -> int:
+    """Decode parallelism sized by data: enough tasks for every core, and
+    about ``target_task_bytes`` of compressed blocks per task."""
+    sc = chunks.sparkSession.sparkContext
+    r = chunks.agg(F.count(F.lit(1)).alias("n"),
+                   F.sum(F.col("hi") - F.col("lo")).alias("b")).collect()[0]
+    by_bytes = -(-int(r["b"] or 0) // max(1, int(target_task_bytes)))
+    return max(1, sc.defaultParallelism, min(int(r["n"] or 0), by_bytes))
 
 
-def scan_bigwig(files: DataFrame, region: RegionSpec | None = None, chunk_blocks: int = 256,
-                num_partitions: int | None = None, all_chroms: bool = False) -> DataFrame:
+def scan_bigwig(files: DataFrame, region: RegionSpec | None = None,
+                chunk_bytes: int = DEFAULT_CHUNK_BYTES, num_partitions: int | None = None,
+                all_chroms: bool = False) -> DataFrame:
     """Raw 0-based intervals of every file (``files`` has file_path and
     optionally study_name, qtl_group), plus error rows. Block pruning by
     chromosome allow-list and region happens in the index stage; the exact
     row filters are left to ``convert_intervals``."""
-    chunks = bigwig_chunks(files, region, chunk_blocks, num_partitions, all_chroms)
-    n = _parallelism(files, num_partitions)
-    return chunks.repartition(n).mapInArrow(_decode_fn(), INTERVAL_SCHEMA)
+    chunks = bigwig_chunks(files, region, chunk_bytes, num_partitions, all_chroms)
+    return decode_chunks(chunks, num_partitions)
 
 
 def scan_bigwig_range(files: DataFrame, chrom: str, start: int = 0, end: int | None = None,
-                      chunk_blocks: int = 256, num_partitions: int | None = None) -> DataFrame:
+                      chunk_bytes: int = DEFAULT_CHUNK_BYTES,
+                      num_partitions: int | None = None) -> DataFrame:
     """Intervals overlapping [start, end) of one chromosome, 0-based,
     exact name first and the 'chr'-less name as fallback; ``end`` defaults
     to and is clamped to the chromosome size. Intervals are not clipped."""
@@ -258,7 +334,7 @@ def scan_bigwig_range(files: DataFrame, chrom: str, start: int = 0, end: int | N
             .unionByName(loose.withColumn("pref", F.lit(1)))
             .groupBy("file_path").agg(F.min_by(F.struct("chrom", "size"), "pref").alias("c"))
             .select("file_path", F.col("c.chrom").alias("q_chrom"), F.col("c.size").alias("q_size")))
-    raw = scan_bigwig(files, chunk_blocks=chunk_blocks, num_partitions=num_partitions,
+    raw = scan_bigwig(files, chunk_bytes=chunk_bytes, num_partitions=num_partitions,
                       all_chroms=True).filter(F.col("error").isNull())
     q_end = F.col("q_size") if end is None else F.least(F.lit(end).cast("long"), F.col("q_size"))
     j = raw.join(pick, "file_path")

@@ -2,7 +2,7 @@
 
     register_bigwig_source(spark)
     df = (spark.read.format("bigwig")
-          .option("recursive", "false").option("chunkBlocks", "256")
+          .option("recursive", "false").option("chunkBytes", str(64 << 20))
           .load("/shared/study/group/bigwig"))
     df.filter("chrom = 'chr22' AND start0 < 20000000 AND end0 >= 18500000")
 
@@ -28,14 +28,15 @@ SOURCE_SCHEMA = "file_path string, chrom string, start0 long, end0 long, score d
 
 
 class _Chunk(InputPartition):
-    def __init__(self, path, compressed, offsets, sizes, keep_ids, chrom_ids, chrom_names):
+    def __init__(self, path, compressed, ubuf, lo, hi, n_blocks, keep_ids, keep_names):
         self.path = path
         self.compressed = compressed
-        self.offsets = offsets
-        self.sizes = sizes
+        self.ubuf = ubuf
+        self.lo = lo
+        self.hi = hi
+        self.n_blocks = n_blocks
         self.keep_ids = keep_ids
-        self.chrom_ids = chrom_ids
-        self.chrom_names = chrom_names
+        self.keep_names = keep_names
 
 
 class BigWigReader(DataSourceReader):
@@ -44,7 +45,7 @@ class BigWigReader(DataSourceReader):
         if not self.path:
             raise ValueError("bigwig source needs a path (file or directory)")
         self.recursive = str(options.get("recursive", "false")).lower() == "true"
-        self.chunk_blocks = int(options.get("chunkBlocks", "256"))
+        self.chunk_bytes = int(options.get("chunkBytes", str(64 << 20)))
         self.chroms: set[str] | None = None
         self.lo: int | None = None      # rows need end0 >= lo
         self.hi: int | None = None      # rows need start0 < hi
@@ -88,28 +89,26 @@ class BigWigReader(DataSourceReader):
         bounds = None if self.lo is None and self.hi is None else (self.lo, self.hi)
         parts = []
         for path in self._files():
-            for (_k, comp, offs, sizes, keep, ids, names) in index_file(
-                    path, self.chroms, bounds, self.chunk_blocks, normalize=False):
-                parts.append(_Chunk(path, comp, offs, sizes, keep, ids, names))
-        return parts or [_Chunk(None, False, [], [], [], [], [])]
+            for (_k, comp, ubuf, lo, hi, nb, ids, names) in index_file(
+                    path, self.chroms, bounds, self.chunk_bytes, normalize=False):
+                parts.append(_Chunk(path, comp, ubuf, lo, hi, nb, ids, names))
+        return parts or [_Chunk(None, False, 0, 0, 0, 0, [], [])]
 
     def read(self, partition: _Chunk):
-        from covtab.sources.bigwig import _const, decode_chunk, open_file
+        from covtab.sources.bigwig import _const, decode_range, open_file
 
-        if partition.path is None or not partition.offsets:
+        if partition.path is None or not partition.n_blocks:
             return
-        id_to_pos = {cid: i for i, cid in enumerate(partition.chrom_ids)}
+        names = pa.array(partition.keep_names, pa.string())
         with open_file(partition.path) as f:
-            out = decode_chunk(f, partition.compressed, partition.offsets, partition.sizes,
-                               set(partition.keep_ids), id_to_pos)
-        if out is None:
-            return
-        pos, s, e, v = out
-        chrom = pa.DictionaryArray.from_arrays(pa.array(pos),
-                                               pa.array(partition.chrom_names, pa.string()))
-        yield pa.RecordBatch.from_arrays(
-            [_const(partition.path, len(s)), chrom.cast(pa.string()), pa.array(s), pa.array(e),
-             pa.array(v)], names=["file_path", "chrom", "start0", "end0", "score"])
+            for pos, s, e, v in decode_range(f, partition.compressed, partition.ubuf,
+                                             partition.lo, partition.hi, partition.n_blocks,
+                                             partition.keep_ids):
+                chrom = pa.DictionaryArray.from_arrays(pa.array(pos), names)
+                yield pa.RecordBatch.from_arrays(
+                    [_const(partition.path, len(s)), chrom.cast(pa.string()), pa.array(s),
+                     pa.array(e), pa.array(v)],
+                    names=["file_path", "chrom", "start0", "end0", "score"])
 
 
 class BigWigDataSource(DataSource):

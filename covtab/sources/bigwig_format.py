@@ -129,6 +129,19 @@ def read_index_leaves(f, header: Header) -> np.ndarray:
     return items[np.argsort(items["off"], kind="stable")]
 
 
+_ITEM_SIZE = {SECTION_BEDGRAPH: 12, SECTION_VARSTEP: 8, SECTION_FIXEDSTEP: 4}
+
+
+def section_size(header: bytes) -> int:
+    """Byte length of an uncompressed data block from its 24-byte header."""
+    if len(header) < SECTION_HEADER_SIZE:
+        raise BigWigError("data block shorter than its header")
+    _cid, _cs, _ce, _step, _span, kind, _r, n = _SECTION.unpack_from(header)
+    if kind not in _ITEM_SIZE:
+        raise BigWigError(f"unknown data block type {kind}")
+    return SECTION_HEADER_SIZE + n * _ITEM_SIZE[kind]
+
+
 def decode_section(raw: bytes, compressed: bool):
     """One data block -> (chrom_id, start0 u32[], end0 u32[], score f32[])."""
     buf = zlib.decompress(raw) if compressed else raw

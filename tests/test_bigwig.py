@@ -69,7 +69,11 @@ def test_multi_level_trees(spark, tmp_path):
     iv = {c: [(s, s + 3, (s % 17) / 4) for s in range(0, 300, 7)] for c, _ in chroms}
     p = write_bigwig(str(tmp_path / "m.bw"), chroms, iv, items_per_block=5, fanout=3)
     df = files_df(spark, [p])
-    assert raw_rows(scan_bigwig(df, all_chroms=True, chunk_blocks=4)) == expected(iv)
+    assert raw_rows(scan_bigwig(df, all_chroms=True)) == expected(iv)
+    # small chunks: a file is cut into many byte ranges, decoded by many tasks
+    chunks = bigwig_chunks(df, all_chroms=True, chunk_bytes=200).collect()
+    assert len(chunks) > 5 and sum(r.n_blocks for r in chunks) == 23 * 9
+    assert raw_rows(scan_bigwig(df, all_chroms=True, chunk_bytes=200, num_partitions=7)) == expected(iv)
     sizes = chrom_sizes(df).collect()
     assert sorted((r.chrom, r.size) for r in sizes) == sorted(chroms)
 
@@ -90,8 +94,8 @@ def test_region_prunes_blocks(spark, tmp_path):
     p = write_bigwig(str(tmp_path / "r.bw"), [("chr22", 20_000)], iv, items_per_block=10, fanout=4)
     df = files_df(spark, [p])
     region = RegionSpec("22", 2_001, 2_050)
-    chunks = bigwig_chunks(df, region, chunk_blocks=1000).collect()
-    nblocks = sum(len(r.offsets) for r in chunks)
+    chunks = bigwig_chunks(df, region).collect()
+    nblocks = sum(r.n_blocks for r in chunks)
     assert 1 <= nblocks <= 2                      # of 100 blocks
     conv = convert_intervals(scan_bigwig(df, region), region).collect()
     got = sorted((r.start, r.end) for r in conv)
@@ -163,7 +167,7 @@ def test_datasource_facade(spark, tmp_path):
     iv = {"chr22": [(s, s + 10, 1.0) for s in range(0, 10_000, 10)], "chr1": [(0, 5, 2.0)]}
     write_bigwig(str(d / "a.bw"), [("chr22", 20_000), ("chr1", 100)], iv, items_per_block=10, fanout=4)
     write_bigwig(str(d / "b.bigwig"), CHROMS, IV)
-    df = spark.read.format("bigwig").option("chunkBlocks", "7").load(str(d))
+    df = spark.read.format("bigwig").option("chunkBytes", "100").load(str(d))
     assert df.count() == 1001 + sum(len(v) for v in IV.values())
     q = df.filter("chrom = 'chr22' AND start0 < 2050 AND end0 >= 2001")
     got = sorted((r.file_path.endswith("a.bw"), r.start0, r.end0) for r in q.collect())
