@@ -112,3 +112,18 @@ def convert_keeping_errors(raw: DataFrame, region: RegionSpec | None = None) ->
         "error",
     )
     return df.filter(err | (chrom_allowed("seqnames", region) & non_empty()))
+
+
+def kept_rows_per_file(raw: DataFrame, region: RegionSpec | None = None) -> DataFrame:
+    """A1 in one aggregate when the raw scan lists every file (as a scan with
+    one row per interval does): per file, the number of intervals the
+    conversion keeps — a conditional count, so files keeping nothing show 0
+    without a join against a separate file list."""
+    region = region or RegionSpec()
+    seq = normalize_chrom(F.col("chrom"))
+    kept = chrom_allowed(seq, region) & (F.col("end0") >= F.col("start0") + 1)
+    pre = raw_overlaps(region)
+    if pre is not None:
+        kept = kept & pre
+    keys = ["file_path"] + [c for c in GROUP_COLUMNS if c in raw.columns]
+    return raw.groupBy(*keys).agg(F.count_if(kept).alias("rows_written"))

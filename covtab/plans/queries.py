@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.operators.convert import convert_intervals, no_data_files, rows_per_file
+from covtab.operators.convert import convert_intervals, kept_rows_per_file, no_data_files
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report
 from covtab.region import Expectation, RegionSpec
 from covtab.plans.jobs import region_query
@@ -49,20 +49,14 @@ def q_chrom_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chrom_counts(q_convert_autosomes(spark, sf_dir))
 
 
-def _files(raw: DataFrame) -> DataFrame:
-    return raw.select("file_path", "study_name", "qtl_group").distinct()
-
-
 def q_rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = lineitem_intervals(spark, sf_dir)
-    conv = convert_intervals(raw, keep_file_path=True)
-    return rows_per_file(_files(raw), conv)
+    """A1: rows kept per input file (one pass: conditional count)."""
+    return kept_rows_per_file(lineitem_intervals(spark, sf_dir))
 
 
 def q_no_data_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = lineitem_intervals(spark, sf_dir)
-    conv = convert_intervals(raw, REGION_22_TO_3000, keep_file_path=True)
-    return no_data_files(rows_per_file(_files(raw), conv))
+    """A2: files keeping no row for chr22 up to 3,000."""
+    return no_data_files(kept_rows_per_file(lineitem_intervals(spark, sf_dir), REGION_22_TO_3000))
 
 
 def q_validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
