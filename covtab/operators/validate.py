@@ -77,7 +77,48 @@ def na_report(df: DataFrame, group_cols: list[str] = GROUP_COLUMNS,
 
 # ------------------------------------------------------------------ J6 report
 
-REPORT_SCHEMA = ("seq int, check string, status string, n_bad long, detail string")
+def _profile_counts(rows: DataFrame, expect: Expectation, g: list[str], single: bool) -> DataFrame:
+    """ONE aggregate chain over the rows for the integrity counts, the number
+    of samples and the per-chromosome list: rows -> (table, seqnames,
+    sample_id) [map-side combined] -> (table, seqnames) with the set of its
+    samples [bounded by the sample count] -> table."""
+    c = F.col
+    prof = rows.groupBy(*g, "seqnames", "sample_id").agg(
+        F.count(F.lit(1)).alias("n"),
+        F.count_if(_any_null(OUTPUT_COLUMNS)).alias("null_rows"),
+        F.count_if((c("start") < 1) | (c("end") < c("start"))).alias("bad_intervals"),
+        F.count_if(c("strand") != F.lit(STRAND)).alias("bad_strand"),
+        (F.count_if(c("end") < F.lit(expect.pos_start)) if expect.pos_start is not None
+         else F.lit(0).cast("long")).alias("end_before"),
+        (F.count_if(c("start") > F.lit(expect.pos_end)) if expect.pos_end is not None
+         else F.lit(0).cast("long")).alias("start_after"))
+    per_chrom = prof.groupBy(*g, "seqnames").agg(
+        F.sum("n").alias("n"), F.sum("null_rows").alias("null_rows"),
+        F.sum("bad_intervals").alias("bad_intervals"), F.sum("bad_strand").alias("bad_strand"),
+        F.sum("end_before").alias("end_before"), F.sum("start_after").alias("start_after"),
+        F.collect_set("sample_id").alias("samples"))
+    zero = F.lit(0).cast("long")
+    none = F.lit(None).cast("long")
+
+    def total(col):
+        return F.coalesce(F.sum(col), zero)
+
+    aggs = [
+        total("n").alias("row_count"),
+        total("null_rows").alias("null_rows"),
+        total("bad_intervals").alias("bad_intervals"),
+        total("bad_strand").alias("bad_strand"),
+        (total(F.when(c("seqnames") != F.lit(expect.chrom), c("n"))) if expect.chrom is not None
+         else none).alias("off_chrom"),
+        (total("end_before") if expect.pos_start is not None else none).alias("end_before_start_bound"),
+        (total("start_after") if expect.pos_end is not None else none).alias("start_after_end_bound"),
+        F.size(F.array_distinct(F.flatten(F.collect_list("samples")))).cast("long").alias("n_samples"),
+        F.array_sort(F.collect_list(F.struct(count_rank("seqnames").alias("chrom_rank"),
+                                             "seqnames", "n"))).alias("cs"),
+    ]
+    if single:
+        return per_chrom.agg(*aggs).withColumn("_table", F.lit(""))
+    return per_chrom.groupBy(*g).agg(*aggs)
 
 
 class ValidationError(AssertionError):
@@ -102,23 +143,17 @@ def validation_report(rows: DataFrame, expect: Expectation | None = None,
     expect = expect or Expectation()
     g = list(group_cols)
     single = not g
+    order = check_row_order(rows, g)
     if single:
         # one table: a constant key keeps every join an equi-join, and the
         # global aggregate still reports an empty table (row_count = 0)
         g = ["_table"]
-        counts = integrity_counts(rows, expect, []).withColumn("_table", F.lit(""))
-        order = check_row_order(rows, []).withColumn("_table", F.lit(""))
+        order = order.withColumn("_table", F.lit(""))
         rows = rows.withColumn("_table", F.lit(""))
-    else:
-        counts = integrity_counts(rows, expect, g)
-        order = check_row_order(rows, g)
-    chroms = (chrom_counts(rows, g)
-              .groupBy(*g)
-              .agg(F.array_sort(F.collect_list(F.struct("chrom_rank", "seqnames", "n"))).alias("cs"))
-              .select(*g, F.concat_ws(", ", F.transform(
-                  "cs", lambda s: F.concat(s["seqnames"], F.lit(":"), s["n"].cast("string"))))
-                  .alias("chroms")))
-    j = counts.join(chroms, g, "left").join(order, g, "left")
+    counts = _profile_counts(rows, expect, g, single).withColumn(
+        "chroms", F.concat_ws(", ", F.transform(
+            "cs", lambda s: F.concat(s["seqnames"], F.lit(":"), s["n"].cast("string")))))
+    j = counts.join(order, g, "left")
     schema_bad = len(schema_problems or [])
     schema_detail = "; ".join(schema_problems or []) or "schema and column order match"
     c = F.col

@@ -32,7 +32,7 @@ from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import scratch_path
 from covtab.sinks.coverage_parquet import read_coverage, write_coverage
 from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
-                                   decode_partitions, scan_bigwig)
+                                   decode_partitions, index_chunks)
 from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs,
                                     list_bigwig_files, list_bigwig_paths, require_files)
 from covtab.sources.manifest import check_manifest, read_manifest
@@ -186,7 +186,9 @@ def inspect_files(spark: SparkSession, path: str, chrom: str | None = None, star
     files = list_bigwig_paths(spark, path, recursive)
     sizes = chrom_sizes(files)
     good = sizes.filter(F.col("error").isNull())
-    raw = scan_bigwig(files, all_chroms=True).filter(F.col("error").isNull())
+    keep = None if chrom is None else [chrom.replace("chr", "")]
+    raw = decode_chunks(index_chunks(files, keep, (start + 1, end))).filter(
+        F.col("error").isNull())
     return (file_overview(files, sizes), first_chromosomes(good, 10),
             first_chrom_head(raw, good, start, end, n, chrom))
 

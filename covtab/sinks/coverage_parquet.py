@@ -21,7 +21,9 @@ RANK_COL = "_chrom_rank"
 
 
 def sort_keys(group_cols: list[str] = GROUP_COLUMNS) -> list[str]:
-    return [*group_cols, RANK_COL, "start"]
+    # the full order, so rows tied on start (one bin in many samples) can
+    # still be split between tasks by the range partitioner
+    return [*group_cols, RANK_COL, "start", "end", "sample_id"]
 
 
 def sorted_for_publish(df: DataFrame, num_partitions: int | None = None,
@@ -34,7 +36,7 @@ def sorted_for_publish(df: DataFrame, num_partitions: int | None = None,
     keys = sort_keys(group_cols)
     ranked = df.withColumn(RANK_COL, order_rank("seqnames"))
     return (ranked.repartitionByRange(n, *keys)
-                  .sortWithinPartitions(*keys, "end", "sample_id")
+                  .sortWithinPartitions(*keys)
                   .drop(RANK_COL))
 
 

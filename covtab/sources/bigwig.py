@@ -286,6 +286,15 @@ def bigwig_chunks(files: DataFrame, region: RegionSpec | None = None,
     bounds = None
     if region.pos_start is not None or region.pos_end is not None:
         bounds = (region.pos_start, region.pos_end)
+    return index_chunks(files, keep, bounds, chunk_bytes, num_partitions)
+
+
+def index_chunks(files: DataFrame, keep: list[str] | None, bounds: tuple | None,
+                 chunk_bytes: int = DEFAULT_CHUNK_BYTES,
+                 num_partitions: int | None = None) -> DataFrame:
+    """Index stage with explicit pruning: ``keep`` = chromosome names after
+    'chr' removal (None = all), ``bounds`` = (lo, hi) keeping blocks that may
+    hold rows with end0 >= lo and start0 < hi (either may be None)."""
     n = _parallelism(files, num_partitions)
     return (_files(files).repartition(n)
             .mapInArrow(_index_fn(keep, bounds, chunk_bytes), CHUNK_SCHEMA))
@@ -324,8 +333,9 @@ def scan_bigwig_range(files: DataFrame, chrom: str, start: int = 0, end: int | N
                       num_partitions: int | None = None) -> DataFrame:
     """Intervals overlapping [start, end) of one chromosome, 0-based,
     exact name first and the 'chr'-less name as fallback; ``end`` defaults
-    to and is clamped to the chromosome size. Intervals are not clipped."""
-    sizes = chrom_sizes(files).filter(F.col("error").isNull())
+    to and is clamped to the chromosome size. Intervals are not clipped.
+    Only blocks of matching chromosomes that overlap the range are inflated."""
+    sizes = chrom_sizes(files, num_partitions).filter(F.col("error").isNull())
     target = chrom.replace("chr", "")
     exact = sizes.filter(F.col("chrom") == chrom)
     loose = sizes.filter(F.replace(F.col("chrom"), F.lit("chr"), F.lit("")) == target)
@@ -334,8 +344,8 @@ def scan_bigwig_range(files: DataFrame, chrom: str, start: int = 0, end: int | N
             .unionByName(loose.withColumn("pref", F.lit(1)))
             .groupBy("file_path").agg(F.min_by(F.struct("chrom", "size"), "pref").alias("c"))
             .select("file_path", F.col("c.chrom").alias("q_chrom"), F.col("c.size").alias("q_size")))
-    raw = scan_bigwig(files, chunk_bytes=chunk_bytes, num_partitions=num_partitions,
-                      all_chroms=True).filter(F.col("error").isNull())
+    chunks = index_chunks(files, [target], (start + 1, end), chunk_bytes, num_partitions)
+    raw = decode_chunks(chunks, num_partitions).filter(F.col("error").isNull())
     q_end = F.col("q_size") if end is None else F.least(F.lit(end).cast("long"), F.col("q_size"))
     j = raw.join(pick, "file_path")
     return (j.filter((F.col("chrom") == F.col("q_chrom")) & (F.lit(start) < q_end)
