@@ -68,3 +68,11 @@ def physical_rows(spark: SparkSession, path: str) -> DataFrame:
     df = spark.read.schema(PARTITIONED_COVERAGE_SCHEMA).parquet(path)
     return df.select("*", F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.row_index").alias("row_index"))
+
+
+def register_table(spark: SparkSession, path: str, name: str = "parq") -> DataFrame:
+    """A published table (or dataset) as a temporary view for SQL."""
+    probe = spark.read.parquet(path)
+    df = read_coverage(spark, path) if all(c in probe.columns for c in GROUP_COLUMNS) else probe
+    df.createOrReplaceTempView(name)
+    return df
