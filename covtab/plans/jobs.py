@@ -53,7 +53,8 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
                   region: RegionSpec | None = None, *, group_cols: list[str] = GROUP_COLUMNS,
                   num_partitions: int | None = None, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                   target_task_bytes: int = 128 << 20, rows_per_output_partition: int = 20_000_000,
-                  allow_empty: bool = False, max_failures_listed: int = 1000) -> ConversionResult:
+                  allow_empty: bool = False, max_failures_listed: int = 1000,
+                  row_group_bytes: int | None = None) -> ConversionResult:
     """Convert every file of ``files`` (file_path + group columns) into one
     sorted coverage table per group under ``output``."""
     region = region or RegionSpec()
@@ -105,7 +106,8 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
     # publish parallelism sized by rows (about rows_per_output_partition each)
     n_out = num_partitions or max(spark.sparkContext.defaultParallelism,
                                   -(-total // max(1, rows_per_output_partition)))
-    write_coverage(ok.select(*group_cols, *OUTPUT_COLUMNS), output, n_out, group_cols)
+    write_coverage(ok.select(*group_cols, *OUTPUT_COLUMNS), output, n_out, group_cols,
+                   row_group_bytes=row_group_bytes)
     return ConversionResult(output, staged_path, total, int(stats["files"]), no_data)
 
 

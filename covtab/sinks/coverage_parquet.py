@@ -42,7 +42,8 @@ def sorted_for_publish(df: DataFrame, num_partitions: int | None = None,
 
 def write_coverage(df: DataFrame, out: str, num_partitions: int | None = None,
                    group_cols: list[str] = GROUP_COLUMNS, mode: str = "overwrite",
-                   max_records_per_file: int | None = None) -> None:
+                   max_records_per_file: int | None = None,
+                   row_group_bytes: int | None = None) -> None:
     """K1+K2: write ``<out>/study_name=<s>/qtl_group=<g>/part-*.parquet``,
     each directory one coverage table in D1 column order, rows in order."""
     ordered = sorted_for_publish(df, num_partitions, group_cols)
@@ -53,6 +54,9 @@ def write_coverage(df: DataFrame, out: str, num_partitions: int | None = None,
         w = w.option("partitionOverwriteMode", "dynamic")
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
+    if row_group_bytes:
+        # smaller row groups = finer min/max pruning for region queries
+        w = w.option("parquet.block.size", int(row_group_bytes))
     if group_cols:
         w = w.partitionBy(*group_cols)
     w.parquet(out)
