@@ -35,18 +35,19 @@ KIND_RANK = "rank"
 KIND_START = "start"
 
 
-def _segment_schema(group_cols: list[str]) -> str:
-    g = "".join(f"{c} string, " for c in group_cols)
-    return (g + "file_path string, first_row long, last_row long, n long, "
+def _segment_schema(key_type: str) -> str:
+    return (f"file_key {key_type}, first_row long, last_row long, n long, "
             "first_rank int, first_start long, last_rank int, last_start long, "
             "rank_dec long, start_dec long, first_bad_row long, first_bad_kind string")
 
 
 class _Runs:
-    """Accumulates run summaries across the Arrow batches of one task."""
+    """Accumulates run summaries across the Arrow batches of one task.
+    A run is [file_key, first_row, last_row, n, first_rank, first_start,
+    last_rank, last_start, rank_dec, start_dec, first_bad_row, first_bad_kind]."""
 
-    def __init__(self, group_cols):
-        self.group_cols = group_cols
+    def __init__(self, key_type: pa.DataType):
+        self.key_type = key_type
         self.open = None          # the run that may continue into the next batch
         self.closed = []
 
@@ -55,48 +56,44 @@ class _Runs:
             self.closed.append(self.open)
             self.open = None
 
-    def table(self, group_cols) -> pa.Table:
+    def table(self) -> pa.Table:
         rows = self.closed
         self.closed = []
-        names = [*group_cols, "file_path", "first_row", "last_row", "n", "first_rank",
-                 "first_start", "last_rank", "last_start", "rank_dec", "start_dec",
-                 "first_bad_row", "first_bad_kind"]
-        types = [pa.string()] * (len(group_cols) + 1) + [
-            pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(),
-            pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
+        names = ["file_key", "first_row", "last_row", "n", "first_rank", "first_start",
+                 "last_rank", "last_start", "rank_dec", "start_dec", "first_bad_row",
+                 "first_bad_kind"]
+        types = [self.key_type, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(),
+                 pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
         cols = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
         return pa.Table.from_arrays(cols, names=names)
 
 
-def _summarise(batches, group_cols):
-    runs = _Runs(group_cols)
+def _summarise(batches, key_type: pa.DataType):
+    runs = _Runs(key_type)
     for batch in batches:
         n = batch.num_rows
         if n == 0:
             continue
-        fp = batch.column("file_path")
-        codes = pc.dictionary_encode(fp).indices.to_numpy(zero_copy_only=False)
+        fk = batch.column("file_key")
+        codes = pc.dictionary_encode(fk).indices.to_numpy(zero_copy_only=False)
         ri = batch.column("row_index").to_numpy(zero_copy_only=False).astype(np.int64)
         rk = batch.column("rank").to_numpy(zero_copy_only=False).astype(np.int32)
         st_arr = batch.column("start")
         st_valid = st_arr.is_valid().to_numpy(zero_copy_only=False)
         st = pc.fill_null(st_arr, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-        gvals = [batch.column(c) for c in group_cols]
 
         cont = np.empty(n, dtype=bool)
         cont[1:] = (codes[1:] == codes[:-1]) & (ri[1:] == ri[:-1] + 1)
         o = runs.open
-        cont[0] = (o is not None and o[len(group_cols)] == fp[0].as_py()
-                   and int(ri[0]) == o[len(group_cols) + 2] + 1)
+        cont[0] = o is not None and o[0] == fk[0].as_py() and int(ri[0]) == o[2] + 1
         prev_rk = np.empty(n, dtype=np.int32)
         prev_st = np.empty(n, dtype=np.int64)
         prev_valid = np.empty(n, dtype=bool)
         prev_rk[1:], prev_st[1:], prev_valid[1:] = rk[:-1], st[:-1], st_valid[:-1]
         if cont[0]:
-            k = len(group_cols)
-            prev_rk[0] = o[k + 6]
-            prev_valid[0] = o[k + 7] is not None
-            prev_st[0] = o[k + 7] if o[k + 7] is not None else 0
+            prev_rk[0] = o[6]
+            prev_valid[0] = o[7] is not None
+            prev_st[0] = o[7] if o[7] is not None else 0
         else:
             prev_rk[0], prev_st[0], prev_valid[0] = 0, 0, False
         v_rank = cont & (rk < prev_rk)
@@ -105,16 +102,14 @@ def _summarise(batches, group_cols):
 
         starts = np.flatnonzero(~cont)
         bounds = list(starts) + [n]
-        # rows before the first run start continue the open run
         segs = []
-        if cont[0]:
+        if cont[0]:               # rows before the first run start continue the open run
             segs.append((0, bounds[0] if starts.size else n, True))
         for j in range(len(starts)):
             segs.append((int(starts[j]), int(bounds[j + 1]), False))
         csum_r = np.concatenate([[0], np.cumsum(v_rank)])
         csum_s = np.concatenate([[0], np.cumsum(v_start)])
         bad_idx = np.flatnonzero(bad)
-        k = len(group_cols)
         for a, b, continues in segs:
             nr = int(csum_r[b] - csum_r[a])
             ns = int(csum_s[b] - csum_s[a])
@@ -126,38 +121,52 @@ def _summarise(batches, group_cols):
             last_start = int(st[b - 1]) if st_valid[b - 1] else None
             if continues:
                 o = runs.open
-                o[k + 2] = int(ri[b - 1])                 # last_row
-                o[k + 3] += b - a                         # n
-                o[k + 6] = int(rk[b - 1])                 # last_rank
-                o[k + 7] = last_start                     # last_start
-                o[k + 8] += nr
-                o[k + 9] += ns
-                if o[k + 10] is None and fb_row is not None:
-                    o[k + 10], o[k + 11] = fb_row, fb_kind
+                o[2] = int(ri[b - 1])                 # last_row
+                o[3] += b - a                         # n
+                o[6] = int(rk[b - 1])                 # last_rank
+                o[7] = last_start                     # last_start
+                o[8] += nr
+                o[9] += ns
+                if o[10] is None and fb_row is not None:
+                    o[10], o[11] = fb_row, fb_kind
             else:
                 runs.close()
-                runs.open = [*(g[a].as_py() for g in gvals), fp[a].as_py(),
-                             int(ri[a]), int(ri[b - 1]), b - a,
+                runs.open = [fk[a].as_py(), int(ri[a]), int(ri[b - 1]), b - a,
                              int(rk[a]), int(st[a]) if st_valid[a] else None,
                              int(rk[b - 1]), last_start, nr, ns, fb_row, fb_kind]
         if len(runs.closed) >= 4096:
-            yield from runs.table(group_cols).to_batches()
+            yield from runs.table().to_batches()
     runs.close()
     if runs.closed:
-        yield from runs.table(group_cols).to_batches()
+        yield from runs.table().to_batches()
 
 
-def run_summaries(rows: DataFrame, group_cols: list[str]) -> DataFrame:
-    """Stage 1: one summary row per contiguous run of rows in a scan task."""
+def run_summaries(rows: DataFrame, file_key: F.Column, key_type: str) -> DataFrame:
+    """Stage 1: one summary row per contiguous run of rows in a scan task.
+    Only (file key, row index, rank, start) cross into Python."""
     prepared = rows.select(
-        *[F.col(c).cast("string").alias(c) for c in group_cols],
-        F.col("file_path").cast("string").alias("file_path"),
+        file_key.alias("file_key"),
         F.col("row_index").cast("long").alias("row_index"),
         order_rank("seqnames").alias("rank"),
         F.col("start").cast("long").alias("start"),
-    ).sortWithinPartitions("file_path", "row_index")
-    gc = list(group_cols)
-    return prepared.mapInArrow(lambda it: _summarise(it, gc), _segment_schema(gc))
+    ).sortWithinPartitions("file_key", "row_index")
+    arrow_type = pa.int64() if key_type == "long" else pa.string()
+    return prepared.mapInArrow(lambda it: _summarise(it, arrow_type), _segment_schema(key_type))
+
+
+def file_keys(rows: DataFrame, group_cols: list[str]) -> tuple[DataFrame, F.Column, str]:
+    """The file table (file_path, group columns, file_key) and the key
+    expression for the rows. The key is xxhash64(file_path) — 8 bytes per row
+    into Python instead of the path — unless two files of this input share a
+    hash, in which case the path itself is the key (exact either way). On a
+    Parquet scan the file table is a metadata-only read."""
+    files = rows.select("file_path", *group_cols).distinct()
+    hashed = F.xxhash64(F.col("file_path"))
+    collide = (files.select("file_path").distinct().groupBy(hashed.alias("h")).count()
+                    .filter(F.col("count") > 1).limit(1).count() > 0)
+    if collide:
+        return files.withColumn("file_key", F.col("file_path")), F.col("file_path"), "string"
+    return files.withColumn("file_key", hashed), hashed, "long"
 
 
 def _kind_struct(row: F.Column, kind: F.Column) -> F.Column:
@@ -166,11 +175,13 @@ def _kind_struct(row: F.Column, kind: F.Column) -> F.Column:
 
 def check_row_order(rows: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
     """W1 for every table in ``rows`` (columns: group_cols, file_path,
-    row_index, seqnames, start). One output row per table:
+    row_index, seqnames, start; the group columns are constant per file, as
+    partition columns are). One output row per table:
     rows_checked, rank_decreases, start_decreases, first_bad_row (1-based),
     first_bad_kind ('rank' | 'start'), first_bad_file, ok."""
     g = list(group_cols or [])
-    segs = run_summaries(rows, g)
+    files_map, key, key_type = file_keys(rows, g)
+    segs = run_summaries(rows, key, key_type).join(files_map, "file_key").drop("file_key")
 
     # 2. runs within a file
     w_run = Window.partitionBy(*g, "file_path").orderBy("first_row")
