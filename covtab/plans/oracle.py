@@ -195,3 +195,56 @@ na AS (SELECT {COVERAGE_COLS},
 SELECT * FROM na WHERE rn <= 5"""
 
 ORACLE["sorted_write_readback"] = ORACLE["convert_region"]
+
+
+def _report_row(seq: int, check: str, n_bad: str, detail: str, info: bool = False) -> str:
+    status = ("'INFO'" if info else
+              f"CASE WHEN ({n_bad}) IS NULL THEN 'SKIP' WHEN ({n_bad}) > 0 THEN 'FAIL' ELSE 'OK' END")
+    return (f"SELECT study_name, qtl_group, CAST({seq} AS INTEGER) AS seq, '{check}' AS \"check\", "
+            f"{status} AS status, CAST({n_bad} AS BIGINT) AS n_bad, {detail} AS detail FROM t")
+
+
+ORACLE["validate_written"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)},
+ranked AS (SELECT *, {ORDER_RANK} AS rnk FROM converted),
+ordered AS (SELECT study_name, qtl_group, rnk, start,
+                   lag(rnk) OVER w AS pr, lag(start) OVER w AS ps,
+                   row_number() OVER w AS pos
+            FROM ranked
+            WINDOW w AS (PARTITION BY study_name, qtl_group
+                         ORDER BY rnk, start, "end", sample_id)),
+viol AS (SELECT study_name, qtl_group,
+                count_if(pr IS NOT NULL AND rnk < pr) AS rank_dec,
+                count_if(pr IS NOT NULL AND rnk = pr AND start < ps) AS start_dec,
+                count(*) AS checked
+         FROM ordered GROUP BY study_name, qtl_group),
+chroms AS (SELECT study_name, qtl_group, seqnames, count(*) AS n, {COUNT_RANK} AS crank
+           FROM converted GROUP BY study_name, qtl_group, seqnames),
+chromlist AS (SELECT study_name, qtl_group,
+                     string_agg(seqnames || ':' || CAST(n AS VARCHAR), ', ' ORDER BY crank, seqnames) AS chroms
+              FROM chroms GROUP BY study_name, qtl_group),
+counts AS (SELECT study_name, qtl_group, count(*) AS row_count,
+                  count_if(seqnames IS NULL OR start IS NULL OR "end" IS NULL OR strand IS NULL
+                           OR score IS NULL OR sample_id IS NULL) AS null_rows,
+                  count_if(start < 1 OR "end" < start) AS bad_intervals,
+                  count_if(strand <> '*') AS bad_strand,
+                  count_if(seqnames <> '22') AS off_chrom,
+                  count_if("end" < 20000) AS end_before,
+                  count_if(start > 60000) AS start_after,
+                  count(DISTINCT sample_id) AS n_samples
+           FROM converted GROUP BY study_name, qtl_group),
+t AS (SELECT c.*, l.chroms, v.rank_dec, v.start_dec, v.checked
+      FROM counts c JOIN chromlist l USING (study_name, qtl_group)
+                    JOIN viol v USING (study_name, qtl_group))
+{_report_row(1, 'schema', '0', "'schema and column order match'")}
+UNION ALL {_report_row(2, 'row_count', 'CASE WHEN row_count > 0 THEN 0 ELSE 1 END', "'row count = ' || CAST(row_count AS VARCHAR)")}
+UNION ALL {_report_row(3, 'no_nulls', 'null_rows', "'rows with NULLs in required columns'")}
+UNION ALL {_report_row(4, 'valid_intervals', 'bad_intervals', "'start < 1 or end < start'")}
+UNION ALL {_report_row(5, 'strand', 'bad_strand', "'strand is not ''*'''")}
+UNION ALL {_report_row(6, 'chromosomes', 'NULL', 'chroms', info=True)}
+UNION ALL {_report_row(7, 'expected_chrom', 'off_chrom', "'rows not on chromosome 22'")}
+UNION ALL {_report_row(8, 'expected_pos_start', 'end_before', "'rows ending before 20000'")}
+UNION ALL {_report_row(9, 'expected_pos_end', 'start_after', "'rows starting after 60000'")}
+UNION ALL {_report_row(10, 'samples', 'NULL', "'distinct sample_id count = ' || CAST(n_samples AS VARCHAR)", info=True)}
+UNION ALL {_report_row(11, 'row_order', 'rank_dec + start_dec',
+                       "CASE WHEN rank_dec + start_dec = 0 THEN 'nondecreasing by chromosome then start (' "
+                       "|| CAST(checked AS VARCHAR) || ' rows checked)' END")}"""

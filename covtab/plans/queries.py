@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covtab.operators.convert import convert_intervals, kept_rows_per_file, no_data_files
-from covtab.operators.validate import chrom_counts, integrity_counts, na_report
+from covtab.operators.validate import chrom_counts, integrity_counts, na_report, validate_dataset
 from covtab.region import Expectation, RegionSpec
 from covtab.plans.jobs import region_query
 from covtab.schema import OUTPUT_COLUMNS
@@ -169,3 +169,15 @@ def q_sorted_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["sorted_write_readback"] = _shipped(q_sorted_write_readback)
+
+
+def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J6 end to end: publish the autosome tables, then validate the written
+    files (schema, one aggregate chain, physical row order) against
+    chromosome 22, 20,000-60,000."""
+    out = scratch_path(spark, "validated")
+    write_coverage(q_convert_autosomes(spark, sf_dir), out)
+    return validate_dataset(spark, out, Expectation.of(REGION_22))
+
+
+QUERIES["validate_written"] = _shipped(q_validate_written)
