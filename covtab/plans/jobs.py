@@ -52,7 +52,7 @@ class ConversionResult:
 def convert_files(spark: SparkSession, files: DataFrame, output: str,
                   region: RegionSpec | None = None, *, group_cols: list[str] = GROUP_COLUMNS,
                   num_partitions: int | None = None, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                  target_task_bytes: int = 128 << 20, rows_per_output_partition: int = 20_000_000,
+                  target_task_bytes: int = 128 << 20, rows_per_output_partition: int = 10_000_000,
                   allow_empty: bool = False, max_failures_listed: int = 1000,
                   row_group_bytes: int | None = None) -> ConversionResult:
     """Convert every file of ``files`` (file_path + group columns) into one

@@ -1,6 +1,5 @@
 """BigWig scan (S6-S8, A4) on hand-made files of every section type."""
 
-import math
 import os
 
 import numpy as np

@@ -6,7 +6,6 @@ import os
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
-from pyspark.sql import functions as F
 
 from bigwig_writer import write_bigwig
 from covtab.operators.inspect import directory_summary, file_overview, first_chromosomes
