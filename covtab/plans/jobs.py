@@ -29,7 +29,7 @@ from covtab.operators.convert import (ConversionError, EmptyResultError,
                                       convert_keeping_errors)
 from covtab.region import RegionSpec
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
-from covtab.session import scratch_path
+from covtab.session import checkpoint_dir, scratch_path
 from covtab.sinks.coverage_parquet import read_coverage, write_coverage
 from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
                                    decode_partitions, index_chunks)
@@ -59,7 +59,11 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
     sorted coverage table per group under ``output``."""
     region = region or RegionSpec()
     keep = [*group_cols, "file_path"]
-    files = files.select(*keep)
+    # the file list is read ONCE and written to the shared checkpoint folder:
+    # every later step (index, per-file accounting) sees the same files, and
+    # a large directory tree is not listed again by each action
+    checkpoint_dir(spark)
+    files = files.select(*keep).checkpoint(eager=True)
     staged_path = scratch_path(spark, "staged")
     # index stage once (tiny rows, kept in memory), then decode with a task
     # count sized from the compressed bytes to read
@@ -115,7 +119,8 @@ def convert_directory(spark: SparkSession, input_dir: str, output: str,
                       region: RegionSpec | None = None, **kw) -> ConversionResult:
     """Every '*.bw'/'*.bigwig' file of one directory -> one sorted table
     (part files directly under ``output``)."""
-    files = list_bigwig_paths(spark, input_dir)
+    checkpoint_dir(spark)
+    files = list_bigwig_paths(spark, input_dir).checkpoint(eager=True)
     if files.isEmpty():
         raise DiscoveryError(f"No .bw or .bigwig files found in '{input_dir}'")
     return convert_files(spark, files, output, region, group_cols=[], **kw)
@@ -128,8 +133,10 @@ def convert_manifest(spark: SparkSession, manifest: DataFrame | str, output: str
     ``output/study_name=<s>/qtl_group=<g>/``."""
     if isinstance(manifest, str):
         manifest = read_manifest(spark, manifest)
+    checkpoint_dir(spark)
+    manifest = manifest.checkpoint(eager=True)
     check_manifest(manifest)
-    files = list_bigwig_files(manifest)
+    files = list_bigwig_files(manifest).checkpoint(eager=True)
     require_files(manifest, files)
     return convert_files(spark, files, output, region, **kw)
 
@@ -137,7 +144,8 @@ def convert_manifest(spark: SparkSession, manifest: DataFrame | str, output: str
 def convert_study(spark: SparkSession, input_base: str, study: str, output: str,
                   region: RegionSpec | None = None, **kw) -> ConversionResult:
     """Every '<input_base>/<study>/<group>/bigwig' directory of one study."""
-    dirs = discover_bigwig_dirs(spark, input_base, study=study)
+    checkpoint_dir(spark)
+    dirs = discover_bigwig_dirs(spark, input_base, study=study).checkpoint(eager=True)
     if dirs.isEmpty():
         raise DiscoveryError(f"No input directories found for pattern: {input_base}/{study}/*/bigwig")
     return convert_manifest(spark, dirs, output, region, **kw)
