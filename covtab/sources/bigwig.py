@@ -50,8 +50,9 @@ def open_file(path: str):
         from pyarrow import fs as pafs
         filesystem, p = pafs.FileSystem.from_uri(path)
         return filesystem.open_input_file(p)
-    if path.startswith("file://"):
-        path = path[len("file://"):]
+    if path.startswith("file:"):
+        from urllib.parse import unquote, urlparse
+        path = unquote(urlparse(path).path)
     return open(path, "rb")
 
 

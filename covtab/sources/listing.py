@@ -120,9 +120,25 @@ def _files_in(recursive: bool):
     return fn
 
 
-def list_bigwig_files(dirs: DataFrame, recursive: bool = False) -> DataFrame:
+def _is_uri(path: str) -> bool:
+    return "://" in path and not path.startswith("file://")
+
+
+def list_bigwig_files(dirs: DataFrame, recursive: bool = False,
+                      spark_listing: bool | None = None) -> DataFrame:
     """S4/S5 + S13: coverage files of every directory row, with their size.
-    ``dirs`` needs bigwig_dir; study_name/qtl_group are carried if present."""
+    ``dirs`` needs bigwig_dir; study_name/qtl_group are carried if present.
+
+    Directories on a shared POSIX path are listed by executors with
+    ``os.scandir`` (keeps names starting with '_'). For object-store or HDFS
+    URIs (or ``spark_listing=True``) Spark's own file listing is used
+    (``binaryFile`` reading only path and length; Spark hides '_' and '.'
+    names, so '_' files are skipped there)."""
+    if spark_listing is None:
+        sample = [r["bigwig_dir"] for r in dirs.select("bigwig_dir").limit(1000).collect()]
+        spark_listing = any(_is_uri(p) for p in sample)
+    if spark_listing:
+        return _list_with_spark(dirs, recursive)
     d = dirs.select(
         (F.col("study_name") if "study_name" in dirs.columns else F.lit(None).cast("string"))
         .alias("study_name"),
@@ -152,3 +168,35 @@ def require_files(dirs: DataFrame, files: DataFrame, max_report: int = 50) -> No
     bad = [r["bigwig_dir"] for r in empty.orderBy("bigwig_dir").limit(max_report).collect()]
     if bad:
         raise DiscoveryError("No .bw or .bigwig files found in: " + ", ".join(bad))
+
+
+def _list_with_spark(dirs: DataFrame, recursive: bool) -> DataFrame:
+    """S4 through Spark's file index: distributed listing of many
+    directories; files are matched back to their manifest row by parent
+    directory (non-recursive) — an equi-join."""
+    spark = dirs.sparkSession
+    keyed = dirs.select(
+        *[F.col(c) if c in dirs.columns else F.lit(None).cast("string").alias(c)
+          for c in ("study_name", "qtl_group")],
+        "bigwig_dir")
+    paths = [r["bigwig_dir"] for r in keyed.select("bigwig_dir").distinct().collect()]
+    if not paths:
+        return spark.createDataFrame([], FILES_SCHEMA)
+    if recursive:
+        raise NotImplementedError("recursive listing of URIs is not supported; list each directory")
+    listed = (spark.read.format("binaryFile")
+              .option("pathGlobFilter", "*.{bw,bigwig}")
+              .load(paths)
+              .select(F.col("path").alias("file_path"), F.col("length").alias("size")))
+    listed = listed.filter(~F.substring_index("file_path", "/", -1).startswith("."))
+
+    def norm(c):
+        # compare directories without scheme noise: file:/a, file:///a and /a
+        return F.regexp_replace(F.regexp_replace(c, "^file:(//)?", ""), "/+$", "")
+
+    parent = norm(F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1))
+    files = listed.withColumn("_dir", parent)
+    rows = keyed.withColumn("_dir", norm(F.col("bigwig_dir")))
+    return (rows.join(files, "_dir")
+                .select("study_name", "qtl_group", "bigwig_dir", "file_path",
+                        F.col("size").cast("long").alias("size")))
