@@ -254,7 +254,10 @@ def _decode_fn():
                             if len(out) > 1:      # keep at most one batch in hand
                                 yield out.pop(0)
                 except Exception as ex:  # noqa: BLE001 - reported as an error row
-                    # a chunk is all or nothing: drop its partial rows, report it
+                    # batches are streamed to bound memory, so rows of this
+                    # chunk emitted before the failure stay; the error row
+                    # marks the file as failed and the conversion gate then
+                    # publishes nothing. The held-back batch is dropped.
                     out = []
                     yield _error_row(schema, study, group, path,
                                      f"chunk {cols['chunk'][i]}: {ex or type(ex).__name__}")
