@@ -138,18 +138,21 @@ SELECT CAST(count(*) AS BIGINT) AS rows_checked,
        count_if(kind IS NOT NULL) = 0 AS ok
 FROM v"""
 
-ORACLE["discover_dirs"] = """
-SELECT r_name AS study_name, n_name AS qtl_group,
-       concat_ws('/', '/cov', r_name, n_name, 'bigwig') AS bigwig_dir
-FROM nation JOIN region ON n_regionkey = r_regionkey
-WHERE n_nationkey % 2 = 0"""
-
-ORACLE["output_names"] = """
-SELECT r_name AS study_name, n_name AS qtl_group,
-       n_name || '_chr22_20000_60000.parquet' AS output_name,
-       '/out/' || r_name || '/' || n_name || '_chr22_20000_60000.parquet' AS output_path,
-       'Will write: /out/' || r_name || '/' || n_name || '_chr22_20000_60000.parquet' AS plan_line
-FROM nation JOIN region ON n_regionkey = r_regionkey"""
+CUSTOMERS = """customer JOIN nation ON c_nationkey = n_nationkey
+     JOIN region ON n_regionkey = r_regionkey"""
+
+ORACLE["discover_dirs"] = f"""
+SELECT r_name AS study_name, c_name AS qtl_group,
+       concat_ws('/', '/cov', r_name, c_name, 'bigwig') AS bigwig_dir
+FROM {CUSTOMERS}
+WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')"""
+
+ORACLE["output_names"] = f"""
+SELECT r_name AS study_name, c_name AS qtl_group,
+       c_name || '_chr22_20000_60000.parquet' AS output_name,
+       '/out/' || r_name || '/' || c_name || '_chr22_20000_60000.parquet' AS output_path,
+       'Will write: /out/' || r_name || '/' || c_name || '_chr22_20000_60000.parquet' AS plan_line
+FROM {CUSTOMERS}"""
 
 INSPECT_RANK = """CASE WHEN TRY_CAST(regexp_replace(chrom, '^chr', '') AS INTEGER) IS NOT NULL
                        THEN TRY_CAST(regexp_replace(chrom, '^chr', '') AS INTEGER)

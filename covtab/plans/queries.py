@@ -22,8 +22,8 @@ from covtab.session import scratch_path, ship_package
 from covtab.sinks.coverage_parquet import sorted_for_publish, write_coverage
 from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
 from covtab.operators.order_check import check_row_order
-from covtab.sources.fixture import (lineitem_intervals, nation_region_dirs,
-                                   nation_region_manifest, orders_row_sequence)
+from covtab.sources.fixture import (customer_dirs, customer_manifest, lineitem_intervals,
+                                   orders_row_sequence)
 from covtab.sources.listing import bigwig_dirs_from_paths
 from covtab.sources.manifest import planned_outputs
 
@@ -99,13 +99,14 @@ QUERIES["row_order"] = q_row_order
 
 
 def q_discover_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """S1/P9/F6 on candidate directories built from nation x region."""
-    return bigwig_dirs_from_paths(nation_region_dirs(spark, sf_dir, "/cov"), "/cov")
+    """S1/P9/F6 on candidate directories, one per customer."""
+    return bigwig_dirs_from_paths(customer_dirs(spark, sf_dir, "/cov"), "/cov")
 
 
 def q_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Planned output of every manifest row for chr22:20,000-60,000."""
-    return planned_outputs(nation_region_manifest(spark, sf_dir, "/cov"), "/out", REGION_22)
+    """Planned output of every manifest row (one per customer) for
+    chr22:20,000-60,000."""
+    return planned_outputs(customer_manifest(spark, sf_dir, "/cov"), "/out", REGION_22)
 
 
 QUERIES["discover_dirs"] = q_discover_dirs

@@ -2,7 +2,7 @@
 
 The driver tables hold no coverage data, so ``lineitem`` stands in for decoded
 BigWig intervals (D2), ``orders`` for a table's physical row sequence and
-``nation`` x ``region`` for a directory tree. Every expression here is plain
+``customer`` x ``nation`` x ``region`` for a directory tree / manifest. Every expression here is plain
 DataFrame code, so the work grows with the tables.
 """
 
@@ -64,23 +64,35 @@ def orders_row_sequence(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def nation_region_dirs(spark: SparkSession, sf_dir: str, root: str = "/cov") -> DataFrame:
-    """Candidate directories '<root>/<region>/<nation>/<leaf>': even nation keys
-    end in 'bigwig', odd ones in 'other' (which discovery must reject)."""
-    n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
-    leaf = F.when(F.col("n_nationkey") % 2 == 0, F.lit("bigwig")).otherwise(F.lit("other"))
-    return j.select(F.concat_ws("/", F.lit(root), "r_name", "n_name", leaf).alias("path"))
+def _customers_with_region(spark: SparkSession, sf_dir: str) -> DataFrame:
+    c = read_table(spark, sf_dir, "customer").select("c_name", "c_nationkey", "c_mktsegment")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    return (c.join(n, c.c_nationkey == n.n_nationkey)
+             .join(r, F.col("n_regionkey") == r.r_regionkey))
 
 
-def nation_region_manifest(spark: SparkSession, sf_dir: str, root: str = "/cov") -> DataFrame:
-    """A manifest (D4) with one row per nation: study = region, group = nation."""
-    n = read_table(spark, sf_dir, "nation")
-    r = read_table(spark, sf_dir, "region")
-    j = n.join(r, n.n_regionkey == r.r_regionkey)
+def customer_dirs(spark: SparkSession, sf_dir: str, root: str = "/cov") -> DataFrame:
+    """Candidate directories, one per customer (so the tree grows with the
+    data): '<root>/<region>/<customer>/bigwig' for most market segments;
+    BUILDING customers end in 'other' (wrong leaf) and MACHINERY customers
+    sit one level deeper under their nation (wrong depth) — discovery must
+    reject both."""
+    j = _customers_with_region(spark, sf_dir)
+    seg = F.col("c_mktsegment")
+    path = (F.when(seg == "BUILDING", F.concat_ws("/", F.lit(root), "r_name", "c_name", F.lit("other")))
+             .when(seg == "MACHINERY",
+                   F.concat_ws("/", F.lit(root), "r_name", "n_name", "c_name", F.lit("bigwig")))
+             .otherwise(F.concat_ws("/", F.lit(root), "r_name", "c_name", F.lit("bigwig"))))
+    return j.select(path.alias("path"))
+
+
+def customer_manifest(spark: SparkSession, sf_dir: str, root: str = "/cov") -> DataFrame:
+    """A manifest (D4) with one row per customer: study = region, group =
+    customer name."""
+    j = _customers_with_region(spark, sf_dir)
     return j.select(
         F.col("r_name").alias("study_name"),
-        F.col("n_name").alias("qtl_group"),
-        F.concat_ws("/", F.lit(root), "r_name", "n_name", F.lit("bigwig")).alias("bigwig_dir"),
+        F.col("c_name").alias("qtl_group"),
+        F.concat_ws("/", F.lit(root), "r_name", "c_name", F.lit("bigwig")).alias("bigwig_dir"),
     )
