@@ -251,3 +251,18 @@ UNION ALL {_report_row(10, 'samples', 'NULL', "'distinct sample_id count = ' ||
 UNION ALL {_report_row(11, 'row_order', 'rank_dec + start_dec',
                        "CASE WHEN rank_dec + start_dec = 0 THEN 'nondecreasing by chromosome then start (' "
                        "|| CAST(checked AS VARCHAR) || ' rows checked)' END")}"""
+
+# BigWig stores scores as float32: the round trip equals the converted table
+# with each score rounded through FLOAT.
+ORACLE["bigwig_roundtrip"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)}
+SELECT study_name, qtl_group, seqnames, start, "end", strand,
+       CAST(CAST(score AS FLOAT) AS DOUBLE) AS score, sample_id
+FROM converted"""
+
+ORACLE["bigwig_range"] = f"""WITH {RAW}
+SELECT study_name, qtl_group,
+       split_part(regexp_extract(file_path, '[^/]*$'), '.', 1) AS sample_id,
+       chrom, CAST(start0 AS BIGINT) AS start0, CAST(end0 AS BIGINT) AS end0,
+       CAST(CAST(score AS FLOAT) AS DOUBLE) AS score
+FROM raw
+WHERE replace(chrom, 'chr', '') = '22' AND start0 < 60000 AND end0 > 20000"""

@@ -22,9 +22,11 @@ from covtab.session import scratch_path, ship_package
 from covtab.sinks.coverage_parquet import sorted_for_publish, write_coverage
 from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
 from covtab.operators.order_check import check_row_order
-from covtab.sources.fixture import (customer_dirs, customer_manifest, lineitem_intervals,
-                                   orders_row_sequence)
-from covtab.sources.listing import bigwig_dirs_from_paths
+from covtab.functions.intervals import sample_id_from_path
+from covtab.sources.bigwig import scan_bigwig, scan_bigwig_range
+from covtab.sources.fixture import (customer_dirs, customer_manifest, encode_lineitem_bigwigs,
+                                   lineitem_intervals, orders_row_sequence)
+from covtab.sources.listing import bigwig_dirs_from_paths, discover_bigwig_dirs, list_bigwig_files
 from covtab.sources.manifest import planned_outputs
 
 # Fixed parameters of the registered queries.
@@ -182,3 +184,33 @@ def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES["validate_written"] = _shipped(q_validate_written)
+
+
+def _encoded_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """lineitem written as BigWig files in the shared scratch folder, then
+    discovered and listed like real input (S1, S4)."""
+    root = scratch_path(spark, "bigwig")
+    encode_lineitem_bigwigs(spark, sf_dir, root).agg(F.sum("rows")).collect()
+    dirs = discover_bigwig_dirs(spark, root + "/cov").checkpoint(eager=True)
+    return list_bigwig_files(dirs).checkpoint(eager=True)
+
+
+def q_bigwig_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S1/S4/S6 + conversion through real BigWig bytes: the autosome table
+    decoded from files (scores pass through float32, as BigWig stores them)."""
+    files = _encoded_fixture_files(spark, sf_dir)
+    raw = scan_bigwig(files).filter(F.col("error").isNull())
+    return convert_intervals(raw)
+
+
+def q_bigwig_range(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw intervals of chr22 overlapping [20,000, 60,000) from the BigWig
+    files ('chr22' where a file has it, else '22')."""
+    files = _encoded_fixture_files(spark, sf_dir)
+    r = scan_bigwig_range(files, "chr22", 20000, 60000)
+    return r.select("study_name", "qtl_group", sample_id_from_path("file_path").alias("sample_id"),
+                    "chrom", "start0", "end0", "score")
+
+
+QUERIES["bigwig_roundtrip"] = _shipped(q_bigwig_roundtrip)
+QUERIES["bigwig_range"] = _shipped(q_bigwig_range)

@@ -96,3 +96,48 @@ def customer_manifest(spark: SparkSession, sf_dir: str, root: str = "/cov") -> D
         F.col("c_name").alias("qtl_group"),
         F.concat_ws("/", F.lit(root), "r_name", "c_name", F.lit("bigwig")).alias("bigwig_dir"),
     )
+
+
+# Fixed value: chromosome length written into fixture BigWigs (longer than
+# any fixture position, so range ends are never clamped by it).
+FIXTURE_CHROM_SIZE = 250_000_000
+
+
+def encode_lineitem_bigwigs(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Write the lineitem intervals as real BigWig files under ``root``.
+
+    Every scan task writes, for each sample file it holds rows of, one
+    BigWig '<root><dir>/<name>.t<partition>.<ext>' (sample id unchanged: the
+    name before its first dot). Work per task is bounded by its split; no
+    file's rows are gathered into one task. Returns a small per-file
+    DataFrame (path, rows) — an action runs it."""
+    import os
+
+    import pandas as pd
+    from pyspark import TaskContext
+
+    from covtab.testing.bigwig_writer import write_bigwig
+
+    raw = lineitem_intervals(spark, sf_dir).select("file_path", "chrom", "start0", "end0", "score")
+
+    def write(batches):
+        part = TaskContext.get().partitionId()
+        frames = [b for b in batches if len(b)]
+        out = []
+        if frames:
+            pdf = pd.concat(frames, ignore_index=True)
+            for path, rows in pdf.groupby("file_path", sort=True):
+                d, base = os.path.split(path)
+                name, ext = base.rsplit(".", 1)
+                target = f"{root}{d}/{name}.t{part:05d}.{ext}"
+                os.makedirs(os.path.dirname(target), exist_ok=True)
+                rows = rows.sort_values(["chrom", "start0", "end0"], kind="stable")
+                iv = {c: list(zip(g["start0"].tolist(), g["end0"].tolist(), g["score"].tolist()))
+                      for c, g in rows.groupby("chrom", sort=True)}
+                tmp = target + ".tmp"
+                write_bigwig(tmp, [(c, FIXTURE_CHROM_SIZE) for c in iv], iv)
+                os.replace(tmp, target)          # a retried task rewrites atomically
+                out.append((target, len(rows)))
+        yield pd.DataFrame(out, columns=["path", "rows"])
+
+    return raw.mapInPandas(write, "path string, rows long")
