@@ -102,20 +102,8 @@ def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int |
             return []
         keep_ids = np.array([c[1] for c in kept], dtype=np.int64)
         keep_names = [c[0] for c in kept]
-        leaves = read_index_leaves(f, h)
-    sc = leaves["sc"].astype(np.int64)
-    ec = leaves["ec"].astype(np.int64)
-    single = sc == ec
-    mask = ~single | np.isin(sc, keep_ids)
-    if bounds is not None:
-        lo, hi = bounds          # keep rows with end0 >= lo and start0 < hi
-        ok = np.ones(len(leaves), dtype=bool)
-        if lo is not None:
-            ok &= leaves["eb"].astype(np.int64) >= lo
-        if hi is not None:
-            ok &= leaves["sb"].astype(np.int64) < hi
-        mask &= ~single | ok
-    sel = leaves[mask]
+        # pruned traversal: only subtrees that may hold wanted rows are read
+        sel = read_index_leaves(f, h, None if keep is None else keep_ids, bounds)
     n = len(sel)
     if n == 0:
         return []

@@ -101,8 +101,35 @@ def read_chroms(f, header: Header) -> list[tuple[str, int, int]]:
     return out
 
 
-def read_index_leaves(f, header: Header) -> np.ndarray:
-    """Every R-tree leaf item (block bounds, file offset, size), in file order."""
+def _node_mask(items: np.ndarray, keep_ids: np.ndarray | None,
+               bounds: tuple[int | None, int | None] | None) -> np.ndarray:
+    """Which R-tree items (nodes or blocks) may hold wanted rows: some kept
+    chromosome id within [sc, ec], and — for items on one chromosome — an
+    overlap with rows having end0 >= lo and start0 < hi."""
+    sc = items["sc"].astype(np.int64)
+    ec = items["ec"].astype(np.int64)
+    mask = np.ones(len(items), dtype=bool)
+    if keep_ids is not None:
+        k = np.sort(keep_ids)
+        mask &= np.searchsorted(k, ec, "right") > np.searchsorted(k, sc, "left")
+    if bounds is not None:
+        lo, hi = bounds
+        single = sc == ec
+        ok = np.ones(len(items), dtype=bool)
+        if lo is not None:
+            ok &= items["eb"].astype(np.int64) >= lo
+        if hi is not None:
+            ok &= items["sb"].astype(np.int64) < hi
+        mask &= ~single | ok
+    return mask
+
+
+def read_index_leaves(f, header: Header, keep_ids: np.ndarray | None = None,
+                      bounds: tuple[int | None, int | None] | None = None) -> np.ndarray:
+    """R-tree leaf items (block bounds, file offset, size) in file order.
+    With ``keep_ids`` / ``bounds`` the traversal skips subtrees that cannot
+    hold wanted rows, so a region query reads O(log n) index nodes instead of
+    every leaf."""
     b = read_exact(f, header.full_index_offset, _RT_HEADER.size)
     magic = struct.unpack_from("<I", b)[0]
     if magic != RTREE_MAGIC:
@@ -110,15 +137,19 @@ def read_index_leaves(f, header: Header) -> np.ndarray:
     leaves = []
     stack = [header.full_index_offset + _RT_HEADER.size]
     visited = 0
+    prune = keep_ids is not None or bounds is not None
     while stack:
         off = stack.pop()
         is_leaf, _r, n = _NODE.unpack(read_exact(f, off, _NODE.size))
         if is_leaf:
-            leaves.append(np.frombuffer(read_exact(f, off + _NODE.size, n * RT_LEAF.itemsize),
-                                        dtype=RT_LEAF))
+            items = np.frombuffer(read_exact(f, off + _NODE.size, n * RT_LEAF.itemsize),
+                                  dtype=RT_LEAF)
+            leaves.append(items[_node_mask(items, keep_ids, bounds)] if prune else items)
         else:
             inner = np.frombuffer(read_exact(f, off + _NODE.size, n * RT_INNER.itemsize),
                                   dtype=RT_INNER)
+            if prune:
+                inner = inner[_node_mask(inner, keep_ids, bounds)]
             stack.extend(int(x) for x in inner["off"][::-1])
         visited += 1
         if visited > 50_000_000:

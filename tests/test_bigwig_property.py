@@ -56,3 +56,71 @@ def test_roundtrip(spark, tmp_path_factory, track, compressed, per_block, fanout
                  .filter("error IS NULL").collect())
     want = sorted((c, s, e, float(np.float32(v))) for c, rows in iv.items() for s, e, v in rows)
     assert got == want
+
+
+class _Counting:
+    def __init__(self, f):
+        self.f, self.bytes = f, 0
+
+    def seek(self, off):
+        self.f.seek(off)
+
+    def read(self, n):
+        b = self.f.read(n)
+        self.bytes += len(b)
+        return b
+
+
+def test_pruned_index_reads_less(tmp_path):
+    from covtab.sources.bigwig_format import read_chroms, read_header, read_index_leaves
+    chroms = [(f"chr{i}", 1_000_000) for i in range(1, 23)]
+    iv = {c: [(s, s + 5, 1.0) for s in range(0, 20_000, 10)] for c, _ in chroms}
+    p = write_bigwig(str(tmp_path / "big.bw"), chroms, iv, items_per_block=8, fanout=4)
+    with open(p, "rb") as raw:
+        f = _Counting(raw)
+        h = read_header(f)
+        ids = {n: i for n, i, _ in read_chroms(f, h)}
+        f.bytes = 0
+        full = read_index_leaves(f, h)
+        full_bytes, f.bytes = f.bytes, 0
+        part = read_index_leaves(f, h, np.array([ids["chr22"]]), (5_000, 5_100))
+        part_bytes = f.bytes
+    assert len(full) == 22 * 250
+    assert 1 <= len(part) <= 3
+    assert part_bytes * 20 < full_bytes
+
+
+@settings(max_examples=12, deadline=None)
+@given(st.lists(st.tuples(st.sampled_from(["chr1", "chr2", "chr22", "22"]), st.integers(0, 3000),
+                          st.integers(0, 30)), min_size=1, max_size=150),
+       st.sampled_from(["1", "2", "22"]), st.integers(1, 3100), st.integers(0, 400),
+       st.integers(1, 6), st.integers(2, 5))
+def test_region_pruning_is_exact(spark, tmp_path_factory, rows, chrom, lo, width, per_block, fanout):
+    from covtab.operators.convert import convert_intervals
+    from covtab.region import RegionSpec
+    iv = {}
+    for c, s, w in sorted(rows):
+        iv.setdefault(c, []).append((s, s + w, float(s)))
+    d = tmp_path_factory.mktemp("bw")
+    p = write_bigwig(str(d / "S.bw"), [(c, 10_000) for c in iv], iv, items_per_block=per_block,
+                     fanout=fanout)
+    region = RegionSpec(chrom, lo, lo + width)
+    files = spark.createDataFrame([(p,)], "file_path string")
+    got = sorted((r.seqnames, r.start, r.end, r.score) for r in
+                 convert_intervals(scan_bigwig(files, region, chunk_bytes=64), region).collect())
+    want = sorted((c.replace("chr", ""), s + 1, e, float(np.float32(v)))
+                  for c, rs in iv.items() for s, e, v in rs
+                  if c.replace("chr", "") == chrom and e >= s + 1 and e >= lo and s + 1 <= lo + width)
+    assert got == want
+
+
+def test_overlapping_intervals_across_blocks(spark, tmp_path):
+    """An early long interval must still be found by a region near its end."""
+    from covtab.operators.convert import convert_intervals
+    from covtab.region import RegionSpec
+    iv = {"chr22": [(0, 5000, 1.0)] + [(s, s + 2, 2.0) for s in range(10, 400, 3)]}
+    p = write_bigwig(str(tmp_path / "o.bw"), [("chr22", 10_000)], iv, items_per_block=2, fanout=2)
+    region = RegionSpec("22", 4000, 4500)
+    files = spark.createDataFrame([(p,)], "file_path string")
+    got = [(r.start, r.end) for r in convert_intervals(scan_bigwig(files, region), region).collect()]
+    assert got == [(1, 5000)]
