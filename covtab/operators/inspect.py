@@ -26,7 +26,7 @@ def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple
         F.count(F.lit(1)).alias("total_files"),
         F.count_if("ok").alias("readable"),
         F.count_if(~F.col("ok")).alias("unreadable"))
-    w = Window.partitionBy(dir_col).orderBy("file_path")
+    w = Window.partitionBy(dir_col).orderBy(F.split("file_path", "/"))   # component order
     bad = (df.withColumn("position", F.row_number().over(w))
              .filter(~F.col("ok"))
              .select(dir_col, "position", "file_path",

@@ -158,7 +158,8 @@ def list_bigwig_paths(spark: SparkSession, path: str, recursive: bool = False) -
     if not os.path.isdir(path):
         raise DiscoveryError(f"not a directory: {path}")
     seed = spark.createDataFrame([(None, None, path)], DIRS_SCHEMA)
-    return list_bigwig_files(seed, recursive).orderBy("file_path")
+    # path order component by component ('a/b/x' before 'a/b-c/x')
+    return list_bigwig_files(seed, recursive).orderBy(F.split("file_path", "/"))
 
 
 def require_files(dirs: DataFrame, files: DataFrame, max_report: int = 50) -> None:

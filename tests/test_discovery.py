@@ -120,3 +120,13 @@ def test_spark_listing_route(spark, tmp_path):
     assert got == [("S", "G", "a.bw", True), ("S", "G", "b.bigwig", True)]
     rows = sorted((r.chrom, r.start0, r.end0) for r in scan_bigwig(files, all_chroms=True).collect())
     assert rows == [("chr1", 0, 5), ("chr1", 5, 9), ("chr2", 1, 3)]
+
+
+def test_recursive_listing_sorts_by_path_components(spark, tmp_path):
+    d = tmp_path / "bw"
+    for sub in ["b", "b-c"]:
+        (d / sub).mkdir(parents=True)
+        touch(str(d / sub / "x.bw"))
+    got = [os.path.relpath(r["file_path"], str(d)) for r in
+           list_bigwig_paths(spark, str(d), recursive=True).collect()]
+    assert got == ["b/x.bw", "b-c/x.bw"]
