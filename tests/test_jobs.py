@@ -216,3 +216,16 @@ def test_hot_group_is_split_and_stays_ordered(spark, tmp_path):
     rep = {(r.qtl_group, r.check): r.status for r in validate_dataset(spark, out).collect()}
     assert rep[("hot", "row_order")] == "OK" and rep[("cold", "row_order")] == "OK"
     assert spark.read.parquet(out).count() == 40_500
+
+
+def test_same_sample_files_are_not_deduplicated(spark, tmp_path):
+    d = tmp_path / "bw"
+    d.mkdir()
+    iv = {"chr1": [(0, 10, 1.0), (20, 30, 2.0)]}
+    for name in ["S1.bw", "S1.rep2.bw", "S1.bigwig"]:
+        write_bigwig(str(d / name), [("chr1", 100)], iv)
+    out = str(tmp_path / "out")
+    res = convert_directory(spark, str(d), out)
+    assert res.rows_written == 6 and res.files == 3
+    rows = sorted((r.sample_id, r.start, r.end) for r in spark.read.parquet(out).collect())
+    assert rows == [("S1", 1, 10)] * 3 + [("S1", 21, 30)] * 3
