@@ -33,7 +33,7 @@ from covtab.session import checkpoint_dir, scratch_path
 from covtab.sinks.coverage_parquet import read_coverage, write_coverage
 from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
                                    decode_partitions, index_chunks)
-from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs,
+from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs, discover_bigwig_files,
                                     list_bigwig_files, list_bigwig_paths, require_files)
 from covtab.sources.manifest import check_manifest, read_manifest
 
@@ -143,8 +143,15 @@ def convert_manifest(spark: SparkSession, manifest: DataFrame | str, output: str
 
 def convert_study(spark: SparkSession, input_base: str, study: str, output: str,
                   region: RegionSpec | None = None, **kw) -> ConversionResult:
-    """Every '<input_base>/<study>/<group>/bigwig' directory of one study."""
+    """Every '<input_base>/<study>/<group>/bigwig' directory of one study.
+    An object-store / HDFS ``input_base`` is listed by Spark in one pass."""
     checkpoint_dir(spark)
+    if "://" in input_base and not input_base.startswith("file:"):
+        files = discover_bigwig_files(spark, input_base, study=study).checkpoint(eager=True)
+        if files.isEmpty():
+            raise DiscoveryError(
+                f"No input directories found for pattern: {input_base}/{study}/*/bigwig")
+        return convert_files(spark, files, output, region, **kw)
     dirs = discover_bigwig_dirs(spark, input_base, study=study).checkpoint(eager=True)
     if dirs.isEmpty():
         raise DiscoveryError(f"No input directories found for pattern: {input_base}/{study}/*/bigwig")

@@ -26,7 +26,8 @@ from covtab.functions.intervals import sample_id_from_path
 from covtab.sources.bigwig import scan_bigwig, scan_bigwig_range
 from covtab.sources.fixture import (customer_dirs, customer_manifest, encode_lineitem_bigwigs,
                                    lineitem_intervals, orders_row_sequence)
-from covtab.sources.listing import bigwig_dirs_from_paths, discover_bigwig_dirs, list_bigwig_files
+from covtab.sources.listing import (bigwig_dirs_from_paths, discover_bigwig_dirs,
+                                   discover_bigwig_files, list_bigwig_files)
 from covtab.sources.manifest import planned_outputs
 
 # Fixed parameters of the registered queries.
@@ -191,6 +192,9 @@ def _encoded_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     discovered and listed like real input (S1, S4)."""
     root = scratch_path(spark, "bigwig")
     encode_lineitem_bigwigs(spark, sf_dir, root).agg(F.sum("rows")).collect()
+    if "://" in root and not root.startswith("file:"):
+        # shared object store / HDFS checkpoint folder: Spark lists the tree
+        return discover_bigwig_files(spark, root + "/cov").checkpoint(eager=True)
     dirs = discover_bigwig_dirs(spark, root + "/cov").checkpoint(eager=True)
     return list_bigwig_files(dirs).checkpoint(eager=True)
 

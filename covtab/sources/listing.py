@@ -10,6 +10,7 @@ a filesystem every executor sees (the same assumption the converter makes).
 from __future__ import annotations
 
 import os
+import re
 
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
@@ -201,3 +202,31 @@ def _list_with_spark(dirs: DataFrame, recursive: bool) -> DataFrame:
     return (rows.join(files, "_dir")
                 .select("study_name", "qtl_group", "bigwig_dir", "file_path",
                         F.col("size").cast("long").alias("size")))
+
+
+def discover_bigwig_files(spark: SparkSession, root: str, study: str | None = None) -> DataFrame:
+    """S1 + S4 in one step for a root given as an object-store / HDFS URI
+    (no directory listing API there): Spark lists every '*.bw'/'*.bigwig'
+    below the root, and a file is kept when it sits directly in an exact
+    '<root>/<study>/<group>/bigwig' directory. Spark's listing hides names
+    starting with '_' or '.'. For POSIX roots prefer
+    ``discover_bigwig_dirs`` + ``list_bigwig_files`` (they also report
+    directories without files)."""
+    def strip_scheme(p: str) -> str:
+        return re.sub(r"^file:(//)?", "", p)
+
+    base = root.rstrip("/")
+    listed = (spark.read.format("binaryFile")
+              .option("pathGlobFilter", "*.{bw,bigwig}")
+              .option("recursiveFileLookup", "true")
+              .load(base if study is None else f"{base}/{study}")
+              .select(F.col("path").alias("file_path"), F.col("length").cast("long").alias("size")))
+    norm_base = strip_scheme(base)
+    norm_path = F.regexp_replace("file_path", "^file:(//)?", "")
+    rel = F.split(F.substring(norm_path, len(norm_base) + 2, 1 << 20), "/")
+    return (listed.withColumn("_rel", rel)
+            .filter((F.size("_rel") == 4) & (F.element_at("_rel", 3) == BIGWIG_DIR_NAME))
+            .select(F.element_at("_rel", 1).alias("study_name"),
+                    F.element_at("_rel", 2).alias("qtl_group"),
+                    F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1).alias("bigwig_dir"),
+                    "file_path", "size"))

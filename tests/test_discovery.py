@@ -130,3 +130,14 @@ def test_recursive_listing_sorts_by_path_components(spark, tmp_path):
     got = [os.path.relpath(r["file_path"], str(d)) for r in
            list_bigwig_paths(spark, str(d), recursive=True).collect()]
     assert got == ["b/x.bw", "b-c/x.bw"]
+
+
+def test_discover_files_through_spark_listing(spark, tree):
+    """The URI route (one Spark listing below the root) keeps exactly the
+    files of '<root>/<study>/<group>/bigwig' directories."""
+    from covtab.sources.listing import discover_bigwig_files
+    got = sorted((r.study_name, r.qtl_group, os.path.basename(r.file_path), r.size)
+                 for r in discover_bigwig_files(spark, "file://" + tree).collect())
+    assert got == [("s1", "q1", "A.bw", 1), ("s1", "q2", "B.bigwig", 3)]
+    got = [r.qtl_group for r in discover_bigwig_files(spark, tree, study="s1").collect()]
+    assert sorted(got) == ["q1", "q2"]
