@@ -216,7 +216,8 @@ def null_report(spark: SparkSession, path: str, n: int = 5):
     from covtab.operators.inspect import na_rows
     from covtab.operators.validate import na_report
 
-    if not path or not os.path.exists(path.replace("file:", "")):
+    is_uri = "://" in (path or "") and not path.startswith("file:")
+    if not path or (not is_uri and not os.path.exists(path.replace("file:", ""))):
         raise FileNotFoundError(f"file not found: {path}")
     probe = spark.read.parquet(path)
     g = [c for c in GROUP_COLUMNS if c in probe.columns]
