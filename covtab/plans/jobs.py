@@ -1,17 +1,20 @@
-"""User-level jobs (J1-J3, J8): convert coverage files into sorted tables and
-query them by region.
+"""User-level jobs (J1-J5, J7, J8): convert coverage files into sorted tables,
+query them by region, inspect inputs.
 
-Every conversion is one Spark application with three actions:
+A conversion runs in four steps:
 
-1. stage:   scan (index + decode) -> convert -> write a staged Parquet table
+1. list:    the input file list is materialised once (``checkpoint()`` into
+            ``spark.checkpoint.dir``), so every later step sees the same files.
+2. stage:   index (block pruning, byte-range chunks; decode parallelism sized
+            from the chunk bytes) -> decode -> convert -> a staged Parquet table
             under ``spark.checkpoint.dir``; error rows ride along. The staged
             table cuts the decode lineage, so a lost executor never forces a
             re-decode of the inputs, and later passes read compact columns.
-2. gate:    read the staged errors (a pushed-down IS NOT NULL filter on a
-            mostly-NULL column); if any file failed, raise with all of them
-            and publish nothing (A3). Per-file row counts give the no-data
-            warning (A1, A2).
-3. publish: one range shuffle + local sort + partitioned write (K1, K2).
+3. gate:    one aggregate over the staged (file_path, error) columns gives rows
+            per file, failures and no-data files; any failure raises with the
+            sorted list and nothing is published (A1-A3).
+4. publish: one range shuffle + local sort + partitioned write (K1, K2),
+            parallelism sized from the row count.
 """
 
 from __future__ import annotations

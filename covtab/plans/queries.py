@@ -13,16 +13,16 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covtab.functions.intervals import sample_id_from_path
 from covtab.operators.convert import convert_intervals, kept_rows_per_file, no_data_files
+from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
+from covtab.operators.order_check import check_row_order
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report, validate_dataset
-from covtab.region import Expectation, RegionSpec
 from covtab.plans.jobs import region_query
+from covtab.region import Expectation, RegionSpec
 from covtab.schema import OUTPUT_COLUMNS
 from covtab.session import scratch_path, ship_package
 from covtab.sinks.coverage_parquet import sorted_for_publish, write_coverage
-from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
-from covtab.operators.order_check import check_row_order
-from covtab.functions.intervals import sample_id_from_path
 from covtab.sources.bigwig import scan_bigwig, scan_bigwig_range
 from covtab.sources.fixture import (customer_dirs, customer_manifest, encode_lineitem_bigwigs,
                                    lineitem_intervals, orders_row_sequence)
@@ -36,6 +36,8 @@ REGION_X = RegionSpec("X")
 REGION_22_TO_3000 = RegionSpec("22", None, 3000)
 
 
+# --- conversion
+
 def q_convert_autosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_intervals(lineitem_intervals(spark, sf_dir))
 
@@ -48,8 +50,10 @@ def q_convert_chrom_x(spark: SparkSession, sf_dir: str) -> DataFrame:
     return convert_intervals(lineitem_intervals(spark, sf_dir), REGION_X)
 
 
-def q_chrom_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chrom_counts(q_convert_autosomes(spark, sf_dir))
+def q_sorted_autosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flagship: autosome conversion in published order (K1 plan without
+    the write)."""
+    return sorted_for_publish(q_convert_autosomes(spark, sf_dir))
 
 
 def q_rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -62,6 +66,12 @@ def q_no_data_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return no_data_files(kept_rows_per_file(lineitem_intervals(spark, sf_dir), REGION_22_TO_3000))
 
 
+# --- validation
+
+def q_chrom_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chrom_counts(q_convert_autosomes(spark, sf_dir))
+
+
 def q_validate_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A6-A14 over every (study, group) table of the autosome conversion,
     checked against chromosome 22, 20,000-60,000 so the counts are not all 0."""
@@ -72,25 +82,9 @@ def q_null_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return na_report(q_convert_autosomes(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    "convert_autosomes": q_convert_autosomes,
-    "convert_region": q_convert_region,
-    "convert_chrom_x": q_convert_chrom_x,
-    "chrom_counts": q_chrom_counts,
-    "rows_per_file": q_rows_per_file,
-    "no_data_files": q_no_data_files,
-    "validate_summary": q_validate_summary,
-    "null_report": q_null_report,
-}
-
-
-def q_sorted_autosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The flagship: autosome conversion in published order (K1 plan without
-    the write)."""
-    return sorted_for_publish(q_convert_autosomes(spark, sf_dir))
-
-
-QUERIES["sorted_autosomes"] = q_sorted_autosomes
+def q_na_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """First 5 rows with an NA of every converted table."""
+    return na_rows(q_convert_autosomes(spark, sf_dir))
 
 
 def q_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -98,8 +92,7 @@ def q_row_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return check_row_order(orders_row_sequence(spark, sf_dir))
 
 
-QUERIES["row_order"] = q_row_order
-
+# --- discovery and planned outputs
 
 def q_discover_dirs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/P9/F6 on candidate directories, one per customer."""
@@ -112,9 +105,7 @@ def q_output_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     return planned_outputs(customer_manifest(spark, sf_dir, "/cov"), "/out", REGION_22)
 
 
-QUERIES["discover_dirs"] = q_discover_dirs
-QUERIES["output_names"] = q_output_names
-
+# --- inspection
 
 def _fixture_sizes(raw: DataFrame) -> DataFrame:
     """D3 for the fixture: a chromosome's size is its largest end."""
@@ -138,29 +129,7 @@ def q_first_chrom_head(spark: SparkSession, sf_dir: str) -> DataFrame:
     return first_chrom_head(raw, _fixture_sizes(raw), start=1_000_000, n=10)
 
 
-def q_na_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """First 5 rows with an NA of every converted table."""
-    return na_rows(q_convert_autosomes(spark, sf_dir))
-
-
-QUERIES["chrom_sort_head"] = q_chrom_sort_head
-QUERIES["head_intervals"] = q_head_intervals
-QUERIES["first_chrom_head"] = q_first_chrom_head
-QUERIES["na_rows"] = q_na_rows
-
-
-def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    """Ship the package to the executors' Python workers before building."""
-    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-        ship_package(spark)
-        return fn(spark, sf_dir)
-    run.__name__ = fn.__name__
-    run.__doc__ = fn.__doc__
-    return run
-
-
-QUERIES = {k: _shipped(v) for k, v in QUERIES.items()}
-
+# --- written tables (K1, K2, J8, J6 end to end)
 
 def q_sorted_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
     """K1+J8: publish the autosome tables (range shuffle, sort, partitioned
@@ -172,9 +141,6 @@ def q_sorted_write_readback(spark: SparkSession, sf_dir: str) -> DataFrame:
         "study_name", "qtl_group", *OUTPUT_COLUMNS)
 
 
-QUERIES["sorted_write_readback"] = _shipped(q_sorted_write_readback)
-
-
 def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     """J6 end to end: publish the autosome tables, then validate the written
     files (schema, one aggregate chain, physical row order) against
@@ -184,8 +150,7 @@ def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     return validate_dataset(spark, out, Expectation.of(REGION_22))
 
 
-QUERIES["validate_written"] = _shipped(q_validate_written)
-
+# --- real BigWig bytes
 
 def _encoded_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem written as BigWig files in the shared scratch folder, then
@@ -216,5 +181,39 @@ def q_bigwig_range(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "chrom", "start0", "end0", "score")
 
 
-QUERIES["bigwig_roundtrip"] = _shipped(q_bigwig_roundtrip)
-QUERIES["bigwig_range"] = _shipped(q_bigwig_range)
+# --- registry
+
+def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+    """Ship the package to the executors' Python workers before building."""
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        ship_package(spark)
+        return fn(spark, sf_dir)
+    run.__name__ = fn.__name__
+    run.__doc__ = fn.__doc__
+    return run
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    name: _shipped(fn) for name, fn in {
+        "convert_autosomes": q_convert_autosomes,
+        "convert_region": q_convert_region,
+        "convert_chrom_x": q_convert_chrom_x,
+        "chrom_counts": q_chrom_counts,
+        "rows_per_file": q_rows_per_file,
+        "no_data_files": q_no_data_files,
+        "validate_summary": q_validate_summary,
+        "null_report": q_null_report,
+        "sorted_autosomes": q_sorted_autosomes,
+        "row_order": q_row_order,
+        "discover_dirs": q_discover_dirs,
+        "output_names": q_output_names,
+        "chrom_sort_head": q_chrom_sort_head,
+        "head_intervals": q_head_intervals,
+        "first_chrom_head": q_first_chrom_head,
+        "na_rows": q_na_rows,
+        "sorted_write_readback": q_sorted_write_readback,
+        "validate_written": q_validate_written,
+        "bigwig_roundtrip": q_bigwig_roundtrip,
+        "bigwig_range": q_bigwig_range,
+    }.items()
+}
