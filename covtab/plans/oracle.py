@@ -266,3 +266,8 @@ SELECT study_name, qtl_group,
        CAST(CAST(score AS FLOAT) AS DOUBLE) AS score
 FROM raw
 WHERE replace(chrom, 'chr', '') = '22' AND start0 < 60000 AND end0 > 20000"""
+
+ORACLE["bigwig_chrom_inventory"] = f"""WITH {RAW}
+SELECT study_name, qtl_group, regexp_extract(file_path, '[^/]*$') AS file_name,
+       CAST(count(DISTINCT chrom) AS BIGINT) AS n_chroms, true AS all_readable
+FROM raw GROUP BY study_name, qtl_group, regexp_extract(file_path, '[^/]*$')"""

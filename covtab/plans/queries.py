@@ -23,7 +23,7 @@ from covtab.region import Expectation, RegionSpec
 from covtab.schema import OUTPUT_COLUMNS
 from covtab.session import scratch_path, ship_package
 from covtab.sinks.coverage_parquet import sorted_for_publish, write_coverage
-from covtab.sources.bigwig import scan_bigwig, scan_bigwig_range
+from covtab.sources.bigwig import chrom_sizes, readability, scan_bigwig, scan_bigwig_range
 from covtab.sources.fixture import (customer_dirs, customer_manifest, encode_lineitem_bigwigs,
                                    lineitem_intervals, orders_row_sequence)
 from covtab.sources.listing import (bigwig_dirs_from_paths, discover_bigwig_dirs,
@@ -181,6 +181,24 @@ def q_bigwig_range(spark: SparkSession, sf_dir: str) -> DataFrame:
                     "chrom", "start0", "end0", "score")
 
 
+def q_bigwig_chrom_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S7 + A4 over the BigWig files: per original sample file, the number of
+    distinct chromosomes in its chromosome trees (across the parts written by
+    different tasks) and whether every part opens."""
+    files = _encoded_fixture_files(spark, sf_dir)
+    part_name = F.substring_index("file_path", "/", -1)
+    original = F.regexp_replace(part_name, r"\.t[0-9]{5}\.", ".")
+    keys = ["study_name", "qtl_group", "file_name"]
+    chroms = (chrom_sizes(files).filter(F.col("error").isNull())
+              .select("study_name", "qtl_group", original.alias("file_name"), "chrom")
+              .groupBy(*keys).agg(F.count_distinct("chrom").alias("n_chroms")))
+    opened = (readability(files)
+              .groupBy("study_name", "qtl_group", original.alias("file_name"))
+              .agg(F.bool_and("ok").alias("all_readable")))
+    return opened.join(chroms, keys, "left").select(
+        *keys, F.coalesce("n_chroms", F.lit(0).cast("long")).alias("n_chroms"), "all_readable")
+
+
 # --- registry
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -215,5 +233,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "validate_written": q_validate_written,
         "bigwig_roundtrip": q_bigwig_roundtrip,
         "bigwig_range": q_bigwig_range,
+        "bigwig_chrom_inventory": q_bigwig_chrom_inventory,
     }.items()
 }
