@@ -152,7 +152,19 @@ def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- real BigWig bytes
 
+_ENCODED: dict[tuple[int, str], DataFrame] = {}
+
+
 def _encoded_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded once per SparkContext and table directory; the file list is
+    checkpointed, so later queries of the session reuse the same files."""
+    key = (id(spark.sparkContext), sf_dir)
+    if key not in _ENCODED:
+        _ENCODED[key] = _encode_fixture_files(spark, sf_dir)
+    return _ENCODED[key]
+
+
+def _encode_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """lineitem written as BigWig files in the shared scratch folder, then
     discovered and listed like real input (S1, S4)."""
     root = scratch_path(spark, "bigwig")
