@@ -35,7 +35,7 @@ from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import checkpoint_dir, scratch_path
 from covtab.sinks.coverage_parquet import read_coverage, write_coverage
 from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
-                                   decode_partitions, index_chunks)
+                                   decode_partitions)
 from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs, discover_bigwig_files,
                                     list_bigwig_files, list_bigwig_paths, require_files)
 from covtab.sources.manifest import check_manifest, read_manifest
@@ -198,19 +198,15 @@ def inspect_files(spark: SparkSession, path: str, chrom: str | None = None, star
     of chromosomes), the first 10 chromosomes (P8 order) and the first ``n``
     intervals of the first chromosome with data in [start, end) — or of
     ``chrom``. Returns (overview, first_chroms, head)."""
-    from covtab.operators.inspect import (check_inspect_args, file_overview, first_chrom_head,
-                                          first_chromosomes)
-    from covtab.sources.bigwig import chrom_sizes
+    from covtab.operators.inspect import check_inspect_args, file_overview, first_chromosomes
+    from covtab.sources.bigwig import bigwig_head, chrom_sizes
 
     check_inspect_args(start, end, n)
     files = list_bigwig_paths(spark, path, recursive)
     sizes = chrom_sizes(files)
     good = sizes.filter(F.col("error").isNull())
-    keep = None if chrom is None else [chrom.replace("chr", "")]
-    raw = decode_chunks(index_chunks(files, keep, (start + 1, end))).filter(
-        F.col("error").isNull())
-    return (file_overview(files, sizes), first_chromosomes(good, 10),
-            first_chrom_head(raw, good, start, end, n, chrom))
+    head = bigwig_head(files, start, end, n, chrom).filter(F.col("error").isNull()).drop("error")
+    return file_overview(files, sizes), first_chromosomes(good, 10), head
 
 
 def null_report(spark: SparkSession, path: str, n: int = 5):
