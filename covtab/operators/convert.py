@@ -95,7 +95,7 @@ def convert_keeping_errors(raw: DataFrame, region: RegionSpec | None = None) ->
     # P5: a coordinate beyond int32 makes its file fail (listed by the gate)
     # rather than aborting the whole job or wrapping around.
     int_max = 2147483647
-    overflow = (F.col("start0") + 1 > int_max) | (F.col("end0") > int_max)
+    overflow = (F.col("start0").cast("long") + 1 > int_max) | (F.col("end0").cast("long") > int_max)
     df = df.withColumn("error", F.coalesce(
         F.col("error"),
         F.when(overflow, F.concat(F.lit("coordinate out of int32 range on "), F.col("chrom")))))
