@@ -152,13 +152,13 @@ def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- real BigWig bytes
 
-_ENCODED: dict[tuple[int, str], DataFrame] = {}
+_ENCODED: dict[tuple[str, str], DataFrame] = {}
 
 
 def _encoded_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Encoded once per SparkContext and table directory; the file list is
     checkpointed, so later queries of the session reuse the same files."""
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key not in _ENCODED:
         _ENCODED[key] = _encode_fixture_files(spark, sf_dir)
     return _ENCODED[key]

@@ -60,7 +60,7 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return os.path.join(base, f"covtab-{name}-{uuid.uuid4().hex[:12]}")
 
 
-_SHIPPED: set[tuple[int, str]] = set()
+_SHIPPED: set[tuple[str, str]] = set()
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -71,7 +71,7 @@ def ship_package(spark: SparkSession) -> None:
     import zipfile
 
     sc = spark.sparkContext
-    key = (id(sc), "covtab")
+    key = (sc.applicationId, "covtab")
     if key in _SHIPPED:
         return
     pkg = os.path.dirname(os.path.abspath(__file__))
