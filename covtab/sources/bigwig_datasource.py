@@ -9,10 +9,11 @@
 Columns: file_path, chrom, start0, end0 (0-based half-open), score.
 Filters on ``chrom`` (=, IN) are applied exactly inside the source; bounds on
 ``start0`` (<, <=) and ``end0`` (>, >=) prune whole blocks through the file's
-R-tree and are re-checked by Spark. Planning reads each file's index on the
-driver to cut the scan into chunk partitions (a large file becomes many
-tasks); for very large file sets prefer ``scan_bigwig`` (covtab.sources.bigwig),
-which does that indexing on executors.
+R-tree and are re-checked by Spark. Planning reads only each file's header and
+chromosome tree on the driver (a few KB per file); every (file, chromosome) is
+one task that walks the pruned R-tree and decodes its blocks. For very large
+file sets ``scan_bigwig`` (covtab.sources.bigwig) also moves that small
+planning read onto executors and cuts chromosomes into byte ranges.
 """
 
 from __future__ import annotations
@@ -27,16 +28,12 @@ from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, Great
 SOURCE_SCHEMA = "file_path string, chrom string, start0 long, end0 long, score double"
 
 
-class _Chunk(InputPartition):
-    def __init__(self, path, compressed, ubuf, lo, hi, n_blocks, keep_ids, keep_names):
+class _FileChrom(InputPartition):
+    """One task: one chromosome of one file."""
+
+    def __init__(self, path, chrom):
         self.path = path
-        self.compressed = compressed
-        self.ubuf = ubuf
-        self.lo = lo
-        self.hi = hi
-        self.n_blocks = n_blocks
-        self.keep_ids = keep_ids
-        self.keep_names = keep_names
+        self.chrom = chrom
 
 
 class BigWigReader(DataSourceReader):
@@ -84,31 +81,37 @@ class BigWigReader(DataSourceReader):
         return sorted(out)
 
     def partitions(self):
-        from covtab.sources.bigwig import index_file
+        """Planning reads only each file's header and chromosome tree (a few
+        KB); the R-tree walk and block decoding happen in the tasks, one per
+        (file, chromosome), so a large file is split by chromosome."""
+        from covtab.sources.bigwig import open_file
+        from covtab.sources.bigwig_format import read_chroms, read_header
 
-        bounds = None if self.lo is None and self.hi is None else (self.lo, self.hi)
         parts = []
         for path in self._files():
-            for (_k, comp, ubuf, lo, hi, nb, ids, names) in index_file(
-                    path, self.chroms, bounds, self.chunk_bytes, normalize=False):
-                parts.append(_Chunk(path, comp, ubuf, lo, hi, nb, ids, names))
-        return parts or [_Chunk(None, False, 0, 0, 0, 0, [], [])]
+            with open_file(path) as f:
+                names = [c[0] for c in read_chroms(f, read_header(f))]
+            parts.extend(_FileChrom(path, c) for c in sorted(names)
+                         if self.chroms is None or c in self.chroms)
+        return parts or [_FileChrom(None, None)]
 
-    def read(self, partition: _Chunk):
-        from covtab.sources.bigwig import _const, decode_range, open_file
+    def read(self, partition: _FileChrom):
+        from covtab.sources.bigwig import _const, decode_range, index_file, open_file
 
-        if partition.path is None or not partition.n_blocks:
+        if partition.path is None:
             return
-        names = pa.array(partition.keep_names, pa.string())
+        bounds = None if self.lo is None and self.hi is None else (self.lo, self.hi)
+        chunks = index_file(partition.path, {partition.chrom}, bounds, self.chunk_bytes,
+                            normalize=False)
         with open_file(partition.path) as f:
-            for pos, s, e, v in decode_range(f, partition.compressed, partition.ubuf,
-                                             partition.lo, partition.hi, partition.n_blocks,
-                                             partition.keep_ids):
-                chrom = pa.DictionaryArray.from_arrays(pa.array(pos), names)
-                yield pa.RecordBatch.from_arrays(
-                    [_const(partition.path, len(s)), chrom.cast(pa.string()), pa.array(s),
-                     pa.array(e), pa.array(v)],
-                    names=["file_path", "chrom", "start0", "end0", "score"])
+            for (_k, comp, ubuf, lo, hi, nb, ids, names) in chunks:
+                name_arr = pa.array(names, pa.string())
+                for pos, s, e, v in decode_range(f, comp, ubuf, lo, hi, nb, ids):
+                    chrom = pa.DictionaryArray.from_arrays(pa.array(pos), name_arr)
+                    yield pa.RecordBatch.from_arrays(
+                        [_const(partition.path, len(s)), chrom.cast(pa.string()), pa.array(s),
+                         pa.array(e), pa.array(v)],
+                        names=["file_path", "chrom", "start0", "end0", "score"])
 
 
 class BigWigDataSource(DataSource):
