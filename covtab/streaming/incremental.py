@@ -81,18 +81,22 @@ def convert_pending(spark: SparkSession, manifest: DataFrame, output: str, done_
     from covtab.sources.listing import list_bigwig_files, require_files
     from covtab.sources.manifest import check_manifest
 
+    from covtab.session import checkpoint_dir
+
     region = region or RegionSpec()
+    checkpoint_dir(spark)
+    manifest = manifest.checkpoint(eager=True)
     check_manifest(manifest)
-    files = list_bigwig_files(manifest).cache()
+    # one listing, written once: the files converted are exactly the files
+    # whose fingerprint is recorded as done
+    files = list_bigwig_files(manifest).checkpoint(eager=True)
     require_files(manifest, files)
     todo = pending_groups(manifest, files, read_done(spark, done_path), region).select(*KEYS)
-    todo_files = files.join(todo, KEYS, "left_semi")
+    todo_files = files.join(todo, KEYS, "left_semi").checkpoint(eager=True)
     if todo_files.isEmpty():
-        files.unpersist()
         return None
     result = convert_files(spark, todo_files, output, region, **kw)
     record_done(spark, done_path, todo_files, region)
-    files.unpersist()
     return result
 
 
