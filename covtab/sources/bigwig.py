@@ -130,7 +130,10 @@ def iter_blocks(span: bytes, compressed: bool, ubuf: int, n_blocks: int):
     length follows from its header (type and item count)."""
     mv = memoryview(span)
     pos = 0
-    step = max(int(ubuf), 1 << 16) + 4096
+    # feed each zlib stream about twice the average block size; the loop below
+    # extends the window for larger blocks, and the copy of ``unused_data``
+    # stays about one block long instead of a whole buffer
+    step = max(4096, 2 * (len(span) // max(1, n_blocks)))
     for _ in range(n_blocks):
         if compressed:
             d = zlib.decompressobj()
