@@ -1,3 +1,97 @@
 """DuckDB SQL for the operators' queries that SQL can express."""
 
-ORACLE: dict[str, str] = {}
+from __future__ import annotations
+
+from covtab.llm import chat, quality
+
+_STOP = ", ".join("'" + w + "'" for w in sorted(
+    {w for words in quality.STOP_WORDS.values() for w in words.split()}))
+
+
+def _rule(r: quality.Rule) -> str:
+    parts = []
+    if r.low is not None:
+        parts.append(f"100 * {r.numerator} >= {r.low} * {r.denominator}")
+    if r.high is not None:
+        parts.append(f"100 * {r.numerator} <= {r.high} * {r.denominator}")
+    return " AND ".join(parts)
+
+
+def quality_ctes(source: str) -> str:
+    """Common table expressions ending in ``judged``: the counts and verdict
+    of every row of ``source`` (a relation with ``rid``, ``doc_id``, ``text``)."""
+    n = quality.REPEAT_WINDOW
+    return f"""
+split AS (
+  SELECT rid, doc_id, coalesce(text, '') AS text,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
+         list_filter(string_split(coalesce(text, ''), chr(10)),
+                     x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+  FROM {source}),
+windows AS (
+  SELECT rid, i, words[i:i + {n - 1}] AS w
+  FROM (SELECT rid, words, unnest(range(1, len(words) - {n - 2})) AS i FROM split
+        WHERE len(words) >= {n})),
+repeated AS (
+  SELECT rid, i, lead(i) OVER (PARTITION BY rid ORDER BY i) - i AS step
+  FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, w) AS times FROM windows)
+  WHERE times > 1),
+covered AS (
+  SELECT rid, CAST(sum(least({n}, coalesce(step, {n}))) AS BIGINT) AS n FROM repeated GROUP BY rid),
+counted AS (
+  SELECT s.rid, doc_id, CAST(len(words) AS BIGINT) AS n_words,
+         CAST(coalesce(list_sum(list_transform(words, w -> length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
+           AS n_symbols,
+         CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
+         coalesce(c.n, 0) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
+         CAST(len(list_filter(words, w -> trim(lower(w), '{quality.STOP_PUNCTUATION}')
+                              IN ({_STOP}))) AS BIGINT) AS n_stop_words
+  FROM split s LEFT JOIN covered c ON s.rid = c.rid),
+based AS (
+  SELECT *, n_words < {quality.MIN_WORDS}
+            OR 100 * n_repeat_words > {quality.MAX_REPEAT_PERCENT} * n_words AS base_failed
+  FROM counted),
+judged AS (
+  SELECT *, NOT base_failed AND {" AND ".join(_rule(r) for r in quality.RULES)} AS kept FROM based)
+"""
+
+def _text(s: str) -> str:
+    return "'" + s.replace("\n", "' || chr(10) || '") + "'"
+
+
+_USER_BEFORE, _USER_AFTER = (_text(x) for x in chat.USER_HEAD.split("{}"))
+
+
+ORACLE: dict[str, str] = {
+    "op4_perspective_rotation": f"""
+WITH turns AS (
+  SELECT row_number() OVER () AS rid, conv_id, turn, coalesce(text, '') AS words,
+         CASE WHEN length(trim(role)) > 0 THEN trim(role) ELSE '{chat.UNNAMED}' END AS speaker
+  FROM conversations),
+people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
+rendered AS (
+  SELECT rid, conv_id, perspective, turn, speaker, words, speaker = perspective AS mine,
+         CASE WHEN speaker = perspective THEN {_text(chat.ASSISTANT_HEAD)}
+              WHEN speaker = 'system' THEN {_text(chat.SYSTEM_HEAD)}
+              ELSE {_USER_BEFORE} || speaker || {_USER_AFTER} END || words || {_text(chat.END)}
+           AS segment
+  FROM turns JOIN people USING (conv_id)),
+placed AS (
+  SELECT *, row_number() OVER w - 1 AS position,
+         CAST(sum(length(segment)) OVER w AS BIGINT) AS stop
+  FROM rendered
+  WINDOW w AS (PARTITION BY conv_id, perspective ORDER BY turn NULLS FIRST, speaker, words, rid
+               ROWS UNBOUNDED PRECEDING))
+SELECT conv_id, perspective, position, turn, speaker, segment,
+       CAST(stop - length(segment) AS BIGINT) AS "start", stop AS "end",
+       CAST(CASE WHEN mine THEN stop - length(words) - {len(chat.END)} ELSE stop END AS BIGINT)
+         AS mask_start, stop AS mask_end
+FROM placed
+""",
+    "op10_quality_rules": f"""
+WITH numbered AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
+{quality_ctes("numbered")}
+SELECT doc_id, {", ".join(quality.COUNTS)}, base_failed, kept FROM judged
+""",
+}

@@ -7,9 +7,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from covtab.llm import langid, secrets
+from covtab.llm.chat import rotate
 from covtab.llm.histogram import length_histogram, suffix_sums
 from covtab.llm.lexicon import build_lexicon, encode_digests
+from covtab.llm.neardup import near_duplicates
 from covtab.llm.packing import pack_documents
+from covtab.llm.quality import verdicts
 from covtab.session import ship_package
 
 
@@ -22,6 +26,10 @@ def op3_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
 
+def op4_perspective_rotation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rotate(_table(spark, sf_dir, "conversations"))
+
+
 def op5_length_histogram(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_sums(length_histogram(_table(spark, sf_dir, "documents")))
 
@@ -31,8 +39,31 @@ def op6_transducer_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_digests(docs, build_lexicon(docs))
 
 
+def op7_rank_order_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return langid.predict(docs, langid.train(docs))
+
+
+def op8_markov_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return secrets.scan(docs, secrets.train(docs))
+
+
+def op9_superminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(_table(spark, sf_dir, "documents"), shingle_words=2)
+
+
+def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return verdicts(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_lexical_packing": op3_lexical_packing,
+    "op4_perspective_rotation": op4_perspective_rotation,
     "op5_length_histogram": op5_length_histogram,
     "op6_transducer_bpe": op6_transducer_bpe,
+    "op7_rank_order_language": op7_rank_order_language,
+    "op8_markov_secrets": op8_markov_secrets,
+    "op9_superminhash": op9_superminhash,
+    "op10_quality_rules": op10_quality_rules,
 }
