@@ -26,7 +26,7 @@ split AS (
   SELECT rid, doc_id, coalesce(text, '') AS text,
          regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS words,
          list_filter(string_split(coalesce(text, ''), chr(10)),
-                     x -> regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
+                     lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS lines
   FROM {source}),
 windows AS (
   SELECT rid, i, words[i:i + {n - 1}] AS w
@@ -40,12 +40,12 @@ covered AS (
   SELECT rid, CAST(sum(least({n}, coalesce(step, {n}))) AS BIGINT) AS n FROM repeated GROUP BY rid),
 counted AS (
   SELECT s.rid, doc_id, CAST(len(words) AS BIGINT) AS n_words,
-         CAST(coalesce(list_sum(list_transform(words, w -> length(w))), 0) AS BIGINT) AS word_chars,
+         CAST(coalesce(list_sum(list_transform(words, lambda w: length(w))), 0) AS BIGINT) AS word_chars,
          CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT)
            AS n_symbols,
          CAST(len(lines) - len(list_distinct(lines)) AS BIGINT) AS n_dup_lines,
          coalesce(c.n, 0) AS n_repeat_words, CAST(len(lines) AS BIGINT) AS n_lines,
-         CAST(len(list_filter(words, w -> trim(lower(w), '{quality.STOP_PUNCTUATION}')
+         CAST(len(list_filter(words, lambda w: trim(lower(w), '{quality.STOP_PUNCTUATION}')
                               IN ({_STOP}))) AS BIGINT) AS n_stop_words
   FROM split s LEFT JOIN covered c ON s.rid = c.rid),
 based AS (

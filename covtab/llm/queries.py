@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covtab.llm import langid, secrets
+from covtab.llm import ann, langid, secrets, toxicity
 from covtab.llm.chat import rotate
 from covtab.llm.histogram import length_histogram, suffix_sums
 from covtab.llm.lexicon import build_lexicon, encode_digests
@@ -22,6 +22,15 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_string_kernel_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return toxicity.score(docs, toxicity.train(docs, _table(spark, sf_dir, "labels")))
+
+
+def op2_stable_projection_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ann.nearest(_table(spark, sf_dir, "embeddings"))
+
+
 def op3_lexical_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(_table(spark, sf_dir, "documents"))
 
@@ -58,6 +67,8 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_string_kernel_toxicity": op1_string_kernel_toxicity,
+    "op2_stable_projection_search": op2_stable_projection_search,
     "op3_lexical_packing": op3_lexical_packing,
     "op4_perspective_rotation": op4_perspective_rotation,
     "op5_length_histogram": op5_length_histogram,
