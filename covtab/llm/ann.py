@@ -194,18 +194,21 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP,
             {"query_point": "int64", "vec_id": "int64", "score": "float64"})
         if not len(p) or not len(q):
             return none
-        x, y = np.stack(p["v"].to_numpy()), np.stack(q["v"].to_numpy())
+        x, y = np.stack(p["v"].to_numpy()), np.stack(q["q_v"].to_numpy())
         best, score, _ = search(x, y, k + 1, largest, confidence, ratio)
         out = []
-        for name, vector, found in zip(q["point"].tolist(), y.tolist(), best.tolist(),
+        for name, vector, found in zip(q["q_point"].tolist(), y.tolist(), best.tolist(),
                                        strict=True):
             rows = [(-math.fsum(map(float.__mul__, vector, x[f].tolist())), i)
                     for f in found if f >= 0 for i in p["ids"].iloc[f]]
             out += [(name, i, -s) for s, i in sorted(rows)[:k + 1]]
         return pd.DataFrame(out, columns=none.columns).astype(none.dtypes)
 
-    found = (to_search.select("shard", "block", "v", "ids").groupBy("shard", "block")
-             .cogroup(queries.groupBy("shard", "block"))
+    # Both sides stem from one table: new names keep their columns apart.
+    to_search = to_search.select("shard", "block", "v", "ids")
+    queries = queries.toDF(*[f"q_{c}" for c in queries.columns])
+    found = (to_search.groupBy("shard", "block")
+             .cogroup(queries.groupBy("q_shard", "q_block"))
              .applyInPandas(find, "query_point long, vec_id long, score double"))
     # The nearest k + 1 over all shards; one of them may be the query itself.
     nearer = Window.partitionBy("query_point").orderBy(F.desc("score"), "vec_id")
