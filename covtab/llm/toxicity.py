@@ -12,7 +12,7 @@ Landmarks are the units most associated with the toxic label. The Nyström map
 turns a sentence's values into features whose inner products approximate the
 kernel, and a linear support vector machine is trained on labelled sentences:
 every sentence has its document's label, and after each fit a toxic document
-is represented by its most toxic sentence. A document's probability comes from
+is represented by its sentences that score above 0, or its best one. A document's probability comes from
 its most toxic sentence and its share of toxic ones, by logistic calibration.
 
 The training sample is bounded: about ``TRAIN_DOCS`` documents of either
@@ -278,15 +278,13 @@ def train_svm(x: np.ndarray, y: np.ndarray, weight: np.ndarray, cost: float = CO
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Coefficients of a ridge logistic regression, intercept last; the two
-    labels weigh the same."""
+    """Coefficients of a ridge logistic regression, intercept last."""
     z = np.column_stack((x, np.ones(len(x))))
-    share = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y <= 0).sum())) * len(y)
     w, ridge = np.zeros(z.shape[1]), np.eye(z.shape[1]) * 1e-2
     for _ in range(50):
         p = 1 / (1 + np.exp(-np.clip(z @ w, -30, 30)))
-        h = ridge + z.T @ (z * (share * p * (1 - p))[:, None])
-        step = np.linalg.solve(h, z.T @ (share * (y - p)) - ridge @ w)
+        h = ridge + z.T @ (z * (p * (1 - p))[:, None])
+        step = np.linalg.solve(h, z.T @ (y - p) - ridge @ w)
         w = w + step
         if np.abs(step).max() < 1e-9:
             break
@@ -304,14 +302,15 @@ class Model:
 
     def document_features(self, row: np.ndarray, values: np.ndarray, total: np.ndarray
                           ) -> np.ndarray:
-        """Per document: its highest sentence score, and how many of its
-        sentences are toxic, as such and as a share."""
+        """Per document: its highest sentence score, what of it lies beyond
+        half the margin, and how many of its sentences are toxic, as such and
+        as a share."""
         n = len(total)
         score = values @ self.alpha + self.bias
         best = np.full(n, self.bias)
         np.maximum.at(best, row, score)
         toxic = np.bincount(row, weights=score > 0, minlength=n)
-        return np.column_stack((np.clip(best, -3, 3), np.log1p(toxic),
+        return np.column_stack((np.clip(best, -3, 3), np.clip(best - 0.5, 0, 1), np.log1p(toxic),
                                 toxic / np.maximum(total, 1)))
 
     def scores(self, row: np.ndarray, values: np.ndarray, total: np.ndarray) -> np.ndarray:
@@ -334,17 +333,16 @@ def fit(landmarks: list[bytes], label: np.ndarray, doc: np.ndarray, values: np.n
     x, y_all = np.vstack((x, np.zeros((1, x.shape[1])))), np.append(y, -1.0)
     used = np.ones(len(y_all), bool)
     for _ in range(WITNESS_ROUNDS):
-        pos = max(1, (used & (y_all > 0)).sum())
-        neg = max(1, (used & (y_all < 0)).sum())
+        pos, neg = max(1, (used & (y_all > 0)).sum()), max(1, (y_all < 0).sum())
         weight = np.where(y_all > 0, 1 / pos, 1 / neg) * used.sum() / 2
         w, bias = train_svm(x[used], y_all[used], weight[used])
         score = x @ w + bias
-        used = y_all < 0
+        used = (y_all < 0) | (score > 0)
         toxic = np.flatnonzero(y > 0)
         order = toxic[np.lexsort((-score[toxic], doc[toxic]))]
         if len(order):
             used[order[np.append(True, np.diff(doc[order]) > 0)]] = True
-    model = Model(landmarks, nystrom @ w, bias, np.zeros(4))
+    model = Model(landmarks, nystrom @ w, bias, np.zeros(5))
     model.calibration = _logistic(model.document_features(doc, values, total),
                                   (label > 0).astype(float))
     return model
