@@ -8,10 +8,10 @@ connected components.
 3. Representatives that share a band share a bucket. Each bucket's leader is
    the member that shares most with all its buckets; every member is verified
    against the leader on the full sets. That is linear in the bucket.
-4. Verified links are joined to components. Pairs of a bucket that still lie
-   in different components are verified too, unless their distances to the
-   leader differ by more than a link allows: the Jaccard distance is a metric,
-   so such pairs cannot be linked. No pair of a bucket stays undecided.
+4. Verified links are joined to components. Where a bucket still holds more
+   than one, the pairs across them that could be linked come from an exact
+   join on the sets' rarest shingles, and are verified too. No pair of a bucket
+   stays undecided, and none is enumerated that cannot be linked.
 
 With the standard 32 bands of 5 values a pair of similarity 0.8 shares no
 bucket with probability 3e-6.
@@ -28,7 +28,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covtab.llm.components import connected_components
@@ -105,38 +105,69 @@ def _linked(verified: DataFrame, percent: int) -> DataFrame:
     return verified.where(F.col("shared") * 100 >= F.col("total") * percent).select("a", "b")
 
 
-def _open_pairs(members: DataFrame, verified: DataFrame, components: DataFrame,
-                percent: int) -> DataFrame:
-    """Pairs of a bucket that could still be linked: in different components,
-    neither the leader, with sizes and distances to the leader that allow it.
-    ``members``: bucket, rep, n, leader, members."""
+def _open_documents(members: DataFrame, components: DataFrame) -> DataFrame:
+    """Members of buckets that hold more than one component: ``rep``, ``c``
+    (its component) and ``outside`` (in another one than some leader).
+    ``members``: bucket, rep, leader, members."""
     comp = components.select(F.col("node").alias("rep"), "component")
     of_leader = components.select(F.col("node").alias("leader"),
                                   F.col("component").alias("leader_component"))
-    d = verified.select(F.col("a").alias("leader"), F.col("b").alias("rep"),
-                        (1 - F.col("shared") / F.col("total")).alias("d"))
     # In a bucket of two, the leader has met the only other member.
     rows = (members.where(F.col("members") > 2).where(F.col("rep") != F.col("leader"))
             .join(comp, "rep", "left").join(of_leader, "leader", "left")
-            .join(d, ["leader", "rep"])
-            .select("bucket", "rep", "n", "d", F.coalesce("component", "rep").alias("c"),
+            .select("bucket", "rep", F.coalesce("component", "rep").alias("c"),
                     F.coalesce("leader_component", "leader").alias("lc")))
     spread = (rows.groupBy("bucket").agg(F.min("c").alias("lo"), F.max("c").alias("hi"))
               .where(F.col("lo") != F.col("hi")).select("bucket"))
-    rows = staged(rows.join(spread, "bucket").distinct(), "open-buckets")
-    reach = 1 - percent / 100 + 1e-9
-    bin_ = F.floor(F.col("d") / F.lit(reach)).cast("long")
-    outside = rows.where(F.col("c") != F.col("lc")).select(
-        "bucket", F.col("rep").alias("a"), F.col("n").alias("n_a"), F.col("d").alias("d_a"),
-        F.col("c").alias("c_a"),
-        F.explode(F.array(bin_ - 1, bin_, bin_ + 1)).alias("bin"))
-    any_ = rows.select("bucket", F.col("rep").alias("b"), F.col("n").alias("n_b"),
-                       F.col("d").alias("d_b"), F.col("c").alias("c_b"),
-                       (F.col("c") == F.col("lc")).alias("inside"), bin_.alias("bin"))
-    ok = ((F.col("c_a") != F.col("c_b")) & (F.col("inside") | (F.col("a") < F.col("b")))
-          & (F.abs(F.col("d_a") - F.col("d_b")) <= reach)
-          & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent))
-    return outside.join(any_, ["bucket", "bin"]).where(ok).select("a", "b").distinct()
+    return (rows.join(spread, "bucket", "left_semi").groupBy("rep")
+            .agg(F.min("c").alias("c"), F.max(F.col("c") != F.col("lc")).alias("outside")))
+
+
+def _open_pairs(documents: DataFrame, texts: DataFrame, shingle_words: int, percent: int
+                ) -> DataFrame:
+    """Pairs ``a``, ``b`` in different components, one of them outside, that
+    could still be linked. With shingles in one order for all sets, rarest
+    first, linked sets share a shingle so early that enough others follow it
+    in both; all such pairs, and few others, come from a join on the early
+    shingles. Of two sets, the smaller one's early part is the shorter."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i, j, data, offsets in text_slices(batch.column("text")):
+                h, first = shingle_sets(data, offsets, shingle_words)
+                n = np.diff(first)
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("doc_id").slice(i, j - i).take(
+                        pa.array(np.repeat(np.arange(j - i), n))),
+                     pa.array(np.repeat(n, n)), pa.array(h.view(np.int64))],
+                    ["rep", "n", "shingle"])
+    rows = (texts.join(documents.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
+            .select("doc_id", "text").mapInArrow(run, "rep long, n long, shingle long"))
+    rows = staged(rows, "open-shingles")
+    times = rows.groupBy("shingle").agg(F.count("*").alias("times"))
+    place = F.row_number().over(Window.partitionBy("rep").orderBy("times", "shingle")) - 1
+    t = percent / 100
+
+    def rest(share: float) -> Column:
+        return F.col("n") - F.ceil(F.col("n") * share - 1e-9)
+    early = (rows.join(times, "shingle").withColumn("at", place)
+             .where(F.col("at") <= rest(t))
+             .withColumn("short", F.col("at") <= rest(2 * t / (1 + t)))
+             .join(documents, "rep"))
+    early = staged(early.select("rep", "n", "shingle", "at", "short", "c", "outside"),
+                   "early-shingles")
+
+    def side(x: str) -> DataFrame:
+        return early.select("shingle", *[F.col(c).alias(f"{c}_{x}") for c in
+                                         ("rep", "n", "at", "short", "c", "outside")])
+    least = F.ceil((F.col("n_a") + F.col("n_b")) * (t / (1 + t)) - 1e-9)
+    ok = ((F.col("c_a") != F.col("c_b")) & (~F.col("outside_b") | (F.col("rep_a") < F.col("rep_b")))
+          & (F.least("n_a", "n_b") * 100 >= F.greatest("n_a", "n_b") * percent)
+          & (F.col("n_a") - F.col("at_a") >= least) & (F.col("n_b") - F.col("at_b") >= least))
+    a, b = side("a").where("outside_a"), side("b")
+    smaller = a.where("short_a").join(b, "shingle").where(ok & (F.col("n_a") <= F.col("n_b")))
+    larger = a.join(b.where("short_b"), "shingle").where(ok & (F.col("n_a") > F.col("n_b")))
+    return (smaller.unionByName(larger)
+            .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
 
 
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
@@ -167,8 +198,9 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
     verified = staged(verify(pairs, texts, shingle_words), "verified")
     links = _linked(verified, percent)
     components = connected_components(links)
-    more = staged(_open_pairs(led, verified, components, percent), "open-pairs")
-    if more.limit(1).count():
+    open_ = staged(_open_documents(led, components), "open-documents")
+    if open_.limit(1).count():
+        more = _open_pairs(open_, texts, shingle_words, percent)
         further = _linked(verify(more, texts, shingle_words), percent)
         components = connected_components(links.unionByName(further))
     of_rep = components.select(F.col("node").alias("rep"), "component")
