@@ -66,12 +66,19 @@ def build_parser() -> argparse.ArgumentParser:
     return ap
 
 
-def main(argv: list[str] | None = None, spark=None) -> int:
-    import os
+def _print_rows(df) -> None:
+    """Every row, tab separated; rows pass the driver partition by partition."""
+    print("\t".join(df.columns))
+    for r in df.toLocalIterator():
+        print("\t".join("" if v is None else str(v) for v in r))
+
 
+def main(argv: list[str] | None = None, spark=None) -> int:
+    from pyspark.errors import PySparkException
     from pyspark.sql import functions as F
 
-    from covtab.session import build_session, ship_package
+    from covtab import paths
+    from covtab.session import build_session, checkpoint_dir, ship_package
 
     args = build_parser().parse_args(argv)
     spark = spark or build_session()
@@ -94,62 +101,65 @@ def main(argv: list[str] | None = None, spark=None) -> int:
                     from covtab.sources.manifest import planned_outputs
                     plan = planned_outputs(discover_bigwig_dirs(spark, args.input_base, args.study),
                                            args.output, region)
-                    print(f"Found {plan.count()} subdirectories with bigwig data.")
+                    print(f"{plan.count()} group(s) of study {args.study} would be converted")
                     for r in plan.orderBy("output_path").toLocalIterator():
                         print(r["plan_line"])
                     return 0
                 res = jobs.convert_study(spark, args.input_base, args.study, args.output, region)
-            if res.no_data_files:
-                print(f"Warning: {len(res.no_data_files)} BigWig file(s) had no intervals after "
-                      "filtering.", file=sys.stderr)
-            print(f"Wrote {res.rows_written} rows from {res.files} files to {res.output}")
+            if res.n_no_data:
+                print(f"Note: {res.n_no_data} input file(s) kept no interval:", file=sys.stderr)
+                for r in spark.read.parquet(res.no_data).orderBy("file_path").toLocalIterator():
+                    print(f"  {r['file_path']}", file=sys.stderr)
+            print(f"{res.rows_written} rows from {res.files} files are in {res.table}")
             return 0
         if args.cmd == "find-dirs":
             from covtab.sources.listing import discover_bigwig_dirs
             from covtab.sources.manifest import write_manifest
-            dirs = discover_bigwig_dirs(spark, args.root)
-            write_manifest(dirs, args.out)
-            print(f"Wrote {dirs.count()} rows to {args.out}")
+            checkpoint_dir(spark)
+            dirs = discover_bigwig_dirs(spark, args.root).checkpoint(eager=True)
+            write_manifest(dirs, paths.absolute(args.out))
+            print(f"{dirs.count()} directories are listed in {args.out}")
             return 0
         if args.cmd == "validate":
             from covtab.operators.validate import validate_dataset
             from covtab.region import Expectation
-            path = os.path.abspath(args.table)
-            if not os.path.exists(path):
-                print(f"FAIL: file does not exist: {path}", file=sys.stderr)
+            path = paths.absolute(args.table)
+            if not paths.exists(spark, path):
+                print(f"FAIL: no such table: {path}", file=sys.stderr)
                 return 1
             expect = Expectation(args.expected_chrom, args.expected_pos_start, args.expected_pos_end)
-            report = validate_dataset(spark, path, expect)
-            rows = report.collect()
-            for r in rows:
-                print("\t".join("" if v is None else str(v) for v in r))
-            failed = [r for r in rows if r["status"] == "FAIL"]
-            print("PASS" if not failed else f"FAIL: {len(failed)} check(s) failed",
-                  file=sys.stderr if failed else sys.stdout)
-            return 1 if failed else 0
+            report = validate_dataset(spark, path, expect).persist()
+            keys = [c for c in ("study_name", "qtl_group") if c in report.columns]
+            _print_rows(report.orderBy(*keys, "seq", "detail"))
+            n = report.filter(F.col("status") == "FAIL").count()
+            print("PASS" if not n else f"FAIL: {n} check(s) failed",
+                  file=sys.stderr if n else sys.stdout)
+            return 1 if n else 0
         if args.cmd == "inspect":
             from covtab.plans import jobs
-            if os.path.isdir(args.path):
+            if paths.is_directory(spark, paths.absolute(args.path)):
                 per_file, summary, bad = jobs.inspect_directory(spark, args.path, args.recursive)
-                summary.show(truncate=False)
-                bad.orderBy("position").show(truncate=False)
+                _print_rows(summary)
+                _print_rows(bad.orderBy("bigwig_dir", "position"))
                 return 1 if bad.limit(1).count() else 0
-            overview, first, head = jobs.inspect_files(spark, args.path, args.chrom, args.start,
-                                                       args.end, args.n)
-            overview.show(truncate=False)
-            first.orderBy("rn").show(truncate=False)
-            head.orderBy("rn").show(args.n, truncate=False)
-            return 0 if head.limit(1).count() else 1
+            overview, first, head, failures = jobs.inspect_files(
+                spark, args.path, args.chrom, args.start, args.end, args.n)
+            _print_rows(overview)
+            _print_rows(first.orderBy("rn"))
+            _print_rows(head.orderBy("rn"))
+            failed = failures.collect()  # one file
+            for r in failed:
+                print(f"FAIL: {r['file_path']}: {r['error']}", file=sys.stderr)
+            return 1 if failed else 0
         if args.cmd == "null-report":
             from covtab.plans import jobs
-            counts, rows = jobs.null_report(spark, os.path.abspath(args.table))
-            counts.show(truncate=False)
-            has_na = counts.filter(F.col("has_na")).limit(1).count() > 0
-            if has_na:
-                rows.show(truncate=False)
+            counts, rows = jobs.null_report(spark, args.table)
+            _print_rows(counts)
+            if counts.filter("has_na").limit(1).count():
+                _print_rows(rows)
             return 0
     except (ConversionError, EmptyResultError, DiscoveryError, ManifestError, ValueError,
-            FileNotFoundError) as e:
+            FileNotFoundError, PySparkException) as e:
         print(f"Error: {e}", file=sys.stderr)
         return 1
     return 2

@@ -1,14 +1 @@
-from covtab.functions.chrom import (count_rank, inspect_rank, normalize_chrom,
-                                   order_rank, try_int)
-from covtab.functions.intervals import (chrom_allowed, group_from_bigwig_dir,
-                                        nan_to_null, non_empty, one_based_end,
-                                        one_based_start, overlaps, raw_overlaps,
-                                        region_predicate, sample_id_from_path,
-                                        strand, study_from_bigwig_dir)
-
-__all__ = [
-    "count_rank", "inspect_rank", "normalize_chrom", "order_rank", "try_int",
-    "chrom_allowed", "group_from_bigwig_dir", "nan_to_null", "non_empty",
-    "one_based_end", "one_based_start", "overlaps", "raw_overlaps",
-    "region_predicate", "sample_id_from_path", "strand", "study_from_bigwig_dir",
-]
+"""Column expressions of the coverage data model: ``chrom`` and ``intervals``."""

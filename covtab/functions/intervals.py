@@ -96,10 +96,3 @@ def study_from_bigwig_dir(path: Column | str) -> Column:
 def group_from_bigwig_dir(path: Column | str) -> Column:
     """qtl_group = parent of the 'bigwig' directory."""
     return F.regexp_extract(_c(path), r"([^/]+)/([^/]+)/bigwig/?$", 2)
-
-
-__all__ = [
-    "normalize_chrom", "one_based_start", "one_based_end", "sample_id_from_path",
-    "nan_to_null", "strand", "chrom_allowed", "non_empty", "overlaps", "raw_overlaps",
-    "region_predicate", "study_from_bigwig_dir", "group_from_bigwig_dir",
-]

@@ -12,10 +12,14 @@ from pyspark.sql import functions as F
 
 from covtab.functions.chrom import normalize_chrom
 from covtab.functions.intervals import (chrom_allowed, nan_to_null, non_empty,
-                                        one_based_end, one_based_start, raw_overlaps, sample_id_from_path, strand)
+                                        one_based_end, one_based_start, raw_overlaps,
+                                        sample_id_from_path, strand)
 from covtab.region import RegionSpec
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 
+INT_MAX = 2147483647
+SAMPLE_LISTED = 20  # rows an error message shows; the full list is a table
+
 
 def convert_intervals(raw: DataFrame, region: RegionSpec | None = None,
                       keep_file_path: bool = False) -> DataFrame:
@@ -25,105 +29,88 @@ def convert_intervals(raw: DataFrame, region: RegionSpec | None = None,
     shift to 1-based (P2), drop empty intervals (F2), keep region overlaps
     (F3), then attach sample id, strand and NULL-for-NaN score (P3-P5).
     Duplicates are kept (U1, U2).
+
+    If the scan has an ``error`` column, its error rows pass through with
+    their data columns NULL, and a coordinate beyond int32 becomes an error of
+    its file, so one pass feeds both the table and the failure list (A3).
     """
     region = region or RegionSpec()
-    seq = normalize_chrom(F.col("chrom"))
+    has_errors = "error" in raw.columns
     df = raw
+    err = F.lit(False)
+    if has_errors:
+        overflow = ((F.col("start0").cast("long") + 1 > INT_MAX)
+                    | (F.col("end0").cast("long") > INT_MAX))
+        df = df.withColumn("error", F.coalesce("error", F.when(overflow, F.concat(
+            F.lit("coordinate out of int32 range on "), F.col("chrom")))))
+        err = F.col("error").isNotNull()
     pre = raw_overlaps(region)
     if pre is not None:
         # Same rows as F3 after conversion; stated on raw columns so it can
         # reach the scan (or the BigWig block index) before conversion.
-        df = df.filter(pre)
+        df = df.filter(err | pre)
+
+    def data(column):
+        return F.when(~err, column) if has_errors else column
     df = df.select(
         *[c for c in GROUP_COLUMNS if c in raw.columns],
         "file_path",
-        seq.alias("seqnames"),
-        one_based_start("start0").alias("start"),
-        one_based_end("end0").alias("end"),
+        data(normalize_chrom(F.col("chrom"))).alias("seqnames"),
+        data(one_based_start("start0")).alias("start"),
+        data(one_based_end("end0")).alias("end"),
         strand().alias("strand"),
         nan_to_null("score").alias("score"),
         sample_id_from_path("file_path").alias("sample_id"),
+        *(["error"] if has_errors else []),
     )
-    df = df.filter(chrom_allowed("seqnames", region) & non_empty())
+    df = df.filter(err | (chrom_allowed("seqnames", region) & non_empty()))
     cols = [c for c in GROUP_COLUMNS if c in raw.columns] + OUTPUT_COLUMNS
-    if keep_file_path:
-        cols = cols + ["file_path"]
-    return df.select(*cols)
+    return df.select(*cols, *(["file_path"] if keep_file_path else []),
+                     *(["error"] if has_errors else []))
 
 
 def rows_per_file(files: DataFrame, converted: DataFrame) -> DataFrame:
-    """A1: rows written per input file, zero for files with no rows.
-
-    ``files`` has one row per input file (file_path plus any keys);
-    ``converted`` must carry file_path. Counting is a partial+final hash
-    aggregate, so a hot file only ships one partial count per task.
-    """
-    counts = converted.groupBy("file_path").agg(F.count(F.lit(1)).alias("rows_written"))
-    return (files.join(counts, "file_path", "left")
-                 .withColumn("rows_written", F.coalesce("rows_written", F.lit(0).cast("long"))))
+    """A1-A3: every row of ``files`` (file_path and its group columns) with
+    ``rows_written`` (zero if it kept none) and, where ``converted`` carries
+    errors, its first ``error``. A file listed under two groups is counted for
+    each. A partial and a final hash aggregate: a hot file ships one partial
+    count per task."""
+    keys = files.columns
+    failed = F.col("error") if "error" in converted.columns else F.lit(None).cast("string")
+    counts = converted.groupBy(*keys).agg(
+        F.count_if(failed.isNull()).alias("rows_written"), F.min(failed).alias("error"))
+    match = [files[k].eqNullSafe(counts[k]) for k in keys]
+    out = (files.join(counts, match, "left")
+           .select(*[files[k] for k in keys],
+                   F.coalesce("rows_written", F.lit(0).cast("long")).alias("rows_written"),
+                   "error"))
+    return out if "error" in converted.columns else out.drop("error")
 
 
 def no_data_files(per_file: DataFrame) -> DataFrame:
     """A2: files that opened but kept no rows (a warning, not a failure)."""
-    return per_file.filter(F.col("rows_written") == 0)
+    empty = per_file.filter(F.col("rows_written") == 0)
+    return empty.filter(F.col("error").isNull()).drop("error") if "error" in per_file.columns \
+        else empty
 
 
-class ConversionError(RuntimeError):
-    """A3: at least one input could not be read; nothing was written."""
+def failed_files(per_file: DataFrame) -> DataFrame:
+    """Every file that could not be read, in path order."""
+    return (per_file.filter(F.col("error").isNotNull()).select("file_path", "error").distinct()
+            .orderBy("file_path", "error"))
 
-    def __init__(self, failures: list[tuple[str, str]]):
-        self.failures = failures
-        lines = "\n".join(f"  {p}: {e}" for p, e in failures)
-        super().__init__(f"{len(failures)} BigWig file(s) could not be opened or processed.\n"
-                         f"{lines}\nAborting without writing output.")
 
+class ConversionError(RuntimeError):
+    """A3: at least one input could not be read; nothing was written.
+    ``n_failed`` is exact, ``report`` holds the whole list (a Parquet table of
+    file_path and error), ``sample`` its first rows."""
 
-class EmptyResultError(RuntimeError):
-    """No input file contributed any row, so there is no table to publish."""
+    def __init__(self, n_failed: int, report: str, sample: list[tuple[str, str]]):
+        self.n_failed, self.report, self.sample = n_failed, report, sample
+        shown = "\n".join(f"  {p}: {e}" for p, e in sample)
+        super().__init__(f"{n_failed} input file(s) are unreadable, so nothing was published. "
+                         f"All of them are listed in {report}; the first {len(sample)}:\n{shown}")
 
 
-def convert_keeping_errors(raw: DataFrame, region: RegionSpec | None = None) -> DataFrame:
-    """``convert_intervals`` for a scan that carries error rows: error rows
-    pass through (data columns NULL) so one pass over the input feeds both the
-    published rows and the failure list (A3)."""
-    region = region or RegionSpec()
-    err = F.col("error").isNotNull()
-    df = raw
-    pre = raw_overlaps(region)
-    if pre is not None:
-        df = df.filter(err | pre)
-    # P5: a coordinate beyond int32 makes its file fail (listed by the gate)
-    # rather than aborting the whole job or wrapping around.
-    int_max = 2147483647
-    overflow = (F.col("start0").cast("long") + 1 > int_max) | (F.col("end0").cast("long") > int_max)
-    df = df.withColumn("error", F.coalesce(
-        F.col("error"),
-        F.when(overflow, F.concat(F.lit("coordinate out of int32 range on "), F.col("chrom")))))
-    err = F.col("error").isNotNull()
-    df = df.select(
-        *[c for c in GROUP_COLUMNS if c in raw.columns],
-        "file_path",
-        F.when(~err, normalize_chrom(F.col("chrom"))).alias("seqnames"),
-        F.when(~err, one_based_start("start0")).alias("start"),
-        F.when(~err, one_based_end("end0")).alias("end"),
-        strand().alias("strand"),
-        nan_to_null("score").alias("score"),
-        sample_id_from_path("file_path").alias("sample_id"),
-        "error",
-    )
-    return df.filter(err | (chrom_allowed("seqnames", region) & non_empty()))
-
-
-def kept_rows_per_file(raw: DataFrame, region: RegionSpec | None = None) -> DataFrame:
-    """A1 in one aggregate when the raw scan lists every file (as a scan with
-    one row per interval does): per file, the number of intervals the
-    conversion keeps — a conditional count, so files keeping nothing show 0
-    without a join against a separate file list."""
-    region = region or RegionSpec()
-    seq = normalize_chrom(F.col("chrom"))
-    kept = chrom_allowed(seq, region) & (F.col("end0") >= F.col("start0") + 1)
-    pre = raw_overlaps(region)
-    if pre is not None:
-        kept = kept & pre
-    keys = ["file_path"] + [c for c in GROUP_COLUMNS if c in raw.columns]
-    return raw.groupBy(*keys).agg(F.count_if(kept).alias("rows_written"))
+class EmptyResultError(RuntimeError):
+    """An input group contributed no row, so it has no table to publish."""

@@ -26,9 +26,12 @@ def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple
         F.count(F.lit(1)).alias("total_files"),
         F.count_if("ok").alias("readable"),
         F.count_if(~F.col("ok")).alias("unreadable"))
-    w = Window.partitionBy(dir_col).orderBy(F.split("file_path", "/"))   # component order
-    bad = (df.withColumn("position", F.row_number().over(w))
-             .filter(~F.col("ok"))
+    # Only narrow keys are ranked, in component order.
+    w = Window.partitionBy(dir_col).orderBy("parts")
+    place = (df.select(dir_col, "file_path", F.split("file_path", "/").alias("parts"))
+             .withColumn("position", F.row_number().over(w)).drop("parts"))
+    bad = (df.filter(~F.col("ok")).select(dir_col, "file_path", "message")
+             .join(place, [dir_col, "file_path"])
              .select(dir_col, "position", "file_path",
                      F.substring_index("file_path", "/", -1).alias("file_name"), "message"))
     return summary, bad
@@ -108,7 +111,7 @@ def file_overview(files: DataFrame, sizes: DataFrame) -> DataFrame:
 
 
 def na_rows(df: DataFrame, group_cols: list[str] = GROUP_COLUMNS, n: int = 5,
-            order_cols: list[str] | None = None) -> DataFrame:
+            order_cols: list | None = None) -> DataFrame:
     """Per table, the first ``n`` rows with a NULL (or NaN score), in
     ``order_cols`` order (physical order when file_path/row_index are given)."""
     types = dict(df.dtypes)

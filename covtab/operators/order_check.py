@@ -3,19 +3,20 @@
 Rule (per table): over rows in physical order, the chromosome rank (P6) never
 decreases, and within equal rank the start never decreases. Reports the counts
 of both violation kinds and the first violating row (1-based, over the table's
-files in path order).
+files in order).
 
-Plan, with no shuffle of the rows themselves:
+Plan, one scan and no shuffle of the rows themselves:
 
-1. Scan tasks sort their own rows by (file, row_index) — a local sort of data
-   that is already in that order — and ``mapInArrow`` turns each contiguous run
-   of rows into ONE summary row: first/last (rank, start), row count, violation
-   counts inside the run and the first violation. Only these summaries (about
-   one per input split) are shuffled.
-2. Runs of one file are stitched with a window over (table, file) ordered by
+1. ``mapInArrow`` turns each contiguous run of rows of a scan task into ONE
+   summary row: first/last (rank, start), row count, violation counts inside
+   the run and the first violation. Rows carry two hashes of their file's path;
+   the path itself and the group columns only come with a file's row 0. Only
+   the summaries (about one per input split) are shuffled.
+2. Runs of one file are stitched with a window over the file ordered by
    first row: the boundary between two runs is one more comparison.
 3. Files of one table are stitched with a window over the per-table file list
-   ordered by path, which also yields each file's row offset.
+   in file order (directory, then the part number as a number), which also
+   yields each file's row offset.
 
 ``row_index`` must be dense (0..n-1) within a file, as Parquet's
 ``_metadata.row_index`` is; the check compares each row with its predecessor.
@@ -35,19 +36,19 @@ KIND_RANK = "rank"
 KIND_START = "start"
 
 
-def _segment_schema(key_type: str) -> str:
-    return (f"file_key {key_type}, first_row long, last_row long, n long, "
-            "first_rank int, first_start long, last_rank int, last_start long, "
-            "rank_dec long, start_dec long, first_bad_row long, first_bad_kind string")
+_SEGMENTS = ("key1 long, key2 long, first_row long, last_row long, n long, first_rank int, "
+             "first_start long, last_rank int, last_start long, rank_dec long, start_dec long, "
+             "first_bad_row long, first_bad_kind string, file struct<{}>")
 
 
 class _Runs:
     """Accumulates run summaries across the Arrow batches of one task.
-    A run is [file_key, first_row, last_row, n, first_rank, first_start,
-    last_rank, last_start, rank_dec, start_dec, first_bad_row, first_bad_kind]."""
+    A run is [key1, key2, first_row, last_row, n, first_rank, first_start,
+    last_rank, last_start, rank_dec, start_dec, first_bad_row, first_bad_kind,
+    file]."""
 
-    def __init__(self, key_type: pa.DataType):
-        self.key_type = key_type
+    def __init__(self, file_type: pa.DataType):
+        self.file_type = file_type
         self.open = None          # the run that may continue into the next batch
         self.closed = []
 
@@ -57,25 +58,23 @@ class _Runs:
             self.open = None
 
     def table(self) -> pa.Table:
-        rows = self.closed
-        self.closed = []
-        names = ["file_key", "first_row", "last_row", "n", "first_rank", "first_start",
-                 "last_rank", "last_start", "rank_dec", "start_dec", "first_bad_row",
-                 "first_bad_kind"]
-        types = [self.key_type, pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int64(),
-                 pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.string()]
-        cols = [pa.array([r[i] for r in rows], type=t) for i, t in enumerate(types)]
-        return pa.Table.from_arrays(cols, names=names)
+        rows, self.closed = self.closed, []
+        names = [x.split()[0] for x in _SEGMENTS.split(", ")]
+        types = [*[pa.int64()] * 5, pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4,
+                 pa.string(), self.file_type]
+        return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=t)
+                                     for i, t in enumerate(types)], names=names)
 
 
-def _summarise(batches, key_type: pa.DataType):
-    runs = _Runs(key_type)
+def _summarise(batches, file_type: pa.DataType):
+    runs = _Runs(file_type)
     for batch in batches:
         n = batch.num_rows
         if n == 0:
             continue
-        fk = batch.column("file_key")
-        codes = pc.dictionary_encode(fk).indices.to_numpy(zero_copy_only=False)
+        k1 = batch.column("key1").to_numpy(zero_copy_only=False)
+        k2 = batch.column("key2").to_numpy(zero_copy_only=False)
+        named = batch.column("file")
         ri = batch.column("row_index").to_numpy(zero_copy_only=False).astype(np.int64)
         rk = batch.column("rank").to_numpy(zero_copy_only=False).astype(np.int32)
         st_arr = batch.column("start")
@@ -83,17 +82,18 @@ def _summarise(batches, key_type: pa.DataType):
         st = pc.fill_null(st_arr, 0).to_numpy(zero_copy_only=False).astype(np.int64)
 
         cont = np.empty(n, dtype=bool)
-        cont[1:] = (codes[1:] == codes[:-1]) & (ri[1:] == ri[:-1] + 1)
+        cont[1:] = (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1]) & (ri[1:] == ri[:-1] + 1)
         o = runs.open
-        cont[0] = o is not None and o[0] == fk[0].as_py() and int(ri[0]) == o[2] + 1
+        cont[0] = (o is not None and o[0] == k1[0] and o[1] == k2[0]
+                   and int(ri[0]) == o[3] + 1)
         prev_rk = np.empty(n, dtype=np.int32)
         prev_st = np.empty(n, dtype=np.int64)
         prev_valid = np.empty(n, dtype=bool)
         prev_rk[1:], prev_st[1:], prev_valid[1:] = rk[:-1], st[:-1], st_valid[:-1]
         if cont[0]:
-            prev_rk[0] = o[6]
-            prev_valid[0] = o[7] is not None
-            prev_st[0] = o[7] if o[7] is not None else 0
+            prev_rk[0] = o[7]
+            prev_valid[0] = o[8] is not None
+            prev_st[0] = o[8] if o[8] is not None else 0
         else:
             prev_rk[0], prev_st[0], prev_valid[0] = 0, 0, False
         v_rank = cont & (rk < prev_rk)
@@ -121,19 +121,20 @@ def _summarise(batches, key_type: pa.DataType):
             last_start = int(st[b - 1]) if st_valid[b - 1] else None
             if continues:
                 o = runs.open
-                o[2] = int(ri[b - 1])                 # last_row
-                o[3] += b - a                         # n
-                o[6] = int(rk[b - 1])                 # last_rank
-                o[7] = last_start                     # last_start
-                o[8] += nr
-                o[9] += ns
-                if o[10] is None and fb_row is not None:
-                    o[10], o[11] = fb_row, fb_kind
+                o[3] = int(ri[b - 1])                 # last_row
+                o[4] += b - a                         # n
+                o[7] = int(rk[b - 1])                 # last_rank
+                o[8] = last_start                     # last_start
+                o[9] += nr
+                o[10] += ns
+                if o[11] is None and fb_row is not None:
+                    o[11], o[12] = fb_row, fb_kind
             else:
                 runs.close()
-                runs.open = [fk[a].as_py(), int(ri[a]), int(ri[b - 1]), b - a,
+                runs.open = [int(k1[a]), int(k2[a]), int(ri[a]), int(ri[b - 1]), b - a,
                              int(rk[a]), int(st[a]) if st_valid[a] else None,
-                             int(rk[b - 1]), last_start, nr, ns, fb_row, fb_kind]
+                             int(rk[b - 1]), last_start, nr, ns, fb_row, fb_kind,
+                             named[a].as_py() if ri[a] == 0 else None]
         if len(runs.closed) >= 4096:
             yield from runs.table().to_batches()
     runs.close()
@@ -141,50 +142,49 @@ def _summarise(batches, key_type: pa.DataType):
         yield from runs.table().to_batches()
 
 
-def run_summaries(rows: DataFrame, file_key: F.Column, key_type: str) -> DataFrame:
-    """Stage 1: one summary row per contiguous run of rows in a scan task.
-    Only (file key, row index, rank, start) cross into Python."""
+def run_summaries(rows: DataFrame, group_cols: list[str], in_order: bool) -> DataFrame:
+    """Stage 1: one summary row per contiguous run of rows in a scan task."""
+    named = F.struct(F.col("file_path"), *[F.col(c).cast("string").alias(c) for c in group_cols])
     prepared = rows.select(
-        file_key.alias("file_key"),
+        F.xxhash64("file_path").alias("key1"), F.xxhash64(F.lit(1), "file_path").alias("key2"),
         F.col("row_index").cast("long").alias("row_index"),
-        order_rank("seqnames").alias("rank"),
-        F.col("start").cast("long").alias("start"),
-    ).sortWithinPartitions("file_key", "row_index")
-    arrow_type = pa.int64() if key_type == "long" else pa.string()
-    return prepared.mapInArrow(lambda it: _summarise(it, arrow_type), _segment_schema(key_type))
-
-
-def file_keys(rows: DataFrame, group_cols: list[str]) -> tuple[DataFrame, F.Column, str]:
-    """The file table (file_path, group columns, file_key) and the key
-    expression for the rows. The key is xxhash64(file_path) — 8 bytes per row
-    into Python instead of the path — unless two files of this input share a
-    hash, in which case the path itself is the key (exact either way). On a
-    Parquet scan the file table is a metadata-only read."""
-    files = rows.select("file_path", *group_cols).distinct()
-    hashed = F.xxhash64(F.col("file_path"))
-    collide = (files.select("file_path").distinct().groupBy(hashed.alias("h")).count()
-                    .filter(F.col("count") > 1).limit(1).count() > 0)
-    if collide:
-        return files.withColumn("file_key", F.col("file_path")), F.col("file_path"), "string"
-    return files.withColumn("file_key", hashed), hashed, "long"
+        order_rank("seqnames").alias("rank"), F.col("start").cast("long").alias("start"),
+        F.when(F.col("row_index") == 0, named).alias("file"))
+    if not in_order:
+        prepared = prepared.sortWithinPartitions("key1", "key2", "row_index")
+    fields = ["file_path", *group_cols]
+    file_type = pa.struct([(c, pa.string()) for c in fields])
+    return prepared.mapInArrow(lambda it: _summarise(it, file_type), _SEGMENTS.format(
+        ", ".join(f"{c}: string" for c in fields)))
+
+
+def file_order(path: str = "file_path") -> list[F.Column]:
+    """Sort keys that put part files in their order: by directory, then by the
+    part number as a number (names are wider from 100,000 parts on), then by
+    name."""
+    return [F.regexp_extract(path, "^(.*)/[^/]*$", 1),
+            F.regexp_extract(path, r"/part-(\d+)[^/]*$", 1).try_cast("long"), F.col(path)]
 
 
 def _kind_struct(row: F.Column, kind: F.Column) -> F.Column:
     return F.when(row.isNotNull(), F.struct(row.alias("row"), kind.alias("kind")))
 
 
-def check_row_order(rows: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
+def check_row_order(rows: DataFrame, group_cols: list[str] | None = None,
+                    in_order: bool = False) -> DataFrame:
     """W1 for every table in ``rows`` (columns: group_cols, file_path,
     row_index, seqnames, start; the group columns are constant per file, as
-    partition columns are). One output row per table:
+    partition columns are). ``in_order`` promises that every task gets its rows
+    in order, as a Parquet scan does. One output row per table:
     rows_checked, rank_decreases, start_decreases, first_bad_row (1-based),
     first_bad_kind ('rank' | 'start'), first_bad_file, ok."""
     g = list(group_cols or [])
-    files_map, key, key_type = file_keys(rows, g)
-    segs = run_summaries(rows, key, key_type).join(files_map, "file_key").drop("file_key")
+    of_file = Window.partitionBy("key1", "key2")
+    segs = (run_summaries(rows, g, in_order).withColumn("file", F.max("file").over(of_file))
+            .select("*", "file.*").drop("file"))
 
     # 2. runs within a file
-    w_run = Window.partitionBy(*g, "file_path").orderBy("first_row")
+    w_run = Window.partitionBy("key1", "key2").orderBy("first_row")
     p_rank = F.lag("last_rank").over(w_run)
     p_start = F.lag("last_start").over(w_run)
     segs = (segs.withColumn("b_rank", p_rank.isNotNull() & (F.col("first_rank") < p_rank))
@@ -194,7 +194,7 @@ def check_row_order(rows: DataFrame, group_cols: list[str] | None = None) -> Dat
     seg_first = F.least(
         _kind_struct(F.col("first_bad_row"), F.col("first_bad_kind")),
         _kind_struct(F.when(b_kind.isNotNull(), F.col("first_row")), b_kind))
-    files = segs.groupBy(*g, "file_path").agg(
+    files = segs.groupBy("key1", "key2", *g, "file_path").agg(
         F.sum("n").alias("n"),
         (F.sum("rank_dec") + F.count_if("b_rank")).alias("rank_dec"),
         (F.sum("start_dec") + F.count_if("b_start")).alias("start_dec"),
@@ -206,8 +206,8 @@ def check_row_order(rows: DataFrame, group_cols: list[str] | None = None) -> Dat
         F.min("first_row").alias("min_row"),
     )
 
-    # 3. files within a table (path order), with each file's row offset
-    w_file = Window.partitionBy(*g).orderBy("file_path")
+    # 3. files within a table, with each file's row offset
+    w_file = Window.partitionBy(*g).orderBy(*file_order())
     pf_rank = F.lag("last_rank").over(w_file)
     pf_start = F.lag("last_start").over(w_file)
     files = (files

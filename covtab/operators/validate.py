@@ -1,16 +1,24 @@
-"""Output-table validation (J6): integrity counts (A6-A9, A11-A14) in one
-aggregate pass, per-chromosome counts (A10), the NA report (A15) and the
-assembled report (D8). Every function validates all (study, group) tables of a
-DataFrame at once; pass ``group_cols=[]`` for a single table."""
+"""Output-table validation (J6): integrity counts (A6-A9, A11-A14),
+per-chromosome counts (A10), the NA report (A15), the schema of every published
+file (W2), row order (W1) and the assembled report (D8). Every function
+validates all (study, group) tables of a DataFrame at once; pass
+``group_cols=[]`` for a single table."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Iterator
+
+import pandas as pd
+from pyspark import StorageLevel
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from covtab import paths
 from covtab.functions.chrom import count_rank
+from covtab.operators.order_check import check_row_order
 from covtab.region import Expectation
-from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS, STRAND
+from covtab.schema import COVERAGE_SCHEMA, GROUP_COLUMNS, OUTPUT_COLUMNS, STRAND, schema_problems
 
 
 def _any_null(cols) -> F.Column:
@@ -77,137 +85,175 @@ def na_report(df: DataFrame, group_cols: list[str] = GROUP_COLUMNS,
 
 # ------------------------------------------------------------------ J6 report
 
-def _profile_counts(rows: DataFrame, expect: Expectation, g: list[str], single: bool) -> DataFrame:
-    """ONE aggregate chain over the rows for the integrity counts, the number
-    of samples and the per-chromosome list: rows -> (table, seqnames,
-    sample_id) [map-side combined] -> (table, seqnames) with the set of its
-    samples [bounded by the sample count] -> table."""
+def _profile(rows: DataFrame, expect: Expectation, g: list[str]) -> DataFrame:
+    """The one pass over the rows: counts by (table, chromosome, sample),
+    combined on the map side."""
     c = F.col
-    prof = rows.groupBy(*g, "seqnames", "sample_id").agg(
+    no = F.lit(0).cast("long")
+    return rows.groupBy(*g, "seqnames", "sample_id").agg(
         F.count(F.lit(1)).alias("n"),
         F.count_if(_any_null(OUTPUT_COLUMNS)).alias("null_rows"),
         F.count_if((c("start") < 1) | (c("end") < c("start"))).alias("bad_intervals"),
         F.count_if(c("strand") != F.lit(STRAND)).alias("bad_strand"),
         (F.count_if(c("end") < F.lit(expect.pos_start)) if expect.pos_start is not None
-         else F.lit(0).cast("long")).alias("end_before"),
+         else no).alias("end_before"),
         (F.count_if(c("start") > F.lit(expect.pos_end)) if expect.pos_end is not None
-         else F.lit(0).cast("long")).alias("start_after"))
-    per_chrom = prof.groupBy(*g, "seqnames").agg(
-        F.sum("n").alias("n"), F.sum("null_rows").alias("null_rows"),
-        F.sum("bad_intervals").alias("bad_intervals"), F.sum("bad_strand").alias("bad_strand"),
-        F.sum("end_before").alias("end_before"), F.sum("start_after").alias("start_after"),
-        F.collect_set("sample_id").alias("samples"))
-    zero = F.lit(0).cast("long")
+         else no).alias("start_after"))
+
+
+def _table_counts(profile: DataFrame, expect: Expectation, g: list[str]) -> DataFrame:
+    """One row per table. Samples are counted in two steps, never gathered."""
+    c = F.col
     none = F.lit(None).cast("long")
 
     def total(col):
-        return F.coalesce(F.sum(col), zero)
+        return F.coalesce(F.sum(col), F.lit(0).cast("long"))
+    counts = (profile.groupBy(*g) if g else profile).agg(
+        total("n").alias("row_count"), total("null_rows").alias("null_rows"),
+        total("bad_intervals").alias("bad_intervals"), total("bad_strand").alias("bad_strand"),
+        (total(F.when(c("seqnames") != F.lit(expect.chrom), c("n")))
+         if expect.chrom is not None else none).alias("off_chrom"),
+        (total("end_before") if expect.pos_start is not None else none).alias("before_bound"),
+        (total("start_after") if expect.pos_end is not None else none).alias("after_bound"))
+    each = profile.filter(c("sample_id").isNotNull()).groupBy(*g, "sample_id").agg(
+        F.lit(1).alias("one"))
+    samples = (each.groupBy(*g) if g else each).agg(F.count("*").alias("n_samples"))
+    return _one_table(counts, g).join(_one_table(samples, g), g or ["_table"], "left").withColumn(
+        "n_samples", F.coalesce("n_samples", F.lit(0).cast("long")))
 
-    aggs = [
-        total("n").alias("row_count"),
-        total("null_rows").alias("null_rows"),
-        total("bad_intervals").alias("bad_intervals"),
-        total("bad_strand").alias("bad_strand"),
-        (total(F.when(c("seqnames") != F.lit(expect.chrom), c("n"))) if expect.chrom is not None
-         else none).alias("off_chrom"),
-        (total("end_before") if expect.pos_start is not None else none).alias("end_before_start_bound"),
-        (total("start_after") if expect.pos_end is not None else none).alias("start_after_end_bound"),
-        F.size(F.array_distinct(F.flatten(F.collect_list("samples")))).cast("long").alias("n_samples"),
-        F.array_sort(F.collect_list(F.struct(count_rank("seqnames").alias("chrom_rank"),
-                                             "seqnames", "n"))).alias("cs"),
-    ]
-    if single:
-        return per_chrom.agg(*aggs).withColumn("_table", F.lit(""))
-    return per_chrom.groupBy(*g).agg(*aggs)
+
+def _one_table(rows: DataFrame, g: list[str]) -> DataFrame:
+    """Without group columns, a constant key: joins stay equi-joins, and the
+    global aggregates still report an empty table."""
+    return rows if g else rows.withColumn("_table", F.lit(""))
 
 
 class ValidationError(AssertionError):
     pass
 
 
-def _status(bad: F.Column) -> F.Column:
-    return F.when(bad.isNull(), F.lit("SKIP")).when(bad > 0, F.lit("FAIL")).otherwise(F.lit("OK"))
+CHECKS = ["schema", "row_count", "no_nulls", "valid_intervals", "strand", "chromosomes",
+          "expected_chrom", "expected_pos_start", "expected_pos_end", "samples", "row_order"]
+SCHEMA_OK = "every file has the columns and types of the coverage table"
 
 
 def validation_report(rows: DataFrame, expect: Expectation | None = None,
-                      group_cols: list[str] = GROUP_COLUMNS,
-                      schema_problems: list[str] | None = None) -> DataFrame:
-    """J6 as a DataFrame: for every table, the checks in the original order
-    (schema, rows > 0, NULLs, intervals, strand, chromosome list, expected
-    chromosome, expected bounds, samples, physical row order) with status
-    OK / INFO / FAIL / SKIP. ``rows`` must carry file_path and row_index
-    (see ``sinks.coverage_parquet.physical_rows``) for the row-order check.
-    Three jobs: one aggregate, one group-by, one row-order check."""
-    from covtab.operators.order_check import check_row_order
-
+                      group_cols: list[str] = GROUP_COLUMNS, in_order: bool = False) -> DataFrame:
+    """J6 as a DataFrame: for every table, the checks in the order of
+    ``CHECKS`` with status OK / INFO / FAIL / SKIP; ``chromosomes`` has a row
+    for each chromosome. ``rows`` must carry file_path and row_index. Two
+    passes over the rows: the profile and the row order."""
     expect = expect or Expectation()
     g = list(group_cols)
-    single = not g
-    order = check_row_order(rows, g)
-    if single:
-        # one table: a constant key keeps every join an equi-join, and the
-        # global aggregate still reports an empty table (row_count = 0)
-        g = ["_table"]
-        order = order.withColumn("_table", F.lit(""))
-        rows = rows.withColumn("_table", F.lit(""))
-    counts = _profile_counts(rows, expect, g, single).withColumn(
-        "chroms", F.concat_ws(", ", F.transform(
-            "cs", lambda s: F.concat(s["seqnames"], F.lit(":"), s["n"].cast("string")))))
-    j = counts.join(order, g, "left")
-    schema_bad = len(schema_problems or [])
-    schema_detail = "; ".join(schema_problems or []) or "schema and column order match"
-    c = F.col
-    entries = [
-        (1, "schema", F.lit(schema_bad).cast("long"), F.lit(schema_detail)),
-        (2, "row_count", F.when(c("row_count") > 0, 0).otherwise(1).cast("long"),
-         F.concat(F.lit("row count = "), c("row_count").cast("string"))),
-        (3, "no_nulls", c("null_rows"), F.lit("rows with NULLs in required columns")),
-        (4, "valid_intervals", c("bad_intervals"), F.lit("start < 1 or end < start")),
-        (5, "strand", c("bad_strand"), F.lit("strand is not '*'")),
-        (6, "chromosomes", F.lit(None).cast("long"), c("chroms")),
-        (7, "expected_chrom", c("off_chrom"), F.lit(f"rows not on chromosome {expect.chrom}")),
-        (8, "expected_pos_start", c("end_before_start_bound"),
-         F.lit(f"rows ending before {expect.pos_start}")),
-        (9, "expected_pos_end", c("start_after_end_bound"),
-         F.lit(f"rows starting after {expect.pos_end}")),
-        (10, "samples", F.lit(None).cast("long"),
-         F.concat(F.lit("distinct sample_id count = "), c("n_samples").cast("string"))),
-        (11, "row_order", c("rank_decreases") + c("start_decreases"),
-         F.when(c("ok"), F.concat(F.lit("nondecreasing by chromosome then start ("),
-                                  c("rows_checked").cast("string"), F.lit(" rows checked)")))
-          .otherwise(F.concat(F.lit("first violation at row "), c("first_bad_row").cast("string"),
-                              F.lit(": "), c("first_bad_kind"), F.lit(" decreased")))),
-    ]
-    structs = []
-    for seq, name, bad, detail in entries:
-        status = (F.lit("INFO") if name in ("chromosomes", "samples") else _status(bad))
-        structs.append(F.struct(F.lit(seq).alias("seq"), F.lit(name).alias("check"),
-                                status.alias("status"), bad.alias("n_bad"),
-                                detail.alias("detail")))
-    out = j.select(*g, F.explode(F.array(*structs)).alias("r")).select(*g, "r.*")
-    return out.drop("_table") if single else out
-
-
-def validate_dataset(spark, path: str, expect: Expectation | None = None,
-                     group_cols: list[str] | None = None, raise_on_fail: bool = False) -> DataFrame:
-    """J6 on a written dataset: a single table (part files under ``path``) or
-    a partitioned one (study_name=/qtl_group= directories)."""
-    from covtab.schema import PARTITIONED_COVERAGE_SCHEMA, schema_problems as w2
-
-    probe = spark.read.parquet(path)
-    partitioned = all(c in probe.columns for c in GROUP_COLUMNS)
-    g = list(group_cols) if group_cols is not None else (GROUP_COLUMNS if partitioned else [])
-    problems = w2(probe.select(*[c for c in probe.columns if c not in GROUP_COLUMNS]).schema)
-    if problems and raise_on_fail:
-        raise ValidationError("; ".join(problems))
-    reader = spark.read.schema(PARTITIONED_COVERAGE_SCHEMA) if partitioned else spark.read
-    df = reader.parquet(path)
-    rows = df.select(*g, *OUTPUT_COLUMNS,
-                     F.col("_metadata.file_path").alias("file_path"),
+    profile = _profile(rows, expect, g).persist(StorageLevel.MEMORY_AND_DISK)
+    counts = _table_counts(profile, expect, g)
+    order = check_row_order(rows, g, in_order)
+    t = counts.join(_one_table(order, g), g or ["_table"], "left")
+    c, none = F.col, F.lit(None).cast("long")
+    in_order_text = F.concat(F.lit("in order over "), c("rows_checked").cast("string"),
+                             F.lit(" rows"))
+    broken = F.concat(F.lit("the "), c("first_bad_kind"), F.lit(" falls first at row "),
+                      c("first_bad_row").cast("string"))
+    entries = {
+        "schema": (F.lit(0).cast("long"), F.lit(SCHEMA_OK)),
+        "row_count": (F.when(c("row_count") > 0, 0).otherwise(1).cast("long"),
+                      F.concat(c("row_count").cast("string"), F.lit(" rows"))),
+        "no_nulls": (c("null_rows"), F.lit("rows with a NULL")),
+        "valid_intervals": (c("bad_intervals"), F.lit("rows that start before 1 or end too early")),
+        "strand": (c("bad_strand"), F.lit("rows on another strand than *")),
+        "expected_chrom": (c("off_chrom"), F.lit(f"rows off chromosome {expect.chrom}")),
+        "expected_pos_start": (c("before_bound"), F.lit(f"rows ending before {expect.pos_start}")),
+        "expected_pos_end": (c("after_bound"), F.lit(f"rows starting after {expect.pos_end}")),
+        "samples": (none, F.concat(c("n_samples").cast("string"), F.lit(" samples"))),
+        "row_order": (c("rank_decreases") + c("start_decreases"),
+                      F.when(c("ok"), in_order_text).otherwise(broken)),
+    }
+    structs = [F.struct(F.lit(CHECKS.index(name) + 1).alias("seq"), F.lit(name).alias("check"),
+                        _status(name, bad).alias("status"), bad.alias("n_bad"),
+                        detail.alias("detail")) for name, (bad, detail) in entries.items()]
+    checks = t.select(*g, F.explode(F.array(*structs)).alias("r")).select(*g, "r.*")
+    chroms = profile.groupBy(*g, "seqnames").agg(F.sum("n").alias("n")).select(
+        *g, F.lit(CHECKS.index("chromosomes") + 1).alias("seq"),
+        F.lit("chromosomes").alias("check"), F.lit("INFO").alias("status"), none.alias("n_bad"),
+        F.concat(F.coalesce("seqnames", F.lit("NULL")), F.lit(":"), c("n").cast("string"))
+        .alias("detail"))
+    return checks.unionByName(chroms)
+
+
+def _status(name: str, bad: F.Column) -> F.Column:
+    if name == "samples":
+        return F.lit("INFO")
+    return F.when(bad.isNull(), F.lit("SKIP")).when(bad > 0, F.lit("FAIL")).otherwise(F.lit("OK"))
+
+
+def physical_rows(spark: SparkSession, path: str) -> DataFrame:
+    """Rows of a published table or dataset with their physical position:
+    the group columns it has, file and 0-based row index."""
+    grouped = any(x.startswith(f"{GROUP_COLUMNS[0]}=") for x in paths.children(spark, path))
+    fields = [*COVERAGE_SCHEMA.fields,
+              *[T.StructField(c, T.StringType()) for c in GROUP_COLUMNS if grouped]]
+    df = spark.read.schema(T.StructType(fields)).parquet(path)
+    return df.select(*[f.name for f in fields], F.col("_metadata.file_path").alias("file_path"),
                      F.col("_metadata.row_index").alias("row_index"))
-    report = validation_report(rows, expect, g, problems)
+
+
+# The column types of the coverage table as Parquet readers name them.
+_ARROW_TYPES = {"string": T.StringType(), "large_string": T.StringType(),
+                "int32": T.IntegerType(), "int64": T.LongType(), "double": T.DoubleType(),
+                "float": T.FloatType()}
+
+
+def _footer_problems(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow.parquet as pq
+
+    from covtab.sources.bigwig import open_file
+    for pdf in batches:
+        out = []
+        for path in pdf["file_path"]:
+            with open_file(path) as f:
+                found = pq.read_schema(f)
+            schema = T.StructType([T.StructField(x.name, _ARROW_TYPES.get(str(x.type), T.NullType()))
+                                   for x in found])
+            problems = schema_problems(schema)
+            if problems:
+                out.append((path, "; ".join(problems)))
+        yield pd.DataFrame(out, columns=["file_path", "problem"])
+
+
+def footer_problems(spark: SparkSession, path: str) -> DataFrame:
+    """``file_path``, ``problem`` of every published file whose footer has
+    other columns, another order or other types; read by the executors."""
+    files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
+             .option("pathGlobFilter", "*.parquet").load(path)
+             .select(F.col("path").alias("file_path")))
+    return (files.repartition(max(1, spark.sparkContext.defaultParallelism))
+            .mapInPandas(_footer_problems, "file_path string, problem string"))
+
+
+def validate_dataset(spark: SparkSession, path: str, expect: Expectation | None = None,
+                     raise_on_fail: bool = False) -> DataFrame:
+    """J6 on a written dataset: one table (part files or chromosome directories
+    under ``path``) or a region's root with (study, group) directories. With a
+    file of another schema only that check has a verdict (FAIL, one row); the
+    others are SKIPped, since the rows cannot be read as coverage."""
+    path = paths.absolute(path)
+    wrong = footer_problems(spark, path).agg(
+        F.count("*").alias("n"), F.min(F.concat_ws(": ", "file_path", "problem")).alias("first")
+    ).first()
+    rows = physical_rows(spark, path)
+    g = [c for c in GROUP_COLUMNS if c in rows.columns]
+    if wrong["n"]:
+        found = [(k + 1, name, "FAIL" if name == "schema" else "SKIP",
+                  wrong["n"] if name == "schema" else None,
+                  f"{wrong['n']} file(s), such as {wrong['first']}" if name == "schema" else None)
+                 for k, name in enumerate(CHECKS)]
+        report = spark.createDataFrame(
+            found, "seq int, check string, status string, n_bad long, detail string")
+        report = report.select(*[F.lit(None).cast("string").alias(c) for c in g], "*")
+    else:
+        report = validation_report(rows, expect, g, in_order=True)
     if raise_on_fail:
-        fails = report.filter(F.col("status") == "FAIL").orderBy(*g, "seq").limit(1).collect()
+        fails = report.filter(F.col("status") == "FAIL").orderBy("seq", *g).limit(1).collect()
         if fails:
             r = fails[0]
             raise ValidationError(f"{r['check']}: {r['n_bad']} bad - {r['detail']}")

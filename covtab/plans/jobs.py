@@ -7,133 +7,167 @@ A conversion runs in four steps:
             ``spark.checkpoint.dir``), so every later step sees the same files.
 2. stage:   index (block pruning, byte-range chunks; decode parallelism sized
             from the chunk bytes) -> decode -> convert -> a staged Parquet table
-            under ``spark.checkpoint.dir``; error rows ride along. The staged
-            table cuts the decode lineage, so a lost executor never forces a
-            re-decode of the inputs, and later passes read compact columns.
-3. gate:    one aggregate over the staged (file_path, error) columns gives rows
-            per file, failures and no-data files; any failure raises with the
-            sorted list and nothing is published (A1-A3).
-4. publish: one range shuffle + local sort + partitioned write (K1, K2),
-            parallelism sized from the row count.
+            under ``spark.checkpoint.dir``; error rows ride along. Staged rows
+            carry a file's hash instead of its path; the group columns and the
+            constant strand are added back on publishing.
+3. gate:    one aggregate over the staged (file, error) columns gives rows per
+            file and group, failures and no-data files. Any failure, or a group
+            without rows, raises before anything is published (A1-A3); the whole
+            lists are Parquet tables next to the output.
+4. publish: one range shuffle + local sort + partitioned write (K1, K2).
+
+The staged table is removed afterwards, whether the job succeeded or not.
 """
 
 from __future__ import annotations
 
 import logging
-import os
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.functions.intervals import region_predicate
-from covtab.operators.convert import (ConversionError, EmptyResultError,
-                                      convert_keeping_errors)
-from covtab.region import RegionSpec
+from covtab import paths
+from covtab.functions.chrom import order_rank
+from covtab.functions.intervals import region_predicate, strand
+from covtab.operators.convert import (SAMPLE_LISTED, ConversionError, EmptyResultError,
+                                      convert_intervals, failed_files, no_data_files,
+                                      rows_per_file)
+from covtab.region import RegionSpec, region_root
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import checkpoint_dir, scratch_path
-from covtab.sinks.coverage_parquet import read_coverage, write_coverage
+from covtab.sinks.coverage_parquet import (RANK_COL, read_coverage, write_coverage,
+                                           write_empty_table)
 from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
                                    decode_partitions)
-from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs, discover_bigwig_files,
-                                    list_bigwig_files, list_bigwig_paths, require_files)
+from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs, list_bigwig_files,
+                                    list_bigwig_paths, require_files)
 from covtab.sources.manifest import check_manifest, read_manifest
 
 log = logging.getLogger("covtab")
 
+BROADCAST_FILES = 100_000  # most (file, group) rows that are broadcast, about 10 MB
+
 
 @dataclass
 class ConversionResult:
+    """``table`` is the region's root below ``output``; ``groups`` has the rows
+    of every group, ``report`` those of every file. ``no_data`` is the path of
+    the whole list of files without rows, or None if there are none."""
     output: str
-    staged: str
+    table: str
     rows_written: int
     files: int
-    no_data_files: list[str] = field(default_factory=list)
+    n_no_data: int
+    no_data: str | None
+    groups: DataFrame
+    report: DataFrame
+
+
+def _write_report(spark: SparkSession, rows: DataFrame, path: str, n: int) -> str | None:
+    """Replace the report table at ``path``; without rows there is none."""
+    if n:
+        rows.write.mode("overwrite").parquet(path)
+        return path
+    paths.delete(spark, path)
+    return None
 
 
 def convert_files(spark: SparkSession, files: DataFrame, output: str,
                   region: RegionSpec | None = None, *, group_cols: list[str] = GROUP_COLUMNS,
                   num_partitions: int | None = None, chunk_bytes: int = DEFAULT_CHUNK_BYTES,
-                  target_task_bytes: int = 128 << 20, rows_per_output_partition: int = 10_000_000,
-                  allow_empty: bool = False, max_failures_listed: int = 1000,
-                  row_group_bytes: int | None = None) -> ConversionResult:
+                  target_task_bytes: int = 128 << 20, rows_per_output_partition: int = 2_000_000,
+                  allow_empty: bool = False, row_group_bytes: int | None = None
+                  ) -> ConversionResult:
     """Convert every file of ``files`` (file_path + group columns) into one
-    sorted coverage table per group under ``output``."""
+    sorted coverage table per group under ``output``. A group that keeps no
+    row is an error, or, with ``allow_empty``, an empty table."""
     region = region or RegionSpec()
+    output = paths.absolute(output)
     keep = [*group_cols, "file_path"]
-    # the file list is read ONCE and written to the shared checkpoint folder:
-    # every later step (index, per-file accounting) sees the same files, and
-    # a large directory tree is not listed again by each action
     checkpoint_dir(spark)
-    files = files.select(*keep).checkpoint(eager=True)
+    # A file that several groups share is decoded once and published for each.
+    files = files.select(*keep).distinct().checkpoint(eager=True)
+    paths_ = files.select("file_path").distinct().checkpoint(eager=True)
+    n_files = paths_.count()
+    file_id = F.xxhash64("file_path")
+    if paths_.select(file_id).distinct().count() < n_files:
+        file_id = F.col("file_path")  # two paths share a hash
     staged_path = scratch_path(spark, "staged")
-    # index stage once (tiny rows, kept in memory), then decode with a task
-    # count sized from the compressed bytes to read
-    chunks = bigwig_chunks(files, region, chunk_bytes, num_partitions).persist(
-        StorageLevel.MEMORY_AND_DISK)
-    n_decode = num_partitions or decode_partitions(chunks, target_task_bytes)
-    raw = decode_chunks(chunks, n_decode)
-    staged = convert_keeping_errors(raw, region)
-    staged.select(*keep, *OUTPUT_COLUMNS, "error").write.mode("overwrite").parquet(staged_path)
-    chunks.unpersist()
-    staged = spark.read.parquet(staged_path)
-
-    # A1-A3 in ONE aggregate over two narrow staged columns: rows per file,
-    # failures and no-data files (lists capped for reporting, counts exact).
-    counts = staged.groupBy("file_path").agg(
-        F.count_if(F.col("error").isNull()).alias("rows_written"),
-        F.min("error").alias("error"))
-    per_file = (files.select("file_path").join(counts, "file_path", "left")
-                     .withColumn("rows_written", F.coalesce("rows_written", F.lit(0).cast("long"))))
-    per_file = per_file.persist(StorageLevel.MEMORY_AND_DISK)   # one row per file
-    failed = F.col("error").isNotNull()
-    empty = (F.col("rows_written") == 0) & ~failed
-    stats = per_file.agg(
-        F.count(F.lit(1)).alias("files"),
-        F.sum("rows_written").alias("rows"),
-        F.count_if(failed).alias("n_failed"),
-        F.count_if(empty).alias("n_empty"),
-    ).collect()[0]
-    if stats["n_failed"]:
-        listed = (per_file.filter(failed).orderBy("file_path")
-                          .limit(max_failures_listed).collect())
-        per_file.unpersist()
-        raise ConversionError([(r["file_path"], r["error"]) for r in listed])
-    no_data = []
-    if stats["n_empty"]:
-        no_data = [r["file_path"] for r in per_file.filter(empty).orderBy("file_path")
-                   .limit(max_failures_listed).collect()]
-        log.warning("%d BigWig file(s) had no intervals after filtering.", stats["n_empty"])
-    per_file.unpersist()
-    total = int(stats["rows"] or 0)
-    if total == 0 and not allow_empty:
-        raise EmptyResultError("no input file contributed any row; nothing was written")
-    ok = staged.filter(F.col("error").isNull()).drop("error")
-    # publish parallelism sized by rows (about rows_per_output_partition each)
-    n_out = num_partitions or max(spark.sparkContext.defaultParallelism,
-                                  -(-total // max(1, rows_per_output_partition)))
-    write_coverage(ok.select(*group_cols, *OUTPUT_COLUMNS), output, n_out, group_cols,
-                   row_group_bytes=row_group_bytes)
-    return ConversionResult(output, staged_path, total, int(stats["files"]), no_data)
+    try:
+        # index stage once (tiny rows), then decode with a task count sized
+        # from the compressed bytes to read
+        chunks = bigwig_chunks(paths_, region, chunk_bytes, num_partitions).persist(
+            StorageLevel.MEMORY_AND_DISK)
+        raw = decode_chunks(chunks, num_partitions or decode_partitions(chunks, target_task_bytes))
+        rows = convert_intervals(raw.drop(*GROUP_COLUMNS), region, keep_file_path=True)
+        (rows.select(file_id.alias("file_id"), *[c for c in OUTPUT_COLUMNS if c != "strand"],
+                     "error").write.parquet(staged_path))
+        chunks.unpersist()
+        staged = spark.read.parquet(staged_path)
+
+        # A1-A3: rows and errors of each file, from two narrow staged columns
+        named_files = files.withColumn("file_id", file_id)
+        by_id = rows_per_file(named_files.select("file_id").distinct(),
+                              staged.select("file_id", "error"))
+        per_file = (named_files.join(by_id, "file_id")
+                    .select(*keep, "rows_written", "error").checkpoint(eager=True))
+        failed = failed_files(per_file)
+        n_failed = failed.count()
+        report = _write_report(spark, failed, f"{output}.failures", n_failed)
+        if n_failed:
+            sample = [(r["file_path"], r["error"]) for r in failed.limit(SAMPLE_LISTED).collect()]
+            raise ConversionError(n_failed, report, sample)
+        empty = no_data_files(per_file)
+        n_empty = empty.count()
+        no_data = _write_report(spark, empty.orderBy("file_path"), f"{output}.no-data", n_empty)
+        if n_empty:
+            log.warning("%d input file(s) kept no interval; they are listed in %s",
+                        n_empty, no_data)
+        totals = (per_file.groupBy(*group_cols) if group_cols else per_file.groupBy()).agg(
+            F.sum("rows_written").alias("rows_written"))
+        totals = totals.checkpoint(eager=True)
+        bare = totals.filter(F.coalesce("rows_written", F.lit(0)) == 0)
+        n_bare = bare.count()
+        if n_bare and not allow_empty:
+            shown = ["/".join(map(str, r[:-1])) or "the input" for r in
+                     bare.orderBy(*(group_cols or ["rows_written"])).limit(SAMPLE_LISTED).collect()]
+            raise EmptyResultError(f"{n_bare} group(s) kept no interval, so nothing was "
+                                   f"published; the first {len(shown)}: {', '.join(shown)}")
+        total = int(totals.agg(F.sum("rows_written")).first()[0] or 0)
+        if total:
+            # publish parallelism sized by rows, whatever the cluster
+            n_out = num_partitions or -(-total // max(1, rows_per_output_partition))
+            rows = staged.drop("error").withColumn("strand", strand())
+            if group_cols:
+                groups = named_files.drop("file_path")
+                rows = rows.join(F.broadcast(groups) if files.count() <= BROADCAST_FILES
+                                 else groups, "file_id")
+            write_coverage(rows.select(*group_cols, *OUTPUT_COLUMNS), output, region, n_out,
+                           group_cols, row_group_bytes=row_group_bytes)
+        for r in bare.toLocalIterator():
+            write_empty_table(spark, output, region, {c: r[c] for c in group_cols})
+        return ConversionResult(output, region_root(output, region), total, n_files, n_empty,
+                                no_data, totals, per_file.drop("error"))
+    finally:
+        paths.delete(spark, staged_path)
 
 
 def convert_directory(spark: SparkSession, input_dir: str, output: str,
                       region: RegionSpec | None = None, **kw) -> ConversionResult:
-    """Every '*.bw'/'*.bigwig' file of one directory -> one sorted table
-    (part files directly under ``output``)."""
+    """Every '*.bw'/'*.bigwig' file of one directory -> one sorted table."""
     checkpoint_dir(spark)
     files = list_bigwig_paths(spark, input_dir).checkpoint(eager=True)
     if files.isEmpty():
-        raise DiscoveryError(f"No .bw or .bigwig files found in '{input_dir}'")
+        raise DiscoveryError(f"{input_dir} holds no coverage file")
     return convert_files(spark, files, output, region, group_cols=[], **kw)
 
 
 def convert_manifest(spark: SparkSession, manifest: DataFrame | str, output: str,
                      region: RegionSpec | None = None, **kw) -> ConversionResult:
     """Every manifest row (study, group, directory) in ONE job; the
-    output holds one table per (study, group) under
-    ``output/study_name=<s>/qtl_group=<g>/``."""
+    output holds one table per (study, group)."""
     if isinstance(manifest, str):
         manifest = read_manifest(spark, manifest)
     checkpoint_dir(spark)
@@ -146,32 +180,31 @@ def convert_manifest(spark: SparkSession, manifest: DataFrame | str, output: str
 
 def convert_study(spark: SparkSession, input_base: str, study: str, output: str,
                   region: RegionSpec | None = None, **kw) -> ConversionResult:
-    """Every '<input_base>/<study>/<group>/bigwig' directory of one study.
-    An object-store / HDFS ``input_base`` is listed by Spark in one pass."""
+    """Every '<input_base>/<study>/<group>/bigwig' directory of one study."""
     checkpoint_dir(spark)
-    if "://" in input_base and not input_base.startswith("file:"):
-        files = discover_bigwig_files(spark, input_base, study=study).checkpoint(eager=True)
-        if files.isEmpty():
-            raise DiscoveryError(
-                f"No input directories found for pattern: {input_base}/{study}/*/bigwig")
-        return convert_files(spark, files, output, region, **kw)
     dirs = discover_bigwig_dirs(spark, input_base, study=study).checkpoint(eager=True)
     if dirs.isEmpty():
-        raise DiscoveryError(f"No input directories found for pattern: {input_base}/{study}/*/bigwig")
+        raise DiscoveryError(f"study {study} has no bigwig directory below {input_base}")
     return convert_manifest(spark, dirs, output, region, **kw)
 
 
 def region_query(spark: SparkSession, output: str, region: RegionSpec,
-                 study: str | None = None, group: str | None = None) -> DataFrame:
-    """Rows of a published dataset in a region. The (study, group)
-    filters prune directories; seqnames/start/end filters reach the Parquet
-    reader and skip row groups by their min/max (the tables are sorted)."""
-    df = read_coverage(spark, output)
+                 study: str | None = None, group: str | None = None,
+                 published: RegionSpec | None = None) -> DataFrame:
+    """Rows of a published dataset in a region; ``published`` names the
+    conversion to read (the autosomes by default). The (study, group) and
+    chromosome filters prune directories, so only files of the wanted
+    chromosomes are opened; start/end filters reach the Parquet reader and skip
+    row groups by their min/max (the files are sorted)."""
+    df = read_coverage(spark, region_root(paths.absolute(output), published or RegionSpec()),
+                       keep_rank=True)
     if study is not None:
         df = df.filter(F.col("study_name") == study)
     if group is not None:
         df = df.filter(F.col("qtl_group") == group)
-    return df.filter(region_predicate(region))
+    ranks = spark.range(1).select(*[order_rank(F.lit(c)) for c in region.allowed_chroms]).first()
+    df = df.filter(F.col(RANK_COL).cast("int").isin(list(ranks)))
+    return df.filter(region_predicate(region)).drop(RANK_COL)
 
 
 # ------------------------------------------------------------ inspection jobs
@@ -183,11 +216,13 @@ def inspect_directory(spark: SparkSession, path: str, recursive: bool = False):
     from covtab.operators.inspect import directory_summary
     from covtab.sources.bigwig import readability
 
-    files = list_bigwig_paths(spark, path, recursive)
+    # listed once: every later step sees the same files
+    checkpoint_dir(spark)
+    files = list_bigwig_paths(spark, path, recursive).checkpoint(eager=True)
     if files.isEmpty():
-        raise DiscoveryError(f"no .bw or .bigwig files found in {path}")
-    per_file = readability(files.select("file_path", "bigwig_dir")).join(
-        files.select("file_path", "bigwig_dir"), "file_path")
+        raise DiscoveryError(f"{path} holds no coverage file")
+    per_file = readability(files).drop(*GROUP_COLUMNS).join(
+        files.select("file_path", "bigwig_dir"), "file_path").checkpoint(eager=True)
     summary, bad = directory_summary(per_file)
     return per_file, summary, bad
 
@@ -195,32 +230,35 @@ def inspect_directory(spark: SparkSession, path: str, recursive: bool = False):
 def inspect_files(spark: SparkSession, path: str, chrom: str | None = None, start: int = 0,
                   end: int | None = None, n: int = 10, recursive: bool = False):
     """J5 for one file or every file of a directory: overview (size, number
-    of chromosomes), the first 10 chromosomes (P8 order) and the first ``n``
+    of chromosomes), the first 10 chromosomes (P8 order), the first ``n``
     intervals of the first chromosome with data in [start, end) — or of
-    ``chrom``. Returns (overview, first_chroms, head)."""
+    ``chrom`` — and what failed: files that cannot be read, that lack
+    ``chrom`` or hold no interval there. Returns (overview, first_chroms, head,
+    failures)."""
     from covtab.operators.inspect import check_inspect_args, file_overview, first_chromosomes
     from covtab.sources.bigwig import bigwig_head, chrom_sizes
 
     check_inspect_args(start, end, n)
-    files = list_bigwig_paths(spark, path, recursive)
-    sizes = chrom_sizes(files)
+    checkpoint_dir(spark)
+    files = list_bigwig_paths(spark, path, recursive).checkpoint(eager=True)
+    sizes = chrom_sizes(files).checkpoint(eager=True)
     good = sizes.filter(F.col("error").isNull())
-    head = bigwig_head(files, start, end, n, chrom).filter(F.col("error").isNull()).drop("error")
-    return file_overview(files, sizes), first_chromosomes(good, 10), head
+    head = bigwig_head(files, start, end, n, chrom, sizes=sizes).checkpoint(eager=True)
+    failures = head.filter(F.col("error").isNotNull()).select("file_path", "error")
+    return (file_overview(files, sizes), first_chromosomes(good, 10),
+            head.filter(F.col("error").isNull()).drop("error"), failures)
 
 
 def null_report(spark: SparkSession, path: str, n: int = 5):
     """J7 on a published dataset: per-column NA counts (A15) and the first
     ``n`` rows with an NA in physical order (O8). Returns (counts, rows)."""
     from covtab.operators.inspect import na_rows
-    from covtab.operators.validate import na_report
-
-    is_uri = "://" in (path or "") and not path.startswith("file:")
-    if not path or (not is_uri and not os.path.exists(path.replace("file:", ""))):
-        raise FileNotFoundError(f"file not found: {path}")
-    probe = spark.read.parquet(path)
-    g = [c for c in GROUP_COLUMNS if c in probe.columns]
-    df = (read_coverage(spark, path) if g else probe).select(
-        *g, *OUTPUT_COLUMNS, F.col("_metadata.file_path").alias("file_path"),
-        F.col("_metadata.row_index").alias("row_index"))
-    return na_report(df, g), na_rows(df, g, n, order_cols=["file_path", "row_index"])
+    from covtab.operators.order_check import file_order
+    from covtab.operators.validate import na_report, physical_rows
+
+    path = paths.absolute(path)
+    if not paths.exists(spark, path):
+        raise FileNotFoundError(f"no such table: {path}")
+    df = physical_rows(spark, path)
+    g = [c for c in GROUP_COLUMNS if c in df.columns]
+    return na_report(df, g), na_rows(df, g, n, order_cols=[*file_order(), "row_index"])

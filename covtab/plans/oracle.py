@@ -53,8 +53,7 @@ def _converted(where: str) -> str:
 AUTOSOMES_WHERE = f"seqnames IN ({AUTOSOME_LIST})"
 REGION_22_WHERE = "seqnames = '22' AND \"end\" >= 20000 AND start <= 60000"
 
-COUNT_RANK = """CASE WHEN TRY_CAST(seqnames AS INTEGER) IS NOT NULL THEN TRY_CAST(seqnames AS INTEGER)
-                  WHEN seqnames = 'X' THEN 23 ELSE 1000 END"""
+COUNT_RANK = "coalesce(TRY_CAST(seqnames AS INTEGER), if(seqnames = 'X', 23, 1000))"
 
 ORACLE: dict[str, str] = {}
 
@@ -150,8 +149,10 @@ WHERE c_mktsegment NOT IN ('BUILDING', 'MACHINERY')"""
 ORACLE["output_names"] = f"""
 SELECT r_name AS study_name, c_name AS qtl_group,
        c_name || '_chr22_20000_60000.parquet' AS output_name,
-       '/out/' || r_name || '/' || c_name || '_chr22_20000_60000.parquet' AS output_path,
-       'Will write: /out/' || r_name || '/' || c_name || '_chr22_20000_60000.parquet' AS plan_line
+       '/out/region=chr22_20000_60000/study_name=' || r_name || '/qtl_group=' || c_name
+         AS output_path,
+       'Will write: /out/region=chr22_20000_60000/study_name=' || r_name || '/qtl_group=' || c_name
+         AS plan_line
 FROM {CUSTOMERS}"""
 
 INSPECT_RANK = """CASE WHEN TRY_CAST(regexp_replace(chrom, '^chr', '') AS INTEGER) IS NOT NULL
@@ -222,9 +223,6 @@ viol AS (SELECT study_name, qtl_group,
          FROM ordered GROUP BY study_name, qtl_group),
 chroms AS (SELECT study_name, qtl_group, seqnames, count(*) AS n, {COUNT_RANK} AS crank
            FROM converted GROUP BY study_name, qtl_group, seqnames),
-chromlist AS (SELECT study_name, qtl_group,
-                     string_agg(seqnames || ':' || CAST(n AS VARCHAR), ', ' ORDER BY crank, seqnames) AS chroms
-              FROM chroms GROUP BY study_name, qtl_group),
 counts AS (SELECT study_name, qtl_group, count(*) AS row_count,
                   count_if(seqnames IS NULL OR start IS NULL OR "end" IS NULL OR strand IS NULL
                            OR score IS NULL OR sample_id IS NULL) AS null_rows,
@@ -235,22 +233,22 @@ counts AS (SELECT study_name, qtl_group, count(*) AS row_count,
                   count_if(start > 60000) AS start_after,
                   count(DISTINCT sample_id) AS n_samples
            FROM converted GROUP BY study_name, qtl_group),
-t AS (SELECT c.*, l.chroms, v.rank_dec, v.start_dec, v.checked
-      FROM counts c JOIN chromlist l USING (study_name, qtl_group)
-                    JOIN viol v USING (study_name, qtl_group))
-{_report_row(1, 'schema', '0', "'schema and column order match'")}
-UNION ALL {_report_row(2, 'row_count', 'CASE WHEN row_count > 0 THEN 0 ELSE 1 END', "'row count = ' || CAST(row_count AS VARCHAR)")}
-UNION ALL {_report_row(3, 'no_nulls', 'null_rows', "'rows with NULLs in required columns'")}
-UNION ALL {_report_row(4, 'valid_intervals', 'bad_intervals', "'start < 1 or end < start'")}
-UNION ALL {_report_row(5, 'strand', 'bad_strand', "'strand is not ''*'''")}
-UNION ALL {_report_row(6, 'chromosomes', 'NULL', 'chroms', info=True)}
-UNION ALL {_report_row(7, 'expected_chrom', 'off_chrom', "'rows not on chromosome 22'")}
+t AS (SELECT c.*, v.rank_dec, v.start_dec, v.checked
+      FROM counts c JOIN viol v USING (study_name, qtl_group))
+{_report_row(1, 'schema', '0', "'every file has the columns and types of the coverage table'")}
+UNION ALL {_report_row(2, 'row_count', 'CASE WHEN row_count > 0 THEN 0 ELSE 1 END', "CAST(row_count AS VARCHAR) || ' rows'")}
+UNION ALL {_report_row(3, 'no_nulls', 'null_rows', "'rows with a NULL'")}
+UNION ALL {_report_row(4, 'valid_intervals', 'bad_intervals', "'rows that start before 1 or end too early'")}
+UNION ALL {_report_row(5, 'strand', 'bad_strand', "'rows on another strand than *'")}
+UNION ALL SELECT study_name, qtl_group, CAST(6 AS INTEGER), 'chromosomes', 'INFO', CAST(NULL AS BIGINT),
+                 seqnames || ':' || CAST(n AS VARCHAR) FROM chroms
+UNION ALL {_report_row(7, 'expected_chrom', 'off_chrom', "'rows off chromosome 22'")}
 UNION ALL {_report_row(8, 'expected_pos_start', 'end_before', "'rows ending before 20000'")}
 UNION ALL {_report_row(9, 'expected_pos_end', 'start_after', "'rows starting after 60000'")}
-UNION ALL {_report_row(10, 'samples', 'NULL', "'distinct sample_id count = ' || CAST(n_samples AS VARCHAR)", info=True)}
+UNION ALL {_report_row(10, 'samples', 'NULL', "CAST(n_samples AS VARCHAR) || ' samples'", info=True)}
 UNION ALL {_report_row(11, 'row_order', 'rank_dec + start_dec',
-                       "CASE WHEN rank_dec + start_dec = 0 THEN 'nondecreasing by chromosome then start (' "
-                       "|| CAST(checked AS VARCHAR) || ' rows checked)' END")}"""
+                       "CASE WHEN rank_dec + start_dec = 0 THEN 'in order over ' "
+                       "|| CAST(checked AS VARCHAR) || ' rows' END")}"""
 
 # BigWig stores scores as float32: the round trip equals the converted table
 # with each score rounded through FLOAT.
@@ -271,3 +269,63 @@ ORACLE["bigwig_chrom_inventory"] = f"""WITH {RAW}
 SELECT study_name, qtl_group, regexp_extract(file_path, '[^/]*$') AS file_name,
        CAST(count(DISTINCT chrom) AS BIGINT) AS n_chroms, true AS all_readable
 FROM raw GROUP BY study_name, qtl_group, regexp_extract(file_path, '[^/]*$')"""
+
+FILE_NAME = "regexp_extract(file_path, '[^/]*$')"
+
+ORACLE["file_sizes"] = f"""WITH {RAW}
+SELECT DISTINCT study_name, qtl_group, {FILE_NAME} AS file_name, true AS has_size FROM raw"""
+
+ORACLE["unreadable_files"] = f"""WITH {RAW}
+SELECT DISTINCT study_name, qtl_group, true AS all_listed, true AS bad_listed FROM raw"""
+
+ORACLE["conversion_failures"] = f"""WITH {RAW}
+SELECT DISTINCT study_name, qtl_group, {FILE_NAME} AS file_name, true AS failures_listed,
+       true AS nothing_kept_of_them FROM raw"""
+
+ORACLE["inspect_head"] = f"""WITH {RAW},
+hits AS (SELECT regexp_extract(file_path, '^/cov/(.*)/[^/]*$', 1) AS directory,
+                {FILE_NAME} AS file_name, chrom, CAST(start0 AS BIGINT) AS start0,
+                CAST(end0 AS BIGINT) AS end0
+         FROM raw WHERE replace(chrom, 'chr', '') = '22' AND end0 > 1000000)
+SELECT directory, file_name, chrom, start0, end0
+FROM (SELECT *, row_number() OVER (PARTITION BY directory, file_name, chrom
+                                   ORDER BY start0, end0) AS k FROM hits) WHERE k = 1"""
+
+ORACLE["convert_manifest_job"] = ORACLE["bigwig_roundtrip"]
+
+ORACLE["job_rows_per_file"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)},
+counts AS (SELECT file_path, count(*) AS n FROM converted GROUP BY file_path)
+SELECT DISTINCT study_name, qtl_group, regexp_extract(raw.file_path, '[^/]*$') AS file_name,
+       CAST(coalesce(n, 0) AS BIGINT) AS rows_written
+FROM raw LEFT JOIN counts ON raw.file_path = counts.file_path"""
+
+ORACLE["convert_study_job"] = f"""{BASE}, {_converted(REGION_22_WHERE)}
+SELECT study_name, qtl_group, seqnames, start, "end", strand,
+       CAST(CAST(score AS FLOAT) AS DOUBLE) AS score, sample_id
+FROM converted WHERE study_name = 'study_1'"""
+
+ORACLE["convert_directory_job"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)}
+SELECT seqnames, start, "end", strand, CAST(CAST(score AS FLOAT) AS DOUBLE) AS score, sample_id
+FROM converted WHERE study_name = 'study_0' AND qtl_group = 'grp_1'"""
+
+ORACLE["region_tables_side_by_side"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)}
+SELECT 'all' AS region, study_name, qtl_group, CAST(count(*) AS BIGINT) AS n
+FROM converted GROUP BY study_name, qtl_group
+UNION ALL
+SELECT 'chr22' AS region, study_name, qtl_group, CAST(count(*) AS BIGINT) AS n
+FROM converted WHERE seqnames = '22' GROUP BY study_name, qtl_group"""
+
+ORACLE["incremental_pending"] = f"""WITH {RAW}
+SELECT DISTINCT study_name, qtl_group, study_name <> 'study_0' AS pending,
+       study_name = 'study_0' AS published FROM raw"""
+
+ORACLE["na_rows_written"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)},
+na AS (SELECT {COVERAGE_COLS},
+              CAST(row_number() OVER (PARTITION BY study_name, qtl_group
+                   ORDER BY {ORDER_RANK}, start, "end", sample_id) AS INTEGER) AS rn
+       FROM converted WHERE score IS NULL)
+SELECT * FROM na WHERE rn <= 5"""
+
+ORACLE["ordered_directories"] = f"""
+SELECT *, CAST(row_number() OVER (PARTITION BY study_name ORDER BY qtl_group) AS INTEGER) AS place
+FROM ({ORACLE['discover_dirs']})"""

@@ -10,25 +10,31 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from covtab.functions.intervals import sample_id_from_path
-from covtab.operators.convert import convert_intervals, kept_rows_per_file, no_data_files
-from covtab.operators.inspect import first_chrom_head, first_chromosomes, head_intervals, na_rows
+from covtab.operators.convert import convert_intervals, no_data_files, rows_per_file
+from covtab.operators.inspect import (directory_summary, first_chrom_head, first_chromosomes,
+                                      head_intervals, na_rows)
 from covtab.operators.order_check import check_row_order
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report, validate_dataset
-from covtab.plans.jobs import region_query
+from covtab.plans.jobs import (convert_directory, convert_manifest, convert_study, null_report,
+                               region_query)
 from covtab.region import Expectation, RegionSpec
 from covtab.schema import OUTPUT_COLUMNS
 from covtab.session import scratch_path, ship_package
-from covtab.sinks.coverage_parquet import sorted_for_publish, write_coverage
-from covtab.sources.bigwig import chrom_sizes, readability, scan_bigwig, scan_bigwig_range
-from covtab.sources.fixture import (customer_dirs, customer_manifest, encode_lineitem_bigwigs,
-                                   lineitem_intervals, orders_row_sequence)
+from covtab.sinks.coverage_parquet import read_coverage, sorted_for_publish, write_coverage
+from covtab.sources.bigwig import (bigwig_head, chrom_sizes, readability, scan_bigwig,
+                                   scan_bigwig_range, without_errors)
+from covtab.sources.fixture import (add_broken_files, customer_dirs, customer_manifest,
+                                   encode_lineitem_bigwigs, lineitem_intervals,
+                                   orders_row_sequence)
 from covtab.sources.listing import (bigwig_dirs_from_paths, discover_bigwig_dirs,
-                                   discover_bigwig_files, list_bigwig_files)
-from covtab.sources.manifest import planned_outputs
+                                   list_bigwig_files)
+from covtab.sources.manifest import planned_outputs, read_manifest, write_manifest
+from covtab.streaming.incremental import (convert_pending, pending_groups, published_groups,
+                                         read_done)
 
 # Fixed parameters of the registered queries.
 REGION_22 = RegionSpec("22", 20000, 60000)
@@ -56,14 +62,21 @@ def q_sorted_autosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sorted_for_publish(q_convert_autosomes(spark, sf_dir))
 
 
+def _per_file(spark: SparkSession, sf_dir: str, region: RegionSpec | None = None) -> DataFrame:
+    raw = lineitem_intervals(spark, sf_dir)
+    keys = ["study_name", "qtl_group", "file_path"]
+    return rows_per_file(raw.select(*keys).distinct(),
+                         convert_intervals(raw, region, keep_file_path=True))
+
+
 def q_rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A1: rows kept per input file (one pass: conditional count)."""
-    return kept_rows_per_file(lineitem_intervals(spark, sf_dir))
+    """A1: rows kept per input file, zero included."""
+    return _per_file(spark, sf_dir)
 
 
 def q_no_data_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     """A2: files keeping no row for chr22 up to 3,000."""
-    return no_data_files(kept_rows_per_file(lineitem_intervals(spark, sf_dir), REGION_22_TO_3000))
+    return no_data_files(_per_file(spark, sf_dir, REGION_22_TO_3000))
 
 
 # --- validation
@@ -146,49 +159,45 @@ def q_validate_written(spark: SparkSession, sf_dir: str) -> DataFrame:
     files (schema, one aggregate chain, physical row order) against
     chromosome 22, 20,000-60,000."""
     out = scratch_path(spark, "validated")
-    write_coverage(q_convert_autosomes(spark, sf_dir), out)
-    return validate_dataset(spark, out, Expectation.of(REGION_22))
+    root = write_coverage(q_convert_autosomes(spark, sf_dir), out)
+    return validate_dataset(spark, root, Expectation.of(REGION_22))
 
 
 # --- real BigWig bytes
 
-_ENCODED: dict[tuple[str, str], DataFrame] = {}
+def _encode(spark: SparkSession, sf_dir: str) -> str:
+    """lineitem written as BigWig files in the shared scratch folder; returns
+    the tree's root."""
+    root = scratch_path(spark, "bigwig")
+    encode_lineitem_bigwigs(spark, sf_dir, root).agg(F.sum("rows")).collect()
+    return f"{root}/cov"
 
 
-def _encoded_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Encoded once per SparkContext and table directory; the file list is
-    checkpointed, so later queries of the session reuse the same files."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _ENCODED:
-        _ENCODED[key] = _encode_fixture_files(spark, sf_dir)
-    return _ENCODED[key]
+def _encoded_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Encoded files, discovered and listed like real input."""
+    dirs = discover_bigwig_dirs(spark, _encode(spark, sf_dir)).checkpoint(eager=True)
+    return list_bigwig_files(dirs).checkpoint(eager=True)
 
 
-def _encode_fixture_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """lineitem written as BigWig files in the shared scratch folder, then
-    discovered and listed like real input (S1, S4)."""
-    root = scratch_path(spark, "bigwig")
-    encode_lineitem_bigwigs(spark, sf_dir, root).agg(F.sum("rows")).collect()
-    if "://" in root and not root.startswith("file:"):
-        # shared object store / HDFS checkpoint folder: Spark lists the tree
-        return discover_bigwig_files(spark, root + "/cov").checkpoint(eager=True)
-    dirs = discover_bigwig_dirs(spark, root + "/cov").checkpoint(eager=True)
-    return list_bigwig_files(dirs).checkpoint(eager=True)
+def _original():
+    """The sample file that an encoded part stems from."""
+    return F.regexp_replace(F.substring_index("file_path", "/", -1), r"\.t[0-9-]{11}\.", ".")
 
 
 def q_bigwig_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/S4/S6 + conversion through real BigWig bytes: the autosome table
-    decoded from files (scores pass through float32, as BigWig stores them)."""
-    files = _encoded_fixture_files(spark, sf_dir)
-    raw = scan_bigwig(files).filter(F.col("error").isNull())
-    return convert_intervals(raw)
+    decoded from files (scores pass through float32, as BigWig stores them).
+    A file that cannot be read fails the query."""
+    return convert_intervals(without_errors(scan_bigwig(_encoded_files(spark, sf_dir))))
 
 
 def q_bigwig_range(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw intervals of chr22 overlapping [20,000, 60,000) from the BigWig
-    files ('chr22' where a file has it, else '22')."""
-    files = _encoded_fixture_files(spark, sf_dir)
-    r = scan_bigwig_range(files, "chr22", 20000, 60000)
+    files that list the chromosome ('chr22' where a file has it, else '22');
+    files without it give an error row each, which is left out here."""
+    r = scan_bigwig_range(_encoded_files(spark, sf_dir), "chr22", 20000, 60000)
+    lacks = F.coalesce(F.col("error") == "has no chromosome chr22", F.lit(False))
+    r = without_errors(r.filter(~lacks))
     return r.select("study_name", "qtl_group", sample_id_from_path("file_path").alias("sample_id"),
                     "chrom", "start0", "end0", "score")
 
@@ -197,20 +206,163 @@ def q_bigwig_chrom_inventory(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S7 + A4 over the BigWig files: per original sample file, the number of
     distinct chromosomes in its chromosome trees (across the parts written by
     different tasks) and whether every part opens."""
-    files = _encoded_fixture_files(spark, sf_dir)
-    part_name = F.substring_index("file_path", "/", -1)
-    original = F.regexp_replace(part_name, r"\.t[0-9]{5}\.", ".")
+    files = _encoded_files(spark, sf_dir)
     keys = ["study_name", "qtl_group", "file_name"]
-    chroms = (chrom_sizes(files).filter(F.col("error").isNull())
-              .select("study_name", "qtl_group", original.alias("file_name"), "chrom")
+    chroms = (without_errors(chrom_sizes(files))
+              .select("study_name", "qtl_group", _original().alias("file_name"), "chrom")
               .groupBy(*keys).agg(F.count_distinct("chrom").alias("n_chroms")))
     opened = (readability(files)
-              .groupBy("study_name", "qtl_group", original.alias("file_name"))
+              .groupBy("study_name", "qtl_group", _original().alias("file_name"))
               .agg(F.bool_and("ok").alias("all_readable")))
     return opened.join(chroms, keys, "left").select(
         *keys, F.coalesce("n_chroms", F.lit(0).cast("long")).alias("n_chroms"), "all_readable")
 
 
+def q_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Original sample files found by the listing, and whether every
+    part has a size and a time of change."""
+    return (_encoded_files(spark, sf_dir)
+            .groupBy("study_name", "qtl_group", _original().alias("file_name"))
+            .agg(F.bool_and((F.col("size") > 0) & (F.col("modified") > 0)).alias("has_size")))
+
+
+def q_unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A4/A5 with some files missing: total, readable and unreadable files of
+    each directory agree with the list of bad ones."""
+    root = _encode(spark, sf_dir)
+    dirs = discover_bigwig_dirs(spark, root).checkpoint(eager=True)
+    files = add_broken_files(list_bigwig_files(dirs)).checkpoint(eager=True)
+    summary, bad = directory_summary(readability(files))
+    listed = bad.groupBy("bigwig_dir").agg(F.count("*").alias("listed"))
+    expected = files.groupBy("bigwig_dir").agg(
+        F.count("*").alias("files"), F.count_if(F.col("file_path").endswith(".missing"))
+        .alias("missing"))
+    return (summary.join(listed, "bigwig_dir", "left").join(expected, "bigwig_dir")
+            .select(F.regexp_extract("bigwig_dir", "/cov/([^/]+)/", 1).alias("study_name"),
+                    F.regexp_extract("bigwig_dir", "/([^/]+)/bigwig$", 1).alias("qtl_group"),
+                    (F.col("total_files") == F.col("files")).alias("all_listed"),
+                    ((F.col("unreadable") == F.col("missing"))
+                     & (F.coalesce("listed", F.lit(0)) == F.col("missing"))
+                     & (F.col("readable") == F.col("files") - F.col("missing")))
+                    .alias("bad_listed")))
+
+
+def q_conversion_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The gate's complete, ordered list when some inputs are missing:
+    per original sample file, whether its missing parts are all listed."""
+    files = add_broken_files(_encoded_files(spark, sf_dir)).checkpoint(eager=True)
+    converted = convert_intervals(scan_bigwig(files), keep_file_path=True)
+    keys = ["study_name", "qtl_group", "file_path"]
+    report = rows_per_file(files.select(*keys), converted)
+    missing = F.col("file_path").endswith(".missing")
+    original = F.regexp_replace(_original(), r"\.missing$", "")
+    return report.groupBy("study_name", "qtl_group", original.alias("file_name")).agg(
+        F.bool_and(missing == F.col("error").isNotNull()).alias("failures_listed"),
+        F.bool_and(~missing | (F.col("rows_written") == 0)).alias("nothing_kept_of_them"))
+
+
+def q_inspect_head(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J5/O6/O7 on real files: chromosome 22 ('chr22' or '22') from 1,000,000
+    on; per original sample file, the first interval over its parts that hold
+    one. Parts without such an interval report it instead of rows."""
+    head = bigwig_head(_encoded_files(spark, sf_dir), start=1_000_000, n=1, chrom="22")
+    quiet = F.coalesce(F.col("error").isin("has no chromosome 22", "no interval in the range"),
+                       F.lit(False))
+    head = without_errors(head.filter(~quiet))
+    dirs = F.regexp_extract("file_path", "/cov/(.*)/[^/]*$", 1)
+    return (head.groupBy(dirs.alias("directory"), _original().alias("file_name"), "chrom")
+            .agg(F.min(F.struct("start0", "end0")).alias("first"))
+            .select("directory", "file_name", "chrom", "first.start0", "first.end0"))
+
+
+# --- the conversion jobs end to end
+
+def _convert_all(spark: SparkSession, sf_dir: str, **kw):
+    """Discovered directories -> written and re-read manifest -> tables."""
+    root = _encode(spark, sf_dir)
+    manifest = scratch_path(spark, "manifest")
+    write_manifest(discover_bigwig_dirs(spark, root), manifest)
+    out = scratch_path(spark, "converted")
+    return convert_manifest(spark, read_manifest(spark, manifest), out, **kw)
+
+
+def q_convert_manifest_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The autosome tables as published."""
+    return read_coverage(spark, _convert_all(spark, sf_dir).table).select(
+        "study_name", "qtl_group", *OUTPUT_COLUMNS)
+
+
+def q_job_rows_per_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A1/A2 from the job's own gate, summed over a sample file's parts."""
+    report = _convert_all(spark, sf_dir).report
+    return report.groupBy("study_name", "qtl_group", _original().alias("file_name")).agg(
+        F.sum("rows_written").alias("rows_written"))
+
+
+def q_convert_study_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """study_1's tables for chromosome 22, 20,000-60,000."""
+    out = scratch_path(spark, "study")
+    result = convert_study(spark, _encode(spark, sf_dir), "study_1", out, REGION_22,
+                           allow_empty=True)
+    return read_coverage(spark, result.table).select("study_name", "qtl_group", *OUTPUT_COLUMNS)
+
+
+def q_convert_directory_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One directory's table, read through a temporary view."""
+    root = _encode(spark, sf_dir)
+    result = convert_directory(spark, f"{root}/study_0/grp_1/bigwig",
+                               scratch_path(spark, "directory"))
+    read_coverage(spark, result.table).createOrReplaceTempView("one_directory")
+    return spark.sql("SELECT seqnames, start, end, strand, score, sample_id FROM one_directory")
+
+
+def q_region_tables_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K2: the autosomes, then chromosome 22, then the autosomes again, to one
+    output: both tables stay whole."""
+    out = scratch_path(spark, "regions")
+    conv = q_convert_autosomes(spark, sf_dir)
+    for region in (RegionSpec(), RegionSpec("22"), RegionSpec()):
+        part = conv if region.chrom is None else convert_intervals(
+            lineitem_intervals(spark, sf_dir), region)
+        write_coverage(part, out, region)
+    tables = [read_coverage(spark, f"{out}/region={r.label}").withColumn("region", F.lit(r.label))
+              for r in (RegionSpec(), RegionSpec("22"))]
+    return tables[0].unionByName(tables[1]).groupBy("region", "study_name", "qtl_group").agg(
+        F.count("*").alias("n"))
+
+
+def q_incremental_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """study_0 is converted first; of all groups, which are then pending,
+    and which have a table."""
+    root = _encode(spark, sf_dir)
+    out, done = scratch_path(spark, "incremental"), scratch_path(spark, "done")
+    dirs = discover_bigwig_dirs(spark, root).checkpoint(eager=True)
+    convert_pending(spark, dirs.filter("study_name = 'study_0'"), out, done)
+    pending = pending_groups(dirs, list_bigwig_files(dirs), read_done(spark, done), out)
+    keys = ["study_name", "qtl_group"]
+    return (dirs.select(*keys)
+            .join(pending.select(*keys, F.lit(True).alias("pending")), keys, "left")
+            .join(published_groups(dirs, out).withColumn("published", F.lit(True)), keys, "left")
+            .select(*keys, F.coalesce("pending", F.lit(False)).alias("pending"),
+                    F.coalesce("published", F.lit(False)).alias("published")))
+
+
+def q_na_rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J7/O8/S11 on written tables: the first 5 rows with an NA of each table in
+    physical order, with their position among those rows."""
+    out = scratch_path(spark, "na")
+    root = write_coverage(q_convert_autosomes(spark, sf_dir), out)
+    _, rows = null_report(spark, root, 5)
+    return rows.select("study_name", "qtl_group", *OUTPUT_COLUMNS, "rn")
+
+
+def q_ordered_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """O2: directories with their place in (study, group) order."""
+    w = Window.partitionBy("study_name").orderBy("qtl_group")
+    return (q_discover_dirs(spark, sf_dir)
+            .withColumn("place", F.row_number().over(w)))
+
+
 # --- registry
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -246,5 +398,17 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "bigwig_roundtrip": q_bigwig_roundtrip,
         "bigwig_range": q_bigwig_range,
         "bigwig_chrom_inventory": q_bigwig_chrom_inventory,
+        "file_sizes": q_file_sizes,
+        "unreadable_files": q_unreadable_files,
+        "conversion_failures": q_conversion_failures,
+        "inspect_head": q_inspect_head,
+        "convert_manifest_job": q_convert_manifest_job,
+        "job_rows_per_file": q_job_rows_per_file,
+        "convert_study_job": q_convert_study_job,
+        "convert_directory_job": q_convert_directory_job,
+        "region_tables_side_by_side": q_region_tables_side_by_side,
+        "incremental_pending": q_incremental_pending,
+        "na_rows_written": q_na_rows_written,
+        "ordered_directories": q_ordered_directories,
     }.items()
 }

@@ -38,8 +38,9 @@ def build_session(master: str | None = None, app: str = "covtab",
 def checkpoint_dir(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    On a cluster this must be set by the launcher to storage every executor
-    sees. Only when it is unset (local runs, tests) is a local folder chosen.
+    On a cluster the launcher must set it to storage every executor sees; a
+    local folder is chosen only where driver and executors are one process
+    (``local[*]``: tests and small runs).
     """
     sc = spark.sparkContext
     d = sc.getCheckpointDir()
@@ -47,17 +48,17 @@ def checkpoint_dir(spark: SparkSession) -> str:
         return d
     d = spark.conf.get("spark.checkpoint.dir", None)
     if not d:
+        if not sc.master.startswith("local[") and sc.master != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
         d = tempfile.mkdtemp(prefix="covtab-ckpt-")
     sc.setCheckpointDir(d)
     return sc.getCheckpointDir() or d
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path under the shared checkpoint folder for a staged table."""
-    base = checkpoint_dir(spark)
-    if base.startswith("file:"):
-        base = base[len("file:"):]
-    return os.path.join(base, f"covtab-{name}-{uuid.uuid4().hex[:12]}")
+    """A fresh path, scheme included, under the shared checkpoint folder."""
+    base = checkpoint_dir(spark).rstrip("/")
+    return f"{base}/covtab-{name}-{uuid.uuid4().hex[:12]}"
 
 
 _SHIPPED: set[tuple[str, str]] = set()

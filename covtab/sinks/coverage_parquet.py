@@ -1,23 +1,31 @@
 """Sorted coverage Parquet (K1) with one table per (study, group) (K2).
 
+Layout: ``<output>/region=<r>/study_name=<s>/qtl_group=<g>/chrom_rank=<nn>/part-*``.
+A chromosome's rows have files of their own, so a region query opens no other
+chromosome's files, and tables of different regions live side by side.
+
 Plan: ONE range shuffle on (study, group, chromosome rank, start), then a
 local sort that adds (end, sample_id) as tie-breakers, then a partitioned
 write. The range partitioner samples the sort keys, so a (study, group) or
 chromosome holding a third of all rows is split over many tasks by start;
 no task ever holds a whole group. Each task writes a contiguous key range, so
-files are ordered by their part number and row groups carry tight
-min/max statistics on seqnames/start/end for region queries (J8).
+the files of a chromosome are ordered by their part number and row groups carry
+tight min/max statistics on start/end for region queries (J8).
 """
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from covtab import paths
 from covtab.functions.chrom import order_rank
-from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS, PARTITIONED_COVERAGE_SCHEMA
+from covtab.region import RegionSpec, region_root
+from covtab.schema import (COVERAGE_SCHEMA, GROUP_COLUMNS, OUTPUT_COLUMNS,
+                           PARTITIONED_COVERAGE_SCHEMA)
 
-RANK_COL = "_chrom_rank"
+RANK_COL = "chrom_rank"
 
 
 def sort_keys(group_cols: list[str] = GROUP_COLUMNS) -> list[str]:
@@ -26,57 +34,95 @@ def sort_keys(group_cols: list[str] = GROUP_COLUMNS) -> list[str]:
     return [*group_cols, RANK_COL, "start", "end", "sample_id"]
 
 
+def _ranked(df: DataFrame, num_partitions: int | None, group_cols: list[str]) -> DataFrame:
+    keys = sort_keys(group_cols)
+    # two digits, so that path order is chromosome order
+    df = df.withColumn(RANK_COL, F.lpad(order_rank("seqnames").cast("string"), 4, "0"))
+    dealt = (df.repartitionByRange(num_partitions, *keys) if num_partitions
+             else df.repartitionByRange(*keys))
+    return dealt.sortWithinPartitions(*keys)
+
+
 def sorted_for_publish(df: DataFrame, num_partitions: int | None = None,
                        group_cols: list[str] = GROUP_COLUMNS) -> DataFrame:
     """O1/K1 ordering: chromosome list order (1..22, then X), then start;
     ties broken by end and sample_id (a legal refinement of the original
-    'ORDER BY start')."""
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    keys = sort_keys(group_cols)
-    ranked = df.withColumn(RANK_COL, order_rank("seqnames"))
-    return (ranked.repartitionByRange(n, *keys)
-                  .sortWithinPartitions(*keys)
-                  .drop(RANK_COL))
-
-
-def write_coverage(df: DataFrame, out: str, num_partitions: int | None = None,
-                   group_cols: list[str] = GROUP_COLUMNS, mode: str = "overwrite",
-                   max_records_per_file: int | None = None,
-                   row_group_bytes: int | None = None) -> None:
-    """K1+K2: write ``<out>/study_name=<s>/qtl_group=<g>/part-*.parquet``,
-    each directory one coverage table in D1 column order, rows in order."""
-    ordered = sorted_for_publish(df, num_partitions, group_cols)
-    ordered = ordered.select(*OUTPUT_COLUMNS, *group_cols)
-    w = ordered.write.mode(mode)
-    if group_cols:
-        # re-running some groups replaces only their tables, not the others
-        w = w.option("partitionOverwriteMode", "dynamic")
+    'ORDER BY start'). Without ``num_partitions`` Spark sizes the ranges."""
+    return _ranked(df, num_partitions, group_cols).drop(RANK_COL)
+
+
+def write_coverage(df: DataFrame, out: str, region: RegionSpec | None = None,
+                   num_partitions: int | None = None, group_cols: list[str] = GROUP_COLUMNS,
+                   mode: str = "overwrite", max_records_per_file: int | None = None,
+                   row_group_bytes: int | None = None) -> str:
+    """K1+K2: write the tables of one region below ``out``, each in D1 column
+    order with rows in order; returns the region's root. Only (study, group)
+    tables that ``df`` holds are replaced."""
+    root = region_root(out, region or RegionSpec())
+    ordered = _ranked(df, num_partitions, group_cols)
+    w = ordered.select(*OUTPUT_COLUMNS, *group_cols, RANK_COL).write.mode(mode)
     if max_records_per_file:
         w = w.option("maxRecordsPerFile", max_records_per_file)
     if row_group_bytes:
         # smaller row groups = finer min/max pruning for region queries
         w = w.option("parquet.block.size", int(row_group_bytes))
-    if group_cols:
-        w = w.partitionBy(*group_cols)
-    w.parquet(out)
-
-
-def read_coverage(spark: SparkSession, out: str) -> DataFrame:
-    """Read a written coverage dataset; the (study, group) keys stay strings."""
-    return spark.read.schema(PARTITIONED_COVERAGE_SCHEMA).parquet(out)
-
-
-def physical_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows with their physical position: file and 0-based row index."""
-    df = spark.read.schema(PARTITIONED_COVERAGE_SCHEMA).parquet(path)
-    return df.select("*", F.col("_metadata.file_path").alias("file_path"),
-                     F.col("_metadata.row_index").alias("row_index"))
-
-
-def register_table(spark: SparkSession, path: str, name: str = "parq") -> DataFrame:
+    replace = bool(group_cols) and mode == "overwrite"
+    if replace:
+        # re-running some groups replaces only their tables, not the others
+        w = w.option("partitionOverwriteMode", "dynamic")
+    existed = replace and paths.exists(df.sparkSession, root)
+    w.partitionBy(*group_cols, RANK_COL).parquet(root)
+    if existed:
+        _drop_stale(ordered.select(*group_cols, RANK_COL), root, group_cols)
+    return root
+
+
+def _drop_stale(rows: DataFrame, root: str, group_cols: list[str]) -> None:
+    """Remove the chromosomes that a rewritten table no longer has. A row for
+    each table, with its at most 24 chromosomes, passes the driver in turn."""
+    spark = rows.sparkSession
+    tables = rows.groupBy(*group_cols).agg(F.collect_set(RANK_COL).alias("ranks"))
+    for r in tables.toLocalIterator():
+        table = "/".join([root, *[f"{c}={_escaped(r[c])}" for c in group_cols]])
+        new = {f"{RANK_COL}={x}" for x in r["ranks"]}
+        for name in paths.children(spark, table):
+            if name.startswith(f"{RANK_COL}=") and name not in new:
+                paths.delete(spark, f"{table}/{name}")
+
+
+# The characters Spark writes as %XX in a partition directory.
+_SPECIAL = set('"#%\'*/:=?\\{[]^\x7f') | {chr(c) for c in range(1, 32)}
+
+
+def _escaped(value: str | None) -> str:
+    if not value:
+        return "__HIVE_DEFAULT_PARTITION__"
+    return "".join(f"%{ord(c):02X}" if c in _SPECIAL else c for c in value)
+
+
+def write_empty_table(spark: SparkSession, out: str, region: RegionSpec,
+                      group: dict[str, str]) -> str:
+    """A table of schema D1 without rows, in place of any older one."""
+    table = "/".join([region_root(out, region), *[f"{c}={_escaped(v)}" for c, v in group.items()]])
+    paths.delete(spark, table)
+    (spark.createDataFrame([], COVERAGE_SCHEMA).coalesce(1).write
+     .parquet(f"{table}/{RANK_COL}=0000"))
+    return table
+
+
+def read_coverage(spark: SparkSession, root: str, keep_rank: bool = False) -> DataFrame:
+    """Read a region's tables; the (study, group) keys stay strings, and the
+    layout's chromosome rank is left out unless asked for."""
+    grouped = any(x.startswith(f"{GROUP_COLUMNS[0]}=") for x in paths.children(
+        spark, root))
+    fields = (PARTITIONED_COVERAGE_SCHEMA if grouped else COVERAGE_SCHEMA).fields
+    schema = T.StructType([*fields, T.StructField(RANK_COL, T.StringType())])
+    df = spark.read.schema(schema).parquet(root)
+    return df if keep_rank else df.drop(RANK_COL)
+
+
+def register_table(spark: SparkSession, root: str, name: str = "parq") -> DataFrame:
     """A published table (or dataset) as a temporary view for SQL."""
-    probe = spark.read.parquet(path)
-    df = read_coverage(spark, path) if all(c in probe.columns for c in GROUP_COLUMNS) else probe
+    df = read_coverage(spark, root)
     df.createOrReplaceTempView(name)
     return df

@@ -23,7 +23,6 @@ that ``pyarrow.fs`` understands.
 
 from __future__ import annotations
 
-import os
 import zlib
 
 import numpy as np
@@ -41,7 +40,7 @@ INTERVAL_SCHEMA = ("study_name string, qtl_group string, file_path string, chrom
 CHROM_SCHEMA = ("study_name string, qtl_group string, file_path string, chrom string, "
                 "chrom_id int, size long, error string")
 
-NO_CHROMS = "opened, but no chromosomes were found"
+NO_CHROMS = "the file lists no chromosome"
 
 
 def open_file(path: str):
@@ -87,8 +86,9 @@ def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int |
     ``normalize``, else exactly) that may hold rows with end0 >= lo and
     start0 < hi; cut runs of adjacent kept blocks into byte ranges of about
     ``chunk_bytes``. Returns chunk tuples
-    (chunk, compressed, ubuf, lo, hi, n_blocks, keep_ids, keep_names) — a
-    constant-size description, whatever the number of blocks."""
+    (chunk, compressed, lo, hi, n_blocks, keep_ids, keep_names) — a constant-size
+    description, whatever the number of blocks; the names are those of the kept
+    chromosomes that the chunk's blocks hold."""
     with open_file(path) as f:
         h = read_header(f)
         chroms = read_chroms(f, h)
@@ -118,13 +118,19 @@ def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int |
     cut[1:] |= bucket[1:] != bucket[:-1]
     starts = np.flatnonzero(cut)
     ends = np.append(starts[1:], n)
-    ids = keep_ids.astype(np.int32).tolist()
-    return [(k, h.uncompress_buf_size > 0, int(h.uncompress_buf_size), int(off[a]),
-             int(off[b - 1] + size[b - 1]), int(b - a), ids, keep_names)
+    order = np.argsort(keep_ids, kind="stable")
+    ids, names = keep_ids[order], [keep_names[k] for k in order]
+
+    def own(a: int, b: int) -> tuple[list[int], list[str]]:
+        i = int(np.searchsorted(ids, int(sel["sc"][a:b].min()), "left"))
+        j = int(np.searchsorted(ids, int(sel["ec"][a:b].max()), "right"))
+        return ids[i:j].tolist(), names[i:j]
+    return [(k, h.uncompress_buf_size > 0, int(off[a]), int(off[b - 1] + size[b - 1]),
+             int(b - a), *own(a, b))
             for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist()))]
 
 
-def iter_blocks(span: bytes, compressed: bool, ubuf: int, n_blocks: int):
+def iter_blocks(span: bytes, compressed: bool, n_blocks: int):
     """Walk ``n_blocks`` adjacent data blocks of a byte span, yielding each
     inflated block. zlib streams end by themselves; an uncompressed block's
     length follows from its header (type and item count)."""
@@ -156,14 +162,14 @@ def iter_blocks(span: bytes, compressed: bool, ubuf: int, n_blocks: int):
         raise BigWigError(f"chunk has {len(span) - pos} bytes after its last block")
 
 
-def decode_range(f, compressed: bool, ubuf: int, lo: int, hi: int, n_blocks: int,
+def decode_range(f, compressed: bool, lo: int, hi: int, n_blocks: int,
                  keep_ids: list[int], max_rows: int = MAX_BATCH_ROWS):
     """Decode the blocks in [lo, hi): yields (chrom position in keep_ids,
     start0, end0, score) arrays of at most about ``max_rows`` rows."""
     id_to_pos = {cid: i for i, cid in enumerate(keep_ids)}
     span = read_exact(f, lo, hi - lo)
     cids, starts, ends, vals, rows = [], [], [], [], 0
-    for raw in iter_blocks(span, compressed, ubuf, n_blocks):
+    for raw in iter_blocks(span, compressed, n_blocks):
         cid, s, e, v = decode_section(raw, False)
         pos = id_to_pos.get(cid)
         if pos is None:
@@ -184,7 +190,7 @@ def decode_range(f, compressed: bool, ubuf: int, lo: int, hi: int, n_blocks: int
 
 _CHUNK_ARROW = pa.schema([
     ("study_name", pa.string()), ("qtl_group", pa.string()), ("file_path", pa.string()),
-    ("chunk", pa.int64()), ("compressed", pa.bool_()), ("ubuf", pa.int64()),
+    ("chunk", pa.int64()), ("compressed", pa.bool_()),
     ("lo", pa.int64()), ("hi", pa.int64()), ("n_blocks", pa.int64()),
     ("keep_ids", pa.list_(pa.int32())), ("keep_names", pa.list_(pa.string())),
     ("error", pa.string())])
@@ -234,8 +240,8 @@ def _decode_fn():
                 try:
                     with open_file(path) as f:
                         for pos, s, e, v in decode_range(
-                                f, cols["compressed"][i], cols["ubuf"][i], cols["lo"][i],
-                                cols["hi"][i], cols["n_blocks"][i], cols["keep_ids"][i]):
+                                f, cols["compressed"][i], cols["lo"][i], cols["hi"][i],
+                                cols["n_blocks"][i], cols["keep_ids"][i]):
                             n = len(s)
                             chrom = pa.DictionaryArray.from_arrays(pa.array(pos), names)
                             out.append(pa.RecordBatch.from_arrays(
@@ -267,7 +273,7 @@ def _parallelism(df: DataFrame, n: int | None) -> int:
 
 
 CHUNK_SCHEMA = ("study_name string, qtl_group string, file_path string, chunk long, "
-                "compressed boolean, ubuf long, lo long, hi long, n_blocks long, "
+                "compressed boolean, lo long, hi long, n_blocks long, "
                 "keep_ids array<int>, keep_names array<string>, error string")
 
 
@@ -323,29 +329,73 @@ def scan_bigwig(files: DataFrame, region: RegionSpec | None = None,
     return decode_chunks(chunks, num_partitions)
 
 
+def _range_index_fn(chrom: str, start: int, end: int | None, chunk_bytes: int):
+    schema = _CHUNK_ARROW
+
+    def pick(path: str) -> tuple[str, int]:
+        with open_file(path) as f:
+            sizes = {c[0]: c[2] for c in read_chroms(f, read_header(f))}
+        if not sizes:
+            raise BigWigError(NO_CHROMS)
+        loose = [c for c in sizes if c.replace("chr", "") == chrom.replace("chr", "")]
+        name = chrom if chrom in sizes else min(loose, default=None)
+        if name is None:
+            raise BigWigError(f"has no chromosome {chrom}")
+        stop = sizes[name] if end is None else min(end, sizes[name])
+        if start >= stop:
+            raise BigWigError(f"range {start} to {stop} of chromosome {name} is empty")
+        return name, stop
+
+    def fn(batches):
+        for batch in batches:
+            studies, groups, paths = (_col(batch, "study_name"), _col(batch, "qtl_group"),
+                                      _col(batch, "file_path"))
+            for study, group, path in zip(studies, groups, paths):
+                try:
+                    name, stop = pick(path)
+                    rows = [(study, group, path, *c, None) for c in index_file(
+                        path, {name}, (start + 1, stop), chunk_bytes, normalize=False)]
+                except Exception as e:  # noqa: BLE001 - reported as an error row
+                    yield _error_row(schema, study, group, path, str(e) or type(e).__name__)
+                    continue
+                if rows:
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(list(c), t.type) for c, t in
+                         zip(zip(*rows, strict=True), schema, strict=True)], schema=schema)
+    return fn
+
+
 def scan_bigwig_range(files: DataFrame, chrom: str, start: int = 0, end: int | None = None,
                       chunk_bytes: int = DEFAULT_CHUNK_BYTES,
                       num_partitions: int | None = None) -> DataFrame:
     """Intervals overlapping [start, end) of one chromosome, 0-based,
     exact name first and the 'chr'-less name as fallback; ``end`` defaults
     to and is clamped to the chromosome size. Intervals are not clipped.
-    Only blocks of matching chromosomes that overlap the range are inflated."""
-    sizes = chrom_sizes(files, num_partitions).filter(F.col("error").isNull())
-    target = chrom.replace("chr", "")
-    exact = sizes.filter(F.col("chrom") == chrom)
-    loose = sizes.filter(F.replace(F.col("chrom"), F.lit("chr"), F.lit("")) == target)
-    # per file: the exact name when present, else the normalised match
-    pick = (exact.withColumn("pref", F.lit(0))
-            .unionByName(loose.withColumn("pref", F.lit(1)))
-            .groupBy("file_path").agg(F.min_by(F.struct("chrom", "size"), "pref").alias("c"))
-            .select("file_path", F.col("c.chrom").alias("q_chrom"), F.col("c.size").alias("q_size")))
-    chunks = index_chunks(files, [target], (start + 1, end), chunk_bytes, num_partitions)
-    raw = decode_chunks(chunks, num_partitions).filter(F.col("error").isNull())
-    q_end = F.col("q_size") if end is None else F.least(F.lit(end).cast("long"), F.col("q_size"))
-    j = raw.join(pick, "file_path")
-    return (j.filter((F.col("chrom") == F.col("q_chrom")) & (F.lit(start) < q_end)
-                     & (F.col("start0") < q_end) & (F.col("end0") > F.lit(start)))
-             .drop("q_chrom", "q_size"))
+    Each header is read once, only blocks that overlap the range are inflated,
+    and a file that cannot be read, lacks the chromosome or ends before the
+    range gives an error row."""
+    check_range(start, end)
+    n = _parallelism(files, num_partitions)
+    chunks = _files(files).repartition(n).mapInArrow(
+        _range_index_fn(chrom, start, end, chunk_bytes), CHUNK_SCHEMA)
+    inside = F.col("end0") > start
+    if end is not None:
+        inside = inside & (F.col("start0") < end)
+    return decode_chunks(chunks, num_partitions).filter(F.col("error").isNotNull() | inside)
+
+
+def check_range(start: int, end: int | None) -> None:
+    if start < 0:
+        raise ValueError("start must not be negative")
+    if end is not None and end <= start:
+        raise ValueError("end must lie beyond start")
+
+
+def without_errors(scan: DataFrame) -> DataFrame:
+    """A scan's rows; its first error row, if any, fails the query."""
+    failure = F.when(F.col("error").isNotNull(), F.raise_error(
+        F.concat(F.col("file_path"), F.lit(": "), F.col("error"))))
+    return scan.filter(failure.cast("string").isNull()).drop("error")
 
 
 # ------------------------------------------------------------ chromosome sizes
@@ -397,17 +447,29 @@ def readability(files: DataFrame, num_partitions: int | None = None) -> DataFram
                       .alias("message")))
 
 
-def local_path(path: str) -> str:
-    return os.path.abspath(os.path.expanduser(path))
-
-
 # ------------------------------------------------------------ head of a file
 
 HEAD_SCHEMA = ("file_path string, chrom string, start0 long, end0 long, score double, rn int, "
                "error string")
 
 
-def _head_fn(start: int, end: int | None, n: int):
+HEAD_READ_BLOCKS = 16  # adjacent blocks that the head reads at once
+
+
+def _runs(leaves: np.ndarray):
+    """Index ranges of adjacent blocks, short ones first: a head often needs
+    one block only."""
+    a, n, most = 0, len(leaves), 1
+    ends = leaves["off"].astype(np.int64) + leaves["size"].astype(np.int64)
+    while a < n:
+        b = a + 1
+        while b < n and b - a < most and int(leaves["off"][b]) == int(ends[b - 1]):
+            b += 1
+        yield a, b
+        a, most = b, HEAD_READ_BLOCKS
+
+
+def _head_fn(start: int, end: int | None, n: int, chrom: str | None):
     schema = pa.schema([("file_path", pa.string()), ("chrom", pa.string()),
                         ("start0", pa.int64()), ("end0", pa.int64()), ("score", pa.float64()),
                         ("rn", pa.int32()), ("error", pa.string())])
@@ -422,34 +484,34 @@ def _head_fn(start: int, end: int | None, n: int):
                     continue                      # shorter than the start: next one
                 leaves = read_index_leaves(f, h, np.array([cid], dtype=np.int64),
                                            (start + 1, q_end))
-                got_s, got_e, got_v = [], [], 0
-                for leaf in leaves:               # file order = start order
-                    raw = read_exact(f, int(leaf["off"]), int(leaf["size"]))
-                    bcid, s, e, v = decode_section(raw, h.uncompress_buf_size > 0)
-                    if bcid != cid:
-                        continue
-                    keep = (s.astype(np.int64) < q_end) & (e.astype(np.int64) > start)
-                    if keep.any():
-                        got_s.append((s[keep], e[keep], v[keep]))
-                        got_v += int(keep.sum())
-                    if got_v >= n:
+                got, n_got = [], 0
+                for a, b in _runs(leaves):        # file order = start order
+                    span = read_exact(f, int(leaves["off"][a]), int(
+                        leaves["off"][b - 1] + leaves["size"][b - 1] - leaves["off"][a]))
+                    for raw in iter_blocks(span, h.uncompress_buf_size > 0, b - a):
+                        bcid, s, e, v = decode_section(raw, False)
+                        keep = (s.astype(np.int64) < q_end) & (e.astype(np.int64) > start)
+                        if bcid == cid and keep.any():
+                            got.append((s[keep], e[keep], v[keep]))
+                            n_got += int(keep.sum())
+                    if n_got >= n:
                         break
-                if got_v:
-                    s = np.concatenate([a for a, _, _ in got_s])[:n]
-                    e = np.concatenate([b for _, b, _ in got_s])[:n]
-                    v = np.concatenate([c for _, _, c in got_s])[:n]
-                    return name, s, e, v
+                if n_got:
+                    return name, *(np.concatenate(x)[:n] for x in zip(*got, strict=True))
         return None
 
     def fn(batches):
         for batch in batches:
             for path, order in zip(_col(batch, "file_path"), _col(batch, "chroms")):
                 try:
+                    if not order and chrom is not None:
+                        raise BigWigError(f"has no chromosome {chrom}")
                     found = head_of(path, order or [])
                 except Exception as ex:  # noqa: BLE001 - reported as an error row
                     yield _error_row(schema, None, None, path, str(ex) or type(ex).__name__)
                     continue
                 if found is None:
+                    yield _error_row(schema, None, None, path, "no interval in the range")
                     continue
                 name, s, e, v = found
                 k = len(s)
@@ -462,26 +524,36 @@ def _head_fn(start: int, end: int | None, n: int):
 
 
 def bigwig_head(files: DataFrame, start: int = 0, end: int | None = None, n: int = 10,
-                chrom: str | None = None, num_partitions: int | None = None) -> DataFrame:
+                chrom: str | None = None, num_partitions: int | None = None,
+                sizes: DataFrame | None = None) -> DataFrame:
     """O7 + O6 read straight from the files: per file, the first chromosome
     (inspector order P8; or ``chrom``: exact name, else the 'chr'-less one)
     with an interval overlapping [start, min(end, size)), and its first ``n``
     such intervals in file order. Each file reads only the index nodes and
     blocks it needs and stops at the first chromosome with data — never the
-    whole file. The chromosome order is computed by Spark (one definition of
-    P8); the walk is per file inside ``mapInArrow``."""
+    whole file. A file that cannot be read, lacks ``chrom``, or has no interval
+    there gives an error row. The chromosome order is computed by Spark (one
+    definition of P8); the walk is per file inside ``mapInArrow``."""
     from covtab.functions.chrom import inspect_rank
 
-    sizes = chrom_sizes(files, num_partitions).filter(F.col("error").isNull())
+    sizes = chrom_sizes(files, num_partitions) if sizes is None else sizes
+    none = F.lit(None)
+    broken = sizes.filter(F.col("error").isNotNull()).select(
+        "file_path", *[none.cast(t).alias(c) for c, t in (
+            ("chrom", "string"), ("start0", "long"), ("end0", "long"), ("score", "double"),
+            ("rn", "int"))], "error")
+    good = sizes.filter(F.col("error").isNull())
+    wanted = F.lit(0)
     if chrom is not None:
-        pref = (F.when(F.col("chrom") == chrom, 0)
-                 .when(F.replace(F.col("chrom"), F.lit("chr"), F.lit("")) == chrom.replace("chr", ""), 1))
-        sizes = sizes.withColumn("k0", pref).filter(F.col("k0").isNotNull())
-    else:
-        sizes = sizes.withColumn("k0", F.lit(0))
-    order = (sizes.groupBy("file_path")
-             .agg(F.array_sort(F.collect_list(F.struct(
-                 "k0", inspect_rank("chrom").alias("rank"), "chrom", "chrom_id", "size")))
-                 .alias("chroms")))
+        loose = F.replace(F.col("chrom"), F.lit("chr"), F.lit("")) == chrom.replace("chr", "")
+        wanted = F.when(F.col("chrom") == chrom, 0).when(loose, 1)
+    entry = F.struct(wanted.alias("k0"), inspect_rank("chrom").alias("rank"), "chrom",
+                     "chrom_id", "size")
+    order = (good.groupBy("file_path")
+             .agg(F.array_sort(F.collect_list(F.when(wanted.isNotNull(), entry)))
+                  .alias("chroms")))
+    if chrom is not None:  # the exact name alone, where the file has it
+        order = order.withColumn("chroms", F.slice("chroms", 1, 1))
     n_part = _parallelism(files, num_partitions)
-    return order.repartition(n_part).mapInArrow(_head_fn(start, end, n), HEAD_SCHEMA)
+    found = order.repartition(n_part).mapInArrow(_head_fn(start, end, n, chrom), HEAD_SCHEMA)
+    return found.unionByName(broken)

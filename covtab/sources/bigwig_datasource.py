@@ -10,21 +10,23 @@ Columns: file_path, chrom, start0, end0 (0-based half-open), score.
 Filters on ``chrom`` (=, IN) are applied exactly inside the source; bounds on
 ``start0`` (<, <=) and ``end0`` (>, >=) prune whole blocks through the file's
 R-tree and are re-checked by Spark. Planning reads only each file's header and
-chromosome tree on the driver (a few KB per file); every (file, chromosome) is
-one task that walks the pruned R-tree and decodes its blocks. For very large
-file sets ``scan_bigwig`` (covtab.sources.bigwig) also moves that small
+chromosome tree on the driver (a few KB per file, many files at once); every
+(file, chromosome) is one task that walks the pruned R-tree and decodes its
+blocks. For very large file sets or chromosomes ``scan_bigwig`` (covtab.sources.bigwig) also moves that small
 planning read onto executors and cuts chromosomes into byte ranges.
 """
 
 from __future__ import annotations
 
 import os
+from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, LessThan,
                                     LessThanOrEqual)
 
+PLANNING_THREADS = 32
 SOURCE_SCHEMA = "file_path string, chrom string, start0 long, end0 long, score double"
 
 
@@ -66,18 +68,19 @@ class BigWigReader(DataSourceReader):
             yield f              # bounds prune blocks only; Spark re-checks rows
 
     def _files(self):
-        from covtab.sources.listing import is_bigwig_name
+        from covtab.paths import absolute, is_uri
+        from covtab.sources.listing import _entries, is_bigwig_name
 
-        p = os.path.abspath(os.path.expanduser(self.path))
-        if os.path.isfile(p):
+        p = absolute(self.path)
+        if not is_uri(p) and os.path.isfile(p):
             return [p]
-        out = []
-        if self.recursive:
-            for d, _dirs, names in os.walk(p):
-                out.extend(os.path.join(d, n) for n in names if is_bigwig_name(n))
-        else:
-            with os.scandir(p) as it:
-                out.extend(e.path for e in it if e.is_file() and is_bigwig_name(e.name))
+        out, todo = [], [p]
+        while todo:
+            for name, path, is_dir, _, _ in _entries(todo.pop()):
+                if is_dir and self.recursive:
+                    todo.append(path)
+                elif not is_dir and is_bigwig_name(name):
+                    out.append(path)
         return sorted(out)
 
     def partitions(self):
@@ -87,12 +90,14 @@ class BigWigReader(DataSourceReader):
         from covtab.sources.bigwig import open_file
         from covtab.sources.bigwig_format import read_chroms, read_header
 
-        parts = []
-        for path in self._files():
+        def names(path):
             with open_file(path) as f:
-                names = [c[0] for c in read_chroms(f, read_header(f))]
-            parts.extend(_FileChrom(path, c) for c in sorted(names)
-                         if self.chroms is None or c in self.chroms)
+                return path, [c[0] for c in read_chroms(f, read_header(f))]
+
+        with ThreadPoolExecutor(PLANNING_THREADS) as pool:
+            found = list(pool.map(names, self._files()))
+        parts = [_FileChrom(path, c) for path, chroms in found for c in sorted(chroms)
+                 if self.chroms is None or c in self.chroms]
         return parts or [_FileChrom(None, None)]
 
     def read(self, partition: _FileChrom):
@@ -104,9 +109,9 @@ class BigWigReader(DataSourceReader):
         chunks = index_file(partition.path, {partition.chrom}, bounds, self.chunk_bytes,
                             normalize=False)
         with open_file(partition.path) as f:
-            for (_k, comp, ubuf, lo, hi, nb, ids, names) in chunks:
+            for (_k, comp, lo, hi, nb, ids, names) in chunks:
                 name_arr = pa.array(names, pa.string())
-                for pos, s, e, v in decode_range(f, comp, ubuf, lo, hi, nb, ids):
+                for pos, s, e, v in decode_range(f, comp, lo, hi, nb, ids):
                     chrom = pa.DictionaryArray.from_arrays(pa.array(pos), name_arr)
                     yield pa.RecordBatch.from_arrays(
                         [_const(partition.path, len(s)), chrom.cast(pa.string()), pa.array(s),

@@ -68,22 +68,43 @@ def read_header(f) -> Header:
     return Header(version, zoom, ctree, data, index, ubuf)
 
 
+def _visit(seen: set[int], offset: int, tree: str) -> None:
+    if offset in seen:
+        raise BigWigError(f"{tree} visits one node twice")
+    seen.add(offset)
+
+
+def _read_node(f, offset: int, leaf_size: int, inner_size: int, block: int
+               ) -> tuple[bool, int, bytes]:
+    """A tree node: whether it is a leaf, its number of items, their bytes. One
+    read covers a node of up to ``block`` items; files may end within it."""
+    f.seek(offset)
+    b = f.read(_NODE.size + min(block, 65535) * max(leaf_size, inner_size))
+    if len(b) < _NODE.size:
+        raise BigWigError(f"truncated file: no tree node at offset {offset}")
+    is_leaf, _r, n = _NODE.unpack_from(b)
+    size = n * (leaf_size if is_leaf else inner_size)
+    if len(b) < _NODE.size + size:
+        return bool(is_leaf), n, read_exact(f, offset + _NODE.size, size)
+    return bool(is_leaf), n, b[_NODE.size:_NODE.size + size]
+
+
 def read_chroms(f, header: Header) -> list[tuple[str, int, int]]:
     """Every (name, chrom_id, size) in the chromosome B+ tree."""
     b = read_exact(f, header.chrom_tree_offset, _BPT_HEADER.size)
-    magic, _block, key_size, val_size, count, _ = _BPT_HEADER.unpack(b)
+    magic, block, key_size, val_size, count, _ = _BPT_HEADER.unpack(b)
     if magic != CHROM_TREE_MAGIC:
         raise BigWigError("bad chromosome tree magic number")
     if val_size != 8:
         raise BigWigError(f"unexpected chromosome tree value size {val_size}")
     out: list[tuple[str, int, int]] = []
+    item = key_size + 8
     stack = [header.chrom_tree_offset + _BPT_HEADER.size]
-    seen = 0
+    seen: set[int] = set()
     while stack:
         off = stack.pop()
-        is_leaf, _r, n = _NODE.unpack(read_exact(f, off, _NODE.size))
-        item = key_size + 8
-        body = read_exact(f, off + _NODE.size, n * item)
+        _visit(seen, off, "chromosome tree")
+        is_leaf, n, body = _read_node(f, off, item, item, block)
         if is_leaf:
             for i in range(n):
                 p = i * item
@@ -93,9 +114,6 @@ def read_chroms(f, header: Header) -> list[tuple[str, int, int]]:
         else:
             kids = [struct.unpack_from("<Q", body, i * item + key_size)[0] for i in range(n)]
             stack.extend(reversed(kids))
-        seen += 1
-        if seen > 1_000_000:
-            raise BigWigError("chromosome tree does not terminate")
     if len(out) != count:
         raise BigWigError(f"chromosome tree lists {len(out)} of {count} chromosomes")
     return out
@@ -131,29 +149,25 @@ def read_index_leaves(f, header: Header, keep_ids: np.ndarray | None = None,
     hold wanted rows, so a region query reads O(log n) index nodes instead of
     every leaf."""
     b = read_exact(f, header.full_index_offset, _RT_HEADER.size)
-    magic = struct.unpack_from("<I", b)[0]
+    magic, block = struct.unpack_from("<II", b)
     if magic != RTREE_MAGIC:
         raise BigWigError("bad R-tree magic number")
     leaves = []
     stack = [header.full_index_offset + _RT_HEADER.size]
-    visited = 0
+    seen: set[int] = set()
     prune = keep_ids is not None or bounds is not None
     while stack:
         off = stack.pop()
-        is_leaf, _r, n = _NODE.unpack(read_exact(f, off, _NODE.size))
+        _visit(seen, off, "R-tree")
+        is_leaf, n, body = _read_node(f, off, RT_LEAF.itemsize, RT_INNER.itemsize, block)
         if is_leaf:
-            items = np.frombuffer(read_exact(f, off + _NODE.size, n * RT_LEAF.itemsize),
-                                  dtype=RT_LEAF)
+            items = np.frombuffer(body, dtype=RT_LEAF)
             leaves.append(items[_node_mask(items, keep_ids, bounds)] if prune else items)
         else:
-            inner = np.frombuffer(read_exact(f, off + _NODE.size, n * RT_INNER.itemsize),
-                                  dtype=RT_INNER)
+            inner = np.frombuffer(body, dtype=RT_INNER)
             if prune:
                 inner = inner[_node_mask(inner, keep_ids, bounds)]
             stack.extend(int(x) for x in inner["off"][::-1])
-        visited += 1
-        if visited > 50_000_000:
-            raise BigWigError("R-tree does not terminate")
     if not leaves:
         return np.zeros(0, dtype=RT_LEAF)
     items = np.concatenate(leaves)

@@ -103,46 +103,70 @@ def customer_manifest(spark: SparkSession, sf_dir: str, root: str = "/cov") -> D
 FIXTURE_CHROM_SIZE = 250_000_000
 
 
+ENCODE_ROWS = 200_000  # rows that one encoded file holds at most
+
+
 def encode_lineitem_bigwigs(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
     """Write the lineitem intervals as real BigWig files under ``root``.
 
-    Every scan task writes, for each sample file it holds rows of, one
-    BigWig '<root><dir>/<name>.t<partition>.<ext>' (sample id unchanged: the
-    name before its first dot). Work per task is bounded by its split; no
-    file's rows are gathered into one task. Returns a small per-file
-    DataFrame (path, rows) — an action runs it."""
+    Every scan task writes, for each sample file it holds rows of in a bounded
+    run of ``ENCODE_ROWS`` rows, one BigWig
+    '<root><dir>/<name>.t<partition>-<run>.<ext>' (sample id unchanged: the name
+    before its first dot). Work per task is bounded by the run; no file's rows
+    are gathered into one task. Returns a small per-file DataFrame (path, rows)
+    — an action runs it."""
     import os
 
     import pandas as pd
     from pyspark import TaskContext
 
+    from covtab.paths import is_uri, plain
     from covtab.testing.bigwig_writer import write_bigwig
 
     raw = lineitem_intervals(spark, sf_dir).select("file_path", "chrom", "start0", "end0", "score")
+    root = plain(root)
+
+    def write_file(path: str, rows: pd.DataFrame, mark: str) -> tuple[str, int]:
+        d, base = os.path.split(path)
+        name, ext = base.rsplit(".", 1)
+        target = f"{root}{d}/{name}.t{mark}.{ext}"
+        rows = rows.sort_values(["chrom", "start0", "end0"], kind="stable")
+        iv = {c: list(zip(g["start0"].tolist(), g["end0"].tolist(), g["score"].tolist()))
+              for c, g in rows.groupby("chrom", sort=True)}
+        sizes = [(c, FIXTURE_CHROM_SIZE) for c in iv]
+        if is_uri(target):
+            # shared object store / HDFS: one PUT, a retry overwrites it
+            write_bigwig(target, sizes, iv)
+        else:
+            os.makedirs(os.path.dirname(target), exist_ok=True)
+            tmp = target + ".tmp"
+            write_bigwig(tmp, sizes, iv)
+            os.replace(tmp, target)      # a retried task rewrites atomically
+        return target, len(rows)
 
     def write(batches):
-        part = TaskContext.get().partitionId()
-        frames = [b for b in batches if len(b)]
-        out = []
-        if frames:
-            pdf = pd.concat(frames, ignore_index=True)
-            for path, rows in pdf.groupby("file_path", sort=True):
-                d, base = os.path.split(path)
-                name, ext = base.rsplit(".", 1)
-                target = f"{root}{d}/{name}.t{part:05d}.{ext}"
-                rows = rows.sort_values(["chrom", "start0", "end0"], kind="stable")
-                iv = {c: list(zip(g["start0"].tolist(), g["end0"].tolist(), g["score"].tolist()))
-                      for c, g in rows.groupby("chrom", sort=True)}
-                sizes = [(c, FIXTURE_CHROM_SIZE) for c in iv]
-                if "://" in target and not target.startswith("file:"):
-                    # shared object store / HDFS: one PUT, a retry overwrites it
-                    write_bigwig(target, sizes, iv)
-                else:
-                    os.makedirs(os.path.dirname(target), exist_ok=True)
-                    tmp = target + ".tmp"
-                    write_bigwig(tmp, sizes, iv)
-                    os.replace(tmp, target)      # a retried task rewrites atomically
-                out.append((target, len(rows)))
-        yield pd.DataFrame(out, columns=["path", "rows"])
+        part, run, held, n = TaskContext.get().partitionId(), 0, [], 0
+
+        def flush():
+            pdf = pd.concat(held, ignore_index=True)
+            return pd.DataFrame([write_file(path, rows, f"{part:05d}-{run:05d}")
+                                 for path, rows in pdf.groupby("file_path", sort=True)],
+                                columns=["path", "rows"])
+        for batch in batches:
+            held.append(batch)
+            n += len(batch)
+            if n >= ENCODE_ROWS:
+                yield flush()
+                run, held, n = run + 1, [], 0
+        if n:
+            yield flush()
 
     return raw.mapInPandas(write, "path string, rows long")
+
+
+def add_broken_files(files: DataFrame, every: int = 5) -> DataFrame:
+    """The same file rows, with every ``every``-th path (by hash) replaced by
+    one of a file that cannot be read: it does not exist."""
+    broken = F.pmod(F.xxhash64("file_path"), F.lit(every)) == 0
+    return files.withColumn("file_path", F.when(broken, F.concat(
+        "file_path", F.lit(".missing"))).otherwise(F.col("file_path")))

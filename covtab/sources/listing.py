@@ -1,10 +1,11 @@
 """Input discovery as Spark jobs.
 
 Directory trees are listed by executors: each level is a DataFrame of
-directories, repartitioned and expanded with ``mapInPandas`` + ``os.scandir``,
-so a root with many studies, groups or files is listed in parallel and
-nothing but the final (small) error lists reaches the driver. Paths must be on
-a filesystem every executor sees (the same assumption the converter makes).
+directories, repartitioned and expanded with ``mapInPandas``, so a root with
+many studies, groups or files is listed in parallel. Local paths (on a file
+system every executor sees) and URIs that ``pyarrow.fs`` understands are told
+apart row by row. A directory that cannot be listed fails the job: a listing
+is never silently short.
 """
 
 from __future__ import annotations
@@ -16,33 +17,49 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from covtab import paths
 from covtab.functions.intervals import group_from_bigwig_dir, study_from_bigwig_dir
 from covtab.schema import BIGWIG_SUFFIXES, MANIFEST_COLUMNS
+from covtab.session import checkpoint_dir
 
 BIGWIG_DIR_NAME = "bigwig"
+SAMPLE_LISTED = 20  # entries an error message shows of a longer list
 
 DIRS_SCHEMA = "study_name string, qtl_group string, bigwig_dir string"
 FILES_SCHEMA = ("study_name string, qtl_group string, bigwig_dir string, "
-                "file_path string, size long")
+                "file_path string, size long, modified long")
 
 
 class DiscoveryError(RuntimeError):
     pass
 
 
-def _subdirs(path: str) -> list[os.DirEntry]:
-    try:
-        with os.scandir(path) as it:
-            return [e for e in it if e.is_dir()]
-    except (FileNotFoundError, NotADirectoryError, PermissionError):
-        return []
+def _entries(path: str) -> list[tuple[str, str, bool, int, int]]:
+    """``(name, path, is_directory, size, modified in ns)`` of a directory."""
+    if paths.is_uri(path):
+        from pyarrow import fs as pafs
+        filesystem, inner = pafs.FileSystem.from_uri(path)
+        out = []
+        for i in filesystem.get_file_info(pafs.FileSelector(inner)):
+            out.append((i.base_name, f"{path.rstrip('/')}/{i.base_name}",
+                        i.type == pafs.FileType.Directory, i.size or 0, i.mtime_ns or 0))
+        return out
+    out = []
+    with os.scandir(paths.plain(path)) as it:
+        for e in it:
+            if e.is_dir():
+                out.append((e.name, e.path, True, 0, 0))
+            elif e.is_file():
+                st = e.stat()
+                out.append((e.name, e.path, False, st.st_size, st.st_mtime_ns))
+    return out
 
 
 def _study_dirs(it):
     for pdf in it:
         out = []
         for root in pdf["root"]:
-            out.extend((e.name, e.path) for e in _subdirs(root))
+            out.extend((name, path) for name, path, is_dir, _, _ in _entries(root) if is_dir)
         yield pd.DataFrame(out, columns=["study_name", "study_dir"])
 
 
@@ -50,10 +67,11 @@ def _group_dirs(it):
     for pdf in it:
         out = []
         for study, sdir in zip(pdf["study_name"], pdf["study_dir"]):
-            for g in _subdirs(sdir):
-                bw = os.path.join(g.path, BIGWIG_DIR_NAME)
-                if os.path.isdir(bw):          # F6: exact name, a directory
-                    out.append((study, g.name, bw))
+            for group, path, is_dir, _, _ in _entries(sdir):
+                if is_dir:
+                    # exact name, a directory
+                    out.extend((study, group, p) for name, p, d, _, _ in _entries(path)
+                               if d and name == BIGWIG_DIR_NAME)
         yield pd.DataFrame(out, columns=MANIFEST_COLUMNS)
 
 
@@ -65,31 +83,35 @@ def discover_bigwig_dirs(spark: SparkSession, root: str, study: str | None = Non
     """S1 (and S2 with ``study``): every ``<root>/<study>/<group>/bigwig``
     directory, exactly three levels deep, sorted by (study, group) name.
     Columns: study_name, qtl_group, bigwig_dir."""
-    root = os.path.abspath(os.path.expanduser(root))
-    if not os.path.isdir(root):
-        raise DiscoveryError(f"root path is not a directory: {root}")
+    root = paths.absolute(root)
+    if not paths.is_directory(spark, root):
+        raise DiscoveryError(f"no such directory to search: {root}")
     seed = spark.createDataFrame([(root,)], "root string")
     if study is None:
         studies = seed.mapInPandas(_study_dirs, "study_name string, study_dir string")
     else:
-        studies = seed.select(F.lit(study).alias("study_name"),
-                              F.lit(os.path.join(root, study)).alias("study_dir"))
+        study_dir = f"{root.rstrip('/')}/{study}"
+        if not paths.is_directory(spark, study_dir):
+            return spark.createDataFrame([], DIRS_SCHEMA)
+        studies = seed.select(F.lit(study).alias("study_name"), F.lit(study_dir).alias("study_dir"))
     dirs = (studies.repartition(_partitions(spark))
                    .mapInPandas(_group_dirs, DIRS_SCHEMA))
     return dirs.orderBy("study_name", "qtl_group")
 
 
-def bigwig_dirs_from_paths(paths: DataFrame, root: str, path_col: str = "path") -> DataFrame:
+def bigwig_dirs_from_paths(listed: DataFrame, root: str, path_col: str = "path") -> DataFrame:
     """S1 on an already-listed set of directory paths: keep exactly
     '<root>/<study>/<group>/bigwig' and split out study and group (P9)."""
-    root = root.rstrip("/")
-    pat = "^" + root.replace(".", r"\.") + r"/[^/]+/[^/]+/bigwig$"
+    root = root.rstrip("/") + "/"
     p = F.col(path_col)
-    return (paths.filter(p.rlike(pat))
-                 .select(study_from_bigwig_dir(p).alias("study_name"),
-                         group_from_bigwig_dir(p).alias("qtl_group"),
-                         p.alias("bigwig_dir"))
-                 .orderBy("study_name", "qtl_group"))
+    below = F.split(F.substr(p, F.lit(len(root) + 1)), "/")
+    exact = (p.startswith(root) & (F.size(below) == 3) & (below[2] == BIGWIG_DIR_NAME)
+             & (below[0] != "") & (below[1] != ""))
+    return (listed.filter(exact)
+                  .select(study_from_bigwig_dir(p).alias("study_name"),
+                          group_from_bigwig_dir(p).alias("qtl_group"),
+                          p.alias("bigwig_dir"))
+                  .orderBy("study_name", "qtl_group"))
 
 
 def is_bigwig_name(name: str) -> bool:
@@ -97,111 +119,78 @@ def is_bigwig_name(name: str) -> bool:
     return name.endswith(BIGWIG_SUFFIXES) and not name.startswith(".")
 
 
-def _files_in(recursive: bool):
-    def fn(it):
-        for pdf in it:
-            out = []
-            for s, g, d in zip(pdf["study_name"], pdf["qtl_group"], pdf["bigwig_dir"]):
-                if recursive:
-                    for dirpath, _dirs, names in os.walk(d):
-                        for n in names:
-                            if is_bigwig_name(n):
-                                p = os.path.join(dirpath, n)
-                                out.append((s, g, d, p, os.path.getsize(p)))
-                else:
-                    try:
-                        with os.scandir(d) as entries:
-                            for e in entries:
-                                if is_bigwig_name(e.name) and e.is_file():
-                                    out.append((s, g, d, e.path, e.stat().st_size))
-                    except (FileNotFoundError, NotADirectoryError):
-                        pass
-            yield pd.DataFrame(out, columns=["study_name", "qtl_group", "bigwig_dir",
-                                             "file_path", "size"])
-    return fn
-
-
-def _is_uri(path: str) -> bool:
-    return "://" in path and not path.startswith("file://")
-
-
-def list_bigwig_files(dirs: DataFrame, recursive: bool = False,
-                      spark_listing: bool | None = None) -> DataFrame:
-    """S4/S5 + S13: coverage files of every directory row, with their size.
-    ``dirs`` needs bigwig_dir; study_name/qtl_group are carried if present.
-
-    Directories on a shared POSIX path are listed by executors with
-    ``os.scandir`` (keeps names starting with '_'). For object-store or HDFS
-    URIs (or ``spark_listing=True``) Spark's own file listing is used
-    (``binaryFile`` reading only path and length; Spark hides '_' and '.'
-    names, so '_' files are skipped there)."""
-    if spark_listing is None:
-        sample = [r["bigwig_dir"] for r in dirs.select("bigwig_dir").limit(1000).collect()]
-        spark_listing = any(_is_uri(p) for p in sample)
-    if spark_listing:
-        return _list_with_spark(dirs, recursive)
-    d = dirs.select(
-        (F.col("study_name") if "study_name" in dirs.columns else F.lit(None).cast("string"))
-        .alias("study_name"),
-        (F.col("qtl_group") if "qtl_group" in dirs.columns else F.lit(None).cast("string"))
-        .alias("qtl_group"),
-        "bigwig_dir")
-    n = _partitions(dirs.sparkSession)
-    return d.repartition(n).mapInPandas(_files_in(recursive), FILES_SCHEMA)
+_LEVEL_SCHEMA = f"{FILES_SCHEMA}, is_dir boolean"
+
+
+def _list_level(it):
+    """Coverage files and subdirectories of each directory row. A manifest's
+    directory that does not exist has no files; ``require_files`` reports it."""
+    names = ["study_name", "qtl_group", "bigwig_dir", "file_path", "size", "modified", "is_dir"]
+    for pdf in it:
+        out = []
+        for s, g, top, d in zip(pdf["study_name"], pdf["qtl_group"], pdf["bigwig_dir"],
+                                pdf["dir"]):
+            try:
+                entries = _entries(d)
+            except (FileNotFoundError, NotADirectoryError):
+                continue
+            out.extend((s, g, top, p, size, modified, is_dir)
+                       for name, p, is_dir, size, modified in entries
+                       if is_dir or is_bigwig_name(name))
+        yield pd.DataFrame(out, columns=names)
+
+
+def list_bigwig_files(dirs: DataFrame, recursive: bool = False) -> DataFrame:
+    """S4/S5 + S13: coverage files of every directory row, with their size and
+    time of change. ``dirs`` needs bigwig_dir; study_name/qtl_group are carried
+    if present. Recursive listing goes level by level, every level spread over
+    the executors."""
+    spark = dirs.sparkSession
+    level = dirs.select(
+        *[F.col(c) if c in dirs.columns else F.lit(None).cast("string").alias(c)
+          for c in ("study_name", "qtl_group")],
+        "bigwig_dir", F.col("bigwig_dir").alias("dir"))
+
+    def listed(level: DataFrame) -> DataFrame:
+        return level.repartition(_partitions(spark)).mapInPandas(_list_level, _LEVEL_SCHEMA)
+    if not recursive:
+        return listed(level).filter(~F.col("is_dir")).drop("is_dir")
+    checkpoint_dir(spark)
+    found = None
+    while True:
+        here = listed(level).checkpoint(eager=True)
+        files = here.filter(~F.col("is_dir")).drop("is_dir")
+        found = files if found is None else found.unionByName(files)
+        level = here.filter("is_dir").select("study_name", "qtl_group", "bigwig_dir",
+                                             F.col("file_path").alias("dir"))
+        if level.isEmpty():
+            return found
 
 
 def list_bigwig_paths(spark: SparkSession, path: str, recursive: bool = False) -> DataFrame:
     """S5 for one directory (or one file): files sorted by path."""
-    path = os.path.abspath(os.path.expanduser(path))
-    if os.path.isfile(path):
-        return spark.createDataFrame([(None, None, os.path.dirname(path), path,
-                                       os.path.getsize(path))], FILES_SCHEMA)
-    if not os.path.isdir(path):
-        raise DiscoveryError(f"not a directory: {path}")
+    path = paths.absolute(path)
+    if not paths.exists(spark, path):
+        raise DiscoveryError(f"neither a file nor a directory: {path}")
+    if not paths.is_directory(spark, path):
+        found = list_bigwig_files(spark.createDataFrame([(paths.parent(path),)],
+                                                        "bigwig_dir string"))
+        return found.filter(F.col("file_path") == path)
     seed = spark.createDataFrame([(None, None, path)], DIRS_SCHEMA)
     # path order component by component ('a/b/x' before 'a/b-c/x')
     return list_bigwig_files(seed, recursive).orderBy(F.split("file_path", "/"))
 
 
-def require_files(dirs: DataFrame, files: DataFrame, max_report: int = 50) -> None:
-    """Every directory must hold at least one coverage file."""
+def require_files(dirs: DataFrame, files: DataFrame) -> None:
+    """Every directory must hold at least one coverage file. The error
+    has the exact number of those that do not and a sample of them."""
     empty = dirs.select("bigwig_dir").join(files.select("bigwig_dir").distinct(),
-                                           "bigwig_dir", "left_anti")
-    bad = [r["bigwig_dir"] for r in empty.orderBy("bigwig_dir").limit(max_report).collect()]
-    if bad:
-        raise DiscoveryError("No .bw or .bigwig files found in: " + ", ".join(bad))
-
-
-def _list_with_spark(dirs: DataFrame, recursive: bool) -> DataFrame:
-    """S4 through Spark's file index: distributed listing of many
-    directories; files are matched back to their manifest row by parent
-    directory (non-recursive) — an equi-join."""
-    spark = dirs.sparkSession
-    keyed = dirs.select(
-        *[F.col(c) if c in dirs.columns else F.lit(None).cast("string").alias(c)
-          for c in ("study_name", "qtl_group")],
-        "bigwig_dir")
-    paths = [r["bigwig_dir"] for r in keyed.select("bigwig_dir").distinct().collect()]
-    if not paths:
-        return spark.createDataFrame([], FILES_SCHEMA)
-    if recursive:
-        raise NotImplementedError("recursive listing of URIs is not supported; list each directory")
-    listed = (spark.read.format("binaryFile")
-              .option("pathGlobFilter", "*.{bw,bigwig}")
-              .load(paths)
-              .select(F.col("path").alias("file_path"), F.col("length").alias("size")))
-    listed = listed.filter(~F.substring_index("file_path", "/", -1).startswith("."))
-
-    def norm(c):
-        # compare directories without scheme noise: file:/a, file:///a and /a
-        return F.regexp_replace(F.regexp_replace(c, "^file:(//)?", ""), "/+$", "")
-
-    parent = norm(F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1))
-    files = listed.withColumn("_dir", parent)
-    rows = keyed.withColumn("_dir", norm(F.col("bigwig_dir")))
-    return (rows.join(files, "_dir")
-                .select("study_name", "qtl_group", "bigwig_dir", "file_path",
-                        F.col("size").cast("long").alias("size")))
+                                           "bigwig_dir", "left_anti").distinct()
+    n = empty.count()
+    if n:
+        shown = [r["bigwig_dir"] for r in empty.orderBy("bigwig_dir").limit(SAMPLE_LISTED).collect()]
+        raise DiscoveryError(f"{n} input directories hold no coverage file; the first "
+                             f"{len(shown)}: " + ", ".join(shown))
 
 
 def discover_bigwig_files(spark: SparkSession, root: str, study: str | None = None) -> DataFrame:
@@ -220,7 +209,8 @@ def discover_bigwig_files(spark: SparkSession, root: str, study: str | None = No
               .option("pathGlobFilter", "*.{bw,bigwig}")
               .option("recursiveFileLookup", "true")
               .load(base if study is None else f"{base}/{study}")
-              .select(F.col("path").alias("file_path"), F.col("length").cast("long").alias("size")))
+              .select(F.col("path").alias("file_path"), F.col("length").cast("long").alias("size"),
+                      (F.unix_micros("modificationTime") * 1000).alias("modified")))
     norm_base = strip_scheme(base)
     norm_path = F.regexp_replace("file_path", "^file:(//)?", "")
     rel = F.split(F.substring(norm_path, len(norm_base) + 2, 1 << 20), "/")
@@ -229,4 +219,4 @@ def discover_bigwig_files(spark: SparkSession, root: str, study: str | None = No
             .select(F.element_at("_rel", 1).alias("study_name"),
                     F.element_at("_rel", 2).alias("qtl_group"),
                     F.regexp_extract("file_path", r"^(.*)/[^/]*$", 1).alias("bigwig_dir"),
-                    "file_path", "size"))
+                    "file_path", "size", "modified"))

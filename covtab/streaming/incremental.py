@@ -3,85 +3,114 @@
 Two ways to re-use finished work:
 
 * ``pending_groups`` — batch: a (study, group) needs converting when the
-  results table has no row for it with the same region suffix and the same
-  input fingerprint. The fingerprint is (file count, bit_xor of xxhash64 over
-  (path, size)) — order-independent and computed by a plain aggregate, so no
-  file list is ever gathered into one task.
+  results table has no row for it with the same output, region suffix and
+  input fingerprint, or when its published table is gone. The fingerprint is
+  the file count with an xor and a sum over hashes of (path, size, time of
+  change) — order-independent and computed by a plain aggregate, so no file
+  list is ever gathered into one task.
 * ``start_manifest_stream`` — streaming: a Structured Streaming query over a
-  directory of manifest files. Each new manifest file becomes one micro-batch
-  whose rows are converted (``foreachBatch``); the stream's checkpoint records
-  which manifest files are done, so a restarted or re-triggered stream
-  resumes where it stopped and never converts a manifest twice.
+  directory of manifest files. The rows of newly arrived manifests are
+  converted micro-batch by micro-batch (``foreachBatch``), each manifest by the
+  names in its own header; the stream's checkpoint records which manifest files
+  are done, so a restarted or re-triggered stream resumes where it stopped and
+  never converts a manifest twice.
 """
 
 from __future__ import annotations
 
 import datetime as _dt
+from functools import reduce
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from covtab.region import RegionSpec
-from covtab.schema import MANIFEST_SCHEMA
+from covtab import paths
+from covtab.plans.jobs import ConversionResult, convert_files, convert_manifest
+from covtab.region import RegionSpec, table_path_col
+from covtab.session import checkpoint_dir
+from covtab.sources.listing import list_bigwig_files, require_files
+from covtab.sources.manifest import check_manifest, read_manifest
 
-DONE_SCHEMA = ("study_name string, qtl_group string, suffix string, n_files long, "
-               "fingerprint long, rows_written long, finished_at timestamp")
+DONE_SCHEMA = ("output string, study_name string, qtl_group string, suffix string, n_files long, "
+               "fp_xor long, fp_sum decimal(38,0), rows_written long, finished_at timestamp")
 
 KEYS = ["study_name", "qtl_group"]
+FINGERPRINT = ["n_files", "fp_xor", "fp_sum"]
+MANIFESTS_PER_BATCH = 64  # manifest files of one micro-batch
 
 
 def input_fingerprints(files: DataFrame) -> DataFrame:
-    """Per (study, group): number of files and an order-independent hash of
-    their (path, size)."""
+    """Per (study, group): number of files and order-independent hashes of
+    their (path, size, time of change)."""
+    h = F.xxhash64("file_path", "size", "modified")
     return files.groupBy(*KEYS).agg(
-        F.count(F.lit(1)).alias("n_files"),
-        F.bit_xor(F.xxhash64("file_path", "size")).alias("fingerprint"))
+        F.count(F.lit(1)).alias("n_files"), F.bit_xor(h).alias("fp_xor"),
+        F.sum(h.cast("decimal(38,0)")).alias("fp_sum"))
 
 
-def pending_groups(manifest: DataFrame, files: DataFrame, done: DataFrame,
+def _current(manifest: DataFrame, files: DataFrame, output: str, region: RegionSpec) -> DataFrame:
+    return (manifest.select(*KEYS, "bigwig_dir")
+            .join(input_fingerprints(files), KEYS, "left")
+            .withColumn("n_files", F.coalesce("n_files", F.lit(0).cast("long")))
+            .withColumn("output", F.lit(output)).withColumn("suffix", F.lit(region.suffix)))
+
+
+def pending_groups(manifest: DataFrame, files: DataFrame, done: DataFrame, output: str,
                    region: RegionSpec | None = None) -> DataFrame:
-    """Manifest rows whose inputs changed or that were never converted with
-    this region (anti-join on study, group, suffix and fingerprint)."""
+    """Manifest rows whose inputs changed or that were never converted to this
+    output with this region."""
     region = region or RegionSpec()
-    fp = input_fingerprints(files)
-    current = (manifest.join(fp, KEYS, "left")
-                       .withColumn("n_files", F.coalesce("n_files", F.lit(0).cast("long")))
-                       .withColumn("suffix", F.lit(region.suffix)))
-    finished = done.select(*KEYS, "suffix", "n_files", "fingerprint")
-    return current.join(finished, [*KEYS, "suffix", "n_files", "fingerprint"], "left_anti")
+    current = _current(manifest, files, paths.absolute(output), region)
+    same = ["output", *KEYS, "suffix", *FINGERPRINT]
+    match = [current[c].eqNullSafe(done[c]) for c in same]
+    return current.join(done, match, "left_anti")
+
+
+def _existing(it):
+    from covtab.sources.listing import _entries
+    for pdf in it:
+        found = []
+        for table in pdf["table"]:
+            try:
+                found.append(any(name.startswith("chrom_rank=") for name, *_ in _entries(table)))
+            except (FileNotFoundError, NotADirectoryError):
+                found.append(False)
+        yield pdf[KEYS].assign(published=pd.array(found, bool))
+
+
+def published_groups(manifest: DataFrame, output: str, region: RegionSpec | None = None
+                     ) -> DataFrame:
+    """The (study, group) rows of a manifest whose table exists, looked up by
+    the executors."""
+    table = table_path_col(paths.absolute(output), F.col("study_name"), F.col("qtl_group"),
+                           region or RegionSpec())
+    return (manifest.select(*KEYS, table.alias("table"))
+            .mapInPandas(_existing, "study_name string, qtl_group string, published boolean")
+            .filter("published").drop("published"))
 
 
 def read_done(spark: SparkSession, path: str) -> DataFrame:
     """The results table; empty when it does not exist yet."""
-    try:
-        return spark.read.schema(DONE_SCHEMA).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing table means nothing is done
+    if not paths.exists(spark, path):
         return spark.createDataFrame([], DONE_SCHEMA)
+    return spark.read.schema(DONE_SCHEMA).parquet(path)
 
 
-def record_done(spark: SparkSession, path: str, files: DataFrame, region: RegionSpec,
-                rows_per_group: DataFrame | None = None) -> None:
+def record_done(path: str, files: DataFrame, region: RegionSpec, result: ConversionResult
+                ) -> None:
     """Append one results row per converted (study, group)."""
-    fp = input_fingerprints(files).withColumn("suffix", F.lit(region.suffix))
-    if rows_per_group is not None:
-        fp = fp.join(rows_per_group, KEYS, "left")
-    else:
-        fp = fp.withColumn("rows_written", F.lit(None).cast("long"))
     now = _dt.datetime.now(_dt.timezone.utc).replace(tzinfo=None)
-    (fp.select(*KEYS, "suffix", "n_files", "fingerprint", "rows_written",
-               F.lit(now).cast("timestamp").alias("finished_at"))
-       .write.mode("append").parquet(path))
+    (input_fingerprints(files).join(result.groups, KEYS)
+     .select(F.lit(result.output).alias("output"), *KEYS, F.lit(region.suffix).alias("suffix"),
+             *FINGERPRINT, "rows_written", F.lit(now).cast("timestamp").alias("finished_at"))
+     .write.mode("append").parquet(path))
 
 
 def convert_pending(spark: SparkSession, manifest: DataFrame, output: str, done_path: str,
-                    region: RegionSpec | None = None, **kw):
+                    region: RegionSpec | None = None, **kw) -> ConversionResult | None:
     """J9 batch: convert only pending groups, then record them as done.
     Returns the ConversionResult, or None when nothing was pending."""
-    from covtab.plans.jobs import convert_files
-    from covtab.session import checkpoint_dir
-    from covtab.sources.listing import list_bigwig_files, require_files
-    from covtab.sources.manifest import check_manifest
-
     region = region or RegionSpec()
     checkpoint_dir(spark)
     manifest = manifest.checkpoint(eager=True)
@@ -90,12 +119,14 @@ def convert_pending(spark: SparkSession, manifest: DataFrame, output: str, done_
     # whose fingerprint is recorded as done
     files = list_bigwig_files(manifest).checkpoint(eager=True)
     require_files(manifest, files)
-    todo = pending_groups(manifest, files, read_done(spark, done_path), region).select(*KEYS)
+    pending = pending_groups(manifest, files, read_done(spark, done_path), output, region)
+    gone = manifest.join(published_groups(manifest, output, region), KEYS, "left_anti")
+    todo = pending.select(*KEYS).unionByName(gone.select(*KEYS)).distinct()
     todo_files = files.join(todo, KEYS, "left_semi").checkpoint(eager=True)
     if todo_files.isEmpty():
         return None
     result = convert_files(spark, todo_files, output, region, **kw)
-    record_done(spark, done_path, todo_files, region)
+    record_done(done_path, todo_files, region, result)
     return result
 
 
@@ -105,18 +136,19 @@ def start_manifest_stream(spark: SparkSession, manifest_dir: str, output: str,
     """J9 streaming: convert the rows of every manifest file that lands in
     ``manifest_dir``. Returns the StreamingQuery; with ``available_now`` it
     processes what is there and stops (call ``awaitTermination()``)."""
-    from covtab.plans.jobs import convert_manifest
-
     region = region or RegionSpec()
-    stream = (spark.readStream.schema(MANIFEST_SCHEMA)
-              .option("sep", "\t").option("header", True)
-              .csv(manifest_dir))
+    stream = (spark.readStream.format("text").option("maxFilesPerTrigger", MANIFESTS_PER_BATCH)
+              .load(manifest_dir).select(F.col("_metadata.file_path").alias("manifest")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.select(*[F.regexp_replace(c, "\r$", "").alias(c) for c in batch.columns])
-        if rows.isEmpty():
+        # at most MANIFESTS_PER_BATCH names
+        names = sorted(r["manifest"] for r in batch.distinct().collect())
+        if not names:
             return
-        convert_manifest(batch.sparkSession, rows, output, region, **kw)
+        session = batch.sparkSession
+        rows = reduce(DataFrame.unionByName, [read_manifest(session, x) for x in names])
+        if not rows.isEmpty():
+            convert_manifest(session, rows, output, region, **kw)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint))

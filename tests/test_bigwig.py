@@ -10,7 +10,7 @@ from bigwig_writer import write_bigwig
 from covtab.operators.convert import convert_intervals
 from covtab.region import RegionSpec
 from covtab.sources.bigwig import (bigwig_chunks, chrom_sizes, readability, scan_bigwig,
-                                   scan_bigwig_range)
+                                   scan_bigwig_range, without_errors)
 
 
 def f32(v):
@@ -126,11 +126,11 @@ def test_errors_are_rows(spark, tmp_path):
     errs = {os.path.basename(r.file_path): r.error for r in
             scan_bigwig(df).filter("error IS NOT NULL").select("file_path", "error").distinct().collect()}
     assert set(errs) == {"none.bw", "trunc.bw", "text.bw", "corrupt.bw"}
-    assert "no chromosomes" in errs["none.bw"]
+    assert "no chromosome" in errs["none.bw"]
     assert "truncated" in errs["trunc.bw"]
     rd = {os.path.basename(r.file_path): (r.ok, r.message) for r in readability(df).collect()}
     assert rd["good.bw"] == (True, "4 chromosomes")
-    assert rd["none.bw"][0] is False and "no chromosomes" in rd["none.bw"][1]
+    assert rd["none.bw"][0] is False and "no chromosome" in rd["none.bw"][1]
     assert rd["text.bw"][0] is False and rd["corrupt.bw"][0] is False
     assert rd["trunc.bw"][0] is True              # header and chromosome tree are intact
 
@@ -155,7 +155,38 @@ def test_range_scan(spark, tmp_path):
     # '1' falls back to 'chr1'; end clamps to the chromosome size
     got2 = raw_rows(scan_bigwig_range(df, "1", 15))
     assert got2 == [("chr1", 10, 20, f32(0.1)), ("chr1", 50, 60, 2.0)]
-    assert raw_rows(scan_bigwig_range(df, "chr1", 2000)) == []
+    for chrom, start, why in (("chr1", 2000, "is empty"), ("chrNOPE", 0, "no chromosome")):
+        rows = scan_bigwig_range(df, chrom, start).collect()
+        assert [why in r.error for r in rows] == [True]
+    with pytest.raises(Exception, match="no chromosome chrNOPE"):
+        without_errors(scan_bigwig_range(df, "chrNOPE")).collect()
+    with pytest.raises(ValueError):
+        scan_bigwig_range(df, "chr1", 5, 5)
+
+
+def test_exact_name_goes_before_the_other_spelling(spark, tmp_path):
+    """One file with both '1' and 'chr1': a conversion merges them (U1), a
+    range takes the name as asked for (S8)."""
+    from covtab.operators.convert import convert_intervals
+    p = write_bigwig(str(tmp_path / "S.bw"), [("1", 100), ("chr1", 100)],
+                     {"1": [(0, 5, 1.0)], "chr1": [(7, 9, 2.0)]})
+    df = files_df(spark, [p])
+    for chrom, start0 in (("1", 0), ("chr1", 7)):
+        assert [r.start0 for r in scan_bigwig_range(df, chrom).collect()] == [start0]
+    rows = convert_intervals(scan_bigwig(df)).collect()
+    assert sorted((r.seqnames, r.start) for r in rows) == [("1", 1), ("1", 8)]
+
+
+def test_tree_cycles_are_errors(tmp_path):
+    import io
+    import struct
+    from covtab.sources import bigwig_format as fmt
+    node = struct.pack("<BBH", 0, 0, 1) + struct.pack("<IIIIQ", 0, 0, 0, 9, 48)
+    head = fmt._RT_HEADER.pack(fmt.RTREE_MAGIC, 256, 1, 0, 0, 0, 9, 0, 1, 0)
+    f = io.BytesIO(head.ljust(48, b"\0") + node)
+    h = fmt.Header(4, 0, 0, 0, 0, 0)
+    with pytest.raises(fmt.BigWigError, match="twice"):
+        fmt.read_index_leaves(f, h)
 
 
 def test_datasource_facade(spark, tmp_path):
@@ -194,7 +225,7 @@ def test_bigwig_head_matches_dataframe_operator(spark, tmp_path):
     sizes = chrom_sizes(files).filter("error IS NULL")
     for start, end, chrom in [(0, None, None), (150, None, None), (2500, 2600, None),
                               (400, None, "1"), (0, 30, "chrX"), (6000, None, None)]:
-        a = sorted(tuple(r) for r in bigwig_head(files, start, end, 4, chrom)
+        a = sorted(tuple(r) for r in bigwig_head(files, start, end, 4, chrom).filter("error IS NULL")
                    .select("file_path", "chrom", "start0", "end0", "score", "rn").collect())
         b = sorted(tuple(r) for r in first_chrom_head(raw, sizes, start, end, 4, chrom)
                    .select("file_path", "chrom", "start0", "end0", "score", "rn").collect())

@@ -84,11 +84,11 @@ def test_manifest_roundtrip_and_crlf(spark, tmp_path):
 def test_manifest_duplicates_and_empty(spark, tmp_path):
     p = tmp_path / "dup.tsv"
     p.write_text("study_name\tqtl_group\tbigwig_dir\nS\tG\t/a\nS\tG\t/b\n")
-    with pytest.raises(ManifestError, match="duplicate"):
+    with pytest.raises(ManifestError, match="1 .*more than once.*S/G"):
         check_manifest(read_manifest(spark, str(p)))
     e = tmp_path / "empty.tsv"
     e.write_text("study_name\tqtl_group\tbigwig_dir\n")
-    with pytest.raises(ManifestError, match="No rows"):
+    with pytest.raises(ManifestError, match="no row"):
         check_manifest(read_manifest(spark, str(e)))
     with pytest.raises(ManifestError):
         read_manifest(spark, str(tmp_path / "missing.tsv"))
@@ -98,28 +98,49 @@ def test_planned_outputs(spark):
     m = spark.createDataFrame([("S", "G", "/d")], "study_name string, qtl_group string, bigwig_dir string")
     r = planned_outputs(m, "/o/", RegionSpec("chr22", 5, None)).collect()[0]
     assert r["output_name"] == "G_chr22_from5.parquet"
-    assert r["plan_line"] == "Will write: /o/S/G_chr22_from5.parquet"
-
-
-def test_spark_listing_route(spark, tmp_path):
-    """The object-store route (Spark's own listing) finds the same BigWig
-    files (minus '_' names, which Spark hides) and they decode via file: URIs."""
-    import sys
-    sys.path.insert(0, os.path.dirname(__file__))
-    from bigwig_writer import write_bigwig
-    from covtab.sources.bigwig import scan_bigwig
-    d = tmp_path / "S" / "G" / "bigwig"
-    d.mkdir(parents=True)
-    write_bigwig(str(d / "a.bw"), [("chr1", 100)], {"chr1": [(0, 5, 1.0), (5, 9, 2.0)]})
-    write_bigwig(str(d / "b.bigwig"), [("chr2", 100)], {"chr2": [(1, 3, 3.0)]})
-    write_bigwig(str(d / "_u.bw"), [("chr3", 100)], {"chr3": [(1, 3, 3.0)]})
-    (d / "notes.txt").write_text("x")
-    dirs = spark.createDataFrame([("S", "G", str(d))], "study_name string, qtl_group string, bigwig_dir string")
-    files = list_bigwig_files(dirs, spark_listing=True)
-    got = sorted((r.study_name, r.qtl_group, os.path.basename(r.file_path), r.size > 0) for r in files.collect())
-    assert got == [("S", "G", "a.bw", True), ("S", "G", "b.bigwig", True)]
-    rows = sorted((r.chrom, r.start0, r.end0) for r in scan_bigwig(files, all_chroms=True).collect())
-    assert rows == [("chr1", 0, 5), ("chr1", 5, 9), ("chr2", 1, 3)]
+    assert r["plan_line"] == "Will write: /o/region=chr22_from5/study_name=S/qtl_group=G"
+
+
+def test_uri_and_plain_rows_are_listed_each_their_way(spark, tmp_path):
+    """Rows are told apart one by one, and '_' names are found either way."""
+    for group in ["G", "H"]:
+        for name in ["a.bw", "_u.bw", "notes.txt"]:
+            touch(str(tmp_path / group / name))
+    dirs = spark.createDataFrame(
+        [("S", "G", f"file://{tmp_path}/G"), ("S", "H", f"{tmp_path}/H")],
+        "study_name string, qtl_group string, bigwig_dir string")
+    got = sorted((r.qtl_group, os.path.basename(r.file_path), r.size, r.modified > 0)
+                 for r in list_bigwig_files(dirs).collect())
+    assert got == [(g, n, 1, True) for g in ["G", "H"] for n in ["_u.bw", "a.bw"]]
+
+
+def test_pyarrow_listing_has_the_same_entries(tmp_path, monkeypatch):
+    from covtab.sources import listing
+    touch(str(tmp_path / "d" / "a.bw"), b"xy")
+    plain = listing._entries(str(tmp_path))
+    monkeypatch.setattr(listing.paths, "is_uri", lambda p: True)
+    assert [e[:4] for e in listing._entries(f"file://{tmp_path}")] == [
+        ("d", f"file://{tmp_path}/d", True, 0)] and plain[0][2]
+    inner = listing._entries(f"file://{tmp_path}/d")
+    assert inner[0][0] == "a.bw" and inner[0][3] == 2 and inner[0][4] > 0
+
+
+def test_unlistable_directory_is_an_error(spark, tmp_path):
+    (tmp_path / "S").mkdir()
+    os.symlink(tmp_path / "loop", tmp_path / "loop")
+    dirs = spark.createDataFrame([("S", "G", str(tmp_path / "loop"))],
+                                 "study_name string, qtl_group string, bigwig_dir string")
+    with pytest.raises(Exception, match="symbolic links"):
+        list_bigwig_files(dirs).collect()
+
+
+def test_empty_directories_are_counted_beyond_the_sample(spark, tmp_path):
+    for k in range(30):
+        (tmp_path / f"d{k:02d}").mkdir()
+    dirs = spark.createDataFrame([(str(tmp_path / f"d{k:02d}"),) for k in range(30)],
+                                 "bigwig_dir string")
+    with pytest.raises(DiscoveryError, match="^30 input directories"):
+        require_files(dirs, list_bigwig_files(dirs))
 
 
 def test_recursive_listing_sorts_by_path_components(spark, tmp_path):

@@ -2,10 +2,13 @@
 
 import os
 
+import pytest
 from bigwig_writer import write_bigwig
+from covtab.paths import delete
 from covtab.region import RegionSpec
+from covtab.sinks.coverage_parquet import read_coverage
 from covtab.sources.listing import discover_bigwig_dirs
-from covtab.streaming.incremental import convert_pending, start_manifest_stream
+from covtab.streaming.incremental import convert_pending, read_done, start_manifest_stream
 
 
 def make(root, study, group, files, seed=0):
@@ -17,7 +20,7 @@ def make(root, study, group, files, seed=0):
 
 
 def groups(spark, out):
-    df = spark.read.parquet(out)
+    df = read_coverage(spark, f"{out}/region=all")
     return {(r.study_name, r.qtl_group): r["count"] for r in df.groupBy("study_name", "qtl_group").count().collect()}
 
 
@@ -33,9 +36,29 @@ def test_convert_pending_skips_done_groups(spark, tmp_path):
     r3 = convert_pending(spark, m, out, done)
     assert r3.rows_written == 5 + 10 + 5
     assert groups(spark, out) == {("S", "g1"): 5, ("S", "g2"): 20}   # g1 kept
-    # another region is a different result
-    r4 = convert_pending(spark, m, out + "_chr1", done, RegionSpec("1"))
+    # another region is a different result, in the same output
+    r4 = convert_pending(spark, m, out, done, RegionSpec("1"))
     assert r4.rows_written == 25
+    assert groups(spark, out) == {("S", "g1"): 5, ("S", "g2"): 20}
+    assert convert_pending(spark, m, out, done) is None
+    written = {(r.suffix, r.qtl_group): r.rows_written for r in
+               spark.read.parquet(done).filter("suffix = '_chr1'").collect()}
+    assert written == {("_chr1", "g1"): 5, ("_chr1", "g2"): 20}
+    # another output, a file rewritten at the same size, a table that is gone
+    assert convert_pending(spark, m, out + "2", done).rows_written == 25
+    make(root, "S", "g1", ["a.bw"], seed=1)
+    assert convert_pending(spark, m, out, done).rows_written == 5
+    delete(spark, f"{out}/region=all/study_name=S/qtl_group=g2")
+    assert convert_pending(spark, m, out, done).rows_written == 20
+    assert groups(spark, out) == {("S", "g1"): 5, ("S", "g2"): 20}
+
+
+def test_unreadable_results_table_is_an_error(spark, tmp_path):
+    (tmp_path / "done").mkdir()
+    (tmp_path / "done" / "part-0.parquet").write_bytes(b"not parquet")
+    with pytest.raises(Exception):
+        read_done(spark, str(tmp_path / "done")).collect()
+    assert read_done(spark, str(tmp_path / "missing")).count() == 0
 
 
 def test_manifest_stream(spark, tmp_path):
@@ -47,6 +70,7 @@ def test_manifest_stream(spark, tmp_path):
     (mdir / "m1.tsv").write_text(f"study_name\tqtl_group\tbigwig_dir\nS\tg1\t{root}/S/g1/bigwig\n")
     start_manifest_stream(spark, str(mdir), out, ck).awaitTermination()
     assert groups(spark, out) == {("S", "g1"): 5}
-    (mdir / "m2.tsv").write_text(f"study_name\tqtl_group\tbigwig_dir\nT\tg2\t{root}/T/g2/bigwig\n")
+    # its own header decides, whatever the order of the columns
+    (mdir / "m2.tsv").write_text(f"qtl_group\tbigwig_dir\tstudy_name\ng2\t{root}/T/g2/bigwig\tT\n")
     start_manifest_stream(spark, str(mdir), out, ck).awaitTermination()
     assert groups(spark, out) == {("S", "g1"): 5, ("T", "g2"): 15}

@@ -35,6 +35,20 @@ def test_directory_summary_and_overview(spark, tmp_path):
     assert first == ["chr1", "chr2", "chr10", "chrX", "chrY"]
 
 
+def test_region_query_opens_only_the_chromosome(spark, tmp_path):
+    rows = [("S", "g", str(c), s, s + 5, "*", 1.0, "x") for c in (1, 2, 22) for s in range(1, 2000, 7)]
+    df = spark.createDataFrame(rows, "study_name string, qtl_group string, seqnames string, start int, "
+                                     "`end` int, strand string, score double, sample_id string")
+    out = str(tmp_path / "pub")
+    write_coverage(df, out, num_partitions=2)
+    from pyspark.sql import functions as F
+    q = region_query(spark, out, RegionSpec("22"))
+    opened = [r[0] for r in q.select(F.input_file_name()).distinct().collect()]
+    assert opened and all("chrom_rank=0022" in f for f in opened)
+    scan = q._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(chrom_rank" in scan
+
+
 def test_region_query_pushdown(spark, tmp_path):
     rows = [("S", "g", str(c), s, s + 5, "*", 1.0, "x") for c in (1, 2, 22) for s in range(1, 2000, 7)]
     df = spark.createDataFrame(rows, "study_name string, qtl_group string, seqnames string, start int, "
@@ -80,11 +94,18 @@ def test_inspection_jobs(spark, tmp_path):
     per_file, summary, bad = inspect_directory(spark, str(d))
     assert summary.collect()[0].unreadable == 1
     assert [r.file_name for r in bad.collect()] == ["z.bw"]
-    ov, first, head = inspect_files(spark, str(d / "a.bw"), start=15)
+    ov, first, head, failures = inspect_files(spark, str(d / "a.bw"), start=15)
     assert ov.collect()[0].n_chroms == 3
     assert [r.chrom for r in first.orderBy("rn").collect()] == ["chr1", "chr2", "chrUn"]
     assert [(r.chrom, r.start0) for r in head.collect()] == [("chr1", 10)]
-    ov, first, head = inspect_files(spark, str(d / "a.bw"), chrom="2")
+    assert failures.count() == 0
+    _, _, head, failures = inspect_files(spark, str(d))
+    assert {os.path.basename(r.file_path) for r in head.collect()} == {"a.bw"}
+    assert [os.path.basename(r.file_path) for r in failures.collect()] == ["z.bw"]
+    for wrong in ({"chrom": "chrNOPE"}, {"chrom": "1", "start": 90}):
+        _, _, head, failures = inspect_files(spark, str(d / "a.bw"), **wrong)
+        assert head.count() == 0 and failures.count() == 1
+    ov, first, head, failures = inspect_files(spark, str(d / "a.bw"), chrom="2")
     assert [(r.chrom, r.start0) for r in head.collect()] == [("chr2", 30)]
     import pytest
     with pytest.raises(ValueError):
