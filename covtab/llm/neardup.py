@@ -39,6 +39,7 @@ from covtab.llm.textcore import as_bytes, text_slices
 SHINGLE_WORDS = 5
 MIN_PERCENT = 80
 BANDS, BAND_WIDTH = 32, 5
+FILTER_CELLS = 1 << 16  # of 12 bytes: bounds the broadcast filter of ids
 
 
 def _documents(docs: DataFrame) -> DataFrame:
@@ -170,6 +171,21 @@ def _open_pairs(documents: DataFrame, texts: DataFrame, shingle_words: int, perc
             .select(F.col("rep_a").alias("a"), F.col("rep_b").alias("b")).distinct())
 
 
+def _texts_of(docs: DataFrame, ids: DataFrame) -> DataFrame:
+    """The documents with the given ids. A filter of at most ``FILTER_CELLS``
+    cells is broadcast first: it passes all of them and, as long as they are
+    few, little else, so most texts are never shuffled."""
+    slot = F.pmod(F.xxhash64(F.lit(17), "doc_id"), F.lit(FILTER_CELLS * 60).cast("long"))
+    cell = F.floor(slot / 60).cast("int")
+    mark = F.pow(F.lit(2.0), slot % 60).cast("long")
+    cells = ids.select(cell.alias("cell"), mark.alias("mark")).groupBy("cell").agg(
+        F.bit_or("mark").alias("marks"))
+    near = (docs.withColumn("cell", cell).join(F.broadcast(cells), "cell")
+            .where(F.col("marks").bitwiseAND(mark) != 0).select(*docs.columns))
+    # The ids are distinct. A semi join would be pushed below the filter.
+    return near.join(ids, "doc_id").select(*docs.columns)
+
+
 def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                     percent: int = MIN_PERCENT, bands: int = BANDS,
                     band_width: int = BAND_WIDTH) -> DataFrame:
@@ -194,7 +210,7 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
                    .select(F.col("leader").alias("a"), F.col("rep").alias("b")).distinct(),
                    "pairs")
     ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = staged(_documents(docs).join(ids, "doc_id", "left_semi"), "texts")
+    texts = staged(_texts_of(_documents(docs), ids), "texts")
     verified = staged(verify(pairs, texts, shingle_words), "verified")
     links = _linked(verified, percent)
     components = connected_components(links)
