@@ -17,9 +17,10 @@ With the standard 32 bands of 5 values a pair of similarity 0.8 shares no
 bucket with probability 3e-6.
 
 Cases: documents without words or text have an empty set and are linked with
-nothing; repeated rows get a row each; rows with one doc_id are one node, so
-their links are pooled; ties are settled by the smaller doc_id; an empty table
-gives no rows; other columns are not read.
+nothing; repeated rows get a row each; a row that repeats a doc_id with another
+text is judged by its own text (texts with the same smallest doc_id are one
+node); ties are settled by the smaller doc_id; an empty table gives no rows;
+other columns are not read.
 """
 
 from __future__ import annotations

@@ -78,12 +78,12 @@ def test_masses_of_copies_and_near_copies(docs_of):
         check(docs_of(texts), size)
 
 
-def test_rows_with_one_doc_id_are_one_node(docs_of):
+def test_rows_that_repeat_a_doc_id_are_judged_by_their_text(docs_of):
     a, b = "one two three four five six seven", "red green blue black white pink grey"
     rows = neardup.near_duplicates(docs_of([(1, a), (5, a), (5, b), (7, b), (5, a)]),
                                    shingle_words=2).collect()
     assert sorted((r.doc_id, r.component_id) for r in rows) == [
-        (1, 1), (5, 1), (5, 1), (5, 1), (7, 1)]
+        (1, 1), (5, 1), (5, 1), (5, 5), (7, 5)]
 
 
 def test_keep_one_of_each_keeps_columns(docs_of):
