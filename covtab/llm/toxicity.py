@@ -27,6 +27,7 @@ document are read, and doc_id never enters a score.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
 from itertools import combinations
@@ -46,8 +47,9 @@ MIN_DOCS = 2  # toxic documents that a landmark is seen in
 TRAIN_DOCS = 2_000  # of either label, about; bounds the training texts
 COST = 1.0
 WITNESS_ROUNDS = 3
-MEMO_UNITS = 300_000
-SCORE_SLICE = 1 << 19
+MEMO_UNITS = 200_000
+UNIT_BLOCK = 512  # units compared to all landmarks at once
+SCORE_SLICE = 1 << 18
 
 _SYMBOLS = 64  # letters a-z, other letters and digits in the rest, 0 is none
 _SPACE, _STOP, _DROP = 64, 65, 66
@@ -128,32 +130,30 @@ def cut_units(data: np.ndarray, offsets: np.ndarray) -> Units:
     return Units(code, start, end, unit_sentence, row_of[at] if len(at) else at)
 
 
-def subsequences(code: np.ndarray, start: np.ndarray, end: np.ndarray
-                 ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def occurrences(code: np.ndarray, start: np.ndarray, end: np.ndarray
+                ) -> Iterator[tuple[np.ndarray, np.ndarray, float]]:
     """Unit, subsequence (as an integer) and weight of every occurrence in the
-    given units."""
+    given units, one pattern of gaps at a time."""
     size = end - start
     unit = np.repeat(np.arange(len(start)), size)
     c = code[ranges(start, size)].astype(np.int64)
     left = np.repeat(np.cumsum(size), size) - np.arange(len(c))
     padded = np.concatenate((c, np.zeros(SPAN, np.int64)))
-    units, keys, weights = [], [], []
     for pattern in _OFFSETS:
         ok = left > pattern[-1]
         key = padded[:len(c)]
         for d in pattern[1:]:
             key = key * _SYMBOLS + padded[d:len(c) + d]
-        units.append(unit[ok])
-        keys.append(key[ok])
-        weights.append(np.full(int(ok.sum()), DECAY ** (pattern[-1] + 1)))
-    return np.concatenate(units), np.concatenate(keys), np.concatenate(weights)
+        yield unit[ok], key[ok], DECAY ** (pattern[-1] + 1)
 
 
 def kernel_features(code: np.ndarray, start: np.ndarray, end: np.ndarray
                     ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The normalised kernel's explicit features: unit, subsequence, value,
     sorted by unit and subsequence. Kernels are inner products of them."""
-    unit, key, weight = subsequences(code, start, end)
+    parts = [(unit, key, np.full(len(unit), w)) for unit, key, w in
+             occurrences(code, start, end)]
+    unit, key, weight = (np.concatenate(x) for x in zip(*parts, strict=True))
     full = unit * _SYMBOLS ** ORDER + key
     full, inverse = np.unique(full, return_inverse=True)
     value = np.bincount(inverse, weights=weight, minlength=len(full))
@@ -197,21 +197,24 @@ class LandmarkKernel:
         subsequence counts with its largest landmark, over a norm without the
         (never negative) products of repeated subsequences."""
         n = len(start)
-        unit, key, weight = subsequences(code, start, end)
-        place = self.place[key]
-        top = np.bincount(unit, weights=weight * self.most[place], minlength=n)
-        norm = np.sqrt(np.bincount(unit, weights=weight ** 2, minlength=n))
-        near = np.flatnonzero(top >= LEAST * np.maximum(norm, 1e-300))
-        near = near[norm[near] > 0]
-        if not len(near):
-            return near, np.zeros((0, len(self.landmarks)))
-        unit, key, value = kernel_features(code, start[near], end[near])
-        rows = value[:, None] * self.values[self.place[key]]
-        out = np.add.reduceat(rows, np.searchsorted(unit, np.arange(len(near))), axis=0)
-        out[out < LEAST] = 0
+        top, norm = np.zeros(n), np.zeros(n)
+        for unit, key, w in occurrences(code, start, end):
+            top += w * np.bincount(unit, weights=self.most[self.place[key]], minlength=n)
+            norm += w * w * np.bincount(unit, minlength=n)
+        near = np.flatnonzero((norm > 0) & (top >= LEAST * np.sqrt(norm)))
+        found = [self._values(code, start[near[k:k + UNIT_BLOCK]], end[near[k:k + UNIT_BLOCK]])
+                 for k in range(0, len(near), UNIT_BLOCK)]
+        out = np.concatenate([np.zeros((0, len(self.landmarks))), *found])
         hit = out.any(axis=1)
         return near[hit], out[hit]
 
+    def _values(self, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        unit, key, value = kernel_features(code, start, end)
+        rows = value[:, None] * self.values[self.place[key]]
+        out = np.add.reduceat(rows, np.searchsorted(unit, np.arange(len(start))), axis=0)
+        out[out < LEAST] = 0
+        return out
+
 
 class SentenceFeatures:
     """Values of sentences against the landmarks, with a bounded memo of the
