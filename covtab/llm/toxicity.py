@@ -365,9 +365,11 @@ def training_sample(docs: DataFrame, labels: DataFrame, may_learn: Column | None
     share = F.coalesce(*[F.when(F.col("toxic") == t, F.lit(min(1.0, documents / n)))
                          for t, n in sorted(counts.items())], F.lit(0.0))
     chosen = known.where(F.pmod(F.xxhash64("doc_id"), F.lit(1_000_003)) < share * 1_000_003)
+    # The sample's ids and labels are bounded, so they go to the texts.
     return (docs.select(F.col("doc_id").cast("long").alias("doc_id"),
                         F.col("text").cast("string").alias("text"))
-            .join(chosen, "doc_id").where(F.col("text").isNotNull()).select("text", "toxic"))
+            .join(F.broadcast(chosen), "doc_id").where(F.col("text").isNotNull())
+            .select("text", "toxic"))
 
 
 def _unit_rows(batches):
