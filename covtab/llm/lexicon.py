@@ -29,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from covtab.llm.bpe import DEFAULT_TOKENIZER, Encoder, encode_column, encoder, pieces
+from covtab.llm.scratch import staged
 from covtab.llm.textcore import ranges, segment_hashes, text_slices
 
 LEXICON_SIZE = 32_768  # pieces in the automaton; bounds what the driver holds
@@ -79,9 +80,19 @@ def piece_counts(docs: DataFrame) -> DataFrame:
 
 
 def frequent_pieces(docs: DataFrame, size: int = LEXICON_SIZE) -> list[bytes]:
-    """The ``size`` most frequent pieces, ties to the smaller bytes. At most
-    ``size`` rows reach the driver."""
-    top = piece_counts(docs).orderBy(F.desc("n"), F.asc("piece")).limit(size)
+    """The ``size`` most frequent pieces, ties to the smaller bytes. Counts are
+    binned by powers of two first; only pieces of the bins that hold the first
+    ``size`` are ordered, so tasks do not each send ``size`` rows to the driver."""
+    counts = staged(piece_counts(docs), "piece-counts")
+    power = F.floor(F.log2("n")).cast("int")
+    bins = sorted(((r["power"], r["pieces"]) for r in counts.groupBy(power.alias("power"))
+                   .agg(F.count("*").alias("pieces")).collect()), reverse=True)
+    least, seen = 0, 0
+    for bin_, held in bins:  # at most 63
+        least, seen = 2 ** bin_, seen + held
+        if seen >= size:
+            break
+    top = counts.where(F.col("n") >= least).orderBy(F.desc("n"), F.asc("piece")).limit(size)
     return [bytes(r["piece"]) for r in top.select("piece").collect()]
 
 
