@@ -24,7 +24,7 @@ import regex
 from covtab.llm.textcore import SLICE_BYTES, as_bytes, ranges, segment_hashes, slices
 
 DEFAULT_TOKENIZER = "byte_bpe_50k.json"
-MEMO_PIECES = 400_000
+MEMO_PIECES = 200_000
 
 _OTHER, _LETTER, _NUMBER, _SPACE = 0, 1, 2, 3
 # The code points with the White_Space property.

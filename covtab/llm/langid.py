@@ -32,6 +32,7 @@ from covtab.llm.textcore import text_slices
 MAX_N = 3
 PROFILE = 400
 TRAIN_DOCS = 1_000  # of each language, about; bounds the training texts
+SLICE = 1 << 17  # bytes of text whose n-grams a task holds at once
 UNKNOWN = "und"
 _BITS = 21  # of a code point
 _BLANK = 0x20
@@ -115,7 +116,7 @@ def _grams(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarra
 def _profile_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         lang = np.array(batch.column("lang").to_pylist(), object)
-        for i, j, data, offsets in text_slices(batch.column("text")):
+        for i, j, data, offsets in text_slices(batch.column("text"), SLICE):
             codes, row = _grams(data, offsets)
             for name in sorted(set(lang[i:j])):
                 mine = (lang[i:j] == name)[row]
@@ -208,7 +209,7 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
 
     def run(batches):
         for batch in batches:
-            for i, j, data, offsets in text_slices(batch.column("text"), 1 << 19):
+            for i, j, data, offsets in text_slices(batch.column("text"), SLICE):
                 lang, score = model.predict(data, offsets)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column("doc_id").slice(i, j - i),
@@ -227,7 +228,7 @@ def keep_known(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     def run(batches):
         for batch in batches:
             keep = []
-            for _, _, data, offsets in text_slices(batch.column("text"), 1 << 19):
+            for _, _, data, offsets in text_slices(batch.column("text"), SLICE):
                 keep += [x != UNKNOWN for x in model.predict(data, offsets)[0]]
             yield batch.filter(pa.array(keep, pa.bool_())).select(columns)
     return docs.mapInArrow(run, docs.schema)

@@ -12,7 +12,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 18
 
 # White space of the word rule shared by the word operators: space, \t..\r.
 _WS = np.zeros(256, bool)
