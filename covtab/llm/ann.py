@@ -1,15 +1,17 @@
 """Approximate largest-inner-product search by stable projections.
 
-Inner products become distances by one more coordinate (with ``M`` the largest
-norm, ``x' = (x, sqrt(M^2 - |x|^2))`` and ``q' = (q, 0)``, so that
-``|x' - q'|^2 = M^2 + |q|^2 - 2 x.q``). Points are projected to ``PROJECTIONS``
-dimensions by a Gaussian, hence 2-stable, matrix: a squared projected distance
-is the true one times a chi-square variable. Each shard of at most about
-``SHARD_ROWS`` points is indexed by a kd-tree over the projections. A query
-takes the tree's leaves in order of their projected distance and verifies
-their points on the original vectors, until the chi-square test holds: a point
-nearer than the found k-th one by the factor ``RATIO`` would lie beyond the
-next leaf with probability at most ``1 - CONFIDENCE``.
+Points are projected to ``PROJECTIONS`` dimensions by a Gaussian, hence
+2-stable, matrix: a squared projected distance is the true one times a
+chi-square variable. Each shard of at most about ``SHARD_ROWS`` points is
+indexed by a kd-tree over the projections and the norm, so that a leaf's points
+are of like length. With ``M`` a leaf's largest norm and ``d`` the least
+distance of its points to the query, no inner product in it is above
+``(M^2 + |q|^2 - d^2) / 2``, nor above ``M |q|``. A query takes the leaves in
+order of that bound, with ``d`` from the projected distance to the leaf's box,
+and verifies their points on the original vectors until the bound of the next
+leaf is below the found k-th inner product. The norms are exact, so long vectors
+do not blur the others; a point that belongs to the answer, by the factor
+``RATIO`` in distance, is left out with probability at most ``1 - CONFIDENCE``.
 
 Equal vectors are one point with its ``k + 1`` smallest ids (a query needs no
 others), and equal queries are searched once. Query blocks meet shards in
@@ -37,13 +39,14 @@ from covtab.llm.scratch import staged
 K = 20
 QUERY_STEP = 20  # rows whose id is divisible by it are the queries
 PROJECTIONS = 8  # even: the chi-square distribution has a closed form
-CONFIDENCE = 0.95
-RATIO = 1.5
+CONFIDENCE = 0.999
+RATIO = 1.0  # the test is on the k-th inner product itself
 SHARD_ROWS = 8192
 QUERY_BLOCK = 4096
 LEAF = 64
 SEED = 20_240_229
 _SEARCH_BLOCK = 256  # queries that a task searches side by side
+_ROUNDING = 1e-12  # of the squared norms: what a bound may lack
 
 
 def chi_square_cdf(x: float, dims: int) -> float:
@@ -88,24 +91,26 @@ class KdTree:
         self.high = np.stack([points[self.order[a:b]].max(axis=0) for a, b in bounds])
 
     def distances(self, query: np.ndarray) -> np.ndarray:
-        """Squared projected distance from each query to each leaf's box."""
-        away = np.maximum(self.low[None] - query[:, None], query[:, None] - self.high[None])
+        """Squared distance from each query to each leaf's box, over the query's
+        columns."""
+        low, high = self.low[:, :query.shape[1]], self.high[:, :query.shape[1]]
+        away = np.maximum(low[None] - query[:, None], query[:, None] - high[None])
         return np.square(np.maximum(away, 0)).sum(axis=2)
 
 
 def projection(dims: int, m: int = PROJECTIONS, seed: int = SEED) -> np.ndarray:
-    return np.random.default_rng(seed).standard_normal((dims + 1, m))
+    return np.random.default_rng(seed).standard_normal((dims, m))
 
 
-def search(points: np.ndarray, queries: np.ndarray, k: int, largest: float,
+def search(points: np.ndarray, queries: np.ndarray, k: int, largest: float = math.inf,
            confidence: float = CONFIDENCE, ratio: float = RATIO) -> tuple[np.ndarray, np.ndarray, int]:
     """The ``k`` nearest points found for each query (row numbers, -1 where
     there are fewer) with their inner products, and how many points were
-    verified. ``largest``: the largest squared norm of all points."""
+    verified. ``largest``: a bound on the points' squared norms, if one is known."""
     r = projection(points.shape[1])
-    rest = np.sqrt(np.maximum(0, largest - np.square(points).sum(axis=1)))
-    tree = KdTree(np.column_stack((points, rest)) @ r)
+    tree = KdTree(np.column_stack((points @ r, np.sqrt(np.square(points).sum(axis=1)))))
     inside = points[tree.order]
+    longest = np.minimum(tree.high[:, -1], math.sqrt(largest))
     width = int((tree.bounds[:, 1] - tree.bounds[:, 0]).max())
     limit = chi_square_quantile(confidence, PROJECTIONS) / ratio ** 2
     best = np.full((len(queries), k), -1, np.int64)
@@ -113,16 +118,17 @@ def search(points: np.ndarray, queries: np.ndarray, k: int, largest: float,
     verified = 0
     for a in range(0, len(queries), _SEARCH_BLOCK):
         q = queries[a:a + _SEARCH_BLOCK]
-        apart = tree.distances(q @ r[:-1])
-        by_distance = np.argsort(apart, axis=1, kind="stable")
-        norm = np.square(q).sum(axis=1)
+        norm = np.sqrt(np.square(q).sum(axis=1))[:, None]
+        squares = longest ** 2 + norm ** 2
+        bound = np.minimum((squares - tree.distances(q @ r) / limit) / 2, longest * norm)
+        bound += _ROUNDING * squares
+        by_bound = np.argsort(-bound, axis=1, kind="stable")
         live = np.arange(len(q))
         ids, top = best[a:a + _SEARCH_BLOCK], score[a:a + _SEARCH_BLOCK]
         for step in range(len(tree.bounds)):
-            leaf = by_distance[live, step]
-            # Nothing unverified projects nearer than the next leaf.
-            kth = np.maximum(norm[live] + largest - 2 * top[live, -1], 0)
-            go = apart[live, leaf] < limit * kth
+            leaf = by_bound[live, step]
+            # No unverified leaf has a larger bound than the next one.
+            go = bound[live, leaf] >= top[live, -1]
             live, leaf = live[go], leaf[go]
             if not len(live):
                 break
@@ -168,14 +174,12 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP,
         rows.distinct().withColumn("place", order).where(F.col("place") <= k + 1)
         .groupBy("v").agg(F.sort_array(F.collect_list("vec_id")).alias("ids"))
         .withColumn("point", F.col("ids")[0]), "points")
-    size = points.agg(F.count("*").alias("n"), F.max(F.aggregate(
-        "v", F.lit(0.0), lambda a, x: a + x * x)).alias("largest")).first()
     asked = rows.where(F.col("vec_id") % query_step == 0)
     # Every query with the point that has its vector.
     own = staged(asked.join(points.select("v", "point"), "v")
                  .select(F.col("vec_id").alias("query_id"), "point").distinct(), "queries")
     distinct_queries = own.select("point").distinct()
-    shards = max(1, -(-size["n"] // shard_rows))
+    shards = max(1, -(-points.count() // shard_rows))
     blocks = max(1, -(-distinct_queries.count() // query_block))
 
     def part(n: int):
@@ -187,7 +191,6 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP,
     queries = (points.join(distinct_queries, "point", "left_semi").select("point", "v")
                .withColumn("block", part(blocks)).withColumn(
                    "shard", F.explode(F.sequence(zero, zero + (shards - 1)))))
-    largest = size["largest"] or 0.0
 
     def find(p: pd.DataFrame, q: pd.DataFrame) -> pd.DataFrame:
         none = pd.DataFrame({"query_point": [], "vec_id": [], "score": []}).astype(
@@ -195,7 +198,7 @@ def nearest(vectors: DataFrame, k: int = K, query_step: int = QUERY_STEP,
         if not len(p) or not len(q):
             return none
         x, y = np.stack(p["v"].to_numpy()), np.stack(q["q_v"].to_numpy())
-        best, score, _ = search(x, y, k + 1, largest, confidence, ratio)
+        best, score, _ = search(x, y, k + 1, confidence=confidence, ratio=ratio)
         out = []
         for name, vector, found in zip(q["q_point"].tolist(), y.tolist(), best.tolist(),
                                        strict=True):

@@ -82,3 +82,31 @@ def test_chi_square_quantile():
     # 95 % points of the distribution.
     for dims, point in ((2, 5.991), (8, 15.507), (16, 26.296)):
         assert ann.chi_square_quantile(0.95, dims) == pytest.approx(point, abs=1e-3)
+
+
+@pytest.mark.parametrize("sigma, centres, longest", [
+    (0, 0, 1), (.2, 0, 1), (.5, 0, 1), (1, 0, 1), (0, 30, 1), (.5, 30, 1), (0, 0, 1000),
+    (0, 30, 1000)])
+def test_recall_does_not_depend_on_the_norms(sigma, centres, longest):
+    rng = np.random.default_rng(3)
+    x = rng.standard_normal((8192, 64))
+    if centres:
+        x = rng.standard_normal((centres, 64))[rng.integers(0, centres, 8192)] + 0.3 * x
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    x *= np.exp(sigma * rng.standard_normal((8192, 1)))
+    x[17] *= longest
+    best, _, _ = ann.search(x, x[::80], 20, float(np.square(x).sum(axis=1).max()))
+    exact = np.argsort(-(x[::80] @ x.T), axis=1, kind="stable")[:, :20]
+    hits = [len(set(a) & set(b)) / 20 for a, b in zip(best, exact, strict=True)]
+    assert np.mean(hits) >= 0.99
+
+
+def test_one_very_long_vector_hides_no_others(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, (np.array(v) * s).astype(np.float32).tolist()) for (i, v), s in
+            zip(vectors(1500, 12, 6), np.exp(0.5 * rng.standard_normal(1500)), strict=True)]
+    rows[33] = (33, (np.float32(1000) * np.array(rows[33][1], np.float32)).tolist())
+    want = brute_force(rows, 20, 20)
+    got = answers(spark.createDataFrame([(*r, 1) for r in rows], SCHEMA), shard_rows=512)
+    hits = [len({i for i, _ in got[q]} & {i for i, _ in want[q]}) / 20 for q in want]
+    assert got.keys() == want.keys() and np.mean(hits) >= 0.99
