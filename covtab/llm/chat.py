@@ -15,9 +15,10 @@ knows where it begins, so a conversation with a third of all turns is spread
 over its blocks.
 
 Turns are ordered by turn number (null first), speaker and text. Cases: null
-text is empty, a null or empty role speaks as ``UNNAMED``; repeated rows are
-rendered each; a conversation of system turns alone gives no rows, and so does
-an empty table; other columns are not read.
+text is empty, a null or empty role speaks as ``UNNAMED``; turns whose conv_id
+is null are one conversation, rendered like any other with a null conv_id;
+repeated rows are rendered each; a conversation of system turns alone gives no
+rows, and so does an empty table; other columns are not read.
 """
 
 from __future__ import annotations
@@ -33,6 +34,8 @@ SYSTEM_HEAD = "<|system|>\n"
 ASSISTANT_HEAD = "<|assistant|>\n"
 USER_HEAD = "<|user name={}|>\n"
 END = "<|end|>\n"
+# A conversation's key; neither column is ever null, so that joins match it.
+_CONV = ["conv", "no_conv"]
 
 
 def _user_head(speaker: Column) -> Column:
@@ -46,8 +49,10 @@ def rotate(conversations: DataFrame, system_roles: tuple[str, ...] = SYSTEM_ROLE
     ``speaker``, ``segment``, ``start``, ``end``, ``mask_start``, ``mask_end``
     (code points in the whole rendering)."""
     role = F.trim(F.col("role").cast("string"))
+    conv = F.col("conv_id").cast("long")
     turns = conversations.select(
-        F.col("conv_id").cast("long").alias("conv_id"), F.col("turn").cast("long").alias("turn"),
+        F.coalesce(conv, F.lit(0).cast("long")).alias("conv"), conv.isNull().alias("no_conv"),
+        F.col("turn").cast("long").alias("turn"),
         F.when(F.length(role) > 0, role).otherwise(UNNAMED).alias("speaker"),
         F.coalesce(F.col("text").cast("string"), F.lit("")).alias("words"))
     head = (F.when(F.col("speaker").isin(*system_roles), F.lit(SYSTEM_HEAD))
@@ -59,37 +64,37 @@ def rotate(conversations: DataFrame, system_roles: tuple[str, ...] = SYSTEM_ROLE
         (len(ASSISTANT_HEAD) - F.char_length(head)).cast("long").alias("more"))
 
     # Sums of the blocks, by speaker, from narrow rows.
-    sums = turns.groupBy("conv_id", "block", "speaker").agg(
+    sums = turns.groupBy(*_CONV, "block", "speaker").agg(
         F.count("*").alias("turns"), F.sum("as_other").alias("as_other"),
         F.sum("more").alias("more"))
     participants = (sums.where(~F.col("speaker").isin(*system_roles))
-                    .select("conv_id", F.col("speaker").alias("perspective")).distinct())
-    blocks = sums.groupBy("conv_id", "block").agg(F.sum("turns").alias("turns"),
-                                                  F.sum("as_other").alias("as_other"))
-    own = sums.select("conv_id", "block", F.col("speaker").alias("perspective"), "more")
-    before = (Window.partitionBy("conv_id", "perspective").orderBy("block")
+                    .select(*_CONV, F.col("speaker").alias("perspective")).distinct())
+    blocks = sums.groupBy(*_CONV, "block").agg(F.sum("turns").alias("turns"),
+                                               F.sum("as_other").alias("as_other"))
+    own = sums.select(*_CONV, "block", F.col("speaker").alias("perspective"), "more")
+    before = (Window.partitionBy(*_CONV, "perspective").orderBy("block")
               .rowsBetween(Window.unboundedPreceding, -1))
     zero = F.lit(0).cast("long")
-    begins = (blocks.join(participants, "conv_id")
-              .join(own, ["conv_id", "block", "perspective"], "left")
-              .select("conv_id", "block", "perspective",
+    begins = (blocks.join(participants, _CONV)
+              .join(own, [*_CONV, "block", "perspective"], "left")
+              .select(*_CONV, "block", "perspective",
                       F.coalesce(F.sum("turns").over(before), zero).alias("first_position"),
                       F.coalesce(F.sum(F.col("as_other") + F.coalesce("more", zero)).over(before),
                                  zero).alias("first_start")))
 
     mine = F.col("speaker") == F.col("perspective")
-    inside = (Window.partitionBy("conv_id", "block", "perspective")
+    inside = (Window.partitionBy(*_CONV, "block", "perspective")
               .orderBy("turn", "speaker", "words")
               .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     size = F.col("as_other") + F.when(mine, F.col("more")).otherwise(zero)
-    placed = (turns.join(begins, ["conv_id", "block"])
+    placed = (turns.join(begins, [*_CONV, "block"])
               .withColumn("size", size)
               .withColumn("end", F.col("first_start") + F.sum("size").over(inside))
               .withColumn("position", F.col("first_position") + F.count("*").over(inside) - 1))
     segment = F.concat(F.when(mine, F.lit(ASSISTANT_HEAD)).otherwise(head), "words", F.lit(END))
     start = F.col("end") - F.col("size")
     return placed.select(
-        "conv_id", "perspective", "position", "turn", "speaker", segment.alias("segment"),
+        F.when(~F.col("no_conv"), F.col("conv")).alias("conv_id"), "perspective", "position", "turn", "speaker", segment.alias("segment"),
         start.alias("start"), "end",
         F.when(mine, start + len(ASSISTANT_HEAD)).otherwise(F.col("end")).alias("mask_start"),
         F.col("end").alias("mask_end"))

@@ -63,3 +63,9 @@ def test_plan_has_no_python(spark):
     df = spark.createDataFrame([(1, 0, "a", "x")], SCHEMA)
     plan = chat.rotate(df)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan and "Pandas" not in plan
+
+
+def test_turns_without_a_conversation_id_are_one_conversation(spark):
+    rows = [(None, t, "abs"[t % 3], f"turn {t}") for t in range(9)]
+    rows += [(None, None, None, None), (None, 3, "system", "rules")]
+    check(spark, rows + [(0, t, "ab"[t % 2], f"other {t}") for t in range(4)], block_turns=4)
