@@ -228,6 +228,25 @@ def near_duplicates(docs: DataFrame, shingle_words: int = SHINGLE_WORDS,
 
 
 def keep_one_of_each(docs: DataFrame, **parameters) -> DataFrame:
-    """The documents of which one stands for each group, columns unchanged."""
-    kept = near_duplicates(docs, **parameters).where("kept").select("doc_id").distinct()
-    return docs.join(kept, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    """The documents of which one stands for each group, columns unchanged.
+    Every row is judged by its own text: of a group's rows the one with the
+    smallest doc_id stays (null last), of several with that doc_id the one whose
+    text has the smallest hash. Texts without words have no group: they stay,
+    once for each doc_id and text, and each where doc_id is null."""
+    row = "row"
+    while row in docs.columns:
+        row += "_"
+    rows = staged(docs.withColumn(row, F.monotonically_increasing_id()), "rows")
+    doc_id = F.col("doc_id").cast("long")
+    keys = rows.select(F.col(row).alias("node"), doc_id.alias("own"),
+                       F.xxhash64(F.col("text").cast("string")).alias("h"))
+    judged = near_duplicates(rows.select(F.col(row).alias("doc_id"), "text"), **parameters).select(
+        F.col("doc_id").alias("node"), "component_id", "n_shingles")
+    grouped = F.when((F.col("n_shingles") > 0) | F.col("own").isNull(), F.col("component_id"))
+    alone = grouped.isNull()
+    kept = (judged.join(keys, "node")
+            .groupBy(grouped.alias("c"), F.when(alone, F.col("own")).alias("d"),
+                     F.when(alone, F.col("h")).alias("t"))
+            .agg(F.min(F.struct(F.col("own").isNull().alias("none"), "own", "h", "node"))["node"]
+                 .alias(row)))
+    return rows.join(kept.select(row), row, "left_semi").select(*docs.columns)

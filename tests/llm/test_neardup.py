@@ -93,6 +93,16 @@ def test_keep_one_of_each_keeps_columns(docs_of):
     assert sorted(r.doc_id for r in kept.collect()) == [0, 2, 3]
 
 
+def test_keep_one_of_each_selects_rows_not_ids(docs_of):
+    a, b, c = "a b c d e f", "other words in this one here", "third text that no one else has"
+    docs = docs_of([(5, a), (3, a), (5, b), (5, c), (5, c), (None, a), (None, "one more text here"),
+                    (None, c), (8, b), (9, None), (9, None), (9, " "), (None, None), (None, None)])
+    got = [(r.doc_id, r.text) for r in neardup.keep_one_of_each(docs).collect()]
+    assert sorted(got, key=str) == sorted(
+        [(3, a), (5, b), (5, c), (None, "one more text here"), (9, None), (9, " "), (None, None),
+         (None, None)], key=str)
+
+
 def test_signature_estimates_similarity_with_less_variance():
     rng, n, share, m = np.random.default_rng(1), 60, 0.6, 64
     seen = []
