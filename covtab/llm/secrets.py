@@ -10,8 +10,13 @@ none of them touches and that hold letters of one case are ordinary. The
 sample is bounded: about ``TRAIN_DOCS`` documents, chosen by a hash of doc_id,
 and of their strings the ``TRAIN_STRINGS`` of smallest hash of either label.
 
-A base span always stays; a run that overlaps one is not scored. Positions are
-code points, ends exclusive.
+Only what lies outside the base spans is scored, so every part of a run that
+one of them cuts is scored by itself. A run that is random as a whole is one
+span. In any other, its separator-bounded parts are scored by the same rule, and
+in all but these and in short runs the stretches of largest summed ratio above the least mean are searched, as in a path that ends in a key; each must
+have a summed ratio of ``MIN_EVIDENCE``, so a shorter one must be the more
+random. A stretch takes in the separator-bounded parts of which it covers at
+least half. Base spans always stay. Positions are code points, ends exclusive.
 
 Cases: null text is empty and has no spans; repeated documents are scanned
 each; without training strings of either label the models are uniform and add
@@ -42,13 +47,16 @@ _ACCESS = re.compile(ACCESS)
 # Maximal runs: asking for the least length drops just the failing matches.
 _HEX = re.compile(r"[0-9a-f]{%d,}" % MIN_HEX)
 MIN_RUN = 16
-_RUN = re.compile(r"[A-Za-z0-9+/_=-]{%d,}" % MIN_RUN)
+_RUN = re.compile(r"[A-Za-z0-9+/_=-]+")
+_PART = re.compile(r"[A-Za-z0-9]+")
 _TRAIN_RUN = re.compile(r"[A-Za-z0-9+/_=-]{6,}")
 _HAS_KEY = re.compile(r"[:=]")
 
 TRAIN_DOCS = 20_000  # about; bounds the training texts
 TRAIN_STRINGS = 4_000  # of either label; bounds what the driver holds
 MIN_LLR_PER_CHAR = 0.25  # nats
+MIN_EVIDENCE = 8.0  # nats; at 6 the given tables' "clown" is a key
+_BLOCK = 1 << 16  # about; characters of a text looked at side by side
 ALPHABET = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 _CODE = np.full(128, len(ALPHABET), np.int64)
 _CODE[[ord(c) for c in ALPHABET]] = np.arange(len(ALPHABET))
@@ -116,15 +124,106 @@ def llr_per_char(s: str, table: np.ndarray) -> float:
     return float(table[np.concatenate(([len(ALPHABET)], code[:-1])), code].sum() / len(code))
 
 
+def _best_stretch(ratio: np.ndarray) -> tuple[int, int]:
+    """Bounds of the stretch of largest sum."""
+    total = np.concatenate(([0.0], np.cumsum(ratio)))
+    gain = total[1:] - np.minimum.accumulate(total)[:-1]
+    end = int(gain.argmax()) + 1
+    return int(total[:end].argmin()), end
+
+
+def _random_alone(s: str, table: np.ndarray) -> bool:
+    return (len(s) >= MIN_RUN and any(c.isalpha() for c in s)
+            and llr_per_char(s, table) >= MIN_LLR_PER_CHAR)
+
+
+def run_spans(run: str, table: np.ndarray) -> list[tuple[int, int]]:
+    """The random-looking stretches of a run of key characters."""
+    if _random_alone(run, table):
+        return [(0, len(run))]
+    parts = [m.span() for m in _PART.finditer(run)]
+    out = [(p, q) for p, q in parts if _random_alone(run[p:q], table)]
+    code = _codes(run)
+    ratio = table[np.concatenate(([len(ALPHABET)], code[:-1])), code]
+    todo = [(0, len(run))]
+    while todo:
+        a, b = todo.pop()
+        if b - a < 2:
+            continue
+        # Above the least mean, so that the found stretch has that mean.
+        s, e = (a + x for x in _best_stretch(ratio[a:b] - MIN_LLR_PER_CHAR))
+        if ratio[s:e].sum() < MIN_EVIDENCE:
+            continue
+        todo += [(a, s), (e, b)]
+        for p, q in parts:
+            if p < s < q:
+                s = p if 2 * (min(e, q) - s) >= q - p else min(e, q)
+            if p < e < q:
+                e = q if 2 * (e - max(s, p)) >= q - p else max(s, p)
+        while s < e and not run[s].isalnum():
+            s += 1
+        # Trailing "=" fill up a key.
+        while s < e and not run[e - 1].isalnum() and run[e - 1] != "=":
+            e -= 1
+        if any(c.isalpha() for c in run[s:e]):
+            out.append((s, e))
+    return _merged(out)
+
+
+def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for s, e in sorted(spans):
+        if out and s < out[-1][1]:
+            out[-1] = out[-1][0], max(out[-1][1], e)
+        else:
+            out.append((s, e))
+    return out
+
+
+def _candidate_runs(text: str, table: np.ndarray, touched: list[tuple[int, int]]
+                    ) -> Iterator[tuple[int, int]]:
+    """Bounds of the runs that can hold a span: long ones, those whose positive
+    ratios suffice, and those that a span of ``touched`` cuts."""
+    at, other = 0, len(ALPHABET)
+    while at < len(text):
+        end = min(len(text), at + _BLOCK)
+        run = _RUN.match(text, end)
+        end = run.end() if run else end
+        code = _CODE[np.minimum(np.frombuffer(text[at:end].encode("utf-32-le"), np.uint32), 127)]
+        before = np.concatenate(([other], code[:-1]))
+        gain = np.where(code == other, 0, np.maximum(table[before, code], 0))
+        total = np.concatenate(([0.0], np.cumsum(gain)))
+        edge = np.diff(np.concatenate(([0], (code != other).astype(np.int8), [0])))
+        start, stop = np.flatnonzero(edge > 0), np.flatnonzero(edge < 0)
+        # The sums are rounded.
+        good = ((stop - start >= MIN_RUN)
+                | (total[stop] - total[start] >= MIN_EVIDENCE - 1e-6))
+        for s, e in touched:
+            good |= (start + at < e) & (stop + at > s)
+        yield from zip((start[good] + at).tolist(), (stop[good] + at).tolist(), strict=True)
+        at = end
+
+
 def markov_spans(text: str, base: list[tuple[int, int, str]], table: np.ndarray
                  ) -> list[tuple[int, int, str]]:
-    """Runs of key characters that look random; digits alone are no key."""
+    """Stretches of key characters that look random; digits alone are no key."""
     out = []
-    for m in _RUN.finditer(text):
-        if any(s < m.end() and m.start() < e for s, e, _ in base):
-            continue
-        if any(c.isalpha() for c in m[0]) and llr_per_char(m[0], table) >= MIN_LLR_PER_CHAR:
-            out.append((*m.span(), "markov"))
+    if not table.any():
+        return out
+    taken = _merged([(s, e) for s, e, _ in base])
+    k = 0
+    for start, end in _candidate_runs(text, table, taken):
+        while k < len(taken) and taken[k][1] <= start:
+            k += 1
+        at, free = start, []
+        for s, e in taken[k:]:
+            if s >= end:
+                break
+            free.append((at, s))
+            at = e
+        for a, b in [*free, (at, end)]:
+            if a < b:
+                out += [(a + s, a + e, "markov") for s, e in run_spans(text[a:b], table)]
     return out
 
 
