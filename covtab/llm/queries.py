@@ -7,7 +7,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from covtab.llm import ann, langid, secrets, toxicity
+from covtab.llm import ann, audit, langid, licenses, runs, secrets, toxicity
 from covtab.llm.chat import rotate
 from covtab.llm.histogram import length_histogram, suffix_sums
 from covtab.llm.lexicon import build_lexicon, encode_digests
@@ -66,6 +66,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return verdicts(_table(spark, sf_dir, "documents"))
 
 
+def op11_filter_interaction_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audit.audit(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
+def op12_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    index = licenses.build_index(docs)
+    return licenses.license_labels(licenses.license_matches(docs, index), index)
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = _table(spark, sf_dir, "documents")
+    return runs.run_digests(runs.periodic_runs(docs, runs.planted_order))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_string_kernel_toxicity": op1_string_kernel_toxicity,
     "op2_stable_projection_search": op2_stable_projection_search,
@@ -77,4 +92,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_markov_secrets": op8_markov_secrets,
     "op9_superminhash": op9_superminhash,
     "op10_quality_rules": op10_quality_rules,
+    "op11_filter_interaction_audit": op11_filter_interaction_audit,
+    "op12_license_scan": op12_license_scan,
+    "op13_periodic_runs": op13_periodic_runs,
 }

@@ -13,6 +13,7 @@ import numpy as np
 import pyarrow as pa
 
 SLICE_BYTES = 1 << 18
+LONG_BYTES = 1 << 21
 
 # White space of the word rule shared by the word operators: space, \t..\r.
 _WS = np.zeros(256, bool)
@@ -27,7 +28,7 @@ _pow: np.ndarray = np.ones(1, np.uint64)
 _ipow: np.ndarray = np.ones(1, np.uint64)
 
 
-def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     """Powers of the hash base and of its inverse, at least ``n`` of each."""
     global _pow, _ipow
     if len(_pow) < n:
@@ -50,13 +51,26 @@ def segment_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.n
     """64-bit hash of each ``data[start:end]``: a polynomial modulo 2**64 from
     prefix sums, finalised with the length. Equal bytes give equal hashes
     wherever they stand."""
-    pw, ip = _powers(len(data) + 1)
+    pw, ip = powers(len(data) + 1)
     acc = np.zeros(len(data) + 1, np.uint64)
     np.cumsum((data.astype(np.uint64) + np.uint64(1)) * pw[:len(data)], out=acc[1:])
     h = (acc[end] - acc[start]) * ip[start]
     return mix64(h ^ ((end - start).astype(np.uint64) * np.uint64(0xD6E8FEB86659FD93)))
 
 
+def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """``segment_hashes`` of ascending words, taken some megabytes at a time."""
+    if len(data) <= LONG_BYTES:
+        return segment_hashes(data, start, end)
+    out, k = np.empty(len(start), np.uint64), 0
+    while k < len(start):
+        j = max(k + 1, int(np.searchsorted(end, start[k] + LONG_BYTES, side="right")))
+        lo = start[k]
+        out[k:j] = segment_hashes(data[lo:end[j - 1]], start[k:j] - lo, end[k:j] - lo)
+        k = j
+    return out
+
+
 def as_bytes(col: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of a string column and its row offsets; null is empty."""
     if isinstance(col, pa.ChunkedArray):
@@ -91,14 +105,16 @@ def text_slices(col: pa.Array, limit: int = SLICE_BYTES
         yield i, j, data[o[0]:o[-1]], o - o[0]
 
 
-def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def words(data: np.ndarray, offsets: np.ndarray, gaps: np.ndarray = _WS
+          ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the words ``[^\\x20\\x09-\\x0D]+`` of every row, and
-    the first word of each row (``len(offsets)`` entries)."""
+    the first word of each row (``len(offsets)`` entries). ``gaps`` marks other
+    bytes than those as the ones between words."""
     n = len(data)
     if n == 0:
         z = np.zeros(0, np.int64)
         return z, z, np.zeros(len(offsets), np.int64)
-    inside = ~_WS[data]
+    inside = ~gaps[data]
     first = inside.copy()
     first[1:] &= ~inside[:-1]
     edge = offsets[(offsets > 0) & (offsets < n)]
