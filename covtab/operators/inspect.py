@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from covtab.functions.chrom import inspect_rank
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
+from covtab.session import checkpoint_dir
 
 
 def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple[DataFrame, DataFrame]:
@@ -26,10 +27,7 @@ def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple
         F.count(F.lit(1)).alias("total_files"),
         F.count_if("ok").alias("readable"),
         F.count_if(~F.col("ok")).alias("unreadable"))
-    # Only narrow keys are ranked, in component order.
-    w = Window.partitionBy(dir_col).orderBy("parts")
-    place = (df.select(dir_col, "file_path", F.split("file_path", "/").alias("parts"))
-             .withColumn("position", F.row_number().over(w)).drop("parts"))
+    place = positions(df.select(dir_col, "file_path"), dir_col)
     bad = (df.filter(~F.col("ok")).select(dir_col, "file_path", "message")
              .join(place, [dir_col, "file_path"])
              .select(dir_col, "position", "file_path",
@@ -37,14 +35,34 @@ def directory_summary(readable: DataFrame, dir_col: str = "bigwig_dir") -> tuple
     return summary, bad
 
 
+def positions(files: DataFrame, dir_col: str) -> DataFrame:
+    """``files`` with each one's 1-based position in its directory, in path
+    order component by component. The files are dealt in ranges of names, so a
+    directory with most of them is numbered by many tasks: within a range by
+    counting, across ranges by the numbers of files in the ranges before."""
+    checkpoint_dir(files.sparkSession)
+    parts = F.split("file_path", "/")
+    dealt = (files.repartitionByRange(F.col(dir_col), parts)
+             .withColumn("range", F.spark_partition_id()).checkpoint(eager=True))
+    sizes = dealt.groupBy(dir_col, "range").agg(F.count("*").alias("size"))
+    before = Window.partitionBy(dir_col).orderBy("range").rowsBetween(
+        Window.unboundedPreceding, -1)
+    offsets = sizes.select(dir_col, "range", F.coalesce(F.sum("size").over(before), F.lit(0))
+                           .alias("offset"))
+    local = F.row_number().over(Window.partitionBy(dir_col, "range").orderBy(parts))
+    return (dealt.withColumn("local", local).join(offsets, [dir_col, "range"])
+            .select(dir_col, "file_path", (F.col("offset") + F.col("local")).cast("int")
+                    .alias("position")))
+
+
 def check_inspect_args(start: int, end: int | None, n: int) -> None:
     """V3: start >= 0, end > start, n >= 1."""
     if start < 0:
-        raise ValueError("start must be >= 0")
+        raise ValueError(f"the first position is {start}, below 0")
     if end is not None and end <= start:
-        raise ValueError("end must be greater than start")
+        raise ValueError(f"no position lies from {start} up to {end}")
     if n < 1:
-        raise ValueError("n must be >= 1")
+        raise ValueError(f"{n} intervals are no head; ask for 1 or more")
 
 
 def first_chromosomes(sizes: DataFrame, n: int = 10) -> DataFrame:

@@ -5,15 +5,17 @@ decreases, and within equal rank the start never decreases. Reports the counts
 of both violation kinds and the first violating row (1-based, over the table's
 files in order).
 
-Plan, one scan and no shuffle of the rows themselves:
-
-1. ``mapInArrow`` turns each contiguous run of rows of a scan task into ONE
-   summary row: first/last (rank, start), row count, violation counts inside
-   the run and the first violation. Rows carry two hashes of their file's path;
-   the path itself and the group columns only come with a file's row 0. Only
-   the summaries (about one per input split) are shuffled.
-2. Runs of one file are stitched with a window over the file ordered by
-   first row: the boundary between two runs is one more comparison.
+Plan, all of it in the JVM:
+
+1. Rows are dealt by (file, block of ``BLOCK_ROWS`` row indexes), four narrow
+   numbers each: two hashes of the file's path stand for it, and the path itself
+   and the group columns only come with a file's row 0. ``lag`` within a block
+   compares each row with the one before it, and the block shrinks to ONE row:
+   first/last (rank, start), row count, violation counts, first violation. Both
+   use the same partitioning and order. A hot file is as many blocks as its rows
+   need.
+2. Blocks of one file are stitched with a window over the file ordered by
+   first row: the boundary between two blocks is one more comparison.
 3. Files of one table are stitched with a window over the per-table file list
    in file order (directory, then the part number as a number), which also
    yields each file's row offset.
@@ -24,9 +26,6 @@ Plan, one scan and no shuffle of the rows themselves:
 
 from __future__ import annotations
 
-import numpy as np
-import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -36,126 +35,42 @@ KIND_RANK = "rank"
 KIND_START = "start"
 
 
-_SEGMENTS = ("key1 long, key2 long, first_row long, last_row long, n long, first_rank int, "
-             "first_start long, last_rank int, last_start long, rank_dec long, start_dec long, "
-             "first_bad_row long, first_bad_kind string, file struct<{}>")
-
-
-class _Runs:
-    """Accumulates run summaries across the Arrow batches of one task.
-    A run is [key1, key2, first_row, last_row, n, first_rank, first_start,
-    last_rank, last_start, rank_dec, start_dec, first_bad_row, first_bad_kind,
-    file]."""
-
-    def __init__(self, file_type: pa.DataType):
-        self.file_type = file_type
-        self.open = None          # the run that may continue into the next batch
-        self.closed = []
-
-    def close(self):
-        if self.open is not None:
-            self.closed.append(self.open)
-            self.open = None
-
-    def table(self) -> pa.Table:
-        rows, self.closed = self.closed, []
-        names = [x.split()[0] for x in _SEGMENTS.split(", ")]
-        types = [*[pa.int64()] * 5, pa.int32(), pa.int64(), pa.int32(), *[pa.int64()] * 4,
-                 pa.string(), self.file_type]
-        return pa.Table.from_arrays([pa.array([r[i] for r in rows], type=t)
-                                     for i, t in enumerate(types)], names=names)
-
-
-def _summarise(batches, file_type: pa.DataType):
-    runs = _Runs(file_type)
-    for batch in batches:
-        n = batch.num_rows
-        if n == 0:
-            continue
-        k1 = batch.column("key1").to_numpy(zero_copy_only=False)
-        k2 = batch.column("key2").to_numpy(zero_copy_only=False)
-        named = batch.column("file")
-        ri = batch.column("row_index").to_numpy(zero_copy_only=False).astype(np.int64)
-        rk = batch.column("rank").to_numpy(zero_copy_only=False).astype(np.int32)
-        st_arr = batch.column("start")
-        st_valid = st_arr.is_valid().to_numpy(zero_copy_only=False)
-        st = pc.fill_null(st_arr, 0).to_numpy(zero_copy_only=False).astype(np.int64)
-
-        cont = np.empty(n, dtype=bool)
-        cont[1:] = (k1[1:] == k1[:-1]) & (k2[1:] == k2[:-1]) & (ri[1:] == ri[:-1] + 1)
-        o = runs.open
-        cont[0] = (o is not None and o[0] == k1[0] and o[1] == k2[0]
-                   and int(ri[0]) == o[3] + 1)
-        prev_rk = np.empty(n, dtype=np.int32)
-        prev_st = np.empty(n, dtype=np.int64)
-        prev_valid = np.empty(n, dtype=bool)
-        prev_rk[1:], prev_st[1:], prev_valid[1:] = rk[:-1], st[:-1], st_valid[:-1]
-        if cont[0]:
-            prev_rk[0] = o[7]
-            prev_valid[0] = o[8] is not None
-            prev_st[0] = o[8] if o[8] is not None else 0
-        else:
-            prev_rk[0], prev_st[0], prev_valid[0] = 0, 0, False
-        v_rank = cont & (rk < prev_rk)
-        v_start = cont & (rk == prev_rk) & st_valid & prev_valid & (st < prev_st)
-        bad = v_rank | v_start
-
-        starts = np.flatnonzero(~cont)
-        bounds = list(starts) + [n]
-        segs = []
-        if cont[0]:               # rows before the first run start continue the open run
-            segs.append((0, bounds[0] if starts.size else n, True))
-        for j in range(len(starts)):
-            segs.append((int(starts[j]), int(bounds[j + 1]), False))
-        csum_r = np.concatenate([[0], np.cumsum(v_rank)])
-        csum_s = np.concatenate([[0], np.cumsum(v_start)])
-        bad_idx = np.flatnonzero(bad)
-        for a, b, continues in segs:
-            nr = int(csum_r[b] - csum_r[a])
-            ns = int(csum_s[b] - csum_s[a])
-            fb_row, fb_kind = None, None
-            if nr or ns:
-                i = int(bad_idx[np.searchsorted(bad_idx, a)])
-                fb_row = int(ri[i])
-                fb_kind = KIND_RANK if v_rank[i] else KIND_START
-            last_start = int(st[b - 1]) if st_valid[b - 1] else None
-            if continues:
-                o = runs.open
-                o[3] = int(ri[b - 1])                 # last_row
-                o[4] += b - a                         # n
-                o[7] = int(rk[b - 1])                 # last_rank
-                o[8] = last_start                     # last_start
-                o[9] += nr
-                o[10] += ns
-                if o[11] is None and fb_row is not None:
-                    o[11], o[12] = fb_row, fb_kind
-            else:
-                runs.close()
-                runs.open = [int(k1[a]), int(k2[a]), int(ri[a]), int(ri[b - 1]), b - a,
-                             int(rk[a]), int(st[a]) if st_valid[a] else None,
-                             int(rk[b - 1]), last_start, nr, ns, fb_row, fb_kind,
-                             named[a].as_py() if ri[a] == 0 else None]
-        if len(runs.closed) >= 4096:
-            yield from runs.table().to_batches()
-    runs.close()
-    if runs.closed:
-        yield from runs.table().to_batches()
-
-
-def run_summaries(rows: DataFrame, group_cols: list[str], in_order: bool) -> DataFrame:
-    """Stage 1: one summary row per contiguous run of rows in a scan task."""
+BLOCK_ROWS = 1 << 20
+
+
+def block_summaries(rows: DataFrame, group_cols: list[str]) -> DataFrame:
+    """Stage 1: one summary row for each block of a file's rows."""
     named = F.struct(F.col("file_path"), *[F.col(c).cast("string").alias(c) for c in group_cols])
-    prepared = rows.select(
+    row = F.col("row_index").cast("long")
+    narrow = rows.select(
         F.xxhash64("file_path").alias("key1"), F.xxhash64(F.lit(1), "file_path").alias("key2"),
-        F.col("row_index").cast("long").alias("row_index"),
+        F.floor(row / BLOCK_ROWS).alias("block"), row.alias("row_index"),
         order_rank("seqnames").alias("rank"), F.col("start").cast("long").alias("start"),
-        F.when(F.col("row_index") == 0, named).alias("file"))
-    if not in_order:
-        prepared = prepared.sortWithinPartitions("key1", "key2", "row_index")
-    fields = ["file_path", *group_cols]
-    file_type = pa.struct([(c, pa.string()) for c in fields])
-    return prepared.mapInArrow(lambda it: _summarise(it, file_type), _SEGMENTS.format(
-        ", ".join(f"{c}: string" for c in fields)))
+        F.when(row == 0, named).alias("file"))
+    block = ["key1", "key2", "block"]
+    w = Window.partitionBy(*block).orderBy("row_index")
+    fell = narrow.withColumn("kind", _violation(
+        F.col("rank"), F.col("start"), F.lag("rank").over(w), F.lag("start").over(w)))
+    return fell.groupBy(*block).agg(
+        F.max("file").alias("file"), F.count(F.lit(1)).alias("n"),
+        F.count_if(F.col("kind") == KIND_RANK).alias("rank_dec"),
+        F.count_if(F.col("kind") == KIND_START).alias("start_dec"),
+        F.min(F.when(F.col("kind").isNotNull(), F.struct("row_index", "kind"))).alias("bad"),
+        F.min(F.struct("row_index", "rank", "start")).alias("first"),
+        F.max(F.struct("row_index", "rank", "start")).alias("last"),
+    ).select(
+        "key1", "key2", "file", "n", "rank_dec", "start_dec",
+        F.col("bad.row_index").alias("first_bad_row"), F.col("bad.kind").alias("first_bad_kind"),
+        F.col("first.row_index").alias("first_row"), F.col("first.rank").alias("first_rank"),
+        F.col("first.start").alias("first_start"), F.col("last.row_index").alias("last_row"),
+        F.col("last.rank").alias("last_rank"), F.col("last.start").alias("last_start"))
+
+
+def _violation(rank: F.Column, start: F.Column, before_rank: F.Column, before_start: F.Column
+               ) -> F.Column:
+    """What falls from one row to the next, or NULL. A NULL start falls never."""
+    return F.when(rank < before_rank, F.lit(KIND_RANK)).when(
+        (rank == before_rank) & (start < before_start), F.lit(KIND_START))
 
 
 def file_order(path: str = "file_path") -> list[F.Column]:
@@ -170,34 +85,30 @@ def _kind_struct(row: F.Column, kind: F.Column) -> F.Column:
     return F.when(row.isNotNull(), F.struct(row.alias("row"), kind.alias("kind")))
 
 
-def check_row_order(rows: DataFrame, group_cols: list[str] | None = None,
-                    in_order: bool = False) -> DataFrame:
+def check_row_order(rows: DataFrame, group_cols: list[str] | None = None) -> DataFrame:
     """W1 for every table in ``rows`` (columns: group_cols, file_path,
     row_index, seqnames, start; the group columns are constant per file, as
-    partition columns are). ``in_order`` promises that every task gets its rows
-    in order, as a Parquet scan does. One output row per table:
+    partition columns are). One output row per table:
     rows_checked, rank_decreases, start_decreases, first_bad_row (1-based),
     first_bad_kind ('rank' | 'start'), first_bad_file, ok."""
     g = list(group_cols or [])
     of_file = Window.partitionBy("key1", "key2")
-    segs = (run_summaries(rows, g, in_order).withColumn("file", F.max("file").over(of_file))
+    segs = (block_summaries(rows, g).withColumn("file", F.max("file").over(of_file))
             .select("*", "file.*").drop("file"))
 
-    # 2. runs within a file
+    # 2. blocks within a file
     w_run = Window.partitionBy("key1", "key2").orderBy("first_row")
     p_rank = F.lag("last_rank").over(w_run)
     p_start = F.lag("last_start").over(w_run)
-    segs = (segs.withColumn("b_rank", p_rank.isNotNull() & (F.col("first_rank") < p_rank))
-                .withColumn("b_start", p_rank.isNotNull() & (F.col("first_rank") == p_rank)
-                            & F.coalesce(F.col("first_start") < p_start, F.lit(False))))
-    b_kind = F.when(F.col("b_rank"), F.lit(KIND_RANK)).when(F.col("b_start"), F.lit(KIND_START))
+    segs = segs.withColumn("edge", _violation(F.col("first_rank"), F.col("first_start"),
+                                              p_rank, p_start))
     seg_first = F.least(
         _kind_struct(F.col("first_bad_row"), F.col("first_bad_kind")),
-        _kind_struct(F.when(b_kind.isNotNull(), F.col("first_row")), b_kind))
+        _kind_struct(F.when(F.col("edge").isNotNull(), F.col("first_row")), F.col("edge")))
     files = segs.groupBy("key1", "key2", *g, "file_path").agg(
         F.sum("n").alias("n"),
-        (F.sum("rank_dec") + F.count_if("b_rank")).alias("rank_dec"),
-        (F.sum("start_dec") + F.count_if("b_start")).alias("start_dec"),
+        (F.sum("rank_dec") + F.count_if(F.col("edge") == KIND_RANK)).alias("rank_dec"),
+        (F.sum("start_dec") + F.count_if(F.col("edge") == KIND_START)).alias("start_dec"),
         F.min(seg_first).alias("first_bad"),
         F.min_by("first_rank", "first_row").alias("first_rank"),
         F.min_by("first_start", "first_row").alias("first_start"),
@@ -214,13 +125,11 @@ def check_row_order(rows: DataFrame, group_cols: list[str] | None = None,
              .withColumn("offset", F.coalesce(
                  F.sum("n").over(w_file.rowsBetween(Window.unboundedPreceding, -1)),
                  F.lit(0).cast("long")))
-             .withColumn("fb_rank", pf_rank.isNotNull() & (F.col("first_rank") < pf_rank))
-             .withColumn("fb_start", pf_rank.isNotNull() & (F.col("first_rank") == pf_rank)
-                         & F.coalesce(F.col("first_start") < pf_start, F.lit(False))))
-    fb_kind = F.when(F.col("fb_rank"), F.lit(KIND_RANK)).when(F.col("fb_start"), F.lit(KIND_START))
+             .withColumn("edge", _violation(F.col("first_rank"), F.col("first_start"),
+                                            pf_rank, pf_start)))
     file_first = F.least(
         F.col("first_bad"),
-        _kind_struct(F.when(fb_kind.isNotNull(), F.col("min_row")), fb_kind))
+        _kind_struct(F.when(F.col("edge").isNotNull(), F.col("min_row")), F.col("edge")))
     files = files.withColumn("ff", file_first)
     first = F.min(F.when(
         F.col("ff").isNotNull(),
@@ -228,8 +137,8 @@ def check_row_order(rows: DataFrame, group_cols: list[str] | None = None,
                  F.col("ff.kind").alias("kind"), F.col("file_path").alias("file"))))
     aggs = [
         F.sum("n").alias("rows_checked"),
-        (F.sum("rank_dec") + F.count_if("fb_rank")).alias("rank_decreases"),
-        (F.sum("start_dec") + F.count_if("fb_start")).alias("start_decreases"),
+        (F.sum("rank_dec") + F.count_if(F.col("edge") == KIND_RANK)).alias("rank_decreases"),
+        (F.sum("start_dec") + F.count_if(F.col("edge") == KIND_START)).alias("start_decreases"),
         first.alias("first"),
     ]
     out = files.groupBy(*g).agg(*aggs) if g else files.agg(*aggs)

@@ -19,6 +19,7 @@ from covtab.functions.chrom import count_rank
 from covtab.operators.order_check import check_row_order
 from covtab.region import Expectation
 from covtab.schema import COVERAGE_SCHEMA, GROUP_COLUMNS, OUTPUT_COLUMNS, STRAND, schema_problems
+from covtab.session import checkpoint_dir
 
 
 def _any_null(cols) -> F.Column:
@@ -138,7 +139,7 @@ SCHEMA_OK = "every file has the columns and types of the coverage table"
 
 
 def validation_report(rows: DataFrame, expect: Expectation | None = None,
-                      group_cols: list[str] = GROUP_COLUMNS, in_order: bool = False) -> DataFrame:
+                      group_cols: list[str] = GROUP_COLUMNS) -> DataFrame:
     """J6 as a DataFrame: for every table, the checks in the order of
     ``CHECKS`` with status OK / INFO / FAIL / SKIP; ``chromosomes`` has a row
     for each chromosome. ``rows`` must carry file_path and row_index. Two
@@ -147,7 +148,7 @@ def validation_report(rows: DataFrame, expect: Expectation | None = None,
     g = list(group_cols)
     profile = _profile(rows, expect, g).persist(StorageLevel.MEMORY_AND_DISK)
     counts = _table_counts(profile, expect, g)
-    order = check_row_order(rows, g, in_order)
+    order = check_row_order(rows, g)
     t = counts.join(_one_table(order, g), g or ["_table"], "left")
     c, none = F.col, F.lit(None).cast("long")
     in_order_text = F.concat(F.lit("in order over "), c("rows_checked").cast("string"),
@@ -186,6 +187,10 @@ def _status(name: str, bad: F.Column) -> F.Column:
     return F.when(bad.isNull(), F.lit("SKIP")).when(bad > 0, F.lit("FAIL")).otherwise(F.lit("OK"))
 
 
+# Fixed value: the directory name that Spark gives a NULL key.
+NULL_DIRECTORY = "__HIVE_DEFAULT_PARTITION__"
+
+
 def physical_rows(spark: SparkSession, path: str) -> DataFrame:
     """Rows of a published table or dataset with their physical position:
     the group columns it has, file and 0-based row index."""
@@ -197,6 +202,17 @@ def physical_rows(spark: SparkSession, path: str) -> DataFrame:
                      F.col("_metadata.row_index").alias("row_index"))
 
 
+def table_of_file(path: str) -> list[F.Column]:
+    """The group columns of a published file, from the names of its directories."""
+    out = []
+    for c in GROUP_COLUMNS:
+        name = F.regexp_extract(path, f"/{c}=([^/]*)/", 1)
+        # '+' would become a space when the percent signs are decoded
+        value = F.url_decode(F.replace(name, F.lit("+"), F.lit("%2B")))
+        out.append(F.when(name != NULL_DIRECTORY, value).alias(c))
+    return out
+
+
 # The column types of the coverage table as Parquet readers name them.
 _ARROW_TYPES = {"string": T.StringType(), "large_string": T.StringType(),
                 "int32": T.IntegerType(), "int64": T.LongType(), "double": T.DoubleType(),
@@ -225,33 +241,58 @@ def footer_problems(spark: SparkSession, path: str) -> DataFrame:
     other columns, another order or other types; read by the executors."""
     files = (spark.read.format("binaryFile").option("recursiveFileLookup", "true")
              .option("pathGlobFilter", "*.parquet").load(path)
-             .select(F.col("path").alias("file_path")))
+             .select(paths.from_listing("path").alias("file_path")))
     return (files.repartition(max(1, spark.sparkContext.defaultParallelism))
             .mapInPandas(_footer_problems, "file_path string, problem string"))
 
 
+def _key(cols: list[F.Column]) -> F.Column:
+    """The group columns as one string that only equal values share."""
+    return F.concat(*[F.when(c.isNull(), F.lit("-")).otherwise(
+        F.concat(F.length(c).cast("string"), F.lit(":"), c)) for c in cols])
+
+
+def _schema_failures(wrong: DataFrame, g: list[str]) -> DataFrame:
+    """The report of the tables that hold a file of another schema: a FAIL for
+    each such file, and every other check SKIPped."""
+    def row(seq, check, status, n_bad, detail):
+        return F.struct(seq.cast("int").alias("seq"), check.alias("check"),
+                        F.lit(status).alias("status"), n_bad.cast("long").alias("n_bad"),
+                        detail.cast("string").alias("detail"))
+    none = F.lit(None)
+    files = wrong.select(*g, row(F.lit(1), F.lit(CHECKS[0]), "FAIL", F.lit(1),
+                                 F.concat_ws(": ", "file_path", "problem")).alias("r"))
+    others = F.array(*[row(F.lit(k + 1), F.lit(name), "SKIP", none, none)
+                       for k, name in enumerate(CHECKS) if k])
+    tables = (wrong.select(*g).distinct() if g else wrong.limit(1)).select(
+        *g, F.explode(others).alias("r"))
+    return files.unionByName(tables).select(*g, "r.*")
+
+
 def validate_dataset(spark: SparkSession, path: str, expect: Expectation | None = None,
                      raise_on_fail: bool = False) -> DataFrame:
     """J6 on a written dataset: one table (part files or chromosome directories
-    under ``path``) or a region's root with (study, group) directories. With a
-    file of another schema only that check has a verdict (FAIL, one row); the
-    others are SKIPped, since the rows cannot be read as coverage."""
+    under ``path``) or a region's root with (study, group) directories. A table
+    with a file of another schema has a FAIL for each such file and no other
+    verdict, since its rows cannot be read as coverage; all other tables have
+    their whole report."""
     path = paths.absolute(path)
-    wrong = footer_problems(spark, path).agg(
-        F.count("*").alias("n"), F.min(F.concat_ws(": ", "file_path", "problem")).alias("first")
-    ).first()
     rows = physical_rows(spark, path)
     g = [c for c in GROUP_COLUMNS if c in rows.columns]
-    if wrong["n"]:
-        found = [(k + 1, name, "FAIL" if name == "schema" else "SKIP",
-                  wrong["n"] if name == "schema" else None,
-                  f"{wrong['n']} file(s), such as {wrong['first']}" if name == "schema" else None)
-                 for k, name in enumerate(CHECKS)]
-        report = spark.createDataFrame(
-            found, "seq int, check string, status string, n_bad long, detail string")
-        report = report.select(*[F.lit(None).cast("string").alias(c) for c in g], "*")
+    wrong = footer_problems(spark, path)
+    if g:
+        wrong = wrong.select("*", *table_of_file("file_path"))
+    checkpoint_dir(spark)
+    wrong = wrong.checkpoint(eager=True)
+    bad = ([r[0] for r in wrong.select(_key([F.col(c) for c in g])).distinct().collect()] if g
+           else wrong.limit(1).collect())
+    if not bad:
+        report = validation_report(rows, expect, g)
     else:
-        report = validation_report(rows, expect, g, in_order=True)
+        report = _schema_failures(wrong, g)
+        if g:  # a filter on the directories: files of bad tables are not opened
+            sound = rows.where(~_key([F.col(c) for c in g]).isin(bad))
+            report = report.unionByName(validation_report(sound, expect, g))
     if raise_on_fail:
         fails = report.filter(F.col("status") == "FAIL").orderBy("seq", *g).limit(1).collect()
         if fails:

@@ -14,7 +14,8 @@ A conversion runs in four steps:
             file and group, failures and no-data files. Any failure, or a group
             without rows, raises before anything is published (A1-A3); the whole
             lists are Parquet tables next to the output.
-4. publish: one range shuffle + local sort + partitioned write (K1, K2).
+4. publish: one shuffle into ranges known from the inputs' indexes + local sort
+            + partitioned write aside, then renames (K1, K2).
 
 The staged table is removed afterwards, whether the job succeeded or not.
 """
@@ -37,8 +38,10 @@ from covtab.operators.convert import (SAMPLE_LISTED, ConversionError, EmptyResul
 from covtab.region import RegionSpec, region_root
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import checkpoint_dir, scratch_path
-from covtab.sinks.coverage_parquet import (RANK_COL, read_coverage, write_coverage,
-                                           write_empty_table)
+from covtab.sinks.bounds import index_bounds
+from covtab.sinks.coverage_parquet import (RANK_COL, read_coverage, table_directory,
+                                           write_coverage)
+from covtab.sinks.file_index import INDEX_NAME, overlapping, read_index
 from covtab.sources.bigwig import (DEFAULT_CHUNK_BYTES, bigwig_chunks, decode_chunks,
                                    decode_partitions)
 from covtab.sources.listing import (DiscoveryError, discover_bigwig_dirs, list_bigwig_files,
@@ -95,16 +98,15 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
     if paths_.select(file_id).distinct().count() < n_files:
         file_id = F.col("file_path")  # two paths share a hash
     staged_path = scratch_path(spark, "staged")
+    # index stage once (tiny rows), then decode with a task count sized from the
+    # compressed bytes to read
+    chunks = bigwig_chunks(paths_, region, chunk_bytes, num_partitions).persist(
+        StorageLevel.MEMORY_AND_DISK)
     try:
-        # index stage once (tiny rows), then decode with a task count sized
-        # from the compressed bytes to read
-        chunks = bigwig_chunks(paths_, region, chunk_bytes, num_partitions).persist(
-            StorageLevel.MEMORY_AND_DISK)
         raw = decode_chunks(chunks, num_partitions or decode_partitions(chunks, target_task_bytes))
         rows = convert_intervals(raw.drop(*GROUP_COLUMNS), region, keep_file_path=True)
         (rows.select(file_id.alias("file_id"), *[c for c in OUTPUT_COLUMNS if c != "strand"],
                      "error").write.parquet(staged_path))
-        chunks.unpersist()
         staged = spark.read.parquet(staged_path)
 
         # A1-A3: rows and errors of each file, from two narrow staged columns
@@ -136,21 +138,21 @@ def convert_files(spark: SparkSession, files: DataFrame, output: str,
             raise EmptyResultError(f"{n_bare} group(s) kept no interval, so nothing was "
                                    f"published; the first {len(shown)}: {', '.join(shown)}")
         total = int(totals.agg(F.sum("rows_written")).first()[0] or 0)
-        if total:
-            # publish parallelism sized by rows, whatever the cluster
-            n_out = num_partitions or -(-total // max(1, rows_per_output_partition))
-            rows = staged.drop("error").withColumn("strand", strand())
-            if group_cols:
-                groups = named_files.drop("file_path")
-                rows = rows.join(F.broadcast(groups) if files.count() <= BROADCAST_FILES
-                                 else groups, "file_id")
-            write_coverage(rows.select(*group_cols, *OUTPUT_COLUMNS), output, region, n_out,
-                           group_cols, row_group_bytes=row_group_bytes)
-        for r in bare.toLocalIterator():
-            write_empty_table(spark, output, region, {c: r[c] for c in group_cols})
+        # publish parallelism sized by rows, whatever the cluster
+        n_out = num_partitions or max(1, -(-total // max(1, rows_per_output_partition)))
+        rows = staged.drop("error").withColumn("strand", strand())
+        if group_cols:
+            groups = named_files.drop("file_path")
+            rows = rows.join(F.broadcast(groups) if files.count() <= BROADCAST_FILES
+                             else groups, "file_id")
+        write_coverage(rows.select(*group_cols, *OUTPUT_COLUMNS), output, region, n_out,
+                       group_cols, row_group_bytes=row_group_bytes,
+                       bounds=index_bounds(chunks, files, group_cols) if n_out > 1 else None,
+                       empty=bare if n_bare else None)
         return ConversionResult(output, region_root(output, region), total, n_files, n_empty,
                                 no_data, totals, per_file.drop("error"))
     finally:
+        chunks.unpersist()
         paths.delete(spark, staged_path)
 
 
@@ -196,17 +198,36 @@ def region_query(spark: SparkSession, output: str, region: RegionSpec,
     chromosome filters prune directories, so only files of the wanted
     chromosomes are opened; start/end filters reach the Parquet reader and skip
     row groups by their min/max (the files are sorted)."""
-    df = read_coverage(spark, region_root(paths.absolute(output), published or RegionSpec()),
-                       keep_rank=True)
+    root = region_root(paths.absolute(output), published or RegionSpec())
+    ranks = [int(x) for x in spark.range(1).select(
+        *[order_rank(F.lit(c)) for c in region.allowed_chroms]).first()]
+    files = None
+    if region.pos_start is not None or region.pos_end is not None:
+        files = _files_of_region(spark, root, region, ranks, study, group)
+    df = read_coverage(spark, root, keep_rank=True, files=files)
     if study is not None:
         df = df.filter(F.col("study_name") == study)
     if group is not None:
         df = df.filter(F.col("qtl_group") == group)
-    ranks = spark.range(1).select(*[order_rank(F.lit(c)) for c in region.allowed_chroms]).first()
-    df = df.filter(F.col(RANK_COL).cast("int").isin(list(ranks)))
+    df = df.filter(F.col(RANK_COL).cast("int").isin(ranks))
     return df.filter(region_predicate(region)).drop(RANK_COL)
 
 
+def _files_of_region(spark: SparkSession, root: str, region: RegionSpec, ranks: list[int],
+                     study: str | None, group: str | None) -> list[str] | None:
+    """Files that the tables' indexes leave for a region, as paths from
+    ``root``; None where some table has no index. A region with bounds has few
+    in each table."""
+    grouped = any("=" in x and not x.startswith(RANK_COL) for x in paths.children(spark, root))
+    below = f"/{table_directory(study, group)}" if grouped else ""
+    tables = paths.matching(spark, paths.glob_safe(root) + below)
+    indexed = paths.matching(spark, f"{paths.glob_safe(root)}{below}/{INDEX_NAME}")
+    if not tables or len(indexed) < len(tables):
+        return None
+    found = overlapping(read_index(spark, tables), ranks, region.pos_start, region.pos_end)
+    return [r["file"] for r in found.select("file").toLocalIterator()]
+
+
 # ------------------------------------------------------------ inspection jobs
 
 def inspect_directory(spark: SparkSession, path: str, recursive: bool = False):

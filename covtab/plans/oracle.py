@@ -8,6 +8,8 @@ sample id = file name before its first dot).
 
 from __future__ import annotations
 
+from covtab.operators.validate import CHECKS
+
 AUTOSOME_LIST = ", ".join(f"'{i}'" for i in range(1, 23))
 
 RAW = """
@@ -329,3 +331,88 @@ SELECT * FROM na WHERE rn <= 5"""
 ORACLE["ordered_directories"] = f"""
 SELECT *, CAST(row_number() OVER (PARTITION BY study_name ORDER BY qtl_group) AS INTEGER) AS place
 FROM ({ORACLE['discover_dirs']})"""
+
+ORACLE["republish_fewer_chromosomes"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)}
+SELECT study_name, qtl_group, seqnames, CAST(count(*) AS BIGINT) AS n, min(start) AS first_start,
+       max("end") AS last_end
+FROM converted WHERE qtl_group = 'grp_1' OR CAST(seqnames AS INTEGER) <= 11
+GROUP BY study_name, qtl_group, seqnames"""
+
+ORACLE["region_among_long_intervals"] = f"""WITH {RAW.replace("raw AS", "given AS")},
+raw AS (SELECT * REPLACE (CASE WHEN start0 % 11 = 0 THEN start0 + 50000 ELSE end0 END AS end0)
+        FROM given), {CONV},
+{_converted("seqnames = '1' AND \"end\" >= 100000 AND start <= 100500")}
+SELECT {COVERAGE_COLS} FROM converted"""
+
+ORACLE["damaged_files_job"] = f"""WITH {RAW},
+damaged AS (SELECT DISTINCT study_name, qtl_group, file_path, {FILE_NAME} AS file_name FROM raw
+            WHERE {FILE_NAME} IN ('S3.rep0.bw', 'S5.rep1.bigwig', 'S7.rep0.bw'))
+SELECT study_name, qtl_group, file_name,
+       CASE file_name WHEN 'S3.rep0.bw' THEN 'index' WHEN 'S5.rep1.bigwig' THEN 'block'
+                      ELSE 'range' END AS kind, false AS published,
+       CAST(row_number() OVER (ORDER BY file_path) AS INTEGER) AS place
+FROM damaged"""
+
+
+def _columns_text(names: list[str]) -> str:
+    return str(names).replace("'", "''")
+
+
+_BAD_TABLE = "study_name = 'study_1' AND qtl_group = 'grp_0'"
+_SKIPPED = ", ".join(f"({k + 1}, '{name}')" for k, name in enumerate(CHECKS) if k)
+_WANTED = ["seqnames", "start", "end", "strand", "score", "sample_id"]
+_SWAPPED = ["start", "seqnames", *_WANTED[2:]]
+ORACLE["validate_with_a_bad_file"] = f"""SELECT * FROM ({ORACLE['validate_written']})
+WHERE NOT ({_BAD_TABLE})
+UNION ALL SELECT 'study_1', 'grp_0', 1, 'schema', 'FAIL', 1,
+  'part-00000-swapped.parquet: columns are {_columns_text(_SWAPPED)}; '
+  || 'the coverage table has {_columns_text(_WANTED)}'
+UNION ALL SELECT 'study_1', 'grp_0', k, name, 'SKIP', NULL, NULL
+FROM (VALUES {_SKIPPED}) checks(k, name)"""
+
+ORACLE["mixed_names_roundtrip"] = f"""WITH {RAW},
+named AS (
+  SELECT study_name, qtl_group, 'S' || regexp_extract(file_path, 'S([0-9]+)[.]', 1) AS sample_id,
+         unnest(CASE WHEN start0 % 3 = 0 THEN ['chr1', '1'] WHEN suffix(file_path, '.bw')
+                     THEN ['chr1'] ELSE ['1'] END) AS chrom,
+         CAST(start0 AS BIGINT) AS start0, CAST(end0 AS BIGINT) AS end0,
+         CASE WHEN isnan(score) THEN NULL ELSE CAST(CAST(score AS FLOAT) AS DOUBLE) END AS score
+  FROM raw)
+SELECT 'converted' AS view, study_name, qtl_group, sample_id, '1' AS seqnames,
+       start0 + 1 AS first, end0 AS last, score
+FROM named WHERE end0 >= start0 + 1
+UNION ALL
+SELECT 'range of ' || chrom, study_name, qtl_group, sample_id, chrom, start0, end0, score
+FROM named WHERE start0 < 200000 AND end0 > 100000"""
+
+ORACLE["inspect_tree"] = """
+WITH files AS (
+  SELECT CASE WHEN r_name = 'ASIA' THEN 'ASIA' ELSE r_name || '/' || n_name || '/' || c_mktsegment END
+         || '/' || c_name || '.bw' AS file, c_custkey % 7 = 0 AS broken
+  FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey),
+placed AS (
+  SELECT file, broken,
+         CAST(row_number() OVER (ORDER BY string_split(file, '/')) AS INTEGER) AS position
+  FROM files),
+totals AS (SELECT count(*) AS total_files, count_if(NOT broken) AS readable,
+                  count_if(broken) AS unreadable FROM files)
+SELECT position, file, regexp_extract(file, '[^/]*$') AS file_name,
+       'not a BigWig file (bad magic number)' AS message,
+       CAST(total_files AS BIGINT) AS total_files, CAST(readable AS BIGINT) AS readable,
+       CAST(unreadable AS BIGINT) AS unreadable
+FROM placed, totals WHERE broken"""
+
+ORACLE["bigwig_source_scan"] = f"""WITH {RAW}
+SELECT study_name, qtl_group, split_part({FILE_NAME}, '.', 1) AS sample_id, chrom,
+       CAST(start0 AS BIGINT) AS start0, CAST(end0 AS BIGINT) AS end0,
+       CASE WHEN isnan(score) THEN NULL ELSE CAST(CAST(score AS FLOAT) AS DOUBLE) END AS score
+FROM raw WHERE chrom = 'chr22' AND start0 < 60000 AND end0 > 20000"""
+
+ORACLE["stream_resumes"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)}
+SELECT study_name, qtl_group,
+       CAST(CASE WHEN study_name = 'study_2' AND qtl_group = 'grp_1' THEN 2 ELSE 1 END AS BIGINT)
+         AS n_converted,
+       CAST(count(*) AS BIGINT) AS rows_written,
+       CAST(CASE WHEN study_name = 'study_0' AND qtl_group = 'grp_1' THEN 1 ELSE 0 END AS BIGINT)
+         AS n_rejected
+FROM converted GROUP BY study_name, qtl_group"""

@@ -13,33 +13,38 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from covtab.functions.intervals import sample_id_from_path
-from covtab.operators.convert import convert_intervals, no_data_files, rows_per_file
+from covtab import paths
+from covtab.functions.intervals import nan_to_null, sample_id_from_path
+from covtab.operators.convert import (ConversionError, convert_intervals, no_data_files,
+                                      rows_per_file)
 from covtab.operators.inspect import (directory_summary, first_chrom_head, first_chromosomes,
                                       head_intervals, na_rows)
 from covtab.operators.order_check import check_row_order
 from covtab.operators.validate import chrom_counts, integrity_counts, na_report, validate_dataset
-from covtab.plans.jobs import (convert_directory, convert_manifest, convert_study, null_report,
-                               region_query)
+from covtab.plans.jobs import (convert_directory, convert_manifest, convert_study,
+                               inspect_directory, null_report, region_query)
 from covtab.region import Expectation, RegionSpec
-from covtab.schema import OUTPUT_COLUMNS
+from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import scratch_path, ship_package
 from covtab.sinks.coverage_parquet import read_coverage, sorted_for_publish, write_coverage
 from covtab.sources.bigwig import (bigwig_head, chrom_sizes, readability, scan_bigwig,
                                    scan_bigwig_range, without_errors)
+from covtab.sources.bigwig_datasource import register_bigwig_source
 from covtab.sources.fixture import (add_broken_files, customer_dirs, customer_manifest,
-                                   encode_lineitem_bigwigs, lineitem_intervals,
-                                   orders_row_sequence)
+                                   damage_files, encode_bigwigs, encode_lineitem_bigwigs,
+                                   lineitem_intervals, mixed_name_intervals, orders_row_sequence,
+                                   touch_files, write_customer_files)
 from covtab.sources.listing import (bigwig_dirs_from_paths, discover_bigwig_dirs,
                                    list_bigwig_files)
 from covtab.sources.manifest import planned_outputs, read_manifest, write_manifest
 from covtab.streaming.incremental import (convert_pending, pending_groups, published_groups,
-                                         read_done)
+                                         read_done, read_rejected, start_manifest_stream)
 
 # Fixed parameters of the registered queries.
 REGION_22 = RegionSpec("22", 20000, 60000)
 REGION_X = RegionSpec("X")
 REGION_22_TO_3000 = RegionSpec("22", None, 3000)
+REGION_AMONG_LONG = RegionSpec("1", 100_000, 100_500)
 
 
 # --- conversion
@@ -331,6 +336,33 @@ def q_region_tables_side_by_side(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.count("*").alias("n"))
 
 
+def q_republish_fewer_chromosomes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """K1/K2: grp_0's tables are published again with chromosomes 1 to 11 only:
+    their other chromosomes are gone, grp_1's tables keep all of theirs. Rows,
+    least start and greatest end of each table and chromosome."""
+    out = scratch_path(spark, "republished")
+    conv = q_convert_autosomes(spark, sf_dir)
+    write_coverage(conv, out)
+    fewer = conv.filter((F.col("qtl_group") == "grp_0") & (F.col("seqnames").cast("int") <= 11))
+    root = write_coverage(fewer, out)
+    return read_coverage(spark, root).groupBy("study_name", "qtl_group", "seqnames").agg(
+        F.count("*").alias("n"), F.min("start").alias("first_start"),
+        F.max("end").alias("last_end"))
+
+
+def q_region_among_long_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J8 with some intervals of 50,000 positions, in tables of several files a
+    chromosome: the file indexes leave those that overlap chromosome 1 from
+    100,000 to 100,500."""
+    raw = lineitem_intervals(spark, sf_dir)
+    long = F.pmod(F.col("start0"), F.lit(11)) == 0
+    raw = raw.withColumn("end0", F.when(long, F.col("start0") + 50_000).otherwise(F.col("end0")))
+    out = scratch_path(spark, "long")
+    write_coverage(convert_intervals(raw), out, num_partitions=64)
+    return region_query(spark, out, REGION_AMONG_LONG, published=RegionSpec()).select(
+        "study_name", "qtl_group", *OUTPUT_COLUMNS)
+
+
 def q_incremental_pending(spark: SparkSession, sf_dir: str) -> DataFrame:
     """study_0 is converted first; of all groups, which are then pending,
     and which have a table."""
@@ -363,6 +395,127 @@ def q_ordered_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
             .withColumn("place", F.row_number().over(w)))
 
 
+# --- what goes wrong, and what stays whole
+
+def q_damaged_files_job(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A3/O4 through J2: of three samples in each study the files are cut in
+    their index, spoilt in a block, or reach beyond 32-bit positions. The job
+    publishes nothing; its report, read back in order, names the sample files
+    and how each part failed."""
+    root = _encode(spark, sf_dir)
+    dirs = discover_bigwig_dirs(spark, root).checkpoint(eager=True)
+    damage_files(list_bigwig_files(dirs).checkpoint(eager=True)).count()
+    out = scratch_path(spark, "damaged")
+    try:
+        convert_manifest(spark, dirs, out)
+        report = f"{out}.failures"  # there is none: reading it fails the query
+    except ConversionError as e:
+        report = e.report
+    kind = (F.when(F.col("error").contains("int32"), "range")
+            .when(F.col("error").startswith("chunk "), "block").otherwise("index"))
+    listed = spark.read.parquet(report).select(
+        F.regexp_extract("file_path", "/cov/([^/]+)/", 1).alias("study_name"),
+        F.regexp_extract("file_path", "/cov/[^/]+/([^/]+)/", 1).alias("qtl_group"),
+        _original().alias("file_name"), kind.alias("kind"),
+        F.struct(F.col("_metadata.file_name"), F.col("_metadata.row_index")).alias("at"))
+    first = listed.groupBy("study_name", "qtl_group", "file_name").agg(
+        F.min("at").alias("at"), F.max("kind").alias("kind"),
+        F.lit(paths.exists(spark, out)).alias("published"))
+    # a handful of damaged sample files a study
+    return first.select("study_name", "qtl_group", "file_name", "kind", "published",
+                        F.row_number().over(Window.orderBy("at")).alias("place"))
+
+
+def q_validate_with_a_bad_file(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One file of study_1/grp_0 has two columns swapped. That table has a
+    FAIL for the file and SKIPs, the five others their whole reports."""
+    root = write_coverage(q_convert_autosomes(spark, sf_dir), scratch_path(spark, "one-bad"))
+    swapped = scratch_path(spark, "swapped")
+    table = "study_name=study_1/qtl_group=grp_0/chrom_rank=0001"
+    (spark.read.parquet(f"{root}/{table}").select("start", "seqnames", "end", "strand", "score",
+                                                  "sample_id").coalesce(1).write.parquet(swapped))
+    file, = (x for x in paths.children(spark, swapped) if x.endswith(".parquet"))
+    paths.rename(spark, f"{swapped}/{file}", f"{root}/{table}/part-00000-swapped.parquet")
+    report = validate_dataset(spark, root, Expectation.of(REGION_22))
+    named = F.regexp_replace("detail", "^.*/([^/]*parquet): ", "$1: ")
+    return report.withColumn("detail", named)
+
+
+def q_mixed_names_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Files that hold both 'chr1' and '1'. Conversion unites them and
+    keeps duplicates; a range of 'chr1', and one of '1', sees that name alone."""
+    root = scratch_path(spark, "mixed")
+    encode_bigwigs(mixed_name_intervals(spark, sf_dir), root).agg(F.sum("rows")).collect()
+    dirs = discover_bigwig_dirs(spark, f"{root}/cov").checkpoint(eager=True)
+    files = list_bigwig_files(dirs).checkpoint(eager=True)
+    united = convert_intervals(without_errors(scan_bigwig(files))).select(
+        F.lit("converted").alias("view"), *GROUP_COLUMNS, "sample_id", "seqnames",
+        F.col("start").cast("long").alias("first"), F.col("end").cast("long").alias("last"), "score")
+
+    def ranged(name: str) -> DataFrame:
+        return without_errors(scan_bigwig_range(files, name, 100_000, 200_000)).select(
+            F.lit(f"range of {name}").alias("view"), *GROUP_COLUMNS,
+            sample_id_from_path("file_path").alias("sample_id"), F.col("chrom").alias("seqnames"),
+            F.col("start0").alias("first"), F.col("end0").alias("last"),
+            nan_to_null("score").alias("score"))
+    return united.unionByName(ranged("chr1")).unionByName(ranged("1"))
+
+
+def q_inspect_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J4/S5/O3/A4/A5 on a nested tree, a file for each customer and a fifth of
+    them in one directory: the unreadable files with their positions in path
+    order, beside the totals of the tree."""
+    root = scratch_path(spark, "tree")
+    write_customer_files(spark, sf_dir, root).count()
+    _, summary, bad = inspect_directory(spark, root, recursive=True)
+    return bad.join(summary, "bigwig_dir").select(
+        "position", F.substr("file_path", F.lit(len(paths.absolute(root)) + 2)).alias("file"),
+        "file_name", "message", "total_files", "readable", "unreadable")
+
+
+def q_bigwig_source_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """S6 as a data source, in tasks of 64 KB of a file: intervals of 'chr22'
+    from 20,000 to 60,000, the chromosome and bounds pushed into the source."""
+    root = _encode(spark, sf_dir)
+    register_bigwig_source(spark)
+    found = (spark.read.format("bigwig").option("recursive", "true").option("chunkBytes", 1 << 16)
+             .load(root).where((F.col("chrom") == "chr22") & (F.col("start0") < 60_000)
+                               & (F.col("end0") > 20_000)))
+    return found.select(F.regexp_extract("file_path", "/cov/([^/]+)/", 1).alias("study_name"),
+                        F.regexp_extract("file_path", "/cov/[^/]+/([^/]+)/", 1).alias("qtl_group"),
+                        sample_id_from_path("file_path").alias("sample_id"), "chrom", "start0",
+                        "end0", nan_to_null("score").alias("score"))
+
+
+def q_stream_resumes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """J9 streaming: a manifest of study_0 with one group named twice; after a
+    restart one of all groups; after another restart the same again, when the
+    files of one group have changed. How often each group was converted, its
+    rows, and how often it was rejected."""
+    root = _encode(spark, sf_dir)
+    dirs = discover_bigwig_dirs(spark, root).checkpoint(eager=True)
+    inbox, state, out = (scratch_path(spark, x) for x in ("inbox", "stream", "streamed"))
+    done = f"{out}.done"
+    twice = dirs.where("study_name = 'study_0' AND qtl_group = 'grp_1'").withColumn(
+        "bigwig_dir", F.concat("bigwig_dir", F.lit("-2")))
+    for k, rows in enumerate((dirs.where("study_name = 'study_0'").unionByName(twice), dirs, dirs)):
+        written = scratch_path(spark, "manifest")
+        write_manifest(rows, written)
+        part, = (x for x in paths.children(spark, written) if x.endswith(".csv"))
+        paths.rename(spark, f"{written}/{part}", f"{inbox}/manifest-{k}.tsv")
+        if k == 2:
+            changed = list_bigwig_files(dirs.where("study_name = 'study_2' AND qtl_group = 'grp_1'"))
+            touch_files(changed).count()
+        start_manifest_stream(spark, inbox, out, state, done_path=done).awaitTermination()
+    rejected = read_rejected(spark, done).groupBy(*GROUP_COLUMNS).agg(
+        F.count_distinct("batch_id").alias("n_rejected"))
+    return (read_done(spark, done).groupBy(*GROUP_COLUMNS)
+            .agg(F.count("*").alias("n_converted"), F.max("rows_written").alias("rows_written"))
+            .join(rejected, GROUP_COLUMNS, "left")
+            .select(*GROUP_COLUMNS, "n_converted", "rows_written",
+                    F.coalesce("n_rejected", F.lit(0).cast("long")).alias("n_rejected")))
+
+
 # --- registry
 
 def _shipped(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
@@ -407,8 +560,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         "convert_study_job": q_convert_study_job,
         "convert_directory_job": q_convert_directory_job,
         "region_tables_side_by_side": q_region_tables_side_by_side,
+        "republish_fewer_chromosomes": q_republish_fewer_chromosomes,
+        "region_among_long_intervals": q_region_among_long_intervals,
         "incremental_pending": q_incremental_pending,
         "na_rows_written": q_na_rows_written,
         "ordered_directories": q_ordered_directories,
+        "damaged_files_job": q_damaged_files_job,
+        "validate_with_a_bad_file": q_validate_with_a_bad_file,
+        "mixed_names_roundtrip": q_mixed_names_roundtrip,
+        "inspect_tree": q_inspect_tree,
+        "bigwig_source_scan": q_bigwig_source_scan,
+        "stream_resumes": q_stream_resumes,
     }.items()
 }

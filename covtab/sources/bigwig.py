@@ -80,15 +80,18 @@ MAX_BATCH_ROWS = 1 << 16                 # rows per Arrow batch leaving a decode
 
 
 def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int | None] | None,
-               chunk_bytes: int = DEFAULT_CHUNK_BYTES, normalize: bool = True) -> list[tuple]:
+               chunk_bytes: int = DEFAULT_CHUNK_BYTES, normalize: bool = True,
+               within: tuple[int, int] | None = None) -> list[tuple]:
     """Read one file's header, chromosome tree and R-tree; keep the blocks of
     wanted chromosomes (names compared after 'chr' removal when
     ``normalize``, else exactly) that may hold rows with end0 >= lo and
-    start0 < hi; cut runs of adjacent kept blocks into byte ranges of about
-    ``chunk_bytes``. Returns chunk tuples
-    (chunk, compressed, lo, hi, n_blocks, keep_ids, keep_names) — a constant-size
-    description, whatever the number of blocks; the names are those of the kept
-    chromosomes that the chunk's blocks hold."""
+    start0 < hi, and that begin ``within`` a range of the file's bytes; cut runs
+    of adjacent kept blocks into byte ranges of about ``chunk_bytes``. Returns
+    chunk tuples
+    (chunk, compressed, lo, hi, n_blocks, keep_ids, keep_names, stretches) — a
+    bounded description, whatever the number of blocks; the names are those of
+    the kept chromosomes that the chunk's blocks hold, and the stretches tell
+    how its bytes spread over chromosomes and starts."""
     with open_file(path) as f:
         h = read_header(f)
         chroms = read_chroms(f, h)
@@ -104,6 +107,8 @@ def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int |
         keep_names = [c[0] for c in kept]
         # pruned traversal: only subtrees that may hold wanted rows are read
         sel = read_index_leaves(f, h, None if keep is None else keep_ids, bounds)
+    if within is not None:
+        sel = sel[(sel["off"] >= within[0]) & (sel["off"] < within[1])]
     n = len(sel)
     if n == 0:
         return []
@@ -125,11 +130,26 @@ def index_file(path: str, keep: set[str] | None, bounds: tuple[int | None, int |
         i = int(np.searchsorted(ids, int(sel["sc"][a:b].min()), "left"))
         j = int(np.searchsorted(ids, int(sel["ec"][a:b].max()), "right"))
         return ids[i:j].tolist(), names[i:j]
+    name_of = dict(zip(ids.tolist(), names, strict=True))
     return [(k, h.uncompress_buf_size > 0, int(off[a]), int(off[b - 1] + size[b - 1]),
-             int(b - a), *own(a, b))
+             int(b - a), *own(a, b), _stretches(sel[a:b], name_of))
             for k, (a, b) in enumerate(zip(starts.tolist(), ends.tolist()))]
 
 
+CHUNK_STRETCHES = 64  # of one chromosome and chunk, about
+
+
+def _stretches(blocks: np.ndarray, name_of: dict[int, str]) -> list[dict]:
+    """Chromosome, first start and bytes of stretches of adjacent blocks."""
+    chrom = blocks["sc"].astype(np.int64)
+    place = np.arange(len(blocks)) * CHUNK_STRETCHES // len(blocks)
+    first = np.flatnonzero(np.concatenate(
+        ([True], (chrom[1:] != chrom[:-1]) | (place[1:] != place[:-1]))))
+    size = np.add.reduceat(blocks["size"].astype(np.int64), first)
+    return [{"chrom": name_of.get(int(c)), "start": int(s), "bytes": int(n)}
+            for c, s, n in zip(chrom[first], blocks["sb"][first], size, strict=True)]
+
+
 def iter_blocks(span: bytes, compressed: bool, n_blocks: int):
     """Walk ``n_blocks`` adjacent data blocks of a byte span, yielding each
     inflated block. zlib streams end by themselves; an uncompressed block's
@@ -193,6 +213,8 @@ _CHUNK_ARROW = pa.schema([
     ("chunk", pa.int64()), ("compressed", pa.bool_()),
     ("lo", pa.int64()), ("hi", pa.int64()), ("n_blocks", pa.int64()),
     ("keep_ids", pa.list_(pa.int32())), ("keep_names", pa.list_(pa.string())),
+    ("stretches", pa.list_(pa.struct([("chrom", pa.string()), ("start", pa.int64()),
+                                      ("bytes", pa.int64())]))),
     ("error", pa.string())])
 
 
@@ -274,7 +296,8 @@ def _parallelism(df: DataFrame, n: int | None) -> int:
 
 CHUNK_SCHEMA = ("study_name string, qtl_group string, file_path string, chunk long, "
                 "compressed boolean, lo long, hi long, n_blocks long, "
-                "keep_ids array<int>, keep_names array<string>, error string")
+                "keep_ids array<int>, keep_names array<string>, "
+                "stretches array<struct<chrom: string, start: long, bytes: long>>, error string")
 
 
 def bigwig_chunks(files: DataFrame, region: RegionSpec | None = None,
@@ -305,7 +328,7 @@ def decode_chunks(chunks: DataFrame, num_partitions: int | None = None) -> DataF
     """Decode stage: chunk rows (tiny) are spread round-robin over
     ``num_partitions`` tasks, each inflating its byte ranges."""
     n = _parallelism(chunks, num_partitions)
-    return chunks.repartition(n).mapInArrow(_decode_fn(), INTERVAL_SCHEMA)
+    return chunks.drop("stretches").repartition(n).mapInArrow(_decode_fn(), INTERVAL_SCHEMA)
 
 
 def decode_partitions(chunks: DataFrame, target_task_bytes: int = 128 << 20) -> int:

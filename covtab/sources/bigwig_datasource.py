@@ -9,33 +9,32 @@
 Columns: file_path, chrom, start0, end0 (0-based half-open), score.
 Filters on ``chrom`` (=, IN) are applied exactly inside the source; bounds on
 ``start0`` (<, <=) and ``end0`` (>, >=) prune whole blocks through the file's
-R-tree and are re-checked by Spark. Planning reads only each file's header and
-chromosome tree on the driver (a few KB per file, many files at once); every
-(file, chromosome) is one task that walks the pruned R-tree and decodes its
-blocks. For very large file sets or chromosomes ``scan_bigwig`` (covtab.sources.bigwig) also moves that small
-planning read onto executors and cuts chromosomes into byte ranges.
+R-tree and are re-checked by Spark.
+
+A task is a range of ``chunkBytes`` bytes of a file, as for any splittable
+format: planning lists names and sizes and opens no file. A task reads the
+file's header, chromosome tree and the R-tree nodes that the filters leave, and
+decodes the blocks that begin in its range. So one chromosome of one large file
+is spread over many tasks, and every index is read by executors.
 """
 
 from __future__ import annotations
 
 import os
-from concurrent.futures import ThreadPoolExecutor
 
 import pyarrow as pa
 from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan,
                                     GreaterThanOrEqual, In, InputPartition, LessThan,
                                     LessThanOrEqual)
 
-PLANNING_THREADS = 32
 SOURCE_SCHEMA = "file_path string, chrom string, start0 long, end0 long, score double"
 
 
-class _FileChrom(InputPartition):
-    """One task: one chromosome of one file."""
+class _FileRange(InputPartition):
+    """One task: the blocks that begin in a range of a file's bytes."""
 
-    def __init__(self, path, chrom):
-        self.path = path
-        self.chrom = chrom
+    def __init__(self, path: str | None, lo: int = 0, hi: int = 0):
+        self.path, self.lo, self.hi = path, lo, hi
 
 
 class BigWigReader(DataSourceReader):
@@ -67,54 +66,51 @@ class BigWigReader(DataSourceReader):
                 self.hi = hi if self.hi is None else min(self.hi, hi)
             yield f              # bounds prune blocks only; Spark re-checks rows
 
-    def _files(self):
+    def _files(self) -> list[tuple[str, int]]:
+        """Path and size of every file to read, by path."""
         from covtab.paths import absolute, is_uri
         from covtab.sources.listing import _entries, is_bigwig_name
 
         p = absolute(self.path)
-        if not is_uri(p) and os.path.isfile(p):
-            return [p]
+        if is_uri(p):
+            from pyarrow import fs as pafs
+            filesystem, inner = pafs.FileSystem.from_uri(p)
+            info = filesystem.get_file_info(inner)
+            if info.type == pafs.FileType.File:
+                return [(p, info.size)]
+        elif os.path.isfile(p):
+            return [(p, os.path.getsize(p))]
         out, todo = [], [p]
         while todo:
-            for name, path, is_dir, _, _ in _entries(todo.pop()):
+            for name, path, is_dir, size, _ in _entries(todo.pop()):
                 if is_dir and self.recursive:
                     todo.append(path)
                 elif not is_dir and is_bigwig_name(name):
-                    out.append(path)
+                    out.append((path, size))
         return sorted(out)
 
     def partitions(self):
-        """Planning reads only each file's header and chromosome tree (a few
-        KB); the R-tree walk and block decoding happen in the tasks, one per
-        (file, chromosome), so a large file is split by chromosome."""
-        from covtab.sources.bigwig import open_file
-        from covtab.sources.bigwig_format import read_chroms, read_header
-
-        def names(path):
-            with open_file(path) as f:
-                return path, [c[0] for c in read_chroms(f, read_header(f))]
-
-        with ThreadPoolExecutor(PLANNING_THREADS) as pool:
-            found = list(pool.map(names, self._files()))
-        parts = [_FileChrom(path, c) for path, chroms in found for c in sorted(chroms)
-                 if self.chroms is None or c in self.chroms]
-        return parts or [_FileChrom(None, None)]
-
-    def read(self, partition: _FileChrom):
+        step = max(1, self.chunk_bytes)
+        parts = [_FileRange(path, lo, lo + step) for path, size in self._files()
+                 for lo in range(0, max(1, size), step)]
+        return parts or [_FileRange(None)]
+
+    def read(self, partition: _FileRange):
         from covtab.sources.bigwig import _const, decode_range, index_file, open_file
 
-        if partition.path is None:
+        path = partition.path
+        if path is None:
             return
         bounds = None if self.lo is None and self.hi is None else (self.lo, self.hi)
-        chunks = index_file(partition.path, {partition.chrom}, bounds, self.chunk_bytes,
-                            normalize=False)
-        with open_file(partition.path) as f:
-            for (_k, comp, lo, hi, nb, ids, names) in chunks:
+        chunks = index_file(path, self.chroms, bounds, self.chunk_bytes, normalize=False,
+                            within=(partition.lo, partition.hi))
+        with open_file(path) as f:
+            for (_k, comp, lo, hi, nb, ids, names, _s) in chunks:
                 name_arr = pa.array(names, pa.string())
                 for pos, s, e, v in decode_range(f, comp, lo, hi, nb, ids):
                     chrom = pa.DictionaryArray.from_arrays(pa.array(pos), name_arr)
                     yield pa.RecordBatch.from_arrays(
-                        [_const(partition.path, len(s)), chrom.cast(pa.string()), pa.array(s),
+                        [_const(path, len(s)), chrom.cast(pa.string()), pa.array(s),
                          pa.array(e), pa.array(v)],
                         names=["file_path", "chrom", "start0", "end0", "score"])
 

@@ -107,7 +107,12 @@ ENCODE_ROWS = 200_000  # rows that one encoded file holds at most
 
 
 def encode_lineitem_bigwigs(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
-    """Write the lineitem intervals as real BigWig files under ``root``.
+    """The lineitem intervals as real BigWig files under ``root``."""
+    return encode_bigwigs(lineitem_intervals(spark, sf_dir), root)
+
+
+def encode_bigwigs(raw: DataFrame, root: str) -> DataFrame:
+    """Write raw intervals (D2) as real BigWig files under ``root``.
 
     Every scan task writes, for each sample file it holds rows of in a bounded
     run of ``ENCODE_ROWS`` rows, one BigWig
@@ -123,7 +128,7 @@ def encode_lineitem_bigwigs(spark: SparkSession, sf_dir: str, root: str) -> Data
     from covtab.paths import is_uri, plain
     from covtab.testing.bigwig_writer import write_bigwig
 
-    raw = lineitem_intervals(spark, sf_dir).select("file_path", "chrom", "start0", "end0", "score")
+    raw = raw.select("file_path", "chrom", "start0", "end0", "score")
     root = plain(root)
 
     def write_file(path: str, rows: pd.DataFrame, mark: str) -> tuple[str, int]:
@@ -170,3 +175,100 @@ def add_broken_files(files: DataFrame, every: int = 5) -> DataFrame:
     broken = F.pmod(F.xxhash64("file_path"), F.lit(every)) == 0
     return files.withColumn("file_path", F.when(broken, F.concat(
         "file_path", F.lit(".missing"))).otherwise(F.col("file_path")))
+
+
+def mixed_name_intervals(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The lineitem intervals all on chromosome 1, which a file knows by two
+    names: 'chr1' for even lines, '1' for odd ones, and both for every third
+    start. Both replicates of a sample share one file."""
+    raw = lineitem_intervals(spark, sf_dir)
+    even = F.col("file_path").endswith(".bw")
+    names = F.when(F.col("start0") % 3 == 0, F.array(F.lit("chr1"), F.lit("1"))).otherwise(
+        F.array(F.when(even, F.lit("chr1")).otherwise(F.lit("1"))))
+    return raw.select("study_name", "qtl_group",
+                      F.regexp_replace("file_path", r"\.rep[01]\.[a-z]+$", ".bw").alias("file_path"),
+                      F.explode(names).alias("chrom"), "start0", "end0", "score")
+
+
+# How the files of some samples are damaged, by the sample file's name.
+DAMAGED = {"S3.rep0.bw": "index", "S5.rep1.bigwig": "block", "S7.rep0.bw": "range"}
+
+
+def damage_files(files: DataFrame) -> DataFrame:
+    """Damage every listed part of the samples in ``DAMAGED``. Returns a row for
+    each damaged file; an action runs it."""
+    import re
+
+    import pandas as pd
+
+    from covtab.testing.bigwig_writer import damage_bigwig
+
+    def run(batches):
+        for pdf in batches:
+            hit = []
+            for path in pdf["file_path"]:
+                name = re.sub(r"\.t[0-9-]{11}\.", ".", path.rsplit("/", 1)[1])
+                if name in DAMAGED:
+                    damage_bigwig(path, DAMAGED[name])
+                    hit.append((path, DAMAGED[name]))
+            yield pd.DataFrame(hit, columns=["file_path", "kind"])
+    return files.select("file_path").mapInPandas(run, "file_path string, kind string")
+
+
+def customer_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A nested tree of one coverage file for each customer: those of ASIA all
+    in one directory, the others by nation and market segment. Every seventh
+    customer's file is no BigWig."""
+    c = read_table(spark, sf_dir, "customer").select("c_custkey", "c_name", "c_nationkey",
+                                                     "c_mktsegment")
+    n = read_table(spark, sf_dir, "nation").select("n_nationkey", "n_name", "n_regionkey")
+    r = read_table(spark, sf_dir, "region").select("r_regionkey", "r_name")
+    j = (c.join(n, F.col("c_nationkey") == F.col("n_nationkey"))
+         .join(r, F.col("n_regionkey") == F.col("r_regionkey")))
+    directory = F.when(F.col("r_name") == "ASIA", F.lit("ASIA")).otherwise(
+        F.concat_ws("/", "r_name", "n_name", "c_mktsegment"))
+    return j.select(F.concat_ws("/", directory, F.concat("c_name", F.lit(".bw"))).alias("file"),
+                    (F.col("c_custkey") % 7 == 0).alias("broken"),
+                    (F.col("c_custkey") % 5 + 1).cast("int").alias("n_chroms"))
+
+
+def write_customer_files(spark: SparkSession, sf_dir: str, root: str) -> DataFrame:
+    """Write ``customer_files`` below ``root``, each task its own. Returns a row
+    for each file; an action runs it."""
+    import os
+
+    import pandas as pd
+
+    from covtab.paths import plain
+    from covtab.testing.bigwig_writer import write_bigwig
+
+    root = plain(root)
+
+    def run(batches):
+        for pdf in batches:
+            for file, broken, n in zip(pdf["file"], pdf["broken"], pdf["n_chroms"]):
+                path = f"{root}/{file}"
+                os.makedirs(os.path.dirname(path), exist_ok=True)
+                if broken:
+                    with open(path, "w") as f:
+                        f.write("no coverage here, but as long as a header is\n" * 3)
+                else:
+                    chroms = [f"chr{k + 1}" for k in range(int(n))]
+                    write_bigwig(path, [(c, 1000) for c in chroms], {c: [(0, 5, 1.0)] for c in chroms})
+            yield pdf[["file"]]
+    files = customer_files(spark, sf_dir)
+    return files.repartition(max(1, spark.sparkContext.defaultParallelism)).mapInPandas(
+        run, "file string")
+
+
+def touch_files(files: DataFrame) -> DataFrame:
+    """Give every listed file another time of change. Returns a row for each; an
+    action runs it."""
+    import os
+
+    def run(batches):
+        for pdf in batches:
+            for path in pdf["file_path"]:
+                os.utime(path, ns=(1_000_000_000, 1_000_000_000))
+            yield pdf[["file_path"]]
+    return files.select("file_path").mapInPandas(run, "file_path string")

@@ -122,9 +122,13 @@ def is_bigwig_name(name: str) -> bool:
 _LEVEL_SCHEMA = f"{FILES_SCHEMA}, is_dir boolean"
 
 
+LISTED_AT_ONCE = 8192  # entries of a directory that a task holds as rows
+
+
 def _list_level(it):
     """Coverage files and subdirectories of each directory row. A manifest's
-    directory that does not exist has no files; ``require_files`` reports it."""
+    directory that does not exist has no files, which ``require_files`` reports;
+    a subdirectory that vanishes while it is walked is an error."""
     names = ["study_name", "qtl_group", "bigwig_dir", "file_path", "size", "modified", "is_dir"]
     for pdf in it:
         out = []
@@ -133,10 +137,15 @@ def _list_level(it):
             try:
                 entries = _entries(d)
             except (FileNotFoundError, NotADirectoryError):
+                if d != top:
+                    raise
                 continue
-            out.extend((s, g, top, p, size, modified, is_dir)
-                       for name, p, is_dir, size, modified in entries
-                       if is_dir or is_bigwig_name(name))
+            for name, p, is_dir, size, modified in entries:
+                if is_dir or is_bigwig_name(name):
+                    out.append((s, g, top, p, size, modified, is_dir))
+                if len(out) == LISTED_AT_ONCE:
+                    yield pd.DataFrame(out, columns=names)
+                    out = []
         yield pd.DataFrame(out, columns=names)
 
 

@@ -56,6 +56,10 @@ def write_manifest(rows: DataFrame, out: str) -> None:
          .option("lineSep", "\n").csv(out))
 
 
+# Fixed value: how a dry run's line begins.
+PLAN_PREFIX = "Will write: "
+
+
 def planned_outputs(manifest: DataFrame, output_base: str, region: RegionSpec) -> DataFrame:
     """K3 + A17: the table each manifest row publishes, with the
     'Will write: <path>' line of a dry run."""
@@ -64,4 +68,4 @@ def planned_outputs(manifest: DataFrame, output_base: str, region: RegionSpec) -
         "study_name", "qtl_group",
         output_name_col(F.col("qtl_group"), region).alias("output_name"),
         table.alias("output_path"),
-        F.concat(F.lit("Will write: "), table).alias("plan_line"))
+        F.concat(F.lit(PLAN_PREFIX), table).alias("plan_line"))

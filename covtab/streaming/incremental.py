@@ -11,9 +11,10 @@ Two ways to re-use finished work:
 * ``start_manifest_stream`` — streaming: a Structured Streaming query over a
   directory of manifest files. The rows of newly arrived manifests are
   converted micro-batch by micro-batch (``foreachBatch``), each manifest by the
-  names in its own header; the stream's checkpoint records which manifest files
-  are done, so a restarted or re-triggered stream resumes where it stopped and
-  never converts a manifest twice.
+  names in its own header, and only as far as they are pending: the results
+  table makes a batch that runs again after a crash, or a manifest that names
+  groups converted before, cost a look-up. Groups that cannot be converted as
+  the manifests stand are reported and left out, so the stream goes on.
 """
 
 from __future__ import annotations
@@ -26,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from covtab import paths
-from covtab.plans.jobs import ConversionResult, convert_files, convert_manifest
+from covtab.plans.jobs import ConversionResult, convert_files
 from covtab.region import RegionSpec, table_path_col
 from covtab.session import checkpoint_dir
 from covtab.sources.listing import list_bigwig_files, require_files
@@ -130,25 +131,68 @@ def convert_pending(spark: SparkSession, manifest: DataFrame, output: str, done_
     return result
 
 
+REJECTED_SCHEMA = ("study_name string, qtl_group string, bigwig_dir string, reason string, "
+                   "batch_id long")
+
+
+def _rejected(rows: DataFrame, files: DataFrame) -> DataFrame:
+    """Manifest rows that stand in the way of their batch, with the reason:
+    groups named with several directories, and directories without files."""
+    several = (rows.groupBy(*KEYS).agg(F.count_distinct("bigwig_dir").alias("n")).where("n > 1")
+               .select(*KEYS, F.lit("the group has several directories").alias("reason")))
+    held = files.select("bigwig_dir").distinct()
+    empty = (rows.join(held, "bigwig_dir", "left_anti")
+             .withColumn("reason", F.lit("the directory holds no coverage file")))
+    many = rows.join(several, KEYS)
+    return many.select(*KEYS, "bigwig_dir", "reason").unionByName(
+        empty.join(several.select(*KEYS), KEYS, "left_anti")
+        .select(*KEYS, "bigwig_dir", "reason")).distinct()
+
+
+def read_rejected(spark: SparkSession, done_path: str) -> DataFrame:
+    """What a stream with this results table left out, batch by batch."""
+    path = f"{done_path}.rejected"
+    if not paths.exists(spark, path):
+        return spark.createDataFrame([], REJECTED_SCHEMA)
+    return spark.read.schema(REJECTED_SCHEMA).parquet(path)
+
+
+def convert_batch(spark: SparkSession, manifests: list[str], output: str, done_path: str,
+                  batch_id: int, region: RegionSpec | None = None, **kw) -> None:
+    """One micro-batch: convert the pending groups of some manifest files,
+    record them, and report what was left out. Running it again is no harm: the
+    groups are recorded, and the report of a batch replaces itself."""
+    rows = reduce(DataFrame.unionByName, [read_manifest(spark, x) for x in manifests])
+    checkpoint_dir(spark)
+    rows = rows.distinct().checkpoint(eager=True)
+    files = list_bigwig_files(rows).checkpoint(eager=True)
+    out = _rejected(rows, files).checkpoint(eager=True)
+    if not out.isEmpty():
+        out.write.mode("overwrite").parquet(f"{done_path}.rejected/batch_id={batch_id}")
+    good = rows.join(out.select(*KEYS).distinct(), KEYS, "left_anti")
+    if not good.isEmpty():
+        convert_pending(spark, good, output, done_path, region, **kw)
+
+
 def start_manifest_stream(spark: SparkSession, manifest_dir: str, output: str,
                           checkpoint: str, region: RegionSpec | None = None,
-                          available_now: bool = True, **kw):
-    """J9 streaming: convert the rows of every manifest file that lands in
-    ``manifest_dir``. Returns the StreamingQuery; with ``available_now`` it
-    processes what is there and stops (call ``awaitTermination()``)."""
+                          available_now: bool = True, done_path: str | None = None, **kw):
+    """J9 streaming: convert the pending groups of every manifest file that
+    lands in ``manifest_dir``. ``done_path`` is the results table, by default
+    beside the output; it may be shared with ``convert_pending``. Returns the
+    StreamingQuery; with ``available_now`` it processes what is there and stops
+    (call ``awaitTermination()``)."""
     region = region or RegionSpec()
+    output = paths.absolute(output)
+    done = done_path or f"{output}.done"
     stream = (spark.readStream.format("text").option("maxFilesPerTrigger", MANIFESTS_PER_BATCH)
               .load(manifest_dir).select(F.col("_metadata.file_path").alias("manifest")))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
         # at most MANIFESTS_PER_BATCH names
         names = sorted(r["manifest"] for r in batch.distinct().collect())
-        if not names:
-            return
-        session = batch.sparkSession
-        rows = reduce(DataFrame.unionByName, [read_manifest(session, x) for x in names])
-        if not rows.isEmpty():
-            convert_manifest(session, rows, output, region, **kw)
+        if names:
+            convert_batch(batch.sparkSession, names, output, done, batch_id, region, **kw)
 
     writer = (stream.writeStream.foreachBatch(per_batch)
               .option("checkpointLocation", checkpoint))

@@ -203,7 +203,8 @@ def test_datasource_facade(spark, tmp_path):
     got = sorted((r.file_path.endswith("a.bw"), r.start0, r.end0) for r in q.collect())
     want = sorted((True, s, s + 10) for s in range(0, 10_000, 10) if s < 2050 and s + 10 >= 2001)
     assert got == want
-    assert q.rdd.getNumPartitions() == 2          # chr22 of each file (b.bigwig has chr22)
+    ranges = sum(-(-os.path.getsize(d / f) // 100) for f in os.listdir(d))
+    assert q.rdd.getNumPartitions() == ranges
     assert raw_rows(df.filter("chrom IN ('chrX', 'chrM')").withColumn("error", F.lit(None))) == \
         expected(IV, {"chrX", "chrM"})
 
@@ -230,3 +231,31 @@ def test_bigwig_head_matches_dataframe_operator(spark, tmp_path):
         b = sorted(tuple(r) for r in first_chrom_head(raw, sizes, start, end, 4, chrom)
                    .select("file_path", "chrom", "start0", "end0", "score", "rn").collect())
         assert a == b, (start, end, chrom)
+
+
+def test_source_cuts_a_chromosome_into_byte_ranges(spark, tmp_path):
+    from covtab.sources.bigwig_datasource import BigWigReader, register_bigwig_source
+    rows = [(k * 10, k * 10 + 7, float(k)) for k in range(5000)]
+    d = tmp_path / "deep" / "er"
+    d.mkdir(parents=True)
+    path = str(d / "a.bw")
+    write_bigwig(path, [("chr1", 100_000), ("chr2", 100)], {"chr1": rows, "chr2": [(1, 2, 0.5)]},
+                 items_per_block=64)
+    (d / "ignored.txt").write_text("x")
+    register_bigwig_source(spark)
+    size = os.path.getsize(path)
+    for step in (500, 4096, 10 * size):
+        parts = BigWigReader({"path": str(tmp_path), "recursive": "true",
+                              "chunkBytes": str(step)}).partitions()
+        assert len(parts) == -(-size // step)
+        df = (spark.read.format("bigwig").option("recursive", "true").option("chunkBytes", step)
+              .load(str(tmp_path)))
+        got = sorted((r.chrom, r.start0, r.end0, r.score) for r in df.collect())
+        assert got == sorted([("chr1", *r) for r in rows] + [("chr2", 1, 2, 0.5)])
+        some = df.where("chrom = 'chr1' AND start0 < 20100 AND end0 >= 20000")
+        assert sorted(r.start0 for r in some.collect()) == list(range(20_000, 20_100, 10))
+        busy = (df.where("chrom = 'chr1'").selectExpr("spark_partition_id() AS p").distinct()
+                .count())
+        assert busy == 1 if step > size else busy > 3
+    assert spark.read.format("bigwig").load(path).count() == 5001
+    assert spark.read.format("bigwig").load(str(tmp_path)).count() == 0

@@ -162,3 +162,38 @@ def test_discover_files_through_spark_listing(spark, tree):
     assert got == [("s1", "q1", "A.bw", 1), ("s1", "q2", "B.bigwig", 3)]
     got = [r.qtl_group for r in discover_bigwig_files(spark, tree, study="s1").collect()]
     assert sorted(got) == ["q1", "q2"]
+
+
+def test_positions_of_a_hot_directory_are_numbered_over_ranges(spark):
+    from covtab.operators.inspect import directory_summary
+    names = [("hot", f"/d/hot/{k // 40}/f{k % 40:02d}.bw") for k in range(400)]
+    names += [("cold", "/d/cold/a.bw"), ("cold", "/d/cold/b-c/x.bw"), ("cold", "/d/cold/b/x.bw")]
+    df = spark.createDataFrame([(d, p, k % 3 > 0, "m") for k, (d, p) in enumerate(names)],
+                               "bigwig_dir string, file_path string, ok boolean, message string")
+    summary, bad = directory_summary(df.repartition(7))
+    assert {(r.bigwig_dir, r.total_files) for r in summary.collect()} == {("hot", 400), ("cold", 3)}
+    want = {}
+    for d in ("hot", "cold"):
+        order = sorted((p for x, p in names if x == d), key=lambda p: p.split("/"))
+        want.update({p: k + 1 for k, p in enumerate(order)})
+    got = {r.file_path: r.position for r in bad.collect()}
+    assert got == {p: want[p] for k, (_, p) in enumerate(names) if k % 3 == 0}
+
+
+def test_a_vanished_subdirectory_is_an_error(tmp_path, monkeypatch):
+    import pandas as pd
+
+    from covtab.sources import listing
+    top = str(tmp_path / "gone")
+
+    def listed(directory):
+        level = pd.DataFrame([(None, None, top, directory)],
+                             columns=["study_name", "qtl_group", "bigwig_dir", "dir"])
+        return pd.concat(listing._list_level([level]))
+    assert len(listed(top)) == 0
+    with pytest.raises(FileNotFoundError):
+        listed(f"{top}/below")
+    for k in range(10):
+        (tmp_path / f"{k}.bw").write_text("")
+    monkeypatch.setattr(listing, "LISTED_AT_ONCE", 3)
+    assert len(listed(str(tmp_path))) == 10

@@ -74,3 +74,31 @@ def test_manifest_stream(spark, tmp_path):
     (mdir / "m2.tsv").write_text(f"qtl_group\tbigwig_dir\tstudy_name\ng2\t{root}/T/g2/bigwig\tT\n")
     start_manifest_stream(spark, str(mdir), out, ck).awaitTermination()
     assert groups(spark, out) == {("S", "g1"): 5, ("T", "g2"): 15}
+
+
+def test_stream_reports_what_it_cannot_convert_and_goes_on(spark, tmp_path):
+    from covtab.streaming.incremental import convert_batch, read_rejected
+    root, out = str(tmp_path / "in"), str(tmp_path / "out")
+    mdir, ck = tmp_path / "manifests", str(tmp_path / "ck")
+    mdir.mkdir()
+    for group in ("g1", "g2"):
+        make(root, "S", group, ["a.bw"])
+
+    def manifest(name, *rows):
+        (mdir / name).write_text("study_name\tqtl_group\tbigwig_dir\n" + "".join(
+            f"S\t{g}\t{root}/S/{d}/bigwig\n" for g, d in rows))
+    manifest("m1.tsv", ("g1", "g1"), ("g2", "g2"), ("g2", "g1"), ("g3", "nowhere"))
+    start_manifest_stream(spark, str(mdir), out, ck).awaitTermination()
+    assert groups(spark, out) == {("S", "g1"): 5}
+    left = {(r.qtl_group, r.reason.split()[-1], r.batch_id)
+            for r in read_rejected(spark, f"{out}.done").collect()}
+    assert left == {("g2", "directories", 0), ("g3", "file", 0)}
+    # the next manifest sets g2 right; g1 is done already
+    manifest("m2.tsv", ("g1", "g1"), ("g2", "g2"))
+    start_manifest_stream(spark, str(mdir), out, ck).awaitTermination()
+    assert groups(spark, out) == {("S", "g1"): 5, ("S", "g2"): 5}
+    done = read_done(spark, f"{out}.done")
+    assert sorted(r.qtl_group for r in done.collect()) == ["g1", "g2"]
+    # the first batch again, as after a crash before its commit
+    convert_batch(spark, [str(mdir / "m1.tsv")], out, f"{out}.done", 0)
+    assert done.count() == 2 and read_rejected(spark, f"{out}.done").count() == 3

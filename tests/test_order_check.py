@@ -88,3 +88,20 @@ def test_null_start_is_not_a_violation(spark):
     df = spark.createDataFrame(rows, "file_path string, row_index long, seqnames string, start int")
     r = check_row_order(df).collect()[0]
     assert r["ok"]
+
+
+@pytest.mark.parametrize("block", [1, 2, 7, 64])
+def test_blocks_of_any_size_agree(spark, monkeypatch, block):
+    from covtab.operators import order_check
+    rnd = random.Random(block)
+    rows = [("g", f"f{f}", i, rnd.choice(["1", "2", "X", "U", None]),
+             rnd.choice([None, *range(40)])) for f in range(3) for i in range(50)]
+    df = spark.createDataFrame(rows, "g string, file_path string, row_index long, "
+                                     "seqnames string, start int").repartition(5)
+    monkeypatch.setattr(order_check, "BLOCK_ROWS", block)
+    out = check_row_order(df, ["g"])
+    r = out.first()
+    n, ranks, starts, first = brute(rows)["g"]
+    assert (r.rows_checked, r.rank_decreases, r.start_decreases) == (n, ranks, starts)
+    assert (r.first_bad_row, r.first_bad_kind, r.first_bad_file) == first
+    assert "Python" not in out._jdf.queryExecution().toString()
