@@ -12,19 +12,25 @@ and of their strings the ``TRAIN_STRINGS`` of smallest hash of either label.
 
 Only what lies outside the base spans is scored, so every part of a run that
 one of them cuts is scored by itself. A run that is random as a whole is one
-span. In any other, its separator-bounded parts are scored by the same rule, and
-in all but these and in short runs the stretches of largest summed ratio above the least mean are searched, as in a path that ends in a key; each must
-have a summed ratio of ``MIN_EVIDENCE``, so a shorter one must be the more
+span. In any other, as in a path that ends in a key, its separator-bounded parts
+are scored by the same rule, and so are its maximal stretches: those whose summed
+ratio above the least mean no shorter or longer stretch beside them exceeds. Each
+must have a summed ratio of ``MIN_EVIDENCE``, so a shorter one must be the more
 random. A stretch takes in the separator-bounded parts of which it covers at
 least half. Base spans always stay. Positions are code points, ends exclusive.
 
-Cases: null text is empty and has no spans; repeated documents are scanned
-each; without training strings of either label the models are uniform and add
-nothing; an empty table gives no rows.
+Cases: null text is empty and has no spans; a very long text, or one run that
+fills it, takes time and memory in proportion; repeated rows and rows that share
+or lack a doc_id are scanned each; of spans with one start the base kinds come
+first; without training strings of either label the models are uniform and add
+nothing; an empty table gives no rows; ``scan`` reads doc_id and text alone,
+``redact`` keeps every column, whatever its name, and renews ``n_chars`` where
+that is a number.
 """
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import re
 from collections.abc import Iterator
@@ -86,10 +92,14 @@ def labelled_strings(text: str) -> Iterator[tuple[int, str]]:
     spans = base_spans(text)
     for s in spans:
         yield 1, _secret_part(text, s)
+    taken = _merged([(s, e) for s, e, _ in spans])
+    k = 0
     for m in _TRAIN_RUN.finditer(text):
         word = m[0]
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
         if (word.isalpha() and (word[1:].islower() or word.isupper())
-                and not any(s < m.end() and m.start() < e for s, e, _ in spans)):
+                and not (k < len(taken) and taken[k][0] < m.end())):
             yield 0, word
 
 
@@ -124,12 +134,29 @@ def llr_per_char(s: str, table: np.ndarray) -> float:
     return float(table[np.concatenate(([len(ALPHABET)], code[:-1])), code].sum() / len(code))
 
 
-def _best_stretch(ratio: np.ndarray) -> tuple[int, int]:
-    """Bounds of the stretch of largest sum."""
-    total = np.concatenate(([0.0], np.cumsum(ratio)))
-    gain = total[1:] - np.minimum.accumulate(total)[:-1]
-    end = int(gain.argmax()) + 1
-    return int(total[:end].argmin()), end
+def _maximal_stretches(score: np.ndarray) -> list[tuple[int, int]]:
+    """Bounds of the maximal stretches of ``score``, in order: the stretch of
+    largest sum, and the same again on either side of it, as long as a sum is
+    positive. One pass over the blocks of positive scores, each of which joins
+    or begins a stretch; links lead past those that cannot take it."""
+    positive = score > 0
+    first = np.concatenate(([0], np.flatnonzero(positive[1:] != positive[:-1]) + 1))
+    last = np.concatenate((first[1:], [len(score)]))
+    upto = np.concatenate(([0.0], np.cumsum(np.add.reduceat(score, first))))
+    keep = np.flatnonzero(positive[first])
+    found: list[tuple[int, int, float, float, int]] = []  # bounds, sums before and with, link
+    for s, e, low, high in zip(first[keep].tolist(), last[keep].tolist(), upto[keep].tolist(),
+                               upto[keep + 1].tolist(), strict=True):
+        while True:
+            j = len(found) - 1
+            while j >= 0 and found[j][2] >= low:
+                j = found[j][4]
+            if j < 0 or found[j][3] >= high:
+                found.append((s, e, low, high, j))
+                break
+            s, _, low, _, _ = found[j]
+            del found[j:]
+    return [f[:2] for f in found]
 
 
 def _random_alone(s: str, table: np.ndarray) -> bool:
@@ -143,23 +170,24 @@ def run_spans(run: str, table: np.ndarray) -> list[tuple[int, int]]:
         return [(0, len(run))]
     parts = [m.span() for m in _PART.finditer(run)]
     out = [(p, q) for p, q in parts if _random_alone(run[p:q], table)]
+    begins = [p for p, _ in parts]
+
+    def part_around(at: int) -> tuple[int, int] | None:
+        k = bisect.bisect_left(begins, at) - 1
+        return parts[k] if k >= 0 and at < parts[k][1] else None
     code = _codes(run)
     ratio = table[np.concatenate(([len(ALPHABET)], code[:-1])), code]
-    todo = [(0, len(run))]
-    while todo:
-        a, b = todo.pop()
-        if b - a < 2:
-            continue
-        # Above the least mean, so that the found stretch has that mean.
-        s, e = (a + x for x in _best_stretch(ratio[a:b] - MIN_LLR_PER_CHAR))
-        if ratio[s:e].sum() < MIN_EVIDENCE:
+    total = np.concatenate(([0.0], np.cumsum(ratio)))
+    # Above the least mean, so that a stretch has that mean.
+    for s, e in _maximal_stretches(ratio - MIN_LLR_PER_CHAR):
+        if total[e] - total[s] < MIN_EVIDENCE:
             continue
-        todo += [(a, s), (e, b)]
-        for p, q in parts:
-            if p < s < q:
-                s = p if 2 * (min(e, q) - s) >= q - p else min(e, q)
-            if p < e < q:
-                e = q if 2 * (e - max(s, p)) >= q - p else max(s, p)
+        if around := part_around(s):
+            p, q = around
+            s = p if 2 * (min(e, q) - s) >= q - p else min(e, q)
+        if around := part_around(e):
+            p, q = around
+            e = q if 2 * (e - max(s, p)) >= q - p else max(s, p)
         while s < e and not run[s].isalnum():
             s += 1
         # Trailing "=" fill up a key.
@@ -183,8 +211,10 @@ def _merged(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
 def _candidate_runs(text: str, table: np.ndarray, touched: list[tuple[int, int]]
                     ) -> Iterator[tuple[int, int]]:
     """Bounds of the runs that can hold a span: long ones, those whose positive
-    ratios suffice, and those that a span of ``touched`` cuts."""
+    ratios suffice, and those that a span of ``touched`` (in order, apart) cuts."""
     at, other = 0, len(ALPHABET)
+    touched_end = np.array([e for _, e in touched], np.int64)
+    touched_begin = np.array([*[s for s, _ in touched], np.iinfo(np.int64).max], np.int64)
     while at < len(text):
         end = min(len(text), at + _BLOCK)
         run = _RUN.match(text, end)
@@ -198,8 +228,9 @@ def _candidate_runs(text: str, table: np.ndarray, touched: list[tuple[int, int]]
         # The sums are rounded.
         good = ((stop - start >= MIN_RUN)
                 | (total[stop] - total[start] >= MIN_EVIDENCE - 1e-6))
-        for s, e in touched:
-            good |= (start + at < e) & (stop + at > s)
+        if touched:
+            k = np.searchsorted(touched_end, start + at, side="right")
+            good |= touched_begin[k] < stop + at
         yield from zip((start[good] + at).tolist(), (stop[good] + at).tolist(), strict=True)
         at = end
 
@@ -215,12 +246,11 @@ def markov_spans(text: str, base: list[tuple[int, int, str]], table: np.ndarray
     for start, end in _candidate_runs(text, table, taken):
         while k < len(taken) and taken[k][1] <= start:
             k += 1
-        at, free = start, []
-        for s, e in taken[k:]:
-            if s >= end:
-                break
-            free.append((at, s))
-            at = e
+        at, free, j = start, [], k
+        while j < len(taken) and taken[j][0] < end:
+            free.append((at, taken[j][0]))
+            at = taken[j][1]
+            j += 1
         for a, b in [*free, (at, end)]:
             if a < b:
                 out += [(a + s, a + e, "markov") for s, e in run_spans(text[a:b], table)]
@@ -314,7 +344,7 @@ def redact_text(text: str, table: np.ndarray) -> str:
 
 def redact(docs: DataFrame, table: np.ndarray) -> DataFrame:
     """The documents with their secrets masked, and ``n_chars`` of the new text
-    where that column exists; null texts stay null."""
+    where that column is a number; null texts stay null."""
     columns = docs.columns
 
     def run(batches):
@@ -323,7 +353,7 @@ def redact(docs: DataFrame, table: np.ndarray) -> DataFrame:
                      for t in batch.column("text").to_pylist()]
             cols = {name: batch.column(name) for name in columns}
             cols["text"] = pa.array(texts, pa.string())
-            if "n_chars" in cols:
+            if "n_chars" in cols and pa.types.is_integer(cols["n_chars"].type):
                 changed = [n if t is None else len(t) for t, n in
                            zip(texts, cols["n_chars"].to_pylist(), strict=True)]
                 cols["n_chars"] = pa.array(changed, cols["n_chars"].type)

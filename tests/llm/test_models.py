@@ -3,6 +3,7 @@ accuracy on documents held out from training."""
 import hashlib
 import random
 import re
+import string
 import zlib
 from collections import Counter
 
@@ -293,3 +294,50 @@ def test_held_out_labels_are_never_learned(spark, docs_of):
     assert toxicity.train(docs_of(rows), labels) is None
     scores = {r.score for r in toxicity.score(docs_of(rows), None).collect()}
     assert scores == {0.0}
+
+
+def test_maximal_stretches_equal_the_best_one_and_both_sides():
+    def best(r):
+        total = np.concatenate(([0.0], np.cumsum(r)))
+        end = int((total[1:] - np.minimum.accumulate(total)[:-1]).argmax()) + 1
+        return int(total[:end].argmin()), end
+
+    def split(r, at):
+        if not len(r):
+            return []
+        s, e = best(r)
+        if r[s:e].sum() <= 0:
+            return []
+        return [*split(r[:s], at), (at + s, at + e), *split(r[e:], at + e)]
+    rng = np.random.default_rng(5)
+    for n in [*range(1, 30), 200] * 6:
+        r = rng.normal(rng.choice([-0.5, -0.1, 0.2]), 1, n)
+        assert secrets._maximal_stretches(r) == split(r, 0)
+
+
+def test_one_run_that_fills_a_long_text():
+    rng = random.Random(9)
+    letters = string.ascii_letters + string.digits
+    table = secrets.llr_table(
+        ["".join(rng.choice(letters) for _ in range(24)) for _ in range(400)],
+        ["download", "archive", "release", "files", "session"] * 40)
+    keys = ["".join(rng.choice(letters) for _ in range(24)) for _ in range(300)]
+    text, places = [], []
+    at = 0
+    for key in keys:
+        plain = "/".join(rng.choice(["download", "archive", "files"]) for _ in range(900)) + "/"
+        places.append((at + len(plain), at + len(plain) + len(key)))
+        text += [plain, key, "/"]
+        at += len(plain) + len(key) + 1
+    found = [(s, e) for s, e, _ in secrets.markov_spans("".join(text), [], table)]
+    assert at > 2_000_000
+    assert sum(p in found for p in places) > 290
+
+
+def test_many_base_spans_in_one_text():
+    table = secrets.llr_table(["x9Qz7Lk2"] * 3, ["plain"] * 3)
+    text = "token: abcdef plain " * 50_000
+    base = secrets.base_spans(text)
+    assert len(base) == 50_000
+    assert all(m[0] >= b[1] for m, b in zip(secrets.markov_spans(text, base, table), base))
+    assert sum(label for label, _ in secrets.labelled_strings(text)) == 50_000

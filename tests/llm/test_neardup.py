@@ -86,6 +86,40 @@ def test_rows_that_repeat_a_doc_id_are_judged_by_their_text(docs_of):
         (1, 1), (5, 1), (5, 1), (5, 5), (7, 5)]
 
 
+def test_rows_without_a_doc_id_are_nodes_of_their_own(docs_of):
+    rng = random.Random(12)
+    base = words_of(rng, 60)
+    near = [*base[:58], "changed", "words"]
+    alone, pair = " ".join(words_of(rng, 30)), " ".join(words_of(rng, 40))
+    docs = docs_of([(None, " ".join(base)), (None, " ".join(near)), (3, " ".join(base[:-1])),
+                    (None, alone), (None, pair), (None, pair), (None, None), (9, "x"), (9, "y"),
+                    (2, " ".join(near)), (2, " ".join(near))])
+    rows = neardup.near_duplicates(docs, shingle_words=2).collect()
+    got = sorted((str((r.doc_id, r.n_shingles, r.component_id, r.kept)) for r in rows))
+    assert got == sorted(map(str, [
+        (None, 59, 2, False), (None, 59, 2, False), (3, 58, 2, False), (2, 59, 2, True),
+        (2, 59, 2, True), (None, 29, None, True), (None, 39, None, True),
+        (None, 39, None, False), (None, 0, None, True), (9, 1, 9, True), (9, 1, 9, True)]))
+
+
+def test_a_leader_of_many_members_is_verified_in_shares(docs_of, monkeypatch):
+    monkeypatch.setattr(neardup, "MEMBERS", 3)
+    rng = random.Random(4)
+    base = words_of(rng, 90)
+    texts = [" ".join([*base[:k], f"own{k}", *base[k + 1:]]) for k in range(40)]
+    check(docs_of(texts), 5)
+
+
+def test_staged_tables_go(spark, docs_of):
+    import os
+    folder = spark.sparkContext.getCheckpointDir().removeprefix("file:")
+    before = {f for f in os.listdir(folder) if "-" in f}
+    neardup.near_duplicates(docs_of(["a b c d e", "a b c d e", "f g h i j k"])).collect()
+    left = {f.rsplit("-", 1)[0] for f in set(os.listdir(folder)) - before}
+    assert not left & {"signatures", "classes", "buckets", "led-buckets", "pairs", "sets",
+                       "verified", "open-documents"}
+
+
 def test_keep_one_of_each_keeps_columns(docs_of):
     docs = docs_of(["a b c d e f", "a b c d e f", "other words in this one here", None])
     kept = neardup.keep_one_of_each(docs)
