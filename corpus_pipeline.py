@@ -1,7 +1,11 @@
 """The corpus pipeline: ``documents`` to packed training sequences.
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns what the next one reads;
-all but the last return the columns of ``documents``.
+all but the last return the columns of ``documents``. Texts reach Python in
+batches of bounded bytes. Null and empty texts have no language and go at once;
+long texts are worked on as a whole; rows are judged one by one, repeated ones
+and those that share or lack a doc_id too; extra columns stay, whatever their
+names; an empty table gives an empty result.
 
 1. language: documents whose text has no language go.
 2. quality: documents that the threshold table rejects go.
@@ -20,6 +24,7 @@ from covtab.session import ship_package
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drop documents that rank-order profiles give no language."""
+    scratch.bound_batches(spark)
     ship_package(spark)
     return langid.keep_known(docs, langid.train(docs))
 
@@ -38,12 +43,14 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def secret_scan(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Mask the secrets of every text."""
+    scratch.bound_batches(spark)
     ship_package(spark)
     return secrets.redact(docs, secrets.train(docs))
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of the packed sequences."""
+    scratch.bound_batches(spark)
     ship_package(spark)
     return packing.pack_documents(docs)
 
@@ -60,6 +67,7 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents``; each one's result is written as Parquet
     to the shared folder and read back for the next."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    scratch.bound_batches(spark)
     for name, stage in STAGES[:-1]:
         docs = scratch.staged(stage(spark, docs, sf_dir), f"pipeline-{name}")
     return STAGES[-1][1](spark, docs, sf_dir)
