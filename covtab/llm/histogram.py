@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from covtab.llm.bpe import DEFAULT_TOKENIZER, encode_column, encoder
+from covtab.llm.scratch import staged
 
 BLOCK = 1024  # lengths in a block of the two-level sums
 
@@ -37,9 +38,11 @@ def token_lengths(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER) -> DataFr
 def length_histogram(docs: DataFrame, tokenizer: str = DEFAULT_TOKENIZER,
                      extra_tokens: int = 0) -> DataFrame:
     """``length``, ``docs``: how many documents encode to each length."""
-    return (token_lengths(docs, tokenizer)
-            .groupBy((F.col("n_tokens") + F.lit(extra_tokens)).alias("length"))
-            .agg(F.count("*").alias("docs")))
+    counted = (token_lengths(docs, tokenizer)
+               .groupBy((F.col("n_tokens") + F.lit(extra_tokens)).alias("length"))
+               .agg(F.count("*").alias("docs")))
+    # Written once: the sums read it several times.
+    return staged(counted, "length-histogram")
 
 
 def suffix_sums(hist: DataFrame) -> DataFrame:

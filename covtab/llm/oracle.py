@@ -90,12 +90,12 @@ WITH turns AS (
   FROM conversations),
 people AS (SELECT DISTINCT conv_id, speaker AS perspective FROM turns WHERE speaker <> 'system'),
 rendered AS (
-  SELECT rid, conv_id, perspective, turn, speaker, words, speaker = perspective AS mine,
+  SELECT rid, t.conv_id, perspective, turn, speaker, words, speaker = perspective AS mine,
          CASE WHEN speaker = perspective THEN {_text(chat.ASSISTANT_HEAD)}
               WHEN speaker = 'system' THEN {_text(chat.SYSTEM_HEAD)}
               ELSE {_USER_BEFORE} || speaker || {_USER_AFTER} END || words || {_text(chat.END)}
            AS segment
-  FROM turns JOIN people USING (conv_id)),
+  FROM turns t JOIN people p ON t.conv_id IS NOT DISTINCT FROM p.conv_id),
 placed AS (
   SELECT *, row_number() OVER w - 1 AS position,
          CAST(sum(length(segment)) OVER w AS BIGINT) AS stop

@@ -51,7 +51,6 @@ def test_rendering_masks_and_places(spark, block_turns):
     rows += [(2, 3, "ann", "tie"), (2, 3, "ann", "tie"), (2, None, "bob", "null turn")]
     rows += [(None, 0, "ann", "null conversation")]
     rows += [(7, 0, "system", "alone")]
-    rows = [r for r in rows if r[0] is not None]
     check(spark, rows, block_turns=block_turns)
 
 

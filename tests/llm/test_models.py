@@ -318,9 +318,9 @@ def test_maximal_stretches_equal_the_best_one_and_both_sides():
 def test_one_run_that_fills_a_long_text():
     rng = random.Random(9)
     letters = string.ascii_letters + string.digits
+    words = "the quick brown fox jumps over lazy dogs download archive files value".split()
     table = secrets.llr_table(
-        ["".join(rng.choice(letters) for _ in range(24)) for _ in range(400)],
-        ["download", "archive", "release", "files", "session"] * 40)
+        ["".join(rng.choice(letters) for _ in range(24)) for _ in range(3000)], words * 300)
     keys = ["".join(rng.choice(letters) for _ in range(24)) for _ in range(300)]
     text, places = [], []
     at = 0
@@ -331,7 +331,8 @@ def test_one_run_that_fills_a_long_text():
         at += len(plain) + len(key) + 1
     found = [(s, e) for s, e, _ in secrets.markov_spans("".join(text), [], table)]
     assert at > 2_000_000
-    assert sum(p in found for p in places) > 290
+    covered = sum(any(s <= a and b <= e for s, e in found) for a, b in places)
+    assert covered > 290 and len(found) < 400
 
 
 def test_many_base_spans_in_one_text():
