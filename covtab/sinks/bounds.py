@@ -62,7 +62,9 @@ class RangeBounds:
         low, high = F.get("before", k), F.get("before", k + 1)
         place = (low + (high - low) * share) / F.lit(max(self.total, 1.0) / n)
         part: Column = F.least(F.coalesce(place, F.lit(0.0)).cast("int"), F.lit(n - 1))
-        return joined.repartitionById(n, part).select(*rows.columns)
+        # The number is taken in the join's own projection: no array is shuffled.
+        return (joined.select(*rows.columns, part.alias("range_number"))
+                .repartitionById(n, "range_number").select(*rows.columns))
 
 
 def stretches(chunks: DataFrame, files: DataFrame, group_cols: list[str]) -> DataFrame:
