@@ -13,7 +13,8 @@ of its chosen documents.
 
 Cases: null texts and texts without a letter are ``und`` with score 0; ties
 between n-grams go to the smaller code, between languages to the smaller name;
-repeated rows are predicted each; without training documents every text is
+a very long text is worked on as a whole, in memory proportional to it; repeated
+rows are predicted each; without training documents every text is
 ``und``; an empty table gives no rows.
 """
 

@@ -12,8 +12,10 @@ the next window. Only the last window of a task's range can stay short.
 
 Cases: null text is empty and gives the separator alone; a tail without a
 known word takes unused tails in order; equal scores go to the earlier tail
-(by shard key, then doc_id); repeated rows are packed each; an empty table
-gives no pieces; other columns are not read.
+(by shard key, then doc_id); of a very long text, encoded as a whole, the full
+windows stand by themselves and the tail alone takes part in retrieval; repeated
+rows are packed each, and pieces of rows that share a doc_id cannot be told
+apart; an empty table gives no pieces; other columns are not read.
 """
 
 from __future__ import annotations

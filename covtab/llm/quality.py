@@ -12,9 +12,10 @@ by integers, so its verdict never depends on rounding.
 Windows are compared by 64-bit hashes of their words; only texts in which a
 hash repeats pay for sorting (hash, position) pairs.
 
-Cases: null and blank texts have no words and fail the base rule; repeated
-documents are judged each; every input column is kept except those that the
-verdict's own names replace; an empty table gives no rows.
+Cases: null and blank texts have no words and fail the base rule; a very long
+text is one row, whose words and windows are arrays within it; repeated rows, and
+those that share or lack a doc_id, are judged each; ``verdicts`` returns doc_id
+and the verdict alone, ``keep_good`` every column; an empty table gives no rows.
 """
 
 from __future__ import annotations
