@@ -2,12 +2,13 @@
 
 Each stage takes ``(spark, docs, sf_dir)`` and returns what the next one reads;
 all but the last return the columns of ``documents``. Texts reach Python in
-batches of bounded bytes. Null and empty texts have no language and go at once;
+batches of bounded bytes. Null and empty texts have no language and go at once,
+texts with letters stay where no language is labelled;
 long texts are worked on as a whole; rows are judged one by one, repeated ones
 and those that share or lack a doc_id too; extra columns stay, whatever their
 names; an empty table gives an empty result.
 
-1. language: documents whose text has no language go.
+1. language: documents whose text lies far from every learned profile go.
 2. quality: documents that the threshold table rejects go.
 3. near_duplicates: one document of each near-duplicate group stays.
 4. secrets: found secrets are masked in the text.
@@ -23,7 +24,7 @@ from covtab.session import ship_package
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Drop documents that rank-order profiles give no language."""
+    """Drop documents far from every language's rank-order profile."""
     scratch.bound_batches(spark)
     ship_package(spark)
     return langid.keep_known(docs, langid.train(docs))

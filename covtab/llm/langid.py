@@ -4,7 +4,11 @@ A profile lists the ``PROFILE`` most frequent n-grams of 1 to ``MAX_N``
 characters of a language, by rank; words are lower-cased letters with a blank
 on either side. A text's own list is compared to each profile: every n-gram
 adds how far its rank is out of place, or ``PROFILE`` if the profile lacks it.
-The nearest profile wins.
+The nearest profile wins. ``keep_known`` rejects a text that is far from every
+profile: its mean distance an n-gram, as a share of ``PROFILE``, exceeds
+``FARTHEST`` plus ``1 / sqrt(n)`` for its ``n`` n-grams, two standard
+deviations of such a mean at most. Whole texts of learned languages lie below
+0.6, random letters of a learned script near 0.8, unlearned scripts at 1.
 
 Profiles are learned from text and language of training documents only
 (``is_training``), at most about ``TRAIN_DOCS`` a language, chosen by a hash
@@ -14,8 +18,10 @@ of its chosen documents.
 Cases: null texts and texts without a letter are ``und`` with score 0; ties
 between n-grams go to the smaller code, between languages to the smaller name;
 a very long text is worked on as a whole, in memory proportional to it; repeated
-rows are predicted each; without training documents every text is
-``und``; an empty table gives no rows.
+rows are predicted each, and null doc_ids too, with a null held_out; without
+training documents every text is ``und``, and ``keep_known`` keeps all that hold
+a letter; columns other than doc_id, text and lang are not read by training and
+prediction, ``keep_known`` hands all through; an empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -25,7 +31,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from covtab.llm.textcore import text_slices
@@ -34,6 +40,7 @@ MAX_N = 3
 PROFILE = 400
 TRAIN_DOCS = 1_000  # of each language, about; bounds the training texts
 SLICE = 1 << 17  # bytes of text whose n-grams a task holds at once
+FARTHEST = 0.7  # mean distance an n-gram, as a share of PROFILE, of a known text
 UNKNOWN = "und"
 _BITS = 21  # of a code point
 _BLANK = 0x20
@@ -146,13 +153,15 @@ def train(docs: DataFrame, per_language: int = TRAIN_DOCS, profile: int = PROFIL
     grams = (fit.where(share < limit).select("lang", "text")
              .mapInArrow(_profile_rows, "lang string, code long, n long")
              .groupBy("lang", "code").agg(F.sum("n").alias("n")))
-    out = {}
-    for lang in sorted(counts):
-        rows = (grams.where(F.col("lang") == lang).orderBy(F.desc("n"), "code")
-                .limit(profile).collect())
-        if rows:
-            out[lang] = np.array([r["code"] for r in rows], np.int64)
-    return out
+    # All languages in one job; each task cuts a language to its most frequent
+    # n-grams before they meet.
+    place = F.row_number().over(Window.partitionBy("lang").orderBy(F.desc("n"), "code"))
+    ranked: dict[str, list[tuple[int, int]]] = {}
+    for r in (grams.withColumn("place", place).where(F.col("place") <= profile)
+              .select("lang", "place", "code").collect()):
+        ranked.setdefault(r["lang"], []).append((r["place"], r["code"]))
+    return {lang: np.array([code for _, code in sorted(rows)], np.int64)
+            for lang, rows in ranked.items()}
 
 
 class Profiles:
@@ -202,6 +211,14 @@ class Profiles:
         score = np.where(n > 0, 0.5 + 0.5 * (1 - first / np.maximum(second, 1e-9)), 0.0)
         return [self.names[b] if k else UNKNOWN for b, k in zip(best, n, strict=True)], score
 
+    def known(self, data: np.ndarray, offsets: np.ndarray, farthest: float) -> np.ndarray:
+        """Whether each row is near enough to some profile to be of a language."""
+        if not self.names:
+            return np.bincount(_grams(data, offsets)[1], minlength=len(offsets) - 1) > 0
+        d, n = self.distances(data, offsets)
+        some = np.maximum(n, 1)
+        return (n > 0) & (d.min(axis=1) / (some * self.size) <= farthest + 1 / np.sqrt(some))
+
 
 def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
     """``doc_id``, ``held_out``, ``lang_pred`` and ``score`` (0 to 1) of every
@@ -222,14 +239,16 @@ def predict(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
             .mapInArrow(run, "doc_id long, held_out boolean, lang_pred string, score double"))
 
 
-def keep_known(docs: DataFrame, profiles: dict[str, np.ndarray]) -> DataFrame:
-    """The documents whose text has a language, columns unchanged."""
+def keep_known(docs: DataFrame, profiles: dict[str, np.ndarray],
+               farthest: float = FARTHEST) -> DataFrame:
+    """The documents whose text has a language, columns unchanged: those near
+    enough to a profile or, if none was learned, those with a letter."""
     columns, model = docs.columns, Profiles(profiles)
 
     def run(batches):
         for batch in batches:
-            keep = []
-            for _, _, data, offsets in text_slices(batch.column("text"), SLICE):
-                keep += [x != UNKNOWN for x in model.predict(data, offsets)[0]]
-            yield batch.filter(pa.array(keep, pa.bool_())).select(columns)
+            keep = [model.known(data, offsets, farthest)
+                    for _, _, data, offsets in text_slices(batch.column("text"), SLICE)]
+            yield batch.filter(pa.array(np.concatenate(keep or [np.zeros(0, bool)]), pa.bool_())
+                               ).select(columns)
     return docs.mapInArrow(run, docs.schema)

@@ -85,6 +85,48 @@ def test_language_of_held_out_documents(spark, docs_of):
         i for i, t in enumerate(EDGE_TEXTS) if any(c.isalpha() for c in t or "")]
 
 
+def test_profiles_equal_brute_force(docs_of, spark):
+    texts = {"xx": ["ab ab ba", "abc cab"], "yy": ["zo zo", "oz zoo"]}
+    rows = [(i, texts[x][i % 2], x, None, None) for i in range(40) for x in texts]
+    docs = spark.createDataFrame(
+        rows, "doc_id long, text string, lang string, source string, n_chars long")
+    found = langid.train(docs, profile=7)
+    for x in texts:
+        every = sum((grams(t) for i, t, lang, *_ in rows if lang == x and not held_out(i)),
+                    Counter())
+        assert found[x].tolist() == ranked(every, 7)
+
+
+def test_texts_far_from_every_profile_are_rejected(spark, docs_of):
+    docs = spark.read.parquet(f"{SF01}/documents.parquet")
+    profiles = langid.train(docs)
+    rng = random.Random(4)
+
+    def noise(letters):
+        return " ".join("".join(rng.choice(letters) for _ in range(rng.randint(3, 9)))
+                        for _ in range(60))
+    cyrillic = "".join(map(chr, range(0x430, 0x450)))
+    texts = [noise(string.ascii_lowercase), noise(cyrillic), "the end", None, "12 34"]
+    kept = langid.keep_known(docs_of(texts), profiles)
+    assert [r.doc_id for r in kept.collect()] == [2]
+    # By plain distances, on each document of the table.
+    model = langid.Profiles(profiles)
+    rows = docs.select("doc_id", "text").collect()
+    data, offsets = as_bytes(pa.array([r.text for r in rows], pa.string()))
+    d, n = model.distances(data, offsets)
+    want = {r.doc_id for r, row, k in zip(rows, d, n, strict=True)
+            if k and min(row) / (k * 400) <= 0.7 + k ** -0.5}
+    assert {r.doc_id for r in langid.keep_known(docs, profiles).collect()} == want
+    assert want == {r.doc_id for r, k in zip(rows, n, strict=True) if k}
+
+
+def test_nothing_learned_keeps_texts_with_letters(docs_of):
+    kept = langid.keep_known(docs_of(EDGE_TEXTS), {})
+    assert sorted(r.doc_id for r in kept.collect()) == [
+        i for i, t in enumerate(EDGE_TEXTS) if any(c.isalpha() for c in t or "")]
+    assert langid.keep_known(docs_of([]), {}).count() == 0
+
+
 def test_language_learns_from_training_rows_only(docs_of, spark):
     assert langid.train(docs_of(EDGE_TEXTS)) == {}  # no language is known
     assert {r.lang_pred for r in langid.predict(docs_of(EDGE_TEXTS), {}).collect()} == {"und"}
