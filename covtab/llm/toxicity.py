@@ -6,23 +6,29 @@ its inserted symbols; words of one character in a row are one unit, so
 common subsequences of ``ORDER`` characters, each weighted by ``DECAY`` to the
 length it spans (at most ``SPAN``), normalised to 1 for equal units: inserted
 and missing characters lower it instead of hiding the word. A sentence is
-compared to a landmark by its best unit; values below ``LEAST`` count as 0.
+compared to a landmark by its best unit; values below ``LEAST`` count as 0, a
+cut that words of five letters and more pass with up to three inserted letters.
 
 Landmarks are the units most associated with the toxic label. The Nyström map
 turns a sentence's values into features whose inner products approximate the
 kernel, and a linear support vector machine is trained on labelled sentences:
 every sentence has its document's label, and after each fit a toxic document
-is represented by its sentences that score above 0, or its best one. A document's probability comes from
-its most toxic sentence and its share of toxic ones, by logistic calibration.
+is represented by its sentences that score above 0, or its best one. A
+document's probability comes from its most toxic sentence and its share of toxic
+ones, by logistic calibration.
 
 The training sample is bounded: about ``TRAIN_DOCS`` documents of either
-label, chosen by a hash of doc_id; ``may_learn`` shuts out held-out documents.
+label, chosen by a hash of doc_id, and of each its ``TRAIN_SENTENCES`` sentences
+nearest a landmark; ``may_learn`` shuts out held-out documents.
 Scoring covers every sentence of every whole text.
 
 Cases: null and empty texts have no sentence that resembles a landmark and get
-the score of such; repeated rows are scored each; without labels of both kinds
-every score is 0; an empty table gives no rows; only doc_id and text of a
-document are read, and doc_id never enters a score.
+the score of such; a very long text is worked on as a whole, in memory
+proportional to it; repeated rows are scored each, and rows without a doc_id too,
+with a null held_out; labels that disagree for a doc_id count as toxic; equal
+log-odds go to the smaller unit; without labels of both kinds every score is 0;
+an empty table gives no rows; only doc_id and text of a document are read,
+whatever its other columns are, and doc_id never enters a score.
 """
 
 from __future__ import annotations
@@ -40,11 +46,12 @@ from pyspark.sql import functions as F
 from covtab.llm.scratch import staged
 from covtab.llm.textcore import ranges, segment_hashes, text_slices
 
-ORDER, SPAN, DECAY = 3, 6, 0.7
-LEAST = 0.35
+ORDER, SPAN, DECAY = 3, 9, 0.9
+LEAST = 0.25
 LANDMARKS = 96
 MIN_DOCS = 2  # toxic documents that a landmark is seen in
 TRAIN_DOCS = 2_000  # of either label, about; bounds the training texts
+TRAIN_SENTENCES = 32  # of a document, nearest a landmark first; bounds the training rows
 COST = 1.0
 WITNESS_ROUNDS = 3
 MEMO_UNITS = 200_000
@@ -54,6 +61,7 @@ SCORE_SLICE = 1 << 18
 _SYMBOLS = 64  # letters a-z, other letters and digits in the rest, 0 is none
 _SPACE, _STOP, _DROP = 64, 65, 66
 _OFFSETS = [(0, *c) for c in combinations(range(1, SPAN), ORDER - 1)]
+_WEIGHTS = np.array([DECAY ** (pattern[-1] + 1) for pattern in _OFFSETS])
 
 
 def is_held_out(doc_id: Column) -> Column:
@@ -183,12 +191,13 @@ class LandmarkKernel:
         known = np.unique(key)
         self.place = np.zeros(_SYMBOLS ** ORDER, np.int32)  # 0: in no landmark
         self.place[known] = np.arange(1, len(known) + 1)
-        self.values = np.zeros((len(known) + 1, len(landmarks)))
+        self.values = np.zeros((len(known) + 1, len(landmarks)), np.float32)
         self.values[self.place[key], unit] = value
-        self.most = self.values.max(axis=1)
+        self.most = self.values.max(axis=1)[self.place]  # of every subsequence
 
     def gram(self) -> np.ndarray:
-        return self.values.T @ self.values
+        exact = self.values.astype(float)
+        return exact.T @ exact
 
     def of_units(self, code: np.ndarray, start: np.ndarray, end: np.ndarray
                  ) -> tuple[np.ndarray, np.ndarray]:
@@ -196,24 +205,77 @@ class LandmarkKernel:
         (smaller ones 0). A bound on a unit's values skips the others: each
         subsequence counts with its largest landmark, over a norm without the
         (never negative) products of repeated subsequences."""
-        n = len(start)
-        top, norm = np.zeros(n), np.zeros(n)
-        for unit, key, w in occurrences(code, start, end):
-            top += w * np.bincount(unit, weights=self.most[self.place[key]], minlength=n)
-            norm += w * w * np.bincount(unit, minlength=n)
-        near = np.flatnonzero((norm > 0) & (top >= LEAST * np.sqrt(norm)))
-        found = [self._values(code, start[near[k:k + UNIT_BLOCK]], end[near[k:k + UNIT_BLOCK]])
-                 for k in range(0, len(near), UNIT_BLOCK)]
-        out = np.concatenate([np.zeros((0, len(self.landmarks))), *found])
+        found = [self._values(code, start[k:k + UNIT_BLOCK], end[k:k + UNIT_BLOCK], k)
+                 for k in range(0, len(start), UNIT_BLOCK)]
+        none = np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
+        units, values = zip(none, *found, strict=True)
+        return np.concatenate(units), np.concatenate(values)
+
+    def _values(self, code: np.ndarray, start: np.ndarray, end: np.ndarray, base: int
+                ) -> tuple[np.ndarray, np.ndarray]:
+        size = end - start
+        long_enough = np.flatnonzero(size >= ORDER)
+        near, size = long_enough, size[long_enough]
+        least = LEAST * np.sqrt(_least_squared_norm(size))
+        if len(near):
+            c, at = _spaced(code, start[near], size)
+            top = np.zeros(len(c) - SPAN, np.float32)
+            for pattern, w in zip(_OFFSETS, _WEIGHTS, strict=True):
+                top += np.float32(w) * self.most[_keys(c, pattern)]
+            bound = np.add.reduceat(top, at) >= 0.999 * least
+            near, size, least = near[bound], size[bound], least[bound]
+        if len(near):
+            c, at = _spaced(code, start[near], size)
+            place = self.place[np.stack([_keys(c, p) for p in _OFFSETS], axis=1)]
+            where, pattern = np.nonzero(place)
+            rows = self.values[place[where, pattern]] * _WEIGHTS[pattern, None].astype(np.float32)
+            first = np.searchsorted(where, at)  # none is empty: its bound is above 0
+            out = np.add.reduceat(rows, first, axis=0)
+            hit = out.max(axis=1) >= 0.999 * least
+            near, size, out = near[hit], size[hit], out[hit]
+        if not len(near):
+            return np.zeros(0, np.int64), np.zeros((0, len(self.landmarks)), np.float32)
+        out = out / _norms(code, start[near], size)[:, None].astype(np.float32)
+        out[out < LEAST] = 0
         hit = out.any(axis=1)
-        return near[hit], out[hit]
+        return near[hit] + base, out[hit]
+
+
+def _spaced(code: np.ndarray, start: np.ndarray, size: np.ndarray
+            ) -> tuple[np.ndarray, np.ndarray]:
+    """The units side by side, each followed by ``SPAN`` places without a
+    symbol, and where each starts. No landmark's subsequence holds such a
+    place."""
+    at = np.cumsum(size + SPAN) - size - SPAN
+    out = np.zeros(int((size + SPAN).sum()), np.int32)
+    out[ranges(at, size)] = code[ranges(start, size)]
+    return out, at
+
+
+def _keys(spaced: np.ndarray, pattern: tuple[int, ...]) -> np.ndarray:
+    """The subsequence at a pattern's places from every place on."""
+    n = len(spaced) - SPAN
+    key = spaced[:n]
+    for d in pattern[1:]:
+        key = key * _SYMBOLS + spaced[d:n + d]
+    return key
+
+
+def _least_squared_norm(size: np.ndarray) -> np.ndarray:
+    """Squared norm of units of the given sizes if no subsequence repeats."""
+    out = np.zeros(len(size))
+    for pattern, w in zip(_OFFSETS, _WEIGHTS, strict=True):
+        out += w * w * np.maximum(0, size - pattern[-1])
+    return out
 
-    def _values(self, code: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-        unit, key, value = kernel_features(code, start, end)
-        rows = value[:, None] * self.values[self.place[key]]
-        out = np.add.reduceat(rows, np.searchsorted(unit, np.arange(len(start))), axis=0)
-        out[out < LEAST] = 0
-        return out
+
+def _norms(code: np.ndarray, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    parts = [(unit * _SYMBOLS ** ORDER + key, np.full(len(unit), w))
+             for unit, key, w in occurrences(code, start, start + size)]
+    full, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+    value = np.bincount(inverse, weights=np.concatenate([w for _, w in parts]))
+    return np.sqrt(np.bincount(full // _SYMBOLS ** ORDER, weights=value ** 2,
+                               minlength=len(start)))
 
 
 class SentenceFeatures:
@@ -226,7 +288,17 @@ class SentenceFeatures:
 
     def _forget(self) -> None:
         self.rows: dict[int, int] = {}
-        self.values = np.zeros((0, len(self.kernel.landmarks)))
+        self.filled = 0
+        self.values = np.zeros((UNIT_BLOCK, len(self.kernel.landmarks)), np.float32)
+
+    def _remember(self, values: np.ndarray) -> int:
+        """Store rows of values; the first one's place."""
+        at, self.filled = self.filled, self.filled + len(values)
+        if self.filled > len(self.values):
+            more = np.zeros((self.filled, self.values.shape[1]), np.float32)
+            self.values = np.concatenate((self.values, more))
+        self.values[at:self.filled] = values
+        return at
 
     def of_slice(self, data: np.ndarray, offsets: np.ndarray
                  ) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -246,8 +318,7 @@ class SentenceFeatures:
         if len(new):
             hit, values = self.kernel.of_units(u.code, u.start[first[new]], u.end[first[new]])
             found = np.full(len(new), -1)
-            found[hit] = len(self.values) + np.arange(len(hit))
-            self.values = np.concatenate((self.values, values))
+            found[hit] = self._remember(values) + np.arange(len(hit))
             self.rows.update(zip(uniq[new].tolist(), found.tolist(), strict=True))
             for k, r in zip(new.tolist(), found.tolist(), strict=True):
                 known[k] = r
@@ -380,7 +451,7 @@ def _unit_rows(batches):
             u = cut_units(data, offsets)
             if not len(u.start):
                 continue
-            keep = u.end - u.start > ORDER  # shorter ones have one subsequence at most
+            keep = u.end - u.start >= ORDER  # shorter ones have no subsequence
             start, end, row = u.start[keep], u.end[keep], u.row[u.sentence[keep]]
             h = segment_hashes(u.code, start, end)
             order = np.lexsort((h, row))
@@ -428,7 +499,12 @@ def train(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None,
             label = batch.column("toxic")
             for i, j, data, offsets in text_slices(batch.column("text"), SCORE_SLICE):
                 row, values, total = features.of_slice(data, offsets)
-                at = np.searchsorted(row, np.arange(j - i + 1))
+                # A document's nearest sentences, in order of the text.
+                order = np.lexsort((-values.max(axis=1, initial=0), row))
+                nth = np.arange(len(row)) - np.searchsorted(row, row)
+                values = values[np.sort(order[nth < TRAIN_SENTENCES])]
+                count = np.minimum(np.bincount(row, minlength=j - i), TRAIN_SENTENCES)
+                at = np.concatenate(([0], np.cumsum(count)))
                 packed = [values[a:b].astype(np.float32).tobytes()
                           for a, b in zip(at[:-1], at[1:], strict=True)]
                 yield pa.RecordBatch.from_arrays(

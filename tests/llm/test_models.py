@@ -296,6 +296,38 @@ def test_landmark_values_equal_the_kernel():
 INSULTS = ["worthless", "pathetic", "disgusting"]
 
 
+def inserted(word, k, rng):
+    """``word`` with ``k`` letters put between its own."""
+    for _ in range(k):
+        at = rng.randrange(1, len(word))
+        word = word[:at] + rng.choice(string.ascii_lowercase) + word[at:]
+    return word
+
+
+def test_three_inserted_letters_stay_above_the_cut():
+    rng = random.Random(8)
+    for word in [*INSULTS, "idiot", "loser", "clown", "moron", "stupid", "trash"]:
+        for k in (1, 2, 3):
+            assert min(toxicity.kernel(word, inserted(word, k, rng))
+                       for _ in range(60)) >= toxicity.LEAST
+
+
+def test_memo_of_units_changes_nothing(monkeypatch):
+    rng = random.Random(6)
+    names = [toxicity.symbols(x).tobytes() for x in [*INSULTS, "fat"]]
+    texts = [" ".join(inserted(rng.choice([*INSULTS, "fat", "table"]), rng.randint(0, 3), rng)
+                      for _ in range(9)) + "." for _ in range(200)]
+    data, offsets = as_bytes(pa.array(texts))
+    want = toxicity.SentenceFeatures(names).of_slice(data, offsets)
+    monkeypatch.setattr(toxicity, "MEMO_UNITS", 50)
+    few = toxicity.SentenceFeatures(names)
+    for k in range(0, 200, 4):
+        row, values, total = few.of_slice(*as_bytes(pa.array(texts[k:k + 4])))
+        mine = (want[0] >= k) & (want[0] < k + 4)
+        assert (row + k).tolist() == want[0][mine].tolist() and total.tolist() == [1] * 4
+        assert np.array_equal(values, want[1][mine])
+
+
 def toxic_corpus(n, seed):
     rng = random.Random(seed)
     plain = ["".join(rng.choice("aeiourstln") for _ in range(rng.randint(3, 9)))
@@ -329,6 +361,28 @@ def test_trained_classifier_on_held_out_and_gapped_texts(spark, docs_of):
     assert toxicity.score(docs_of([]), model).count() == 0
 
 
+def test_recall_of_insults_with_inserted_letters(spark, docs_of):
+    rows = toxic_corpus(600, 3)
+    labels = spark.createDataFrame([(i, None, y) for i, _, y in rows],
+                                   "doc_id long, quality int, toxic int")
+    model = toxicity.train(docs_of([(i, t) for i, t, _ in rows]), labels)
+    features, rng = toxicity.SentenceFeatures(model.landmarks), random.Random(4)
+    unseen = toxic_corpus(900, 12)
+    clean = [t for _, t, y in unseen if not y]
+
+    def caught(texts):
+        return np.mean(model.scores(*features.of_slice(*as_bytes(pa.array(texts)))) >= 0.5)
+    assert caught(clean) < 0.05
+    for k, least in [(0, 0.99), (1, 0.97), (2, 0.9), (3, 0.6)]:
+        texts = []
+        for _, t, y in unseen:
+            if y:
+                for word in INSULTS:
+                    t = t.replace(word, inserted(word, k, rng))
+                texts.append(t)
+        assert caught(texts) >= least, k
+
+
 def test_held_out_labels_are_never_learned(spark, docs_of):
     rows = [(i, "worthless stuff" if held_out(i) else "plain stuff") for i in range(60)]
     labels = spark.createDataFrame([(i, 1, int(held_out(i))) for i, _ in rows],
