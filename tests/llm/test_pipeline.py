@@ -1,6 +1,7 @@
 """Every stage of the pipeline against a brute-force version."""
 import corpus_pipeline
 import pytest
+from pyspark.sql import functions as F
 from covtab.llm import langid, secrets
 from tests.llm.conftest import EDGE_TEXTS
 from tests.llm.test_neardup import brute_force
@@ -29,6 +30,10 @@ def test_stages_one_by_one(spark, source):
     want = {i for i, r in by_id(source).items() if any(c.isalpha() for c in r.text or "")}
     docs = by_id(out)
     assert docs.keys() == want
+    noise = spark.createDataFrame([(20_000, "съешь ещё этих мягких булок да выпей чаю", None, None, None)], source.schema)
+    assert by_id(STAGES["language"](spark, source.unionByName(noise), sf)).keys() == want
+    unlabelled = source.withColumn("lang", F.lit(None).cast("string"))
+    assert by_id(STAGES["language"](spark, unlabelled, sf)).keys() == want
 
     source = spark.createDataFrame(list(docs.values()), source.schema)
     out = STAGES["quality"](spark, source, sf)

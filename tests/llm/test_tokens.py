@@ -172,8 +172,8 @@ def test_bm25_scores_equal_the_formula():
     parts = [[10, 11, 12], [10, 11, 12, 13], [20, 21], [22, 23, 24, 25]]
     ids = np.array([i for p in parts for i in p])
     offsets = np.array([0, 3, 7, 9, 13])
-    index = packing.Shard(ids, offsets, bpe.DEFAULT_TOKENIZER)
     words, row = packing._words(ids, offsets, bpe.DEFAULT_TOKENIZER)
+    index = packing.Shard(*packing._counted(words, row), 4)
     of = [Counter(words[row == k].tolist()) for k in range(4)]
     mean = np.mean([sum(c.values()) for c in of])
     for q in range(4):
@@ -185,3 +185,86 @@ def test_bm25_scores_equal_the_formula():
                 norm = packing.K1 * (1 - packing.B + packing.B * sum(c.values()) / mean)
                 want[k] += (df > 1) * idf * c[t] * (packing.K1 + 1) / (c[t] + norm)
         assert index.scores(index.terms_of(q)) == pytest.approx(want)
+
+
+def word_ids(library, text):
+    """Token ids of every word: a token whose first byte is white space, or the
+    text's first, begins one."""
+    known = bpe.encoder(bpe.DEFAULT_TOKENIZER).token_bytes
+    out = []
+    for k, i in enumerate(ids_of(library, text)):
+        if k == 0 or known[i][:1].isspace():
+            out.append(())
+        out[-1] += (i,)
+    return out
+
+
+def greedy_fill(docs, window):
+    """``docs``: (doc_id, tail size, words) in order. Sequences as lists of
+    (doc_id, number of ids), by the definition."""
+    of = [Counter(w) for _, _, w in docs]
+    n, mean = len(of), max(1, np.mean([sum(c.values()) for c in of]))
+    df = Counter(w for c in of for w in c)
+
+    def bm25(q, k):
+        out = 0
+        for t in of[q].keys() & of[k].keys():
+            idf = max(0, np.log((n - df[t] + .5) / (df[t] + .5)))
+            norm = packing.K1 * (1 - packing.B + packing.B * sum(of[k].values()) / mean)
+            out += idf * of[k][t] * (packing.K1 + 1) / (of[k][t] + norm)
+        return round(out, 9)
+    unused, out, rest = list(range(n)), [], None
+    while unused or rest:
+        seed, size = rest or (unused[0], docs[unused[0]][1])
+        unused = [k for k in unused if k != seed]
+        out.append([(docs[seed][0], min(size, window))])
+        room, rest = window - min(size, window), (seed, size - window) if size > window else None
+        for k in sorted(unused, key=lambda k: (-bm25(seed, k), k)):
+            if room == 0:
+                break
+            unused.remove(k)
+            took = min(room, docs[k][1])
+            out[-1].append((docs[k][0], took))
+            room -= took
+            if took < docs[k][1]:
+                rest = (k, docs[k][1] - took)
+    return out
+
+
+def test_greedy_filling_equals_brute_force(docs_of, library):
+    rng = np.random.default_rng(7)
+    vocabulary = ["apple", "pear", "steel", "iron", "zinc", "cello", "flute", "river", "stone",
+                  "cloud", "tiger", "wolf", "bread", "salt", "lamp", "chair"]
+    texts = [" ".join(rng.choice(vocabulary[a:a + 7], rng.integers(3, 150)))
+             for a in rng.integers(0, 10, 60)]
+    window = 64
+    stored = packing.tails(docs_of(texts), window=window).coalesce(1).sortWithinPartitions(
+        "shard_key", "near_key", "doc_id", "tail")
+    order = [r.doc_id for r in stored.collect()]
+    seq = defaultdict(list)
+    for r in packing.pack(stored, window=window).collect():
+        if not (r.length == window and r.start % window == 0
+                and r.start + window <= r.doc_tokens - r.doc_tokens % window):
+            seq[r.sequence_id].append((r.offset, r.doc_id, r.length))
+    docs = [(i, (len(ids_of(library, texts[i])) + 1) % window, word_ids(library, texts[i]))
+            for i in order]
+    want = greedy_fill([d for d in docs if d[1]], window)
+    assert [[(i, n) for _, i, n in sorted(seq[s])] for s in sorted(seq)] == want
+
+
+def test_words_are_counted_over_the_whole_document(docs_of, library):
+    topics = ["red apple pear plum fig", "steel copper iron zinc tin", "violin cello flute oboe"]
+    texts = [" ".join([t] * 12) for _ in range(6) for t in topics]
+    window = 32
+    rows = packing.tails(docs_of(texts), window=window).collect()
+    assert all(r.doc_tokens > window for r in rows)
+    for r in rows:
+        words = Counter(word_ids(library, texts[r.doc_id]))
+        assert len(r.terms) == 4 * len(words) and len(r.counts) == 2 * len(words)
+        assert sorted(np.frombuffer(r.counts, "<u2").tolist()) == sorted(words.values())
+
+
+def test_shards_of_few_terms_keep_every_id(small_docs, library):
+    texts = {r.doc_id: r.text for r in small_docs.select("doc_id", "text").collect()}
+    rows = packing.pack(packing.tails(small_docs, window=128), window=128, shard_terms=300)
+    check_pieces(rows.collect(), texts, library, 128)
