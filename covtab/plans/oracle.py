@@ -277,12 +277,24 @@ FILE_NAME = "regexp_extract(file_path, '[^/]*$')"
 ORACLE["file_sizes"] = f"""WITH {RAW}
 SELECT DISTINCT study_name, qtl_group, {FILE_NAME} AS file_name, true AS has_size FROM raw"""
 
-ORACLE["unreadable_files"] = f"""WITH {RAW}
-SELECT DISTINCT study_name, qtl_group, true AS all_listed, true AS bad_listed FROM raw"""
-
-ORACLE["conversion_failures"] = f"""WITH {RAW}
-SELECT DISTINCT study_name, qtl_group, {FILE_NAME} AS file_name, true AS failures_listed,
-       true AS nothing_kept_of_them FROM raw"""
+MISSING = "CAST(regexp_extract(file_path, '/S([0-9]+)[.]', 1) AS INTEGER) % 5 = 0"
+
+ORACLE["unreadable_files"] = f"""WITH {RAW},
+files AS (SELECT DISTINCT study_name, qtl_group, {FILE_NAME} AS file_name, {MISSING} AS missing
+          FROM raw)
+SELECT study_name, qtl_group, count(*) AS sample_files,
+       count(*) FILTER (missing) AS unreadable_files,
+       coalesce(string_agg(file_name, ',' ORDER BY file_name) FILTER (missing), '')
+         AS unreadable_names, true AS counts_agree
+FROM files GROUP BY study_name, qtl_group"""
+
+ORACLE["conversion_failures"] = f"""{BASE}, {_converted(AUTOSOMES_WHERE)},
+counts AS (SELECT file_path, count(*) AS n FROM converted GROUP BY file_path),
+files AS (SELECT DISTINCT study_name, qtl_group, file_path, {MISSING} AS missing FROM raw)
+SELECT study_name, qtl_group, {FILE_NAME.replace("file_path", "files.file_path")} AS file_name,
+       if(missing, 'all', 'none') AS parts_failed,
+       CAST(if(missing, 0, coalesce(n, 0)) AS BIGINT) AS rows_written
+FROM files LEFT JOIN counts ON files.file_path = counts.file_path"""
 
 ORACLE["inspect_head"] = f"""WITH {RAW},
 hits AS (SELECT regexp_extract(file_path, '^/cov/(.*)/[^/]*$', 1) AS directory,

@@ -26,7 +26,8 @@ from covtab.plans.jobs import (convert_directory, convert_manifest, convert_stud
 from covtab.region import Expectation, RegionSpec
 from covtab.schema import GROUP_COLUMNS, OUTPUT_COLUMNS
 from covtab.session import scratch_path, ship_package
-from covtab.sinks.coverage_parquet import read_coverage, sorted_for_publish, write_coverage
+from covtab.sinks.coverage_parquet import (read_coverage, register_table, sorted_for_publish,
+                                           write_coverage)
 from covtab.sources.bigwig import (bigwig_head, chrom_sizes, readability, scan_bigwig,
                                    scan_bigwig_range, without_errors)
 from covtab.sources.bigwig_datasource import register_bigwig_source
@@ -189,6 +190,11 @@ def _original():
     return F.regexp_replace(F.substring_index("file_path", "/", -1), r"\.t[0-9-]{11}\.", ".")
 
 
+def _sample_file():
+    """The same, also of a part that ``add_broken_files`` replaced."""
+    return F.regexp_replace(_original(), r"\.missing$", "")
+
+
 def q_bigwig_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     """S1/S4/S6 + conversion through real BigWig bytes: the autosome table
     decoded from files (scores pass through float32, as BigWig stores them).
@@ -232,38 +238,42 @@ def q_file_sizes(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_unreadable_files(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A4/A5 with some files missing: total, readable and unreadable files of
-    each directory agree with the list of bad ones."""
+    """A4/A5 with the files of some samples missing: each directory's sample
+    files, which of them the list of bad ones names, and whether the summary
+    counts what was listed."""
     root = _encode(spark, sf_dir)
     dirs = discover_bigwig_dirs(spark, root).checkpoint(eager=True)
     files = add_broken_files(list_bigwig_files(dirs)).checkpoint(eager=True)
     summary, bad = directory_summary(readability(files))
-    listed = bad.groupBy("bigwig_dir").agg(F.count("*").alias("listed"))
+    sample = _sample_file()
+    listed = bad.groupBy("bigwig_dir").agg(
+        F.count("*").alias("listed"), F.count_distinct(sample).alias("named"),
+        F.array_join(F.array_sort(F.collect_set(sample)), ",").alias("names"))
     expected = files.groupBy("bigwig_dir").agg(
-        F.count("*").alias("files"), F.count_if(F.col("file_path").endswith(".missing"))
-        .alias("missing"))
+        F.count("*").alias("files"), F.count_distinct(sample).alias("sample_files"))
+    none = F.lit(0).cast("long")
     return (summary.join(listed, "bigwig_dir", "left").join(expected, "bigwig_dir")
             .select(F.regexp_extract("bigwig_dir", "/cov/([^/]+)/", 1).alias("study_name"),
                     F.regexp_extract("bigwig_dir", "/([^/]+)/bigwig$", 1).alias("qtl_group"),
-                    (F.col("total_files") == F.col("files")).alias("all_listed"),
-                    ((F.col("unreadable") == F.col("missing"))
-                     & (F.coalesce("listed", F.lit(0)) == F.col("missing"))
-                     & (F.col("readable") == F.col("files") - F.col("missing")))
-                    .alias("bad_listed")))
+                    "sample_files", F.coalesce("named", none).alias("unreadable_files"),
+                    F.coalesce("names", F.lit("")).alias("unreadable_names"),
+                    ((F.col("total_files") == F.col("files"))
+                     & (F.col("unreadable") == F.coalesce("listed", none))
+                     & (F.col("readable") == F.col("files") - F.col("unreadable")))
+                    .alias("counts_agree")))
 
 
 def q_conversion_failures(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The gate's complete, ordered list when some inputs are missing:
-    per original sample file, whether its missing parts are all listed."""
+    """A3: the gate's report when the files of some samples are missing: per
+    sample file, how many of its parts failed and how many rows it gave."""
     files = add_broken_files(_encoded_files(spark, sf_dir)).checkpoint(eager=True)
     converted = convert_intervals(scan_bigwig(files), keep_file_path=True)
     keys = ["study_name", "qtl_group", "file_path"]
     report = rows_per_file(files.select(*keys), converted)
-    missing = F.col("file_path").endswith(".missing")
-    original = F.regexp_replace(_original(), r"\.missing$", "")
-    return report.groupBy("study_name", "qtl_group", original.alias("file_name")).agg(
-        F.bool_and(missing == F.col("error").isNotNull()).alias("failures_listed"),
-        F.bool_and(~missing | (F.col("rows_written") == 0)).alias("nothing_kept_of_them"))
+    failed = F.col("error").isNotNull()
+    return report.groupBy("study_name", "qtl_group", _sample_file().alias("file_name")).agg(
+        F.when(F.bool_and(failed), "all").when(F.bool_or(failed), "some").otherwise("none")
+        .alias("parts_failed"), F.sum("rows_written").alias("rows_written"))
 
 
 def q_inspect_head(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,7 +327,7 @@ def q_convert_directory_job(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = _encode(spark, sf_dir)
     result = convert_directory(spark, f"{root}/study_0/grp_1/bigwig",
                                scratch_path(spark, "directory"))
-    read_coverage(spark, result.table).createOrReplaceTempView("one_directory")
+    register_table(spark, result.table, "one_directory")
     return spark.sql("SELECT seqnames, start, end, strand, score, sample_id FROM one_directory")
 
 

@@ -170,9 +170,10 @@ def encode_bigwigs(raw: DataFrame, root: str) -> DataFrame:
 
 
 def add_broken_files(files: DataFrame, every: int = 5) -> DataFrame:
-    """The same file rows, with every ``every``-th path (by hash) replaced by
-    one of a file that cannot be read: it does not exist."""
-    broken = F.pmod(F.xxhash64("file_path"), F.lit(every)) == 0
+    """The same file rows, with the paths of samples whose number ``every``
+    divides replaced by those of files that cannot be read: they do not exist."""
+    number = F.regexp_extract(F.substring_index("file_path", "/", -1), r"^S(\d+)\.", 1)
+    broken = number.cast("int") % every == 0
     return files.withColumn("file_path", F.when(broken, F.concat(
         "file_path", F.lit(".missing"))).otherwise(F.col("file_path")))
 
