@@ -399,10 +399,11 @@ def q_na_rows_written(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_ordered_directories(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """O2: directories with their place in (study, group) order."""
-    w = Window.partitionBy("study_name").orderBy("qtl_group")
-    return (q_discover_dirs(spark, sf_dir)
-            .withColumn("place", F.row_number().over(w)))
+    """O2: the place of each directory in its study, in the order in which
+    discovery returns its rows."""
+    listed = q_discover_dirs(spark, sf_dir).withColumn("row", F.monotonically_increasing_id())
+    w = Window.partitionBy("study_name").orderBy("row")
+    return listed.withColumn("place", F.row_number().over(w)).drop("row")
 
 
 # --- what goes wrong, and what stays whole
