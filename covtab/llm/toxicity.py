@@ -10,8 +10,9 @@ compared to a landmark by its best unit; values below ``LEAST`` count as 0, a
 cut that words of five letters and more pass with up to three inserted letters.
 
 Landmarks are the units most associated with the toxic label. The Nyström map
-turns a sentence's values into features whose inner products approximate the
-kernel, and a linear support vector machine is trained on labelled sentences:
+whitens a sentence's values by the landmarks' kernel matrix: for a sentence of
+one unit the features' inner products approximate the kernel, for others they
+are those of its largest values. A linear support vector machine is trained on labelled sentences:
 every sentence has its document's label, and after each fit a toxic document
 is represented by its sentences that score above 0, or its best one. A
 document's probability comes from its most toxic sentence and its share of toxic
